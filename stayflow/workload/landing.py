@@ -25,4 +25,6 @@ def land(rows: DataFrame, feed: str, path: str) -> None:
     arrays = rows.groupBy(part.alias("part")).agg(
         F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value")
     )
-    arrays.write.mode("append").partitionBy("part").text(path)
+    # One task holds one array at a time, and every file exactly one: the file cap of one
+    # record does that, as each row is a whole array.
+    arrays.select("value").write.mode("append").option("maxRecordsPerFile", 1).text(path)

@@ -1,16 +1,16 @@
-"""Layers built from the two deliveries without a store, for single-operator queries."""
+"""The warehouse layers derived from the two deliveries, for single-operator queries."""
 
 from __future__ import annotations
 
-from functools import cached_property, lru_cache
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.operators.scd2 import scd2_apply
 from stayflow.plans import core, marts
 from stayflow.plans.staging import STAGERS
-from stayflow.schemas import DIM_SCHEMAS, FACT_SCHEMAS
+from stayflow.schemas import TABLE_SCHEMAS
 from stayflow.sources.files import timestamp_literal
 from stayflow.sources.scratch import materialise, shared_dir
 from stayflow.workload.feeds import RUN_TIMES, raw_all, raw_batch
@@ -19,15 +19,26 @@ LAST_BATCH = 2
 
 
 class Layers:
-    """Every table as of a batch. Dimensions and facts are written down once per instance, as
-    a run does, because several later tables read them."""
+    """Every table as of a batch.
+
+    What a run would find stored (staging, earlier dimensions and facts) is written down once
+    per session and tables folder, and read from there by the queries that build on it; the
+    ``apply_*`` methods do an operator's own work on top of those.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self.stored: dict[str, DataFrame] = {}
+        self.work = shared_dir(spark)
+
+    def fresh_path(self, name: str) -> str:
+        """A folder no other query uses."""
+        return f"{self.work}/{name}-{uuid.uuid4().hex}"
 
-    @cached_property
-    def work(self) -> str:
-        return shared_dir(self.spark)
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self.stored:
+            self.stored[name] = materialise(build(), f"{self.work}/{name}")
+        return self.stored[name]
 
     def ts(self, batch: int) -> Column:
         return timestamp_literal(RUN_TIMES[batch])
@@ -38,46 +49,64 @@ class Layers:
             return raw_all(self.spark, self.sf_dir, feed)
         return raw_batch(self.spark, self.sf_dir, feed, batch)
 
-    def staged(self, feed: str, batch: int) -> DataFrame:
-        return STAGERS[feed](self.raw(feed, batch), RUN_TIMES[batch])
+    def stage_all(self, feed: str) -> DataFrame:
+        """Staging load over the whole raw table."""
+        return STAGERS[feed](self.raw(feed), RUN_TIMES[LAST_BATCH])
 
     def staged_all(self, feed: str) -> DataFrame:
-        return STAGERS[feed](self.raw(feed), RUN_TIMES[LAST_BATCH])
+        return self.once(f"stg_{feed}", lambda: self.stage_all(feed))
 
-    def hotels(self, batch: int) -> DataFrame:
-        before = self._empty(DIM_SCHEMAS["dim_hotels"]) if batch == 1 else self.hotels(batch - 1)
+    def staged(self, feed: str, batch: int) -> DataFrame:
+        return self.once(f"stg_{feed}-{batch}", lambda: STAGERS[feed](self.raw(feed, batch), RUN_TIMES[batch]))
+
+    def apply_hotels(self, batch: int) -> DataFrame:
+        before = self._empty("dim_hotels") if batch == 1 else self.hotels(batch - 1)
         return core.load_dim_hotels(before, self.staged("hotels", batch), self.ts(batch))
 
-    @lru_cache
-    def versions(self, feed: str, batch: int) -> DataFrame:
-        spec = core.VERSIONED[feed]
-        before, last = self._empty(DIM_SCHEMAS[spec.table]), 0
+    def hotels(self, batch: int = LAST_BATCH) -> DataFrame:
+        return self.once(f"dim_hotels-{batch}", lambda: self.apply_hotels(batch))
+
+    def last_key(self, feed: str, batch: int) -> int:
+        """Highest surrogate key in use after a batch."""
+        return self.versions(feed, batch).agg(F.max(core.VERSIONED[feed].sk)).first()[0] or 0
+
+    def apply_versions(self, feed: str, batch: int) -> DataFrame:
+        table, last = core.VERSIONED[feed].table, 0
+        before = self._empty(table)
         if batch > 1:
-            before = self.versions(feed, batch - 1)
-            last = before.agg(F.max(spec.sk)).first()[0] or 0
-        path = f"{self.work}/{spec.table}-{batch}"
-        return scd2_apply(before, self.staged(feed, batch), spec, self.ts(batch), last, path)
+            before, last = self.versions(feed, batch - 1), self.last_key(feed, batch - 1)
+        delivered = self.staged(feed, batch)
+        return core.load_versioned(feed, before, delivered, self.ts(batch), last, self.fresh_path(table))
 
-    def fact_lazy(self, feed: str, batch: int) -> DataFrame:
+    def versions(self, feed: str, batch: int = LAST_BATCH) -> DataFrame:
+        return self.once(f"{core.VERSIONED[feed].table}-{batch}", lambda: self.apply_versions(feed, batch))
+
+    def apply_fact(self, feed: str, batch: int) -> DataFrame:
         load = {"bookings": core.load_fact_bookings, "reviews": core.load_fact_reviews}[feed]
-        schema = FACT_SCHEMAS[f"fact_{feed}"]
-        before = self._empty(schema) if batch == 1 else self.fact_lazy(feed, batch - 1)
+        before = self._empty(f"fact_{feed}") if batch == 1 else self.fact(feed, batch - 1)
         return load(before, self.staged(feed, batch), self.versions("customers", batch), self.ts(batch))
 
-    @lru_cache
     def fact(self, feed: str, batch: int = LAST_BATCH) -> DataFrame:
-        return materialise(self.fact_lazy(feed, batch), f"{self.work}/fact_{feed}-{batch}")
+        return self.once(f"fact_{feed}-{batch}", lambda: self.apply_fact(feed, batch))
 
-    def performance(self) -> DataFrame:
+    def build_performance(self) -> DataFrame:
         return marts.mart_hotel_performance(
-            self.hotels(LAST_BATCH),
-            self.fact("bookings"),
-            self.fact("reviews"),
-            self.versions("staff", LAST_BATCH),
+            self.hotels(), self.fact("bookings"), self.fact("reviews"), self.versions("staff")
         )
 
-    def _empty(self, schema) -> DataFrame:
-        return self.spark.createDataFrame([], schema)
+    def performance(self) -> DataFrame:
+        return self.once("mart_hotel_performance", self.build_performance)
+
+    def _empty(self, table: str) -> DataFrame:
+        return self.spark.createDataFrame([], TABLE_SCHEMAS[table])
+
+
+_BY_SESSION: dict[tuple[str, str], Layers] = {}
+
+
+def layers_for(spark: SparkSession, sf_dir: str) -> Layers:
+    """The session's layers over a tables folder."""
+    return _BY_SESSION.setdefault((spark.sparkContext.applicationId, sf_dir), Layers(spark, sf_dir))
 
 
 def plain(df: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from stayflow.sources.store import Store
 from stayflow.streaming.ingest import ingest_feed
 from stayflow.workload import landing, oracle
 from stayflow.workload.feeds import FIRST_LOAD, RUN_TIMES, SECOND_LOAD, run_sql
-from stayflow.workload.layers import LAST_BATCH, Layers, plain
+from stayflow.workload.layers import LAST_BATCH, Layers, layers_for, plain
 from stayflow.workload.oracle import shown, with_parts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,7 +47,7 @@ REGISTRY: dict[str, Entry] = {}
 def register(name: str, sql: str | None = None) -> Callable[[Callable[[Layers], DataFrame]], object]:
     def add(build: Callable[[Layers], DataFrame]) -> object:
         def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return plain(build(Layers(require(spark), sf_dir)))
+            return plain(build(layers_for(require(spark), sf_dir)))
 
         REGISTRY[name] = Entry(query, sql)
         return build
@@ -220,14 +220,14 @@ def _(x: Layers) -> DataFrame:
 
 @register("src_csv_feed", tokens_sql("customers", "customers_raw1"))
 def _(x: Layers) -> DataFrame:
-    path = f"{x.work}/customers"
+    path = x.fresh_path("customers")
     landing.land(x.raw("customers", 1), "customers", path)
     return read_csv_feed(x.spark, path, FEED_SCHEMAS["customers"]).drop("_metadata")
 
 
 @register("src_json_feed", tokens_sql("reviews", "reviews_raw1"))
 def _(x: Layers) -> DataFrame:
-    path = f"{x.work}/reviews"
+    path = x.fresh_path("reviews")
     landing.land(x.raw("reviews", 1), "reviews", path)
     return read_json_feed(x.spark, path, FEED_SCHEMAS["reviews"]).drop("_metadata")
 
@@ -240,7 +240,7 @@ def _(x: Layers) -> DataFrame:
     ),
 )
 def _(x: Layers) -> DataFrame:
-    path = f"{x.work}/hotels"
+    path = x.fresh_path("hotels")
     landing.land(x.raw("hotels", 1), "hotels", path)
     rows = with_load_metadata(read_csv_feed(x.spark, path, FEED_SCHEMAS["hotels"]), FIRST_LOAD, 1)
     inside = F.contains("_filename", F.lit(path.removeprefix("file:")))
@@ -255,7 +255,7 @@ def _(x: Layers) -> DataFrame:
     ),
 )
 def _(x: Layers) -> DataFrame:
-    store, files = Store(x.spark, f"{x.work}/store"), f"{x.work}/landing/bookings"
+    store, files = Store(x.spark, x.fresh_path("store")), x.fresh_path("landing")
     for batch, loaded in ((1, FIRST_LOAD), (2, SECOND_LOAD)):
         landing.land(x.raw("bookings", batch), "bookings", files)
         ingest_feed(store, "bookings", files, loaded)
@@ -265,7 +265,7 @@ def _(x: Layers) -> DataFrame:
 
 @register("sink_full_refresh", shown("hotels_stg2"))
 def _(x: Layers) -> DataFrame:
-    store = Store(x.spark, f"{x.work}/store")
+    store = Store(x.spark, x.fresh_path("store"))
     for batch in (1, 2):
         run = store.begin(batch, RUN_TIMES[batch])
         run.replace("stg_hotels", x.staged("hotels", batch))
@@ -277,7 +277,7 @@ def _(x: Layers) -> DataFrame:
 
 
 def _store_with(x: Layers, feeds: list[str], batches: tuple[int, ...]) -> Store:
-    store = Store(x.spark, f"{x.work}/store")
+    store = Store(x.spark, x.fresh_path("store"))
     for batch in batches:
         for feed in feeds:
             store.append_raw(feed, x.raw(feed, batch))
@@ -371,7 +371,7 @@ for _feed in STAGERS:
 
     @register(f"stg_{_feed}", shown(f"{_feed}_stg", STAGED_MONEY.get(_feed, ())))
     def _(x: Layers, feed: str = _feed) -> DataFrame:
-        return x.staged_all(feed)
+        return x.stage_all(feed)
 
 
 # -- comparison, lookup and anti joins ---------------------------------------------------
@@ -406,7 +406,7 @@ def _(x: Layers) -> DataFrame:
 )
 def _(x: Layers) -> DataFrame:
     bookings = x.staged_all("bookings").select("booking_id", "customer_id")
-    dim = x.versions("customers", LAST_BATCH)
+    dim = x.versions("customers")
     return lookup_current_sk(bookings, dim, "customer_id", "customer_sk", "booking_id")
 
 
@@ -480,7 +480,7 @@ def _(x: Layers) -> DataFrame:
 
 @register("dim_hotels_scd1", shown("hotels_dim2"))
 def _(x: Layers) -> DataFrame:
-    return x.hotels(LAST_BATCH)
+    return x.apply_hotels(LAST_BATCH)
 
 
 @register("scd2_expire", shown("customers_old2"))
@@ -491,17 +491,15 @@ def _(x: Layers) -> DataFrame:
 
 @register("scd2_insert", shown("customers_new2"))
 def _(x: Layers) -> DataFrame:
-    dim = x.versions("customers", 1)
-    last = dim.agg(F.max("customer_sk")).first()[0] or 0
-    return scd2_insert(dim, x.staged("customers", 2), core.CUSTOMERS, x.ts(2), last, f"{x.work}/opened")
+    dim, last = x.versions("customers", 1), x.last_key("customers", 1)
+    return scd2_insert(dim, x.staged("customers", 2), core.CUSTOMERS, x.ts(2), last, x.fresh_path("opened"))
 
 
 @register("scd2_apply", shown("room_rates_dim2", ("price", "discounted_price")))
 def _(x: Layers) -> DataFrame:
-    dim = x.versions("room_rates", 1)
-    last = dim.agg(F.max("room_rate_sk")).first()[0] or 0
+    dim, last = x.versions("room_rates", 1), x.last_key("room_rates", 1)
     src = x.staged("room_rates", 2)
-    return scd2_apply(dim, src, core.ROOM_RATES, x.ts(2), last, f"{x.work}/opened")
+    return scd2_apply(dim, src, core.ROOM_RATES, x.ts(2), last, x.fresh_path("opened"))
 
 
 @register(
@@ -510,7 +508,7 @@ def _(x: Layers) -> DataFrame:
 )
 def _(x: Layers) -> DataFrame:
     rows = x.staged_all("bookings").select("booking_id")
-    return assign_keys(rows, [F.col("booking_id")], "booking_sk", 1000, f"{x.work}/keys")
+    return assign_keys(rows, [F.col("booking_id")], "booking_sk", 1000, x.fresh_path("keys"))
 
 
 _DIM_MONEY = {"room_rates": ("price", "discounted_price")}
@@ -518,7 +516,7 @@ for _feed in core.VERSIONED:
 
     @register(f"dim_{_feed}_scd2", shown(f"{_feed}_dim2", _DIM_MONEY.get(_feed, ())))
     def _(x: Layers, feed: str = _feed) -> DataFrame:
-        return x.versions(feed, LAST_BATCH)
+        return x.apply_versions(feed, LAST_BATCH)
 
 
 # -- facts -------------------------------------------------------------------------------
@@ -528,12 +526,12 @@ _BOOKING_DATES = ("checkin_date", "checkout_date")
 
 @register("fact_bookings_merge", shown("bookings_fact2", ("total_amount",), _BOOKING_DATES))
 def _(x: Layers) -> DataFrame:
-    return x.fact_lazy("bookings", LAST_BATCH)
+    return x.apply_fact("bookings", LAST_BATCH)
 
 
 @register("fact_reviews_merge", shown("reviews_fact2"))
 def _(x: Layers) -> DataFrame:
-    return x.fact_lazy("reviews", LAST_BATCH)
+    return x.apply_fact("reviews", LAST_BATCH)
 
 
 @register(
@@ -581,34 +579,34 @@ def _(x: Layers) -> DataFrame:
 
 @register("mart_revenue", shown("mart_revenue"))
 def _(x: Layers) -> DataFrame:
-    return marts.mart_revenue(x.fact("bookings"), x.hotels(LAST_BATCH))
+    return marts.mart_revenue(x.fact("bookings"), x.hotels())
 
 
 @register("mart_occupancy", shown("mart_occupancy"))
 def _(x: Layers) -> DataFrame:
     return marts.mart_occupancy(
-        x.fact("bookings"), x.hotels(LAST_BATCH), x.versions("room_rates", LAST_BATCH)
+        x.fact("bookings"), x.hotels(), x.versions("room_rates")
     )
 
 
 @register("mart_customer_segments", shown("mart_customer_segments"))
 def _(x: Layers) -> DataFrame:
-    return marts.mart_customer_segments(x.fact("bookings"), x.versions("customers", LAST_BATCH))
+    return marts.mart_customer_segments(x.fact("bookings"), x.versions("customers"))
 
 
 @register("mart_satisfaction", shown("mart_satisfaction"))
 def _(x: Layers) -> DataFrame:
-    return marts.mart_satisfaction(x.fact("reviews"), x.fact("bookings"), x.hotels(LAST_BATCH))
+    return marts.mart_satisfaction(x.fact("reviews"), x.fact("bookings"), x.hotels())
 
 
 @register("mart_staff", shown("mart_staff"))
 def _(x: Layers) -> DataFrame:
-    return marts.mart_staff(x.versions("staff", LAST_BATCH), x.hotels(LAST_BATCH))
+    return marts.mart_staff(x.versions("staff"), x.hotels())
 
 
 @register("mart_hotel_performance", shown("performance"))
 def _(x: Layers) -> DataFrame:
-    return x.performance()
+    return x.build_performance()
 
 
 @register("performance_band", shown("banded"))
@@ -669,12 +667,12 @@ _RANKED = (
 
 @register("hotel_ranking", with_parts(_RANKED))
 def _(x: Layers) -> DataFrame:
-    return reports.hotel_ranking(x.performance(), f"{x.work}/ranks")
+    return reports.hotel_ranking(x.performance(), x.fresh_path("ranks"))
 
 
 @register("hotel_ranking_top", with_parts(f"{_RANKED} order by total_revenue desc nulls last, hotel_id limit 10"))
 def _(x: Layers) -> DataFrame:
-    return reports.hotel_ranking(x.performance(), f"{x.work}/ranks", k=10)
+    return reports.hotel_ranking(x.performance(), x.fresh_path("ranks"), k=10)
 
 
 @register(
@@ -700,7 +698,7 @@ def _(x: Layers) -> DataFrame:
 
 
 def _two_runs(x: Layers) -> Store:
-    store = Store(x.spark, f"{x.work}/store", segment_width=5000)
+    store = Store(x.spark, x.fresh_path("store"), segment_width=5000)
     for batch in (1, 2):
         for feed in FEED_SCHEMAS:
             store.append_raw(feed, x.raw(feed, batch))
