@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.functions.measures import same
+from stayflow.operators.delta import small_semi
 
 # A key is hot when it holds more than this share of the rows, so there are at most
 # 1/HOT_SHARE of them and the list of hot keys always fits a broadcast.
@@ -54,9 +55,17 @@ def lookup_left(df: DataFrame, right: DataFrame, key: str, spread_by: str, sprea
     return left.join(repeated, [key, "_slot"], "left").drop("_slot")
 
 
-def lookup_current_sk(df: DataFrame, dim: DataFrame, bk: str, sk: str, spread_by: str) -> DataFrame:
-    """Surrogate key of the current dimension version; NULL where the member is unknown."""
+def lookup_current_sk(
+    df: DataFrame, dim: DataFrame, bk: str, sk: str, spread_by: str, small: bool = False
+) -> DataFrame:
+    """Surrogate key of the current dimension version; NULL where the member is unknown.
+
+    ``small``: ``df`` is counted to be small. The dimension is then narrowed to its members by
+    a broadcast, and what is joined is small on both sides whatever its keys look like.
+    """
     current = dim.where(F.col("is_current")).select(bk, sk)
+    if small:
+        return df.join(F.broadcast(small_semi(current, df, [bk])), bk, "left")
     return lookup_left(df, current, bk, spread_by)
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayflow.functions.measures import changed
+from stayflow.operators.delta import small_semi
 
 INSERT, UPDATE, KEEP = "insert", "update", "keep"
 
@@ -31,36 +32,55 @@ def merge_actions(
     update: Sequence[str],
     on_update: Mapping[str, Column] | None = None,
     on_insert: Mapping[str, Column] | None = None,
+    small_source: bool = False,
 ) -> DataFrame:
     """The target after the merge, with ``_action`` telling what happened to each row.
 
     A matched row whose ``compare`` columns differ takes the ``update`` columns from the
     source and the ``on_update`` values; an unmatched source row is inserted with all columns
-    it has and the ``on_insert`` values; every other row is kept. One full outer join: both
-    sides hold a key at most once, so neither can be skewed.
+    it has and the ``on_insert`` values; every other row is kept.
+
+    Normally one full outer join: both sides hold a key at most once, so neither can be
+    skewed. ``small_source`` is for a source counted to be small (see ``delta``): it is
+    broadcast, and the target is only streamed past it, without a shuffle.
     """
     on_update, on_insert = on_update or {}, on_insert or {}
+    source = unique_on(source, keys)
     t = target.withColumn("_in_target", F.lit(True)).alias("t")
-    s = unique_on(source, keys).withColumn("_in_source", F.lit(True)).alias("s")
+    s = source.withColumn("_in_source", F.lit(True)).alias("s")
     match = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
-    action = (
-        F.when(F.col("_in_target").isNull(), INSERT)
-        .when(F.col("_in_source") & changed("t", "s", compare), UPDATE)
-        .otherwise(KEEP)
-    )
-    paired = t.join(s, match, "full_outer").withColumn("_action", action)
+    differs = F.col("_in_source") & changed("t", "s", compare)
 
-    def outcome(c: str) -> Column:
-        if c in keys:
-            return F.coalesce(F.col(f"t.{c}"), F.col(f"s.{c}")).alias(c)
+    def incoming(c: str) -> Column:
+        return F.col(f"s.{c}") if c in source.columns else F.lit(None)
+
+    def inserted(c: str) -> Column:
+        return on_insert.get(c, incoming(c))
+
+    def matched(c: str) -> Column:
         old = F.col(f"t.{c}")
-        incoming = F.col(f"s.{c}") if c in source.columns else F.lit(None)
-        value = F.when(F.col("_action") == INSERT, on_insert.get(c, incoming))
-        if c in update or c in on_update:
-            value = value.when(F.col("_action") == UPDATE, on_update.get(c, incoming))
-        return value.otherwise(old).cast(target.schema[c].dataType).alias(c)
+        if c not in update and c not in on_update:
+            return old
+        return F.when(F.col("_action") == UPDATE, on_update.get(c, incoming(c))).otherwise(old)
+
+    def rows(df: DataFrame, action: Column, value: Callable[[str], Column]) -> DataFrame:
+        typed = [value(c).cast(target.schema[c].dataType).alias(c) for c in target.columns]
+        return df.withColumn("_action", action).select(*typed, "_action")
+
+    if small_source:
+        present = small_semi(target.select(*keys), source, keys)
+        new = source.join(present, list(keys), "left_anti").alias("s")
+        old = t.join(F.broadcast(s), match, "left")
+        kept = rows(old, F.when(differs, UPDATE).otherwise(KEEP), matched)
+        return kept.unionByName(rows(new, F.lit(INSERT), inserted))
+
+    def either(c: str) -> Column:
+        if c in keys:
+            return F.coalesce(F.col(f"t.{c}"), F.col(f"s.{c}"))
+        return F.when(F.col("_action") == INSERT, inserted(c)).otherwise(matched(c))
 
-    return paired.select(*[outcome(c) for c in target.columns], "_action")
+    action = F.when(F.col("_in_target").isNull(), INSERT).when(differs, UPDATE).otherwise(KEEP)
+    return rows(t.join(s, match, "full_outer"), action, either)
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, *args, **kwargs) -> DataFrame:

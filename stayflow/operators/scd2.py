@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.functions.measures import changed
+from stayflow.operators.delta import small_anti, small_semi
 from stayflow.operators.keys import assign_keys
 from stayflow.operators.lookup import unmatched
 
@@ -76,14 +77,18 @@ def open_versions(rows: DataFrame, columns: list[str], ts: Column) -> DataFrame:
     return rows.withColumns(version).select(*columns)
 
 
-def carry_over(current: DataFrame, opened: DataFrame, key: str) -> DataFrame:
-    """Current versions that stay current."""
-    return current.join(opened.select(key), key, "left_anti").select(*current.columns)
+def carry_over(current: DataFrame, opened: DataFrame, key: str, small: bool = False) -> DataFrame:
+    """Current versions that stay current. ``small``: ``opened`` is counted to be small."""
+    stay = small_anti(current, opened, [key]) if small else current.join(opened.select(key), key, "left_anti")
+    return stay.select(*current.columns)
 
 
-def close_replaced(current: DataFrame, opened: DataFrame, key: str, ts: Column) -> DataFrame:
+def close_replaced(
+    current: DataFrame, opened: DataFrame, key: str, ts: Column, small: bool = False
+) -> DataFrame:
     """Current versions replaced by an opened one, closed at ``ts``."""
-    return current.join(opened.select(key), key, "left_semi").withColumns(closing(ts)).select(*current.columns)
+    gone = small_semi(current, opened, [key]) if small else current.join(opened.select(key), key, "left_semi")
+    return gone.withColumns(closing(ts)).select(*current.columns)
 
 
 def scd2_apply(

@@ -37,8 +37,9 @@ class Merged:
     update_stamp: str
     insert_stamp: str
 
-    def merge(self, target: DataFrame, source: DataFrame, ts: Column) -> DataFrame:
-        """Target after the merge, with the ``_action`` column."""
+    def merge(self, target: DataFrame, source: DataFrame, ts: Column, small: bool = False) -> DataFrame:
+        """Target after the merge, with the ``_action`` column. ``small``: the source is
+        counted to be small."""
         return merge_actions(
             target,
             source,
@@ -47,6 +48,7 @@ class Merged:
             self.update,
             {self.update_stamp: ts},
             {self.insert_stamp: ts},
+            small,
         )
 
 
@@ -67,9 +69,9 @@ REVIEWS = Merged(
 )
 
 
-def booking_source(stg: DataFrame, dim_customers: DataFrame) -> DataFrame:
+def booking_source(stg: DataFrame, dim_customers: DataFrame, small: bool = False) -> DataFrame:
     """Staged bookings in fact shape, pointing at the customer version current at load."""
-    keyed = lookup_current_sk(stg, dim_customers, CUSTOMERS.key, CUSTOMERS.sk, "booking_id")
+    keyed = lookup_current_sk(stg, dim_customers, CUSTOMERS.key, CUSTOMERS.sk, "booking_id", small)
     return keyed.select(
         "booking_id",
         "customer_sk",
@@ -82,8 +84,8 @@ def booking_source(stg: DataFrame, dim_customers: DataFrame) -> DataFrame:
     )
 
 
-def review_source(stg: DataFrame, dim_customers: DataFrame) -> DataFrame:
-    keyed = lookup_current_sk(stg, dim_customers, CUSTOMERS.key, CUSTOMERS.sk, "review_id")
+def review_source(stg: DataFrame, dim_customers: DataFrame, small: bool = False) -> DataFrame:
+    keyed = lookup_current_sk(stg, dim_customers, CUSTOMERS.key, CUSTOMERS.sk, "review_id", small)
     return keyed.select("review_id", "booking_id", "customer_sk", "rating", "comments", "sentiment")
 
 

@@ -18,20 +18,65 @@ from stayflow.schemas import MART_SCHEMAS, conform
 HOTEL = ("hotel_id", "hotel_name", "city")
 
 
+def bookings_by_month(bookings: DataFrame) -> DataFrame:
+    """All booking measures per hotel and check-in month: the one pass over the fact that the
+    revenue, occupancy and performance marts share."""
+    priced = F.col("total_amount").isNotNull()
+    return bookings.groupBy("hotel_id", F.trunc("checkin_date", "month").alias("booking_month")).agg(
+        F.count(F.lit(1)).alias("_bookings"),
+        F.count("booking_id").alias("_numbered"),
+        F.count("total_amount").alias("_priced"),
+        F.sum("total_amount").alias("_revenue"),
+        count_when(F.col("is_high_value")).alias("_high"),
+        count_when(F.col("is_high_value") & priced).alias("_high_priced"),
+        F.sum("stay_duration").alias("_nights"),
+        F.count("stay_duration").alias("_stays"),
+    )
+
+
+def _bookings_by_hotel(monthly: DataFrame) -> DataFrame:
+    sums = ("_bookings", "_numbered", "_priced", "_revenue", "_high", "_nights", "_stays")
+    return monthly.groupBy("hotel_id").agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def reviews_by_hotel(reviews: DataFrame, bookings: DataFrame) -> DataFrame:
+    """All review measures per hotel, by way of the reviewed booking: the one join of the two
+    facts, shared by the satisfaction and performance marts."""
+    rated = F.col("rating").isNotNull()
+    labels = {label: label_is(F.col("sentiment"), label) for label in ("positive", "neutral", "negative")}
+    measures = {
+        "_reviews": F.count("review_id"),
+        "_rated": count_when(rated),
+        "_rating": F.sum("rating"),
+        "_positive": count_when(labels["positive"]),
+        **{f"_rated_{label}": count_when(is_label & rated) for label, is_label in labels.items()},
+    }
+    per_booking = reviews.groupBy("booking_id").agg(*[m.alias(name) for name, m in measures.items()])
+    return (
+        per_booking.join(bookings.select("booking_id", "hotel_id"), "booking_id")
+        .groupBy("hotel_id")
+        .agg(*[F.sum(name).alias(name) for name in measures])
+    )
+
+
 def mart_revenue(bookings: DataFrame, hotels: DataFrame) -> DataFrame:
     """Bookings and revenue per hotel and check-in month, amounts known only."""
-    monthly = (
-        bookings.where("total_amount is not null")
-        .groupBy("hotel_id", F.trunc("checkin_date", "month").alias("booking_month"))
-        .agg(
-            F.count(F.lit(1)).alias("total_bookings"),
-            F.sum("total_amount").alias("total_revenue"),
-            count_when(F.col("is_high_value")).alias("high_value_count"),
+    return revenue_from(bookings_by_month(bookings), hotels)
+
+
+def revenue_from(monthly: DataFrame, hotels: DataFrame) -> DataFrame:
+    rows = (
+        monthly.where("_priced > 0")
+        .join(hotels, "hotel_id")
+        .withColumns(
+            {
+                "total_bookings": F.col("_priced"),
+                "total_revenue": F.col("_revenue"),
+                "avg_booking_value": ratio(F.col("_revenue"), F.col("_priced")),
+                "high_value_count": F.col("_high_priced"),
+            }
         )
     )
-    rows = monthly.join(hotels, "hotel_id").withColumn(
-        "avg_booking_value", ratio(F.col("total_revenue"), F.col("total_bookings"))
-    )
     return conform(rows, MART_SCHEMAS["mart_revenue"])
 
 
@@ -41,22 +86,21 @@ def mart_occupancy(bookings: DataFrame, hotels: DataFrame, room_rates: DataFrame
     A booking names no room type, so it counts once for every current rate of its hotel.
     That product is never formed: a room type's rates are a factor on the hotel's totals.
     """
-    per_hotel = bookings.groupBy("hotel_id").agg(
-        F.count("booking_id").alias("_bookings"),
-        F.sum("stay_duration").alias("_nights"),
-        F.count("stay_duration").alias("_stays"),
-    )
+    return occupancy_from(bookings_by_month(bookings), hotels, room_rates)
+
+
+def occupancy_from(monthly: DataFrame, hotels: DataFrame, room_rates: DataFrame) -> DataFrame:
     rates = (
         room_rates.where("is_current")
         .groupBy("hotel_id", "room_type")
         .agg(F.count(F.lit(1)).alias("_rates"))
     )
     rows = (
-        rates.join(per_hotel, "hotel_id")
+        rates.join(_bookings_by_hotel(monthly), "hotel_id")
         .join(hotels, "hotel_id")
         .withColumns(
             {
-                "total_bookings": F.col("_bookings") * F.col("_rates"),
+                "total_bookings": F.col("_numbered") * F.col("_rates"),
                 "avg_stay_days": ratio(F.col("_nights"), F.col("_stays")),
                 "total_room_nights": F.col("_nights") * F.col("_rates"),
             }
@@ -98,36 +142,24 @@ def mart_customer_segments(bookings: DataFrame, customers: DataFrame) -> DataFra
     return conform(rows, MART_SCHEMAS["mart_customer_segments"])
 
 
-def reviews_per_hotel(reviews: DataFrame, bookings: DataFrame) -> DataFrame:
-    """Review measures per hotel, by way of the reviewed booking."""
-    per_booking = reviews.groupBy("booking_id").agg(
-        F.count("review_id").alias("_reviews"),
-        F.sum("rating").alias("_rating"),
-        F.count("rating").alias("_rated"),
-        *[
-            count_when(label_is(F.col("sentiment"), label)).alias(f"_{label}")
-            for label in ("positive", "neutral", "negative")
-        ],
-    )
-    sums = ("_reviews", "_rating", "_rated", "_positive", "_neutral", "_negative")
-    return (
-        per_booking.join(bookings.select("booking_id", "hotel_id"), "booking_id")
-        .groupBy("hotel_id")
-        .agg(*[F.sum(c).alias(c) for c in sums])
-    )
-
-
 def mart_satisfaction(reviews: DataFrame, bookings: DataFrame, hotels: DataFrame) -> DataFrame:
     """Rating and sentiment per hotel; reviews without a rating are left out altogether."""
-    rated = reviews_per_hotel(reviews.where("rating is not null"), bookings)
-    rows = rated.join(hotels, "hotel_id").select(
-        *HOTEL,
-        F.col("_reviews").alias("total_reviews"),
-        ratio(F.col("_rating"), F.col("_rated")).alias("avg_rating"),
-        F.col("_positive").alias("positive_count"),
-        F.col("_neutral").alias("neutral_count"),
-        F.col("_negative").alias("negative_count"),
-        percent(F.col("_positive"), F.col("_reviews")).alias("positive_pct"),
+    return satisfaction_from(reviews_by_hotel(reviews, bookings), hotels)
+
+
+def satisfaction_from(reviewed: DataFrame, hotels: DataFrame) -> DataFrame:
+    rows = (
+        reviewed.where("_rated > 0")
+        .join(hotels, "hotel_id")
+        .select(
+            *HOTEL,
+            F.col("_rated").alias("total_reviews"),
+            ratio(F.col("_rating"), F.col("_rated")).alias("avg_rating"),
+            F.col("_rated_positive").alias("positive_count"),
+            F.col("_rated_neutral").alias("neutral_count"),
+            F.col("_rated_negative").alias("negative_count"),
+            percent(F.col("_rated_positive"), F.col("_rated")).alias("positive_pct"),
+        )
     )
     return conform(rows, MART_SCHEMAS["mart_satisfaction"])
 
@@ -149,25 +181,24 @@ def mart_hotel_performance(
 
     All bookings and all reviews count; averages are over the values that are known.
     """
-    booked = bookings.groupBy("hotel_id").agg(
-        F.sum("total_amount").alias("total_revenue"),
-        F.count(F.lit(1)).alias("_bookings"),
-        F.count("total_amount").alias("_amounts"),
-        count_when(F.col("is_high_value")).alias("_high"),
-        F.sum("stay_duration").alias("_nights"),
-        F.count("stay_duration").alias("_stays"),
+    return performance_from(
+        hotels, bookings_by_month(bookings), reviews_by_hotel(reviews, bookings), staff
     )
+
+
+def performance_from(
+    hotels: DataFrame, monthly: DataFrame, reviewed: DataFrame, staff: DataFrame
+) -> DataFrame:
     employed = staff.where("is_current").groupBy("hotel_id").agg(F.count("staff_sk").alias("_staff"))
-    reviewed = reviews_per_hotel(reviews, bookings)
     joined = join_preaggregated(
-        hotels, [(booked, "hotel_id"), (reviewed, "hotel_id"), (employed, "hotel_id")]
+        hotels, [(_bookings_by_hotel(monthly), "hotel_id"), (reviewed, "hotel_id"), (employed, "hotel_id")]
     )
     rows = joined.select(
         *HOTEL,
         "stars",
-        "total_revenue",
+        F.col("_revenue").alias("total_revenue"),
         F.coalesce("_bookings", F.lit(0)).alias("total_bookings"),
-        ratio(F.col("total_revenue"), F.col("_amounts")).alias("avg_booking_value"),
+        ratio(F.col("_revenue"), F.col("_priced")).alias("avg_booking_value"),
         percent(F.col("_high"), F.col("_bookings")).alias("high_value_pct"),
         ratio(F.col("_nights"), F.col("_stays")).alias("avg_stay_days"),
         ratio(F.col("_rating"), F.col("_rated")).alias("avg_rating"),

@@ -17,6 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from stayflow.operators.delta import is_small, small_semi
 from stayflow.operators.keys import assign_keys
 from stayflow.operators.lookup import unmatched
 from stayflow.operators.merge import INSERT, UPDATE
@@ -35,7 +36,8 @@ from stayflow.plans.staging import STAGERS
 from stayflow.schemas import DIM_SCHEMAS
 from stayflow.sources.changes import latest_batch, read_changes
 from stayflow.sources.files import timestamp_literal
-from stayflow.sources.store import Run, Store, ranges_of
+from stayflow.sources.scratch import materialise
+from stayflow.sources.store import Run, Store, ranges_of, segment_of
 
 LOG_SCHEMA = (
     "run_id bigint, name string, state string, scheduled_time timestamp_ntz, "
@@ -86,57 +88,78 @@ def load_staging(run: Run, high: dict[str, int]) -> StepResult:
         rows, seen = _count(STAGERS[feed](raw, run.batch_ts), staged=F.lit(True))
         run.replace(table, rows)
         counts[table] = dict(seen.get)
+        run.staged_rows[table] = seen.get["staged"]
 
     together(run.store.spark, [lambda f=feed: stage(f) for feed in STAGERS])
     return StepResult("load_staging", counts)
 
 
-def apply_merge(run: Run, spec: Merged, source: DataFrame, key_ranges: set[str]) -> dict[str, int]:
+def apply_merge(
+    run: Run, spec: Merged, staging: str, source: Callable[[DataFrame, bool], DataFrame]
+) -> dict[str, int]:
     """Merge a delta into the key ranges it falls into; all other ranges stay as they are."""
-    if not key_ranges:
+    rows = run.staged_rows[staging]
+    if not rows:
         return {"inserted": 0, "updated": 0}
-    target = run.read_ranges(spec.table, key_ranges)
-    merged = spec.merge(target, source, timestamp_literal(run.batch_ts))
-    rows, seen = _count(merged, inserted=F.col("_action") == INSERT, updated=F.col("_action") == UPDATE)
-    run.replace_ranges(spec.table, spec.key, key_ranges, rows)
+    stg, small = run.read(staging), is_small(rows)
+    touched = ranges_of(stg, spec.key, run.store.segment_width)
+    target = run.read_ranges(spec.table, touched)
+    merged = spec.merge(target, source(stg, small), timestamp_literal(run.batch_ts), small)
+    merged, seen = _count(merged, inserted=F.col("_action") == INSERT, updated=F.col("_action") == UPDATE)
+    run.replace_ranges(spec.table, spec.key, touched, merged, in_place=small)
     return dict(seen.get)
 
 
-def apply_versions(run: Run, spec: Versioned, delivered: DataFrame) -> dict[str, int]:
+def apply_versions(run: Run, spec: Versioned, staging: str) -> dict[str, int]:
     """Open and close versions. Only ranges holding a member that really changed are
     rewritten, and closed versions are added to the history without reading it."""
+    rows = run.staged_rows[staging]
+    if not rows:
+        return {"inserted": 0, "expired": 0}
     width, ts = run.store.segment_width, timestamp_literal(run.batch_ts)
-    columns = DIM_SCHEMAS[spec.table].fieldNames()
+    delivered = run.read(staging)
     current = run.read_current(spec.table, ranges_of(delivered, spec.key, width))
+    if is_small(rows):
+        current = small_semi(current, delivered, [spec.key])
     fresh = unmatched(delivered, current, [spec.key, *spec.tracked], null_safe=True)
-    rows = fresh.select(spec.key, *spec.carried, *spec.tracked)
+    fresh = fresh.select(spec.key, *spec.carried, *spec.tracked)
     last = run.mark(spec.sk)
-    keyed = assign_keys(rows, [F.col(spec.key)], spec.sk, last, run.work_path(spec.table))
-    top, opened_count = keyed.agg(F.max(spec.sk), F.count(F.lit(1))).first()
-    if not opened_count:
+    keyed = assign_keys(fresh, [F.col(spec.key)], spec.sk, last, run.work_path(spec.table))
+    per_range = (
+        keyed.groupBy(segment_of(spec.key, width).alias("range"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.max(spec.sk).alias("top"))
+        .collect()
+    )
+    if not per_range:
         return {"inserted": 0, "expired": 0}
-    opened = open_versions(keyed, columns, ts)
-    touched = ranges_of(opened, spec.key, width)
+    inserted, touched = sum(r.rows for r in per_range), {str(r.range) for r in per_range}
+    small = is_small(inserted)
+    opened = open_versions(keyed, DIM_SCHEMAS[spec.table].fieldNames(), ts)
     current = run.read_current(spec.table, touched)
-    closed, seen = _count(close_replaced(current, opened, spec.key, ts), expired=F.lit(True))
-    stay = carry_over(current, opened, spec.key)
-    run.replace_ranges(spec.table, spec.key, touched, stay.unionByName(opened))
-    run.add_closed(spec.table, closed)
-    run.marks[spec.sk] = top
-    return {"inserted": opened_count, **seen.get}
+    stay = carry_over(current, opened, spec.key, small)
+    closed, seen = _count(close_replaced(current, opened, spec.key, ts, small), expired=F.lit(True))
+    together(
+        run.store.spark,
+        [
+            lambda: run.replace_ranges(spec.table, spec.key, touched, stay.unionByName(opened), small),
+            lambda: run.add_closed(spec.table, closed),
+        ],
+    )
+    run.marks[spec.sk] = max(r.top for r in per_range)
+    return {"inserted": inserted, **seen.get}
 
 
 def load_dimensions(run: Run) -> StepResult:
     counts: dict[str, dict[str, int]] = {}
 
     def hotels() -> None:
-        stg = run.read("stg_hotels")
-        ranges = ranges_of(stg, HOTELS.key, run.store.segment_width)
-        counts[HOTELS.table] = apply_merge(run, HOTELS, stg.drop("_loaded_at"), ranges)
+        counts[HOTELS.table] = apply_merge(
+            run, HOTELS, "stg_hotels", lambda stg, small: stg.drop("_loaded_at")
+        )
 
     def versioned(feed: str) -> None:
         spec = VERSIONED[feed]
-        counts[spec.table] = apply_versions(run, spec, run.read(f"stg_{feed}"))
+        counts[spec.table] = apply_versions(run, spec, f"stg_{feed}")
 
     together(run.store.spark, [hotels, *[lambda f=feed: versioned(f) for feed in VERSIONED]])
     return StepResult("load_dimensions", counts)
@@ -146,10 +169,8 @@ def load_facts(run: Run) -> StepResult:
     counts: dict[str, dict[str, int]] = {}
     customers = run.read_current("dim_customers")
 
-    def fact(spec: Merged, staging: str, source: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-        stg = run.read(staging)
-        ranges = ranges_of(stg, spec.key, run.store.segment_width)
-        counts[spec.table] = apply_merge(run, spec, source(stg, customers), ranges)
+    def fact(spec: Merged, staging: str, source: Callable[[DataFrame, DataFrame, bool], DataFrame]) -> None:
+        counts[spec.table] = apply_merge(run, spec, staging, lambda stg, small: source(stg, customers, small))
 
     together(
         run.store.spark,
@@ -162,16 +183,31 @@ def load_facts(run: Run) -> StepResult:
 
 
 def build_marts(run: Run) -> dict[str, DataFrame]:
+    """The six marts. What several of them need from the facts is aggregated once and
+    written down, so each fact is read once for it."""
     bookings, reviews = run.read("fact_bookings"), run.read("fact_reviews")
     hotels, customers = run.read("dim_hotels"), run.read("dim_customers")
     staff, rates = run.read_current("dim_staff"), run.read_current("dim_room_rates")
+    shared: dict[str, DataFrame] = {}
+
+    def aggregate(name: str, df: DataFrame) -> None:
+        shared[name] = materialise(df, run.work_path(name))
+
+    together(
+        run.store.spark,
+        [
+            lambda: aggregate("monthly", marts.bookings_by_month(bookings)),
+            lambda: aggregate("reviewed", marts.reviews_by_hotel(reviews, bookings)),
+        ],
+    )
+    monthly, reviewed = shared["monthly"], shared["reviewed"]
     return {
-        "mart_revenue": marts.mart_revenue(bookings, hotels),
-        "mart_occupancy": marts.mart_occupancy(bookings, hotels, rates),
+        "mart_revenue": marts.revenue_from(monthly, hotels),
+        "mart_occupancy": marts.occupancy_from(monthly, hotels, rates),
         "mart_customer_segments": marts.mart_customer_segments(bookings, customers),
-        "mart_satisfaction": marts.mart_satisfaction(reviews, bookings, hotels),
+        "mart_satisfaction": marts.satisfaction_from(reviewed, hotels),
         "mart_staff": marts.mart_staff(staff, hotels),
-        "mart_hotel_performance": marts.mart_hotel_performance(hotels, bookings, reviews, staff),
+        "mart_hotel_performance": marts.performance_from(hotels, monthly, reviewed, staff),
     }
 
 
@@ -192,39 +228,44 @@ def run_pipeline(store: Store, batch_ts: str) -> list[StepResult]:
     later steps do not start, nothing is published, and the error is logged and raised."""
     state = store.state()
     run = store.begin(state.run_id + 1, batch_ts)
-    high = {feed: latest_batch(store.read_raw(feed), state.offsets.get(feed, 0)) for feed in STAGERS}
+    high: dict[str, int] = {}
+
+    def look(feed: str) -> None:
+        high[feed] = latest_batch(store.read_raw(feed), state.offsets.get(feed, 0))
+
+    together(store.spark, [lambda f=feed: look(f) for feed in STAGERS])
     steps: list[tuple[str, Callable[[], StepResult]]] = [
         ("load_staging", lambda: load_staging(run, high)),
         ("load_dimensions", lambda: load_dimensions(run)),
         ("load_facts", lambda: load_facts(run)),
         ("refresh_marts", lambda: refresh_marts(run)),
     ]
-    results = []
-    for name, step in steps:
-        try:
-            results.append(step())
-        except Exception as err:
-            log_step(run, name, FAILED, str(err))
-            raise
-        log_step(run, name, SUCCEEDED)
-    run.commit(high)
+    results: list[StepResult] = []
+    log: list[tuple[str, str, datetime, str | None]] = []
+    try:
+        for name, step in steps:
+            try:
+                results.append(step())
+            except Exception as err:
+                log.append((name, FAILED, _now(), str(err)))
+                raise
+            log.append((name, SUCCEEDED, _now(), None))
+        run.commit(high)
+    finally:
+        write_log(run, log)
     return results
 
 
-def log_step(run: Run, name: str, state: str, error: str | None = None) -> None:
-    done = datetime.now(timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
-    row = [(run.run_id, name, state, run.batch_ts, done, error)]
-    texts = run.store.spark.createDataFrame(
-        row, "run_id bigint, name string, state string, scheduled string, completed string, error_message string"
-    )
-    texts.select(
-        "run_id",
-        "name",
-        "state",
-        F.col("scheduled").cast("timestamp_ntz").alias("scheduled_time"),
-        F.col("completed").cast("timestamp_ntz").alias("completed_time"),
-        "error_message",
-    ).coalesce(1).write.mode("append").parquet(run.store.path("run_log"))
+def _now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def write_log(run: Run, log: list[tuple[str, str, datetime, str | None]]) -> None:
+    """Add the run's steps (four at most) to the run log."""
+    scheduled = datetime.fromisoformat(run.batch_ts)
+    rows = [(run.run_id, name, state, scheduled, done, error) for name, state, done, error in log]
+    df = run.store.spark.createDataFrame(rows, LOG_SCHEMA)
+    df.coalesce(1).write.mode("append").parquet(run.store.path("run_log"))
 
 
 def read_run_log(store: Store) -> DataFrame:

@@ -27,12 +27,14 @@ from stayflow.schemas import RAW_SCHEMAS, TABLE_SCHEMAS, conform
 WHOLE = "all"
 # Keys per segment of a keyed table; at about 100 bytes a row a full segment is some 10 GB.
 SEGMENT_WIDTH = 100_000_000
+# Ranges wrap around at this number, so sparse keys cannot make a segment each.
+MAX_SEGMENTS = 4096
 COMMIT_SCHEMA = "run_id bigint, batch_ts string, kind string, name string, item string, value string"
 
 
 def segment_of(key: str, width: int) -> Column:
     """The key range a row belongs to, as a number."""
-    return F.expr(f"{key} div {width}")
+    return F.expr(f"pmod({key} div {width}, {MAX_SEGMENTS})")
 
 
 @dataclass(frozen=True)
@@ -135,6 +137,7 @@ class Run:
         self.store, self.base, self.run_id, self.batch_ts = store, base, run_id, batch_ts
         self.written: dict[str, dict[str, str]] = {}
         self.marks: dict[str, int] = {}
+        self.staged_rows: dict[str, int] = {}
 
     # -- reading -------------------------------------------------------------
 
@@ -182,11 +185,15 @@ class Run:
         self._write(table, df, folder)
         self.written.setdefault(table, {})[segment] = folder
 
-    def replace_ranges(self, table: str, key: str, ranges: set[str], df: DataFrame) -> None:
+    def replace_ranges(
+        self, table: str, key: str, ranges: set[str], df: DataFrame, in_place: bool = False
+    ) -> None:
         """Rewrite the given key ranges with ``df``, which must hold all their rows.
 
         The rebalance hint lets Spark cut a range over as many tasks as its size asks for
-        and pack small ranges together, so files come out evenly sized.
+        and pack small ranges together, so files come out evenly sized. ``in_place``: the rows
+        come straight from a scan of these ranges, so every task already holds one or few of
+        them and the shuffle is saved.
         """
         if not ranges:
             return
@@ -194,7 +201,7 @@ class Run:
         rows = conform(df, TABLE_SCHEMAS[table]).withColumn(
             "_range", segment_of(key, self.store.segment_width)
         )
-        if len(ranges) > 1:
+        if len(ranges) > 1 and not in_place:
             rows = rows.hint("rebalance", "_range")
         rows.write.mode("overwrite").partitionBy("_range").parquet(self.store.path(folder))
         self.written.setdefault(table, {}).update({r: f"{folder}/_range={r}" for r in ranges})
@@ -226,6 +233,6 @@ class Run:
 
 
 def ranges_of(df: DataFrame, key: str, width: int) -> set[str]:
-    """The key ranges a delta falls into: one short string per range, never per row."""
+    """The key ranges a delta falls into: at most ``MAX_SEGMENTS`` short strings."""
     rows = df.select(segment_of(key, width).alias("r")).distinct()
     return {str(row.r) for row in rows.collect()}

@@ -106,7 +106,10 @@ _BY_SESSION: dict[tuple[str, str], Layers] = {}
 
 def layers_for(spark: SparkSession, sf_dir: str) -> Layers:
     """The session's layers over a tables folder."""
-    return _BY_SESSION.setdefault((spark.sparkContext.applicationId, sf_dir), Layers(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BY_SESSION:
+        _BY_SESSION[key] = Layers(spark, sf_dir)
+    return _BY_SESSION[key]
 
 
 def plain(df: DataFrame) -> DataFrame:

@@ -677,10 +677,10 @@ def _(x: Layers) -> DataFrame:
 
 @register(
     "mart_filtered",
-    with_parts("select * from performance where stars in (3, 4, 5) and city in ('France', 'Japan', 'China', 'Peru')"),
+    with_parts("select * from performance where stars in (3, 4, 5) and city in ('Nation_6', 'Nation_9', 'Nation_11', 'Nation_19')"),
 )
 def _(x: Layers) -> DataFrame:
-    return reports.filter_mart(x.performance(), cities=["France", "Japan", "China", "Peru"], stars=[3, 4, 5])
+    return reports.filter_mart(x.performance(), cities=["Nation_6", "Nation_9", "Nation_11", "Nation_19"], stars=[3, 4, 5])
 
 
 @register(
