@@ -7,8 +7,6 @@ handle. The second delivery corrects, repeats and adds rows by key arithmetic.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
 from stayflow.schemas import FEED_SCHEMAS
@@ -159,10 +157,3 @@ def delivery(spark: SparkSession, sf_dir: str, feed: str, batch: int) -> DataFra
 def raw_batch(spark: SparkSession, sf_dir: str, feed: str, batch: int) -> DataFrame:
     text = raw_select(feed, batch).replace("{timestamp}", "timestamp_ntz")
     return spark.sql(text, delivery=delivery(spark, sf_dir, feed, batch))
-
-
-def raw_all(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
-    return raw_batch(spark, sf_dir, feed, 1).unionByName(raw_batch(spark, sf_dir, feed, 2))
-
-
-Reader = Callable[[SparkSession, str], DataFrame]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -9,11 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayflow.plans import core, marts
+from stayflow.plans.run import together
 from stayflow.plans.staging import STAGERS
 from stayflow.schemas import TABLE_SCHEMAS
 from stayflow.sources.files import timestamp_literal
 from stayflow.sources.scratch import materialise, shared_dir
-from stayflow.workload.feeds import RUN_TIMES, raw_all, raw_batch
+from stayflow.workload.feeds import RUN_TIMES, raw_batch
 
 LAST_BATCH = 2
 
@@ -21,7 +23,7 @@ LAST_BATCH = 2
 class Layers:
     """Every table as of a batch.
 
-    What a run would find stored (staging, earlier dimensions and facts) is written down once
+    What a run would find stored (raw rows, staging, earlier dimensions and facts) is written once
     per session and tables folder, and read from there by the queries that build on it; the
     ``apply_*`` methods do an operator's own work on top of those.
     """
@@ -29,6 +31,7 @@ class Layers:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.stored: dict[str, DataFrame] = {}
+        self.locks: dict[str, threading.Lock] = {}
         self.work = shared_dir(spark)
 
     def fresh_path(self, name: str) -> str:
@@ -36,9 +39,24 @@ class Layers:
         return f"{self.work}/{name}-{uuid.uuid4().hex}"
 
     def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        if name not in self.stored:
-            self.stored[name] = materialise(build(), f"{self.work}/{name}")
-        return self.stored[name]
+        with self.locks.setdefault(name, threading.Lock()):
+            if name not in self.stored:
+                self.stored[name] = materialise(build(), f"{self.work}/{name}")
+            return self.stored[name]
+
+    def store_all(self) -> None:
+        """Write everything down, independent tables side by side."""
+        staged = [(feed, batch) for feed in STAGERS for batch in RUN_TIMES]
+        together(self.spark, [lambda s=s: self.staged(*s) for s in staged])
+        together(
+            self.spark,
+            [
+                self.hotels,
+                *[lambda f=feed: self.versions(f) for feed in core.VERSIONED],
+                *[lambda f=feed: self.fact(f) for feed in ("bookings", "reviews")],
+            ],
+        )
+        self.performance()
 
     def ts(self, batch: int) -> Column:
         return timestamp_literal(RUN_TIMES[batch])
@@ -46,8 +64,8 @@ class Layers:
     def raw(self, feed: str, batch: int | None = None) -> DataFrame:
         """One delivery, or the whole append-only raw table."""
         if batch is None:
-            return raw_all(self.spark, self.sf_dir, feed)
-        return raw_batch(self.spark, self.sf_dir, feed, batch)
+            return self.raw(feed, 1).unionByName(self.raw(feed, 2))
+        return self.once(f"raw_{feed}-{batch}", lambda: raw_batch(self.spark, self.sf_dir, feed, batch))
 
     def stage_all(self, feed: str) -> DataFrame:
         """Staging load over the whole raw table."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +18,7 @@ from stayflow.operators.lookup import lookup_current_sk, unmatched
 from stayflow.operators.merge import merge_upsert
 from stayflow.operators.scd2 import scd2_apply, scd2_expire, scd2_insert
 from stayflow.plans import core, marts, reports
-from stayflow.plans.run import read_run_log, recent_runs, run_pipeline
+from stayflow.plans.run import read_run_log, recent_runs, run_pipeline, together
 from stayflow.plans.staging import STAGERS
 from stayflow.schemas import FEED_SCHEMAS
 from stayflow.session import require
@@ -279,11 +279,14 @@ def _(x: Layers) -> DataFrame:
 def _store_with(x: Layers, feeds: list[str], batches: tuple[int, ...]) -> Store:
     store = Store(x.spark, x.fresh_path("store"))
     for batch in batches:
-        for feed in feeds:
-            store.append_raw(feed, x.raw(feed, batch))
+        append(x, store, feeds, batch)
     return store
 
 
+def append(x: Layers, store: Store, feeds: Iterable[str], batch: int) -> None:
+    together(x.spark, [lambda f=feed: store.append_raw(f, x.raw(f, batch)) for feed in feeds])
+
+
 @register("cdc_append_only", shown("bookings_raw2"))
 def _(x: Layers) -> DataFrame:
     raw = _store_with(x, ["bookings"], (1, 2)).read_raw("bookings")
@@ -311,8 +314,7 @@ def _(x: Layers) -> DataFrame:
 
     first = [unread(f, "unread_first") for f in feeds]
     store.begin(1, RUN_TIMES[1]).commit({f: latest_batch(store.read_raw(f), 0) for f in feeds})
-    for feed in feeds:
-        store.append_raw(feed, x.raw(feed, 2))
+    append(x, store, feeds, 2)
     after = [unread(f, "unread_after_commit") for f in feeds]
     both = first[0]
     for part in [*first[1:], *after]:
@@ -698,10 +700,9 @@ def _(x: Layers) -> DataFrame:
 
 
 def _two_runs(x: Layers) -> Store:
-    store = Store(x.spark, x.fresh_path("store"), segment_width=5000)
+    store = Store(x.spark, x.fresh_path("store"))
     for batch in (1, 2):
-        for feed in FEED_SCHEMAS:
-            store.append_raw(feed, x.raw(feed, batch))
+        append(x, store, FEED_SCHEMAS, batch)
         run_pipeline(store, RUN_TIMES[batch])
     return store
 
