@@ -1,8 +1,8 @@
 """Joins of a large table with a delivery that is known to be small.
 
-Every run counts its staged rows while writing them. A delivery of at most
-``SMALL_DELTA_ROWS`` rows is broadcast, and the large table is read past it where it lies;
-anything larger takes the shuffled joins, which have no size limit.
+Every run counts the rows and text bytes it stages while writing them. A delivery within both
+bounds below is broadcast, and the large table is read past it where it lies; anything larger
+takes the shuffled joins, which have no size limit.
 """
 
 from __future__ import annotations
@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SMALL_DELTA_ROWS = 1_000_000
+SMALL_DELTA_TEXT_BYTES = 128 * 1024 * 1024
 
 
-def is_small(rows: int) -> bool:
-    return rows <= SMALL_DELTA_ROWS
+def is_small(rows: int, text_bytes: int = 0) -> bool:
+    """``text_bytes`` may be left out where only numeric columns are broadcast."""
+    return rows <= SMALL_DELTA_ROWS and text_bytes <= SMALL_DELTA_TEXT_BYTES
 
 
 def small_semi(large: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -41,8 +41,8 @@ def merge_actions(
     it has and the ``on_insert`` values; every other row is kept.
 
     Normally one full outer join: both sides hold a key at most once, so neither can be
-    skewed. ``small_source`` is for a source counted to be small (see ``delta``): it is
-    broadcast, and the target is only streamed past it, without a shuffle.
+    skewed. ``small_source`` is for a source counted to be small (see ``delta``): the columns
+    an update needs are broadcast, and the target is only streamed past them, unshuffled.
     """
     on_update, on_insert = on_update or {}, on_insert or {}
     source = unique_on(source, keys)
@@ -59,7 +59,7 @@ def merge_actions(
 
     def matched(c: str) -> Column:
         old = F.col(f"t.{c}")
-        if c not in update and c not in on_update:
+        if c in keys or c not in update and c not in on_update:
             return old
         return F.when(F.col("_action") == UPDATE, on_update.get(c, incoming(c))).otherwise(old)
 
@@ -70,7 +70,8 @@ def merge_actions(
     if small_source:
         present = small_semi(target.select(*keys), source, keys)
         new = source.join(present, list(keys), "left_anti").alias("s")
-        old = t.join(F.broadcast(s), match, "left")
+        needed = [c for c in source.columns if c in {*keys, *compare, *update}]
+        old = t.join(F.broadcast(s.select(*needed, "_in_source").alias("s")), match, "left")
         kept = rows(old, F.when(differs, UPDATE).otherwise(KEEP), matched)
         return kept.unionByName(rows(new, F.lit(INSERT), inserted))
 

@@ -74,9 +74,12 @@ def together(spark: SparkSession, jobs: Sequence[Callable[[], None]]) -> None:
 
 def _count(df: DataFrame, **conditions: Column) -> tuple[DataFrame, Observation]:
     """``df`` counting rows per condition while it is written."""
+    return _observe(df, {name: F.count_if(condition) for name, condition in conditions.items()})
+
+
+def _observe(df: DataFrame, measures: dict[str, Column]) -> tuple[DataFrame, Observation]:
     seen = Observation()
-    sums = [F.count_if(condition).alias(name) for name, condition in conditions.items()]
-    return df.observe(seen, *sums), seen
+    return df.observe(seen, *[m.alias(name) for name, m in measures.items()]), seen
 
 
 def load_staging(run: Run, high: dict[str, int]) -> StepResult:
@@ -85,10 +88,13 @@ def load_staging(run: Run, high: dict[str, int]) -> StepResult:
     def stage(feed: str) -> None:
         table = f"stg_{feed}"
         raw = read_changes(run.store.read_raw(feed), run.base.offsets.get(feed, 0), high[feed])
-        rows, seen = _count(STAGERS[feed](raw, run.batch_ts), staged=F.lit(True))
+        rows = STAGERS[feed](raw, run.batch_ts)
+        texts = [F.octet_length(name) for name, kind in rows.dtypes if kind == "string"]
+        text_bytes = F.sum(sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(0).cast("bigint")))
+        rows, seen = _observe(rows, {"staged": F.count(F.lit(1)), "text_bytes": text_bytes})
         run.replace(table, rows)
-        counts[table] = dict(seen.get)
-        run.staged_rows[table] = seen.get["staged"]
+        counts[table] = {"staged": seen.get["staged"]}
+        run.staged[table] = seen.get["staged"], seen.get["text_bytes"] or 0
 
     together(run.store.spark, [lambda f=feed: stage(f) for feed in STAGERS])
     return StepResult("load_staging", counts)
@@ -98,10 +104,10 @@ def apply_merge(
     run: Run, spec: Merged, staging: str, source: Callable[[DataFrame, bool], DataFrame]
 ) -> dict[str, int]:
     """Merge a delta into the key ranges it falls into; all other ranges stay as they are."""
-    rows = run.staged_rows[staging]
+    rows, text_bytes = run.staged[staging]
     if not rows:
         return {"inserted": 0, "updated": 0}
-    stg, small = run.read(staging), is_small(rows)
+    stg, small = run.read(staging), is_small(rows, text_bytes)
     touched = ranges_of(stg, spec.key, run.store.segment_width)
     target = run.read_ranges(spec.table, touched)
     merged = spec.merge(target, source(stg, small), timestamp_literal(run.batch_ts), small)
@@ -113,7 +119,7 @@ def apply_merge(
 def apply_versions(run: Run, spec: Versioned, staging: str) -> dict[str, int]:
     """Open and close versions. Only ranges holding a member that really changed are
     rewritten, and closed versions are added to the history without reading it."""
-    rows = run.staged_rows[staging]
+    rows, _ = run.staged[staging]
     if not rows:
         return {"inserted": 0, "expired": 0}
     width, ts = run.store.segment_width, timestamp_literal(run.batch_ts)
@@ -141,10 +147,13 @@ def apply_versions(run: Run, spec: Versioned, staging: str) -> dict[str, int]:
     together(
         run.store.spark,
         [
+            # Opened rows follow no range, the rest is scanned range by range.
             lambda: run.replace_ranges(spec.table, spec.key, touched, stay.unionByName(opened), small),
             lambda: run.add_closed(spec.table, closed),
         ],
     )
+    if not seen.get["expired"]:
+        run.drop_closed(spec.table)
     run.marks[spec.sk] = max(r.top for r in per_range)
     return {"inserted": inserted, **seen.get}
 

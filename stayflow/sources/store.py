@@ -137,7 +137,7 @@ class Run:
         self.store, self.base, self.run_id, self.batch_ts = store, base, run_id, batch_ts
         self.written: dict[str, dict[str, str]] = {}
         self.marks: dict[str, int] = {}
-        self.staged_rows: dict[str, int] = {}
+        self.staged: dict[str, tuple[int, int]] = {}  # rows and text bytes per staging table
 
     # -- reading -------------------------------------------------------------
 
@@ -185,6 +185,10 @@ class Run:
         self._write(table, df, folder)
         self.written.setdefault(table, {})[segment] = folder
 
+    def drop_closed(self, table: str) -> None:
+        """Leave this run's closed segment out of the table again: it came out empty."""
+        self.written[table].pop(f"closed-{self.run_id}")
+
     def replace_ranges(
         self, table: str, key: str, ranges: set[str], df: DataFrame, in_place: bool = False
     ) -> None:

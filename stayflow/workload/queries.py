@@ -196,6 +196,15 @@ register_function("fn_clean_city", CITIES, fn.clean_city, oracle.city)
 register_function("fn_clean_hotel_name", HOTEL_NAMES, fn.clean_hotel_name, oracle.hotel_name)
 register_function("fn_clean_shift", SHIFTS, fn.clean_shift, oracle.shift)
 register_function("fn_initcap", NAMES, fn.initcap_words, oracle.caps)
+register_function(
+    "fn_initcap_delimiters",
+    NAMES,
+    lambda c: fn.initcap_words(c, " '-"),
+    lambda x: (
+        f"array_to_string(list_transform(regexp_extract_all(lower({x}), '[^ ''-]+|[ ''-]+'), "
+        "lambda w: concat(upper(w[1:1]), w[2:])), '')"
+    ),
+)
 register_function("fn_clean_comments", COMMENTS, fn.clean_comments, oracle.comments)
 register_function("fn_clean_sentiment", SENTIMENTS, fn.clean_sentiment, oracle.sentiment)
 
