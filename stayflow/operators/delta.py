@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 SMALL_DELTA_ROWS = 1_000_000
 SMALL_DELTA_TEXT_BYTES = 128 * 1024 * 1024
+# Tasks that write a small delta's new rows. Each may leave a file in every key range touched.
+SMALL_DELTA_TASKS = 8
 
 
 def is_small(rows: int, text_bytes: int = 0) -> bool:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayflow.functions.measures import changed
-from stayflow.operators.delta import small_semi
+from stayflow.operators.delta import SMALL_DELTA_TASKS, small_semi
 
 INSERT, UPDATE, KEEP = "insert", "update", "keep"
 
@@ -69,7 +69,7 @@ def merge_actions(
 
     if small_source:
         present = small_semi(target.select(*keys), source, keys)
-        new = source.join(present, list(keys), "left_anti").alias("s")
+        new = source.join(present, list(keys), "left_anti").coalesce(SMALL_DELTA_TASKS).alias("s")
         needed = [c for c in source.columns if c in {*keys, *compare, *update}]
         old = t.join(F.broadcast(s.select(*needed, "_in_source").alias("s")), match, "left")
         kept = rows(old, F.when(differs, UPDATE).otherwise(KEEP), matched)

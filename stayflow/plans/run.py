@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.operators.delta import is_small, small_semi
+from stayflow.operators.delta import SMALL_DELTA_TASKS, is_small, small_semi
 from stayflow.operators.keys import assign_keys
 from stayflow.operators.lookup import unmatched
 from stayflow.operators.merge import INSERT, UPDATE
@@ -144,10 +144,11 @@ def apply_versions(run: Run, spec: Versioned, staging: str) -> dict[str, int]:
     current = run.read_current(spec.table, touched)
     stay = carry_over(current, opened, spec.key, small)
     closed, seen = _count(close_replaced(current, opened, spec.key, ts, small), expired=F.lit(True))
+    if small:
+        opened = opened.coalesce(SMALL_DELTA_TASKS)
     together(
         run.store.spark,
         [
-            # Opened rows follow no range, the rest is scanned range by range.
             lambda: run.replace_ranges(spec.table, spec.key, touched, stay.unionByName(opened), small),
             lambda: run.add_closed(spec.table, closed),
         ],
