@@ -8,50 +8,71 @@ from pyspark.sql import functions as F
 from stayflow.functions.measures import same
 from stayflow.operators.delta import small_semi
 
-# A key is hot when it holds more than this share of the rows, so there are at most
-# 1/HOT_SHARE of them and the list of hot keys always fits a broadcast.
-HOT_SHARE = 0.01
-TRACKED_KEYS = 10_000
-# Tasks a hot key's rows are spread over.
-SPREAD = 64
+# A key is hot when it alone fills more than an average shuffle partition, or this share of
+# all rows where partitions are smaller than that. The shares bound the list of hot keys.
+LEAST_HOT_SHARE = 1e-4
+# Sketch entries per listed key; the more, the closer the counts.
+TRACKED_PER_KEY = 10
+LEAST_TRACKED = 1000
+# Groups of input partitions whose sketches are merged before the final merge.
+SKETCH_GROUPS = 256
+# Slots per shuffle partition a hot key fills, so that slots even out over partitions.
+SLOTS_PER_PARTITION = 4
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of all rows, from one sketch-based pass.
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    The sketch merges partial results, so nothing is shuffled by key. It may list a key just
-    under the share; that costs a little replication and never changes a join result.
+
+def hot_keys(df: DataFrame, key: str) -> DataFrame:
+    """Hot keys with the number of ``_slots`` their rows should be spread over.
+
+    One pass over the key column: every input partition keeps a sketch of its frequent keys,
+    and sketches are merged in two levels, so nothing is shuffled by key and no task takes
+    the sketches of all partitions. A sketch may misjudge a key near the limit; that costs a
+    little replication or evenness and never changes a join result.
     """
+    partitions = shuffle_partitions(df)
+    share = max(1 / partitions, LEAST_HOT_SHARE)
     limit = int(1 / share)
-    sketch = df.agg(
-        F.call_function("approx_top_k", F.col(key), F.lit(limit), F.lit(TRACKED_KEYS)).alias("top"),
+    tracked = F.lit(max(TRACKED_PER_KEY * limit, LEAST_TRACKED))
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
+    grouped = df.groupBy(group.alias("_group")).agg(
+        F.call_function("approx_top_k_accumulate", F.col(key), tracked).alias("sketch"),
         F.count(F.lit(1)).alias("rows"),
     )
+    # Grouped by a constant: without groups, input partitions that got no sketch would fail.
+    merged = grouped.groupBy(F.lit(0).alias("_all")).agg(
+        F.call_function("approx_top_k_combine", F.col("sketch"), tracked).alias("sketch"),
+        F.sum("rows").alias("rows"),
+    )
+    top = F.explode(F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(limit)))
+    part_of_all = F.col("top.count") / F.col("rows")
     return (
-        sketch.select(F.explode("top").alias("top"), "rows")
-        .where(F.col("top.count") > F.col("rows") * share)
-        .where(F.col("top.item").isNotNull())
-        .select(F.col("top.item").alias(key), F.lit(True).alias("_hot"))
+        merged.select(top.alias("top"), "rows")
+        .where((part_of_all > share) & F.col("top.item").isNotNull())
+        .select(
+            F.col("top.item").alias(key),
+            F.ceil(part_of_all * partitions * SLOTS_PER_PARTITION).cast("int").alias("_slots"),
+        )
     )
 
 
-def lookup_left(df: DataFrame, right: DataFrame, key: str, spread_by: str, spread: int = SPREAD) -> DataFrame:
+def lookup_left(df: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
     """``df`` left-joined to ``right`` (unique on ``key``), with hot and NULL keys spread.
 
-    Rows of a hot key get a slot from a hash of ``spread_by`` and the few matching rows of
-    ``right`` are repeated once per slot. Rows without a key match nothing but would all
-    hash to one task; they are spread too. When ``right`` is small Spark picks a broadcast
-    join by its size and the slots cost nothing.
+    Rows of a hot key get a slot from a hash of ``spread_by`` and the one matching row of
+    ``right`` is repeated per slot; all repeats together are a few rows per shuffle partition.
+    Rows without a key match nothing but would all hash to one task; they are spread too.
+    When ``right`` is small Spark picks a broadcast join by its size and slots cost nothing.
     """
     hot = F.broadcast(hot_keys(df, key))
-    slot = F.pmod(F.xxhash64(spread_by), F.lit(spread)).cast("int")
-    left = (
-        df.join(hot, key, "left")
-        .withColumn("_slot", F.when(F.col("_hot") | F.col(key).isNull(), slot).otherwise(0))
-        .drop("_hot")
-    )
-    slots = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.join(hot, key, "left").withColumn("_slot", F.explode(slots)).drop("_hot")
+    every = F.lit(shuffle_partitions(df) * SLOTS_PER_PARTITION)
+    spread = F.when(F.col(key).isNull(), every).otherwise(F.coalesce("_slots", F.lit(1)))
+    slot = F.pmod(F.xxhash64(spread_by), spread).cast("int")
+    left = df.join(hot, key, "left").withColumn("_slot", slot).drop("_slots")
+    slots = F.sequence(F.lit(0), F.coalesce("_slots", F.lit(1)) - 1)
+    repeated = right.join(hot, key, "left").withColumn("_slot", F.explode(slots)).drop("_slots")
     return left.join(repeated, [key, "_slot"], "left").drop("_slot")
 
 

@@ -207,7 +207,8 @@ class Run:
         )
         if len(ranges) > 1 and not in_place:
             rows = rows.hint("rebalance", "_range")
-        rows.write.mode("overwrite").partitionBy("_range").parquet(self.store.path(folder))
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy("_range").parquet(self.store.path(folder))
         self.written.setdefault(table, {}).update({r: f"{folder}/_range={r}" for r in ranges})
 
     def _write(self, table: str, df: DataFrame, folder: str) -> None:

@@ -147,6 +147,14 @@ def test_hot_rows_are_spread_over_tasks(spark):
     assert max(sizes) < 10_000  # unspread, one task would hold 20,000 rows and more
 
 
+def test_lookup_of_nothing_and_into_nothing(spark):
+    facts = spark.createDataFrame([(1, 5), (2, None)], "id bigint, k bigint")
+    dim = spark.createDataFrame([(5, 50, True)], "k bigint, sk bigint, is_current boolean")
+    assert lookup_current_sk(facts.limit(0), dim, "k", "sk", "id").collect() == []
+    assert {r.id: r.sk for r in lookup_current_sk(facts, dim.limit(0), "k", "sk", "id").collect()} == {1: None, 2: None}
+    assert {r.id: r.sk for r in lookup_current_sk(facts, dim, "k", "sk", "id").collect()} == {1: 50, 2: None}
+
+
 def test_small_semi_and_anti_split_a_table(spark):
     large, small = spark.range(100).toDF("k"), spark.createDataFrame([(5,), (5,), (200,)], "k bigint")
     assert [r.k for r in small_semi(large, small, ["k"]).collect()] == [5]
