@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayflow import functions as fn
-from stayflow.functions import measures
 from stayflow.functions.parse import AMOUNT_SENTINELS, FILE_NULL_TOKENS
 from stayflow.operators.dedup import dedup_latest, latest_first, require_key
 from stayflow.operators.joins import join_preaggregated
@@ -24,7 +23,6 @@ from stayflow.schemas import FEED_SCHEMAS
 from stayflow.session import require
 from stayflow.sources.changes import feeds_ready, latest_batch, read_changes
 from stayflow.sources.files import null_tokens, read_csv_feed, read_json_feed, with_load_metadata
-from stayflow.sources.scratch import shared_dir
 from stayflow.sources.store import Store
 from stayflow.streaming.ingest import ingest_feed
 from stayflow.workload import landing, oracle
