@@ -26,6 +26,7 @@ def build_session(name: str = "stayflow", **conf: str) -> SparkSession:
 def require(spark: SparkSession) -> SparkSession:
     """Apply the required settings to a session made elsewhere."""
     for key, value in REQUIRED.items():
-        if str(spark.conf.get(key, "")).lower() != value.lower():
+        # No default here: Spark would convert it to the setting's own type.
+        if spark.conf.get(key).lower() != value.lower():
             spark.conf.set(key, value)
     return spark
