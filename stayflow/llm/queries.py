@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import bpe
+from stayflow.llm import bpe, secret_scan, token_store
+from stayflow.llm.rows import Work
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +26,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.find_secrets(docs).drop("text")
+
+    def of(*kinds: str) -> Column:
+        return F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+
+    def joined(spans: Column) -> Column:
+        shown = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(shown, ",")
+
+    return found.select(
+        "doc_id",
+        F.size(of("assign")).cast("long").alias("n_assign"),
+        F.size(of("access")).cast("long").alias("n_access"),
+        F.size(of("hex")).cast("long").alias("n_hex"),
+        F.sha2(joined(of("assign", "access", "hex")), 256).alias("base_sha256"),
+        joined(F.col("secrets")).alias("spans"),
+    )
 
 
 @query
@@ -38,3 +62,12 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Work(spark).path("tokens")
+    docs = table(spark, sf_dir, "documents")
+    token_store.write_tokens(docs, path, TOKENIZER, end_id=0, by_stretch=True)
+    stored = token_store.read_tokens(spark, path)
+    return stored.select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
