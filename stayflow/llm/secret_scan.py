@@ -133,7 +133,9 @@ class Scanner:
         return [(KINDS[k], a, b) for a, k, b in found]
 
 
-scanner = lru_cache(maxsize=4)(Scanner)
+@lru_cache(maxsize=4)
+def scanner(novelty: Novelty) -> Scanner:
+    return Scanner(novelty)
 
 
 def find_secrets(

@@ -118,7 +118,9 @@ class TokenizerMemory(dict):
         return [np.array(one.ids, "<u4") for one in encoded]
 
 
-memory = lru_cache(maxsize=1)(TokenizerMemory)
+@lru_cache(maxsize=1)
+def memory(path: str) -> TokenizerMemory:
+    return TokenizerMemory(path)
 
 
 def write_tokens(
