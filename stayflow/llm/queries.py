@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import bpe, secret_scan, token_store
+from stayflow.llm import bpe, secret_scan, token_store, toxicity
 from stayflow.llm.rows import Work
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,23 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def held_out(key: str = "doc_id") -> Column:
+    return F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out())
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select(
+        "doc_id",
+        F.coalesce(held_out(), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
