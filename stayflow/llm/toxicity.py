@@ -36,7 +36,7 @@ mujeres hombres niñas niños
 judíos cristianos musulmanes
 """
 # Lengths of word beginnings that are features besides whole words.
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7)
 LONGEST_WORD = 40
 WORD = re.compile(r"\w+")
 
@@ -51,10 +51,10 @@ class Settings:
 
     max_training: int = 20_000
     max_features: int = 4_096
-    least_gain: float = 18.0
+    least_gain: float = 15.0
     counterfactual: float = 10.0
-    ridge: float = 1e-4
-    rounds: int = 400
+    ridge: float = 1e-5
+    rounds: int = 600
     identity: str = IDENTITY_TERMS
 
 
