@@ -141,9 +141,11 @@ def near_duplicates(
        with that many matches still meet in the rest. Pairs that a single class has are dropped,
        so texts unlike all others post nothing and frequent values are hardly ever posted.
     3. Within a posting list all are compared with the class whose pairs are shared most (the
-       original, where the others are copies of it); what that links is one cluster, and only classes not yet in the list's largest cluster are compared further,
-       with every member of another cluster. So a large group of near copies costs one comparison
-       a member and list, yet no link between clusters is missed.
+       original, where the others are copies of it). What is linked is one cluster, and lists
+       with a single cluster are done. The classes of the other lists are posted anew, under
+       the rarest shingles of their full sets, as many as a similar set cannot all lack, and
+       in these lists all members of different clusters are compared. So a large group of near
+       copies costs a few comparisons a member, yet no link between clusters is missed.
     4. A pair is counted over its coordinates, and confirmed on the full sets.
     """
     work = Work(df.sparkSession)
@@ -157,10 +159,13 @@ def near_duplicates(
     )
     classes = work.store(classes, "classes")
     posted = work.store(postings(classes, settings), "postings")
-    stars = work.store(confirmed(star_pairs(posted), classes, rows, settings, work), "links")
-    clusters = work.store(components(stars, work), "clusters")
-    rest = work.store(confirmed(cross_pairs(posted, clusters), classes, rows, settings, work), "links")
-    found = work.store(components(stars.unionByName(rest), work), "components")
+    links = work.store(confirmed(star_pairs(posted), classes, rows, settings, work), "links")
+    clusters = components(links, work)
+    opened = work.store(open_lists(posted, clusters), "open")
+    posted = work.store(set_postings(opened, classes, rows, settings), "postings")
+    found = confirmed(cross_pairs(open_lists(posted, clusters)), classes, rows, settings, work)
+    links = work.store(links.unionByName(found), "links")
+    found = components(links, work)
     ids = classes.select("set_key", "id").join(found, F.col("id") == F.col("node"), "left")
     ids = ids.select("set_key", F.coalesce("component", "id").alias("component_id"))
     ids = single.select("key", "set_key").join(ids, "set_key").drop("set_key")
@@ -198,18 +203,51 @@ def star_pairs(posted: DataFrame) -> DataFrame:
     return pairs.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b"))
 
 
-def cross_pairs(posted: DataFrame, clusters: DataFrame) -> DataFrame:
-    """Pairs of a list's members that are in different clusters, but for the list's hub, which
-    has been compared. Members of the list's largest cluster are not paired with each other."""
+def open_lists(posted: DataFrame, clusters: DataFrame) -> DataFrame:
+    """(list, id, cluster, main) of the lists with members in several clusters; ``main`` is the
+    list's largest cluster."""
     placed = posted.join(clusters, F.col("id") == F.col("node"), "left")
     placed = placed.select("list", "id", F.coalesce("component", "id").alias("cluster"))
     sizes = placed.groupBy("list", "cluster").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("list").agg(
         F.max_by("cluster", F.struct("size", "cluster")).alias("main"), F.count(F.lit(1)).alias("clusters")
     )
-    open_lists = placed.join(largest.where("clusters > 1"), "list")
-    others = open_lists.where("cluster <> main").select("list", F.col("id").alias("a"), F.col("cluster").alias("ca"))
-    every = open_lists.select("list", F.col("id").alias("b"), F.col("cluster").alias("cb"), "main")
+    return placed.join(largest.where("clusters > 1").drop("clusters"), "list")
+
+
+def set_postings(opened: DataFrame, classes: DataFrame, rows: DataFrame, settings: Settings) -> DataFrame:
+    """(list, id): the members of open lists under their rarest shingles that others have too.
+
+    A partner has at least ``percent`` of a set's size and no less than the smallest member of
+    its lists; the overlap with it leaves so few shingles of the set aside that one of the
+    partner's is among the rest of the rarest ones, and the other way round.
+    """
+    percent = settings.percent
+    sizes = classes.select("set_key", "id", "n")
+    measured = opened.select("list", "id").join(sizes, "id")
+    least = measured.groupBy("list").agg(F.min("n").alias("least"))
+    own = measured.join(least, "list").groupBy("id", "set_key", "n").agg(F.min("least").alias("least"))
+    smallest = F.greatest("least", F.ceil(F.col("n") * percent / 100))
+    overlap = F.ceil((F.col("n") + smallest) * percent / (100 + percent))
+    own = own.select("set_key", F.col("id").alias("key"), "n", (F.col("n") - overlap + 1).alias("prefix"))
+    texts = rows.join(own.select("key"), "key", "left_semi")
+    sets = own.join(shingle_sets(texts, "text", settings).drop("text"), ["key", "set_key"]).dropDuplicates(["key"])
+    places = F.sequence(F.lit(1), F.octet_length("shingles"), F.lit(8))
+    values = F.transform(places, lambda i: F.substring(F.col("shingles"), i, F.lit(8)))
+    listed = sets.select("key", "n", "prefix", F.explode(values).alias("shingle"))
+    shared = listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    met = listed.join(shared, "shingle")
+    mine = Window.partitionBy("key")
+    alone = F.col("n") - F.count(F.lit(1)).over(mine)
+    rarest = F.row_number().over(Window.partitionBy("key").orderBy("df", "shingle"))
+    ranked = met.withColumn("place", alone + rarest).where("place <= prefix")
+    return ranked.select(F.col("shingle").alias("list"), F.col("key").alias("id"))
+
+
+def cross_pairs(opened: DataFrame) -> DataFrame:
+    """Pairs of a list's members in different clusters; its largest cluster has none within."""
+    others = opened.where("cluster <> main").select("list", F.col("id").alias("a"), F.col("cluster").alias("ca"))
+    every = opened.select("list", F.col("id").alias("b"), F.col("cluster").alias("cb"), "main")
     # Two of the others meet once, one of them and one of the main cluster meet once.
     pairs = others.join(every, "list").where("ca <> cb and (cb = main or a < b)")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import bpe, minhash, secret_scan, token_store, toxicity
+from stayflow.llm import bpe, minhash, quality_rules, secret_scan, token_store, toxicity
 from stayflow.llm.rows import Work
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,16 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    rules = quality_rules.learn(docs, table(spark, sf_dir, "labels"), where=~failed)
+    stats = quality_rules.with_statistics(docs).withColumn("base_failed", failed)
+    counts = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return stats.select(*counts, "base_failed", (~failed & quality_rules.verdict(rules)).alias("kept"))
+
+
 @query
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
