@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -90,37 +92,58 @@ class Codes:
         return int(self.slice(place, place + 1)[0])
 
 
+def byte_characters() -> dict[int, str]:
+    """The character that byte-level vocabularies write for each byte: printable ones stand for
+    themselves, the others in order for the characters from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (byte for byte in range(256) if byte not in own)
+    return {byte: chr(byte) for byte in own} | {byte: chr(256 + i) for i, byte in enumerate(others)}
+
+
 class TokenizerMemory(dict):
     """A tokenizer that remembers the ids of frequent stretches of text (white space, then other
-    characters). Only for tokenizers that split before white space, as byte-level BPE does."""
+    characters) and of the matches of the split pattern in them, which its model encodes
+    one by one. Only for byte-level tokenizers that split by ``pattern``."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, pattern: str | None) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        self.split = regex.compile(pattern).findall if pattern else None
+        self.characters = byte_characters()
         self.stretches = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall
+        self.pieces: dict[str, bytes] = {}
 
     def __missing__(self, stretch: str) -> bytes:
-        ids = self.tokenizer.encode(stretch, add_special_tokens=False).ids
-        packed = np.array(ids, "<u4").tobytes()
+        packed = b"".join(map(self.piece, self.split(stretch)))
         if len(stretch) <= LONGEST_REMEMBERED and len(self) < REMEMBERED:
             self[stretch] = packed
         return packed
 
-    def encode(self, texts: list[str], by_stretch: bool) -> list[np.ndarray]:
-        if by_stretch:
+    def piece(self, piece: str) -> bytes:
+        packed = self.pieces.get(piece)
+        if packed is None:
+            written = piece.encode().decode("latin-1").translate(self.characters)
+            packed = array("I", [token.id for token in self.model.tokenize(written)]).tobytes()
+            if len(piece) <= LONGEST_REMEMBERED and len(self.pieces) < REMEMBERED:
+                self.pieces[piece] = packed
+        return packed
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if self.split:
             packed = (b"".join(map(self.__getitem__, self.stretches(text))) for text in texts)
-            return [np.frombuffer(ids, "<u4") for ids in packed]
+            return [np.frombuffer(ids, np.uint32) for ids in packed]
         encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(one.ids, "<u4") for one in encoded]
+        return [np.array(one.ids, np.uint32) for one in encoded]
 
 
 @lru_cache(maxsize=1)
-def memory(path: str) -> TokenizerMemory:
-    return TokenizerMemory(path)
+def memory(path: str, pattern: str | None) -> TokenizerMemory:
+    return TokenizerMemory(path, pattern)
 
 
 def write_tokens(
@@ -130,12 +153,13 @@ def write_tokens(
     end_id: int | None = None,
     key: str = "doc_id",
     text: str = "text",
-    by_stretch: bool = False,
+    pattern: str | None = None,
 ) -> None:
     """Encode ``text`` and store the ids under ``path`` in ascending ``key`` order.
 
     ``tokenizer`` is a tokenizer file that every executor has; special tokens in a text are
-    ordinary text. ``end_id`` is appended to each document. Null texts count as empty, null
+    ordinary text. A byte-level tokenizer is faster with the ``pattern`` it splits texts by, and
+    gives the same ids. ``end_id`` is appended to each document. Null texts count as empty, null
     keys come first, rows of one key follow a hash of their texts. One shuffle: rows are
     range-partitioned by key, and each task writes its blocks in order. A block row holds
     part, block, ids before it in the part, its number of ids, its keys, their sizes and codes.
@@ -159,7 +183,7 @@ def write_tokens(
     ddl = f"part int, block int, before bigint, n_ids bigint, keys array<{kind.simpleString()}>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = memory(tokenizer).encode
+        encode = memory(tokenizer, pattern).encode
         part, block, before = TaskContext.get().partitionId(), 0, 0
         keys, ids, held = [], [], 0
 
@@ -174,7 +198,7 @@ def write_tokens(
             for start in range(0, batch.num_rows, ROWS_AT_ONCE):
                 rows = batch.slice(start, ROWS_AT_ONCE)
                 texts = [value or "" for value in rows.column(1).to_pylist()]
-                for one, own in zip(rows.column(0).to_pylist(), encode(texts, by_stretch)):
+                for one, own in zip(rows.column(0).to_pylist(), encode(texts)):
                     keys.append(one)
                     ids.append(np.concatenate([own, end]))
                     held += len(ids[-1])
