@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import bpe, minhash, quality_rules, secret_scan, token_store, toxicity
+from stayflow.llm import bpe, minhash, mixing, quality_rules, secret_scan, token_store, toxicity
 from stayflow.llm.rows import Work
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,22 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, domain): language and quality of the labelled documents."""
+    langs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    labels = table(spark, sf_dir, "labels").where("quality is not null")
+    return labels.join(langs, "doc_id").select("doc_id", F.concat_ws("-", "lang", "quality").alias("domain"))
+
+
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    mixed = mixing.mix(docs, labelled_domains(spark, sf_dir))
+    shown = F.map_entries("domains")
+    best = F.array_max(F.transform(shown, lambda d: F.struct(d["value"].alias("share"), d["key"].alias("domain"))))
+    return mixed.select("doc_id", "n_tokens", "rate", best["domain"].alias("domain"), best["share"].alias("share"))
+
+
 def held_out(key: str = "doc_id") -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0
 
