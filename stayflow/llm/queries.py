@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import bpe, minhash, mixing, quality_rules, secret_scan, token_store, toxicity
+from stayflow.llm import bpe, line_runs, minhash, mixing, quality_rules, secret_scan, token_store, toxicity
 from stayflow.llm.rows import Work
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,23 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.select(*counts, "base_failed", (~failed & quality_rules.verdict(rules)).alias("kept"))
 
 
+@query
+def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = line_runs.remove_repeated_runs(docs.withColumn("lines", F.size(F.split("text", "\n"))))
+    return done.select(
+        "doc_id",
+        F.greatest("lines", F.lit(0)).cast("long").alias("n_lines"),
+        F.size("removed_lines").cast("long").alias("n_removed"),
+        F.col("removed_runs").cast("long").alias("n_runs"),
+        F.col("longest_block").cast("int").alias("longest_block"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+    )
+
+
+ORACLE_SQL["op4_line_runs"] = line_runs.oracle_sql()
+
+
 @query
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
