@@ -16,6 +16,10 @@ from stayflow.llm.components import components
 from stayflow.llm.rows import Work, add_columns
 
 
+# Members up to which a list's clusters are compared pair by pair; longer ones go by full sets.
+PAIRED_DIRECTLY = 64
+
+
 @dataclass(frozen=True)
 class Settings:
     """``words``: words of a shingle. ``percent``: least Jaccard similarity of a link, in
@@ -142,10 +146,11 @@ def near_duplicates(
        so texts unlike all others post nothing and frequent values are hardly ever posted.
     3. Within a posting list all are compared with the class whose pairs are shared most (the
        original, where the others are copies of it). What is linked is one cluster, and lists
-       with a single cluster are done. The classes of the other lists are posted anew, under
-       the rarest shingles of their full sets, as many as a similar set cannot all lack, and
-       in these lists all members of different clusters are compared. So a large group of near
-       copies costs a few comparisons a member, yet no link between clusters is missed.
+       with a single cluster are done. In the others all members of different clusters are
+       compared. Classes of lists too long for that are posted anew, under the rarest shingles
+       of their full sets, as many as a similar set cannot all lack, and compared in these
+       lists. So a large group of near copies costs a few comparisons a member, yet no link
+       between clusters is missed.
     4. A pair is counted over its coordinates, and confirmed on the full sets.
     """
     work = Work(df.sparkSession)
@@ -162,8 +167,12 @@ def near_duplicates(
     links = work.store(confirmed(star_pairs(posted), classes, rows, settings, work), "links")
     clusters = components(links, work)
     opened = work.store(open_lists(posted, clusters), "open")
-    posted = work.store(set_postings(opened, classes, rows, settings), "postings")
-    found = confirmed(cross_pairs(open_lists(posted, clusters)), classes, rows, settings, work)
+    sizes = opened.groupBy("list").agg((F.count(F.lit(1)) > PAIRED_DIRECTLY).alias("large"))
+    opened = opened.join(sizes, "list")
+    large = set_postings(opened.where("large"), classes, rows, settings)
+    large = work.store(open_lists(large, clusters), "open")
+    pairs = cross_pairs(opened.where("not large")).unionByName(cross_pairs(large))
+    found = confirmed(pairs, classes, rows, settings, work)
     links = work.store(links.unionByName(found), "links")
     found = components(links, work)
     ids = classes.select("set_key", "id").join(found, F.col("id") == F.col("node"), "left")

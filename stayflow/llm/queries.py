@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import bpe, line_runs, minhash, mixing, quality_rules, secret_scan, token_store, toxicity
+from stayflow.llm import bpe, hamming, line_runs, minhash, mixing, quality_rules, secret_scan, token_store, toxicity
 from stayflow.llm.rows import Work
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,25 @@ def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL["op4_line_runs"] = line_runs.oracle_sql()
 
 
+@query
+def op5_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    codes = vectors.select(F.col("vec_id").alias("id"), hamming.sign_code("embedding").alias("code"))
+    return hamming.nearest(codes, codes.where("id % 20 = 0"), k=10).select(
+        F.col("query").alias("vec_id"), F.col("neighbour").alias("neighbour_id"), "distance", "place"
+    )
+
+
+SIGN_CODES = """select vec_id, array_to_string(list_transform(embedding, lambda x: case when x > 0 then '1' else '0' end), '')
+as code from embeddings where vec_id is not null and embedding is not null"""
+ORACLE_SQL["op5_hamming"] = f"""with codes as ({SIGN_CODES}),
+pairs as (select q.vec_id, r.vec_id as neighbour_id, cast(hamming(q.code, r.code) as integer) as distance
+          from codes q join codes r on q.vec_id % 20 = 0 and r.vec_id <> q.vec_id),
+placed as (select *, cast(row_number() over (partition by vec_id order by distance, neighbour_id) as integer) as place
+           from pairs)
+select * from placed where place <= 10"""
+
+
 @query
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
