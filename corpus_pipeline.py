@@ -44,7 +44,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     labelled = labelled.select("doc_id", F.concat_ws("-", "lang", "quality").alias("domain"))
     if labelled.isEmpty():
         return docs
-    rates = mixing.mix(docs, labelled, settings=mixing.Settings(keep_all=True))
+    rates = mixing.mix(docs, labelled, settings=mixing.Settings(keep_all=True, smoothing=0.9))
     return mixing.repeat_by_rate(docs, rates)
 
 

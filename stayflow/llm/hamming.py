@@ -25,7 +25,7 @@ def sign_code(vector: str) -> Column:
 
 
 def nearest(
-    rows: DataFrame, queries: DataFrame, k: int, key: str = "id", code: str = "code", segments: int = 4
+    rows: DataFrame, queries: DataFrame, k: int, key: str = "id", code: str = "code", segments: int | None = None
 ) -> DataFrame:
     """(query, neighbour, distance, place) of the ``k`` rows nearest to each query.
 
@@ -33,7 +33,8 @@ def nearest(
     key is not its neighbour. Null keys and codes are left out; of a repeated key its smallest
     code counts. Fewer than ``k`` neighbours are given only where there are no more.
 
-    Codes are cut into segments, each with an index from its value to codes. In round r every open
+    Codes are cut into ``segments`` (4; 8 for a few thousand codes, so that values of a segment
+    are about as many as codes), each with an index from its value to codes. In round r every open
     query looks up the values at distance r in each segment. Codes not met by then differ by
     more than r in every segment, so by ``segments * (r + 1)`` or more: a query whose k-th
     verified distance is below that is done and leaves. A pair is taken only in the first of its
@@ -42,13 +43,15 @@ def nearest(
     one. Of what a query has met the best are kept after each round, with a limit before the
     shuffle.
     """
-    work, width = Work(rows.sparkSession), BITS // segments
+    work = Work(rows.sparkSession)
     need = k + 1  # the query itself may be among the rows
     known = _single(rows, key, code)
     first = F.row_number().over(Window.partitionBy("code").orderBy("id"))
     listed = known.withColumn("n", first).where(F.col("n") <= need)
     codes = listed.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     codes = work.store(codes, "codes")
+    segments = segments or (4 if codes.count() > 1 << 12 else 8)
+    width = BITS // segments
     asked = work.store(_single(queries, key, code), "queries")
     index = work.store(codes.select(_segments("code", segments, width), "code"), "index")
     need = min(need, known.count())
