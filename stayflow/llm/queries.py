@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import bpe, hamming, line_runs, minhash, mixing, quality_rules, secret_scan, token_store, toxicity
+from stayflow.llm import bpe, byte_runs, hamming, line_runs, minhash, mixing, quality_rules, secret_scan, token_store, toxicity
 from stayflow.llm.rows import Work
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +114,20 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs, settings=minhash.Settings(words=2))
 
 
+@query
+def op7_byte_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = byte_runs.remove_repeated_bytes(docs)
+    left = F.octet_length("kept").cast("long")
+    return done.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - left).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
