@@ -241,13 +241,16 @@ def remove_repeated_bytes(
     base = df.select(F.col(key).cast("long").alias("doc"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
     texts = base.where("doc is not null and text is not null")
     ranges = repeated_ranges(texts, settings).groupBy("doc", "tie")
-    ranges = ranges.agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    ranges = ranges.agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")).select(F.struct("*").alias("_found"))
     made = ["n_bytes", "removed", "kept"]
     kept = [c for c in df.columns if c not in made]
     tagged = df.select(*kept, F.col(key).cast("long").alias("_doc"), F.xxhash64(text).alias("_tie"))
-    met = tagged.join(ranges, (F.col("_doc") == F.col("doc")) & (F.col("_tie") == F.col("tie")), "left")
+    same = (F.col("_doc") == F.col("_found.doc")) & (F.col("_tie") == F.col("_found.tie"))
+    met = tagged.join(ranges, same, "left")
     both = F.struct(
-        F.coalesce(text, F.lit("")).cast("binary").alias("data"), F.col("ranges.lo").alias("lo"), F.col("ranges.hi").alias("hi")
+        F.coalesce(text, F.lit("")).cast("binary").alias("data"),
+        F.col("_found.ranges.lo").alias("lo"),
+        F.col("_found.ranges.hi").alias("hi"),
     )
     joined = met.select(*kept, both.alias("_both"))
 

@@ -36,7 +36,7 @@ def suffix_blocks(df: DataFrame, key: str, text: str, settings: Settings, work:
     logarithm of the longest repeated run. ``later`` is false for the first place of a
     block, by key, then a hash of the text, then line.
     """
-    lines = df.select(
+    lines = df.where(F.col(key).isNotNull()).select(
         F.col(key).alias("key"), F.xxhash64(text).alias("tie"), F.posexplode(F.split(text, "\n")).alias("line", "words")
     )
     # Two hashes of 64 bits with different seeds stand for a line.
@@ -111,15 +111,16 @@ def remove_repeated_runs(
     Adds ``removed_lines`` (numbers of deleted lines, from 0), ``removed_runs`` and
     ``longest_block``. Null texts stay null, a text all of whose lines go becomes empty. Lines
     end at a line feed and must be equal in every character. The order of documents is by key,
-    null first, then by a hash of the text; rows equal in both are one document. Each text is
-    shuffled once, to meet its line numbers.
+    then by a hash of the text; rows equal in both are one document. Rows with null keys stay as
+    they are. Each text is shuffled once, to meet its line numbers.
     """
     found = repeated_lines(df, key, text, settings)
     made = ["removed_lines", "removed_runs", "longest_block"]
     kept = [c for c in df.columns if c not in made]
     tagged = df.select(*kept, F.col(key).alias("_own_key"), F.xxhash64(text).alias("_own_tie"))
-    same = F.col("_own_key").eqNullSafe(F.col("key")) & (F.col("_own_tie") == F.col("tie"))
-    met = tagged.join(found.select(F.struct("*").alias("_found")).select("_found.*", "_found"), same, "left")
+    found = found.select(F.struct("*").alias("_found"))
+    same = (F.col("_own_key") == F.col("_found.key")) & (F.col("_own_tie") == F.col("_found.tie"))
+    met = tagged.join(found, same, "left")
     removed = F.coalesce(F.col("_found.removed"), F.array().cast("array<int>"))
     met = met.select(*kept, removed.alias("removed_lines"), F.col("_found.longest").alias("_longest"))
     left = F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains("removed_lines", i))

@@ -185,9 +185,9 @@ def mix(
 def repeat_by_rate(docs: DataFrame, rates: DataFrame, key: str = "doc_id") -> DataFrame:
     """Every row of ``docs`` as often as its rate says: the whole part surely, and once more
     with the likelihood of the rest, decided by a hash of the key."""
-    own = rates.select(F.col(key).alias("_rate_key"), "rate")
+    own = rates.select(F.col(key).alias("_rate_key"), F.col("rate").alias("_rate"))
     rest = F.pmod(F.xxhash64(F.lit("repeat"), F.col(key)), F.lit(1 << 30)) / (1 << 30)
-    copies = F.floor("rate") + F.when(rest < F.col("rate") - F.floor("rate"), 1).otherwise(0)
+    copies = F.floor("_rate") + F.when(rest < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)
     met = docs.join(own, F.col(key).eqNullSafe(F.col("_rate_key")))
     made = met.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
     return made.select(*docs.columns)

@@ -80,9 +80,11 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
 
     Words are stretches without ASCII white space; null texts have none. ``n_repeat_words``
     counts words inside a window of three that is in the text more than once. Everything is
-    made within the row: nothing is shuffled, no text leaves the JVM.
+    made within the row: nothing is shuffled, no text leaves the JVM. Columns of these names
+    are replaced.
     """
-    kept = [c for c in df.columns if c != text]
+    made = ("word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *FEATURES)
+    kept = [c for c in df.columns if c != text and c not in made]
     body = F.coalesce(F.col(text), F.lit(""))
     trimmed = F.btrim(body, F.lit(" \t\n\x0b\f\r"))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"[{SPACE}]+"))
