@@ -1,0 +1,68 @@
+import random
+
+import pytest
+from rows_at_the_edge import edge_rows, narrow
+
+from stayflow.llm import line_runs
+from stayflow.llm.line_runs import Settings
+
+
+def brute(rows, settings):
+    """Lines of later copies, by comparing every window with all earlier ones."""
+    lines = {i: t.split("\n") for i, t in rows if t is not None}
+    removed = {i: set() for i in lines}
+    for size in {settings.min_lines, 1}:
+        seen = set()
+        for i in sorted(lines):
+            for at in range(len(lines[i]) - size + 1):
+                window = tuple(lines[i][at : at + size])
+                if size < settings.min_lines and len(window[0]) < settings.min_chars:
+                    continue
+                if window in seen:
+                    removed[i].update(range(at, at + size))
+                seen.add(window)
+    return {i: sorted(gone) for i, gone in removed.items()}
+
+
+@pytest.mark.parametrize("settings", [Settings(), Settings(1, 5), Settings(4, 30)])
+def test_equals_brute_force(spark, settings):
+    rng, rows = random.Random(settings.min_lines), []
+    pool = [f"line {i} " + "z" * rng.randrange(60) * (i % 3) for i in range(14)] + ["", "long " + "y" * 120]
+    for i in range(90):
+        text = "\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 12)))
+        rows.append((i, rng.choice(rows)[1] if rows and i % 6 == 0 else text))
+    rows.append((90, None))
+    expected = brute(rows, settings)
+    found = line_runs.remove_repeated_runs(narrow(spark, rows), settings=settings).collect()
+    assert {r.doc_id: r.removed_lines for r in found if r.doc_id != 90} == expected
+    for row in found:
+        text = dict(rows)[row.doc_id]
+        if text is not None:
+            kept = [x for k, x in enumerate(text.split("\n")) if k not in expected[row.doc_id]]
+            assert row.text == "\n".join(kept)
+            starts = [x for x in expected[row.doc_id] if x - 1 not in expected[row.doc_id]]
+            assert row.removed_runs == len(starts)
+
+
+def test_ranks_follow_suffix_order(spark):
+    from stayflow.llm.rows import Work
+
+    rows = [(1, "b\na\nb\na\nc"), (2, "a\nb\na\nb\na"), (3, "x")]
+    levels = line_runs.suffix_blocks(narrow(spark, rows), "doc_id", "text", Settings(), Work(spark))
+    assert [len({r["rank"] for r in level.collect()}) for level in levels] == [2, 2, 2]
+    first = {(r.key, r.line): r["rank"] for r in levels[0].collect()}
+    for width, level in zip((2, 4), levels[1:]):
+        blocks = {
+            tuple(first[r.key, r.line + i] for i in range(width)): r["rank"] for r in level.collect()
+        }
+        assert [blocks[b] for b in sorted(blocks)] == sorted(blocks.values())
+
+
+def test_edge_rows(spark):
+    df = edge_rows(spark)
+    rows = line_runs.remove_repeated_runs(df).collect()
+    assert len(rows) == df.count() and all(r.key == "own" for r in rows)
+    assert [r.text for r in rows if r.doc_id == 0] == [""] and [r.text for r in rows if r.doc_id == 1] == [None]
+    assert line_runs.remove_repeated_runs(narrow(spark, [])).collect() == []
+    with pytest.raises(ValueError):
+        line_runs.remove_repeated_runs(df, settings=Settings(3))
