@@ -37,7 +37,7 @@ HEADLINE = [
     "kpi_cards",
     "hotel_ranking",
     "ingest_incremental",
-    "two_batch_run",
+    "pipeline_two_batches",
 ]
 
 

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from stayflow.functions.measures import same
 from stayflow.operators.delta import small_semi
+from stayflow.sources.scratch import materialise, shared_dir
 
-# A key is hot when it alone fills more than an average shuffle partition, or this share of
-# all rows where partitions are smaller than that. The shares bound the list of hot keys.
-LEAST_HOT_SHARE = 1e-4
-# Sketch entries per listed key; the more, the closer the counts.
+# Entries of a task's sketch, and of the merged ones per key that may be listed. A key that is hot
+# in the whole is frequent in most tasks, so these few follow it.
+TRACKED_IN_A_TASK = 1000
 TRACKED_PER_KEY = 10
 LEAST_TRACKED = 1000
 # Groups of input partitions whose sketches are merged before the final merge.
@@ -27,18 +27,19 @@ def shuffle_partitions(df: DataFrame) -> int:
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
     """Hot keys with the number of ``_slots`` their rows should be spread over.
 
-    One pass over the key column: every input partition keeps a sketch of its frequent keys,
-    and sketches are merged in two levels, so nothing is shuffled by key and no task takes
-    the sketches of all partitions. A sketch may misjudge a key near the limit; that costs a
-    little replication or evenness and never changes a join result.
+    A key is hot when it alone fills more than an average shuffle partition, so there are at
+    most as many as partitions. One pass over the key column: every input partition keeps a
+    sketch of its frequent keys, and sketches are merged in two levels, so nothing is shuffled
+    by key and no task takes the sketches of all partitions. A sketch may misjudge a key near the
+    limit; that costs a little replication or evenness. As sketches depend on the order they are
+    merged in, the list has to be stored before both sides of a join use it.
     """
-    partitions = shuffle_partitions(df)
-    share = max(1 / partitions, LEAST_HOT_SHARE)
-    limit = int(1 / share)
+    limit = shuffle_partitions(df)
+    partitions, share = limit, 1 / limit
     tracked = F.lit(max(TRACKED_PER_KEY * limit, LEAST_TRACKED))
     group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
     grouped = df.groupBy(group.alias("_group")).agg(
-        F.call_function("approx_top_k_accumulate", F.col(key), tracked).alias("sketch"),
+        F.call_function("approx_top_k_accumulate", F.col(key), F.lit(TRACKED_IN_A_TASK)).alias("sketch"),
         F.count(F.lit(1)).alias("rows"),
     )
     # Grouped by a constant: without groups, input partitions that got no sketch would fail.
@@ -64,16 +65,18 @@ def lookup_left(df: DataFrame, right: DataFrame, key: str, spread_by: str) -> Da
     Rows of a hot key get a slot from a hash of ``spread_by`` and the one matching row of
     ``right`` is repeated per slot; all repeats together are a few rows per shuffle partition.
     Rows without a key match nothing but would all hash to one task; they are spread too.
-    When ``right`` is small Spark picks a broadcast join by its size and slots cost nothing.
+    The list of hot keys is stored, so both sides see the same one. When ``right`` is small
+    Spark picks a broadcast join by its size and slots cost nothing.
     """
-    hot = F.broadcast(hot_keys(df, key))
+    hot = F.broadcast(materialise(hot_keys(df, key), f"{shared_dir(df.sparkSession)}/hot"))
     every = F.lit(shuffle_partitions(df) * SLOTS_PER_PARTITION)
     spread = F.when(F.col(key).isNull(), every).otherwise(F.coalesce("_slots", F.lit(1)))
     slot = F.pmod(F.xxhash64(spread_by), spread).cast("int")
     left = df.join(hot, key, "left").withColumn("_slot", slot).drop("_slots")
     slots = F.sequence(F.lit(0), F.coalesce("_slots", F.lit(1)) - 1)
     repeated = right.join(hot, key, "left").withColumn("_slot", F.explode(slots)).drop("_slots")
-    return left.join(repeated, [key, "_slot"], "left").drop("_slot")
+    added = [c for c in right.columns if c != key]
+    return left.join(repeated, [key, "_slot"], "left").select(*df.columns, *added)
 
 
 def lookup_current_sk(
@@ -86,7 +89,7 @@ def lookup_current_sk(
     """
     current = dim.where(F.col("is_current")).select(bk, sk)
     if small:
-        return df.join(F.broadcast(small_semi(current, df, [bk])), bk, "left")
+        return df.join(F.broadcast(small_semi(current, df, [bk])), bk, "left").select(*df.columns, sk)
     return lookup_left(df, current, bk, spread_by)
 
 

@@ -63,7 +63,8 @@ def hotel_ranking(m: DataFrame, work_path: str, k: int | None = None) -> DataFra
         ranked = global_rank(shown, "total_revenue", "revenue_rank", work_path)
     else:
         by_revenue = Window.partitionBy(F.lit(0)).orderBy(order[0])
-        ranked = shown.orderBy(*order).limit(k).withColumn("revenue_rank", F.rank().over(by_revenue))
+        rank = F.rank().over(by_revenue).cast("bigint")
+        ranked = shown.orderBy(*order).limit(k).withColumn("revenue_rank", rank)
     return ranked.orderBy(*order)
 
 

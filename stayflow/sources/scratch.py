@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,12 +14,12 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder path under the session's ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a temporary folder of its own; on a
-    cluster a machine-local folder would be invisible to the other machines.
+    Only a session in one process without the setting gets a temporary folder of its own; on a
+    cluster, also one that starts with "local-cluster", other executors would not see it.
     """
     base = spark.conf.get(CHECKPOINT_SETTING, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="stayflow-")
     return f"{base.rstrip('/')}/stayflow-{uuid.uuid4().hex}"

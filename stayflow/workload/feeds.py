@@ -91,9 +91,9 @@ select bookingid, customerid, hotelid, checkindate, checkoutdate, '1.00' as tota
 from (select *, cast(bookingid as bigint) as k from {{first}}) b where k % 100 = 1
 union all
 select cast(k + 1 + (select max(cast(bookingid as bigint)) from {{first}}) as string) as bookingid,
-  case when k < 5 then concat('9', lpad(customerid, 9, '0')) else customerid end as customerid,
+  case when k % 3 = 0 then concat('9', lpad(customerid, 9, '0')) else customerid end as customerid,
   hotelid, checkindate, checkoutdate, totalamount, stayduration, highvaluebooking, '{SECOND_LOAD}' as loaded
-from (select *, cast(bookingid as bigint) as k from {{first}}) c where k < 20""",
+from (select *, cast(bookingid as bigint) as k from {{first}}) c where k % 75 = 2""",
     "customers": f"""
 select customerid, customername,
   case when k % 38 = 0 then concat('User', customerid, '@new.mail.com') else email end as email,
@@ -103,7 +103,7 @@ where k % 7 = 0 or k % 11 = 0 or k % 19 = 0
 union all
 select cast(k + 1 + (select max(cast(customerid as bigint)) from {{first}}) as string) as customerid,
   customername, email, phone, city, '{SECOND_LOAD}' as loaded
-from (select *, cast(customerid as bigint) as k from {{first}}) b where k < 10""",
+from (select *, cast(customerid as bigint) as k from {{first}}) b where k % 15 = 4""",
     "hotels": f"""
 select hotelid, hotelname, city, stars,
   case when k % 3 = 0 then cast(k % 90 + 300 as string) else rooms end as rooms, '{SECOND_LOAD}' as loaded
@@ -111,20 +111,32 @@ from (select *, cast(hotelid as bigint) as k from {{first}}) a where k % 3 = 0 o
 union all
 select cast(k + 1 + (select max(cast(hotelid as bigint)) from {{first}}) as string) as hotelid,
   hotelname, city, stars, rooms, '{SECOND_LOAD}' as loaded
-from (select *, cast(hotelid as bigint) as k from {{first}}) b where k < 1""",
+from (select *, cast(hotelid as bigint) as k from {{first}}) b where k % 10 = 0""",
     "staff": f"""
 select staffid, case when k % 10 = 1 then '0' else hotelid end as hotelid, staffname, role,
   case when k % 9 = 0 then 'Late Shift!' else shift end as shift, '{SECOND_LOAD}' as loaded
-from (select *, cast(staffid as bigint) as k from {{first}}) a where k % 9 = 0 or k % 10 = 1""",
+from (select *, cast(staffid as bigint) as k from {{first}}) a where k % 9 = 0 or k % 10 = 1
+union all
+select cast(k + 1 + (select max(cast(staffid as bigint)) from {{first}}) as string) as staffid,
+  hotelid, staffname, role, shift, '{SECOND_LOAD}' as loaded
+from (select *, cast(staffid as bigint) as k from {{first}}) b where k % 16 = 5""",
     "reviews": f"""
 select reviewid, bookingid, customerid, case when k % 40 = 0 then '4' else rating end as rating,
   case when k % 41 = 0 then 'second thoughts' else comments end as comments, sentiment,
   '{SECOND_LOAD}' as loaded
-from (select *, cast(reviewid as bigint) as k from {{first}}) a where k % 40 = 0 or k % 41 = 0""",
+from (select *, cast(reviewid as bigint) as k from {{first}}) a where k % 40 = 0 or k % 41 = 0
+union all
+select cast(k + 1 + (select max(cast(reviewid as bigint)) from {{first}}) as string) as reviewid,
+  bookingid, customerid, rating, comments, sentiment, '{SECOND_LOAD}' as loaded
+from (select *, cast(reviewid as bigint) as k from {{first}}) b where k % 60 = 7""",
     "room_rates": f"""
 select roomrateid, hotelid, roomtype, price, available,
   case when k % 6 = 0 then '99.90' else discountedprice end as discountedprice, '{SECOND_LOAD}' as loaded
-from (select *, cast(roomrateid as bigint) as k from {{first}}) a where k % 6 = 0 or k % 37 = 0""",
+from (select *, cast(roomrateid as bigint) as k from {{first}}) a where k % 6 = 0 or k % 37 = 0
+union all
+select cast(k + 1 + (select max(cast(roomrateid as bigint)) from {{first}}) as string) as roomrateid,
+  hotelid, roomtype, price, available, discountedprice, '{SECOND_LOAD}' as loaded
+from (select *, cast(roomrateid as bigint) as k from {{first}}) b where k % 25 = 3""",
 }
 
 

@@ -15,6 +15,7 @@ from stayflow.plans.staging import STAGERS
 from stayflow.schemas import TABLE_SCHEMAS
 from stayflow.sources.files import timestamp_literal
 from stayflow.sources.scratch import materialise, shared_dir
+from stayflow.sources.store import Store
 from stayflow.workload.feeds import RUN_TIMES, raw_batch
 
 LAST_BATCH = 2
@@ -32,6 +33,7 @@ class Layers:
         self.spark, self.sf_dir = spark, sf_dir
         self.stored: dict[str, DataFrame] = {}
         self.locks: dict[str, threading.Lock] = {}
+        self.two_runs: Store | None = None
         self.work = shared_dir(spark)
 
     def fresh_path(self, name: str) -> str:

@@ -30,6 +30,10 @@ def _cell(value):
     return repr(value)
 
 
+# Spark's names of the types that the other engine calls so; other types have the same name.
+TYPES = {"bigint": "bigint", "int": "integer", "double": "double", "string": "varchar", "boolean": "boolean"}
+
+
 def _rows(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(tuple(_cell(r[i]) for i in order) for r in rows)
@@ -42,8 +46,12 @@ def compare(spark, con, query, sql, sf_dir):
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
     theirs = cursor.fetchall()
-    if sorted(names) != sorted(df.columns):
-        return f"columns {sorted(df.columns)} vs {sorted(names)}", len(mine)
+    if names != df.columns:
+        return f"columns {df.columns} vs {names}", len(mine)
+    kinds = [str(d[1]).lower() for d in cursor.description]
+    for name, mine_is, theirs_is in zip(names, (k for _, k in df.dtypes), kinds):
+        if TYPES.get(mine_is, theirs_is) != theirs_is:
+            return f"{name}: {mine_is} vs {theirs_is}", len(mine)
     a, b = _rows(df.columns, mine), _rows(names, theirs)
     if a == b:
         return None, len(mine)
