@@ -177,6 +177,7 @@ def repeated_ranges(texts: DataFrame, settings: Settings) -> DataFrame:
     units = texts.mapInArrow(cut, f"shard int, state int, {fields}")
     judged = units.groupBy("shard").applyInArrow(judge, f"{RANGES}, mark bigint, open boolean")
     judged = work.store(judged, "judged")
+    work.release()
 
     wanted = judged.where("open").groupBy("doc", "tie").agg(F.collect_list(F.struct("lo", "hi", "mark")).alias("units"))
     fetched = texts.join(wanted, ["doc", "tie"]).select(
@@ -222,8 +223,10 @@ def repeated_ranges(texts: DataFrame, settings: Settings) -> DataFrame:
 
     dealt = pieces.withColumn("shard", F.pmod("mark", F.lit(shards)))
     found = dealt.groupBy("shard").applyInArrow(induce, RANGES)
-    found = work.store(found.unionByName(judged.where("not open").select("doc", "tie", "lo", "hi")), "ranges")
-    return found
+    ranges = work.store(found.unionByName(judged.where("not open").select("doc", "tie", "lo", "hi")), "ranges")
+    work.drop(judged)
+    work.release()
+    return ranges
 
 
 def remove_repeated_bytes(

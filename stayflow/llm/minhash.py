@@ -164,20 +164,27 @@ def near_duplicates(
     )
     classes = work.store(classes, "classes")
     posted = work.store(postings(classes, settings), "postings")
+    work.release()
     links = work.store(confirmed(star_pairs(posted), classes, rows, settings, work), "links")
+    work.release()
     clusters = components(links, work)
     opened = work.store(open_lists(posted, clusters), "open")
+    work.drop(posted)
+    work.release()
     sizes = opened.groupBy("list").agg((F.count(F.lit(1)) > PAIRED_DIRECTLY).alias("large"))
     opened = opened.join(sizes, "list")
     large = set_postings(opened.where("large"), classes, rows, settings)
     large = work.store(open_lists(large, clusters), "open")
     pairs = cross_pairs(opened.where("not large")).unionByName(cross_pairs(large))
+    work.release()
     found = confirmed(pairs, classes, rows, settings, work)
     links = work.store(links.unionByName(found), "links")
+    work.release()
     found = components(links, work)
     ids = classes.select("set_key", "id").join(found, F.col("id") == F.col("node"), "left")
     ids = ids.select("set_key", F.coalesce("component", "id").alias("component_id"))
-    ids = single.select("key", "set_key").join(ids, "set_key").drop("set_key")
+    own = signed.where("key is not null and set_key is not null").groupBy("key").agg(F.min("set_key").alias("set_key"))
+    ids = own.join(ids, "set_key").drop("set_key")
     result = signed.join(ids, "key", "left")
     component = F.coalesce("component_id", "key")
     return result.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -55,6 +56,12 @@ class Work:
         """Written once and read back: cuts the lineage and survives lost executors."""
         return materialise(df, self.path(name))
 
+    def release(self) -> None:
+        """Let Spark delete shuffle files of what has been stored: it does so when the driver's
+        garbage collector finds their owners gone, which on its own may be much later."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *stored: DataFrame) -> None:
         for df in stored:
             for file in df.inputFiles()[:1]:
