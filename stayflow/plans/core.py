@@ -11,6 +11,7 @@ from stayflow.operators.lookup import lookup_current_sk
 from stayflow.operators.merge import merge_actions
 from stayflow.operators.scd2 import Versioned, scd2_apply
 
+# Tables, keys, and the columns whose change makes a new version.
 CUSTOMERS = Versioned(
     "dim_customers", "customer_id", "customer_sk", ("customer_name", "email", "phone", "city")
 )
@@ -52,6 +53,7 @@ class Merged:
         )
 
 
+# Columns compared and taken over by the merges, and their time stamps.
 _HOTEL_COLUMNS = ("hotel_name", "city", "stars", "rooms")
 HOTELS = Merged("dim_hotels", "hotel_id", _HOTEL_COLUMNS, _HOTEL_COLUMNS, "_loaded_at", "_loaded_at")
 # A booking that changes in other columns only is not updated, and the customer version found

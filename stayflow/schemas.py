@@ -72,6 +72,7 @@ RAW_SCHEMAS = {
     feed: T.StructType(cols.fields + LOAD_METADATA.fields) for feed, cols in FEED_SCHEMAS.items()
 }
 
+# Columns and types of the staging tables.
 STG_SCHEMAS = {
     "stg_bookings": _schema(
         "booking_id bigint, customer_id bigint, hotel_id bigint, checkin_date timestamp_ntz, "
@@ -101,6 +102,7 @@ STG_SCHEMAS = {
 
 _VERSIONED = "eff_from timestamp_ntz, eff_to timestamp_ntz, is_current boolean, _loaded_at timestamp_ntz"
 
+# Columns and types of the dimensions.
 DIM_SCHEMAS = {
     "dim_customers": _schema(
         "customer_sk bigint, customer_id bigint, customer_name string, email string, phone string, "
@@ -119,6 +121,7 @@ DIM_SCHEMAS = {
     ),
 }
 
+# Columns and types of the facts.
 FACT_SCHEMAS = {
     "fact_bookings": _schema(
         "booking_id bigint, customer_sk bigint, hotel_id bigint, checkin_date date, checkout_date date, "
@@ -131,6 +134,7 @@ FACT_SCHEMAS = {
     ),
 }
 
+# Columns and types of the marts.
 MART_SCHEMAS = {
     "mart_revenue": _schema(
         "hotel_id bigint, hotel_name string, city string, stars int, booking_month date, "
