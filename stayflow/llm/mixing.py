@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from stayflow.llm.rows import Work
 
 SPACE = " \\t-\\r"
+# Gradient steps after which the rates are stored.
+STORED_EVERY = 6
 
 
 @dataclass(frozen=True)
@@ -120,28 +122,39 @@ def posteriors(docs: DataFrame, domains: Domains, key: str, text: str, settings:
     return work.store(powers.select("key", "n_tokens", *[(F.col(f"e{i}") / total).alias(f"p{i}") for i in k]), "soft")
 
 
-def document_rates(soft: DataFrame, targets: list[float], present: list[float], settings: Settings) -> Column:
-    """Rates as an expression over ``soft``, by projected gradient steps from 1.
+def document_rates(
+    soft: DataFrame, targets: list[float], present: list[float], settings: Settings, work: Work
+) -> DataFrame:
+    """``soft`` with a ``rate``, by projected gradient steps from 1.
 
     Least squares: sum over domains of (expected tokens - target)^2 / present tokens, plus the
     pull towards 1 weighted by tokens, over rates of at least 0 (1 with ``keep_all``). In the
     metric of the documents' tokens its curvature is at most 1 + pull, so that step size always
     descends. A step changes a rate by a sum over domains that is the same for all documents,
-    so a round is one pass that sums up one number per domain, and rates need not be stored.
+    so a round is one pass that sums up one number per domain, and rates are stored only once in
+    a few rounds, which keeps the expression short. Rounds end when the totals are close to the
+    targets or no longer move, as where targets cannot be met.
     """
     k, pull = range(len(present)), settings.pull
     step, least = 1 / (1 + pull), 1.0 if settings.keep_all else 0.0
     rate: Column = F.lit(1.0)
-    totals = list(present)
-    for _ in range(settings.rounds):
-        if all(abs(a - t) <= settings.close * max(t, 1.0) for a, t in zip(totals, targets)):
+    totals, before = list(present), None
+
+    def near(a: list[float], b: list[float], share: float) -> bool:
+        return all(abs(x - y) <= share * max(y, 1.0) for x, y in zip(a, b))
+
+    for turn in range(1, settings.rounds + 1):
+        if near(totals, targets, settings.close) or (before and near(before, totals, settings.close / 10)):
             break
         change = [step * (a - t) / m if m > 0 else 0.0 for a, t, m in zip(totals, targets, present)]
         moved = sum((F.col(f"p{i}") * F.lit(-change[i]) for i in k), rate * F.lit(1 - step * pull) + F.lit(step * pull))
         rate = F.greatest(moved, F.lit(least))
+        if turn % STORED_EVERY == 0:
+            soft = work.store(soft.withColumn("rate", rate), "rates")
+            rate = F.col("rate")
         row = soft.select(*[f"p{i}" for i in k], (rate * F.col("n_tokens")).alias("tokens"))
-        totals = list(row.agg(*[F.sum(F.col("tokens") * F.col(f"p{i}")) for i in k]).first())
-    return rate
+        before, totals = totals, list(row.agg(*[F.sum(F.col("tokens") * F.col(f"p{i}")) for i in k]).first())
+    return soft.withColumn("rate", rate)
 
 
 def mix(
@@ -177,9 +190,9 @@ def mix(
     total = sum(present)
     if settings.keep_all:
         total = max((m / w for m, w in zip(present, weights) if w > 0), default=total)
-    rate = document_rates(soft, [w * total for w in weights], present, settings)
+    rated = document_rates(soft, [w * total for w in weights], present, settings, work)
     pairs = [c for i in k for c in (F.lit(names[i]), F.col(f"p{i}"))]
-    return soft.select(F.col("key").alias(key), "n_tokens", rate.alias("rate"), F.create_map(*pairs).alias("domains"))
+    return rated.select(F.col("key").alias(key), "n_tokens", "rate", F.create_map(*pairs).alias("domains"))
 
 
 def repeat_by_rate(docs: DataFrame, rates: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -23,7 +23,7 @@ from stayflow.llm.bpe import LONGEST_REMEMBERED, WHITE
 BLOCK_IDS = 1 << 18
 # Marks whose number a rank directory entry sums up.
 STEP = 512
-REMEMBERED = 400_000
+REMEMBERED = 900_000
 ROWS_AT_ONCE = 64
 
 

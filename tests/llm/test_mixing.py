@@ -5,6 +5,7 @@ import pytest
 from rows_at_the_edge import edge_rows, narrow
 
 from stayflow.llm import mixing
+from stayflow.llm.rows import Work
 from stayflow.llm.mixing import Settings
 
 
@@ -43,9 +44,9 @@ def test_rates_solve_the_constrained_least_squares(spark):
     present = n @ p
     targets = np.array([0.0, 0.2, 0.8]) * present.sum()
     soft = spark.createDataFrame([(i, int(n[i]), *map(float, p[i])) for i in range(40)], "key int, n_tokens bigint, p0 double, p1 double, p2 double")
-    settings = Settings(rounds=200, pull=1e-3)
-    rate = mixing.document_rates(soft, list(targets), list(present), settings)
-    found = np.array([r[0] for r in soft.select(rate, "key").orderBy("key").collect()])
+    settings = Settings(rounds=60, pull=1e-3)
+    rated = mixing.document_rates(soft, list(targets), list(present), settings, Work(spark))
+    found = np.array([r.rate for r in rated.orderBy("key").collect()])
     r = np.ones(40)
     for _ in range(20_000):
         r = np.maximum(0, r - 0.5 * (p @ ((n * r @ p - targets) / present) + settings.pull * (r - 1)))
