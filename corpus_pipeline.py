@@ -50,13 +50,14 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their number of tokens, packed token ids, and whether the ids decode to
-    the text again."""
+    the text again. Columns of the same names are replaced."""
+    kept = [c for c in docs.columns if c not in ("n_tokens", "token_ids", "decodes")]
     encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded, RANKS)
+    decoded = bpe.decode(encoded, RANKS, out="_decoded")
     text = F.coalesce("text", F.lit("")).cast("binary")
     tokens = (F.octet_length("token_ids") / 4).cast("long")
     return decoded.select(
-        *docs.columns, tokens.alias("n_tokens"), "token_ids", (F.col("decoded") == text).alias("decodes")
+        *kept, tokens.alias("n_tokens"), "token_ids", (F.col("_decoded") == text).alias("decodes")
     )
 
 
