@@ -109,7 +109,8 @@ def _met(queries: DataFrame, index: DataFrame, radius: int, segments: int, width
     parts = queries.select(F.col("code").alias("q"), _segments("code", segments, width))
     probes = parts.select("q", "segment", "value", F.explode(flips).alias("flip"))
     probes = probes.select("q", "segment", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
-    pairs = probes.join(index, ["segment", "value"])
+    # Spark sizes the probes as if they had not been multiplied, and must not broadcast them.
+    pairs = probes.hint("merge").join(index, ["segment", "value"])
     unlike = F.col("q").bitwiseXOR(F.col("code"))
     apart = [F.bit_count(_part(unlike, s, width)) for s in range(segments)]
     taken = F.lit(True)
