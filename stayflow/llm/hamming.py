@@ -37,7 +37,8 @@ def nearest(
     are about as many as codes), each with an index from its value to codes. In round r every open
     query looks up the values at distance r in each segment. Codes not met by then differ by
     more than r in every segment, so by ``segments * (r + 1)`` or more: a query whose k-th
-    verified distance is below that is done and leaves. A pair is taken only in the first of its
+    verified distance is below that is done and leaves. Until then nothing farther than that
+    distance is taken any more. A pair is taken only in the first of its
     closest segments, so none is verified twice. Equal codes are one entry with their first
     ``k + 1`` keys, and equal queries one query, so a code that very many rows share costs as
     one. Of what a query has met the best are kept after each round, with a limit before the
@@ -55,7 +56,8 @@ def nearest(
     asked = work.store(_single(queries, key, code), "queries")
     index = work.store(codes.select(_segments("code", segments, width), "code"), "index")
     need = min(need, known.count())
-    open_queries = work.store(asked.select("code").distinct(), "open")
+    start = asked.select("code").distinct().withColumn("far", F.lit(BITS))
+    open_queries = work.store(start, "open")
     best, done = None, []
     for radius in range(width + 1):
         if need == 0 or open_queries.isEmpty():
@@ -64,13 +66,16 @@ def nearest(
         met = met if best is None else met.unionByName(best.drop("ids"))
         best = work.store(_closest(met, codes, need), "best")
         covered = segments * (radius + 1) - 1
-        full = best.groupBy("q").agg(F.sum(F.size("ids")).alias("n"), F.max("distance").alias("far"))
-        if radius < width:
-            full = full.where((F.col("n") >= need) & (F.col("far") <= covered))
-        full = work.store(full.select("q"), "full")
+        state = best.groupBy("q").agg(F.sum(F.size("ids")).alias("n"), F.max("distance").alias("most"))
+        has_all = F.col("n") >= need
+        ended = has_all & (F.col("most") <= covered) if radius < width else F.lit(True)
+        state = work.store(state.select("q", "most", has_all.alias("has_all"), ended.alias("ended")), "state")
+        full = state.where("ended").select("q")
         done.append(best.join(full, "q", "left_semi"))
         best = best.join(full, "q", "left_anti")
-        open_queries = work.store(open_queries.join(full, F.col("code") == F.col("q"), "left_anti"), "open")
+        left = open_queries.join(state, F.col("code") == F.col("q"), "left")
+        far = F.when(F.col("has_all"), F.col("most")).otherwise(F.lit(BITS)).alias("far")
+        open_queries = work.store(left.where(~F.coalesce("ended", F.lit(False))).select("code", far), "open")
     kind = rows.schema[key].dataType.simpleString()
     if not done:
         ddl = f"query {kind}, neighbour {kind}, distance int, place int"
@@ -106,14 +111,14 @@ def _met(queries: DataFrame, index: DataFrame, radius: int, segments: int, width
     """(q, code, distance) of the pairs whose closest segment is at this radius."""
     masks = [str(sum(1 << i for i in bits)) for bits in combinations(range(width), radius)]
     flips = F.split(F.lit(",".join(masks)), ",").cast("array<int>")  # one constant
-    parts = queries.select(F.col("code").alias("q"), _segments("code", segments, width))
-    probes = parts.select("q", "segment", "value", F.explode(flips).alias("flip"))
-    probes = probes.select("q", "segment", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
+    parts = queries.select(F.col("code").alias("q"), "far", _segments("code", segments, width))
+    probes = parts.select("q", "far", "segment", "value", F.explode(flips).alias("flip"))
+    probes = probes.select("q", "far", "segment", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
     # Spark sizes the probes as if they had not been multiplied, and must not broadcast them.
     pairs = probes.hint("merge").join(index, ["segment", "value"])
     unlike = F.col("q").bitwiseXOR(F.col("code"))
     apart = [F.bit_count(_part(unlike, s, width)) for s in range(segments)]
-    taken = F.lit(True)
+    taken = F.bit_count(unlike) <= F.col("far")
     for s in range(segments):
         # An earlier segment as close, or any closer one, has this pair already.
         taken = taken & F.when(F.col("segment") > s, apart[s] > radius).otherwise(apart[s] >= radius)
