@@ -20,13 +20,19 @@ class Settings:
     """``length``: bytes of a string that counts as repeated. ``gram``: bytes of the marks that
     bring equal strings together. ``shard_bytes``: text a shard has on average; shards grow in
     number with the input, not in size. ``records``: units a task sums up before it sends
-    them on.
+    them on. ``sampled``: one text in so many is looked at beforehand for hot marks.
     """
 
     length: int = 50
     gram: int = 20
     shard_bytes: int = 8 << 20
     records: int = 400_000
+    sampled: int = 64
+
+    @property
+    def hot_bytes(self) -> int:
+        """Text of one mark from which on its strings are dealt one by one."""
+        return self.shard_bytes // 16
 
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -89,6 +95,39 @@ def first_of_equal(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return units[new | (units["doc"] == smallest)], units[units["doc"] > smallest]
 
 
+def strings_of(data: bytes, doc: int, tie: int, lo: int, length: int) -> np.ndarray:
+    """Each string of a piece as a unit of its own, dealt by a hash of all its bytes."""
+    units = np.empty(len(data) - length + 1, UNIT)
+    view = memoryview(data)
+    digests = b"".join([xxhash.xxh3_128_digest(view[i : i + length]) for i in range(len(units))])
+    units["mark"], units["own"] = np.frombuffer(digests, "<u8").reshape(-1, 2).T
+    units["doc"], units["tie"], units["n"] = doc, tie, 1
+    units["lo"] = lo + np.arange(len(units))
+    return units
+
+
+def hot_marks(texts: DataFrame, settings: Settings) -> np.ndarray:
+    """Marks of so many different texts, by a sample, that they would make a shard large. The
+    sample only balances tasks; results are the same for any list. No more marks than about one
+    per ``hot_bytes`` of text come to the driver."""
+    span = settings.length - 1
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column("text"):
+                data = text.as_buffer().to_pybytes()
+                mark, lo, n = units_of(data, settings)
+                own = [xxhash.xxh3_64_intdigest(data[a : a + b + span]) for a, b in zip(lo.tolist(), n.tolist())]
+                arrays = [mark.view(np.int64), np.array(own, np.uint64).view(np.int64), n + span]
+                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["mark", "own", "size"])
+
+    some = texts.where(F.pmod(F.xxhash64("doc", "tie"), F.lit(settings.sampled)) == 0).select("text")
+    units = some.mapInArrow(cut, "mark bigint, own bigint, size bigint").groupBy("mark", "own").agg(F.max("size").alias("size"))
+    sizes = units.groupBy("mark").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    hot = sizes.where((F.col("size") * settings.sampled > settings.hot_bytes) & (F.col("n") >= 8))
+    return np.sort(np.array([r.mark for r in hot.select("mark").collect()], np.int64).view(np.uint64))
+
+
 def _ranges(units: np.ndarray) -> list[pa.Array]:
     columns = (units["doc"], units["tie"], units["lo"], units["lo"].astype("i8") + units["n"])
     return [pa.array(c.astype("i8")) for c in columns]
@@ -105,33 +144,43 @@ def repeated_ranges(texts: DataFrame, settings: Settings) -> DataFrame:
     3. Texts of the units left are fetched and dealt by mark again. Induced sorting gives the
        suffix array of a shard's texts, common prefixes the runs of equal strings in it;
        all but those of the smallest document are repeated.
+
+    Marks of very many texts, as at the ends of a passage in many documents, are not dealt whole:
+    each of their strings is a unit with a hash of its bytes for a mark. They are found by a
+    sample before step 1, and by the exact size of what is left before step 3.
     """
     work, spark = Work(texts.sparkSession), texts.sparkSession
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // settings.shard_bytes))
-    records, span = settings.records, settings.length - 1
+    records, span, hot = settings.records, settings.length - 1, hot_marks(texts, settings)
+
+    def sent(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        first, later = first_of_equal(np.concatenate(held))
+        # Repeated units ride along, in any shard.
+        places = mixed(later["doc"].view(np.uint64) * ODD + later["lo"])
+        for state, units, key in ((0, first, first["mark"]), (1, later, places)):
+            shard = (key % np.uint64(shards)).astype(np.int64)
+            units = units[np.argsort(shard, kind="stable")]
+            ends = np.cumsum(np.bincount(shard, minlength=shards))
+            parts = np.split(units, ends[:-1])
+            full = [i for i, part in enumerate(parts) if len(part)]
+            columns = [pa.array(full, pa.int32()), pa.array([state] * len(full), pa.int32())]
+            for field in UNIT.names:
+                columns.append(pa.array([np.ascontiguousarray(parts[i][field]).tobytes() for i in full], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "state", *UNIT.names])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
-
-        def sent() -> Iterator[pa.RecordBatch]:
-            first, later = first_of_equal(np.concatenate(held))
-            # Repeated units ride along, in any shard.
-            for state, units in ((0, first), (1, later)):
-                shard = (units["mark"] % np.uint64(shards)).astype(np.int64)
-                units = units[np.argsort(shard, kind="stable")]
-                ends = np.cumsum(np.bincount(shard, minlength=shards))
-                parts = np.split(units, ends[:-1])
-                full = [i for i, part in enumerate(parts) if len(part)]
-                columns = [pa.array(full, pa.int32()), pa.array([state] * len(full), pa.int32())]
-                for field in UNIT.names:
-                    columns.append(pa.array([np.ascontiguousarray(parts[i][field]).tobytes() for i in full], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, ["shard", "state", *UNIT.names])
-
         for batch in batches:
             for doc, tie, text in zip(*(batch.column(c) for c in ("doc", "tie", "text"))):
                 data = text.as_buffer().to_pybytes()
                 mark, lo, n = units_of(data, settings)
+                if len(hot):
+                    is_hot = hot[np.minimum(np.searchsorted(hot, mark), len(hot) - 1)] == mark
+                    for a, b in zip(lo[is_hot].tolist(), n[is_hot].tolist()):
+                        held.append(strings_of(data[a : a + b + span], doc.as_py(), tie.as_py(), a, settings.length))
+                        count += b
+                    mark, lo, n = mark[~is_hot], lo[~is_hot], n[~is_hot]
                 units = np.empty(len(mark), UNIT)
                 units["mark"], units["lo"], units["n"] = mark, lo, n
                 units["doc"], units["tie"] = doc.as_py(), tie.as_py()
@@ -140,10 +189,22 @@ def repeated_ranges(texts: DataFrame, settings: Settings) -> DataFrame:
                 held.append(units)
                 count += len(units)
                 if count >= records:
-                    yield from sent()
+                    yield from sent(held)
+                    held, count = [], 0
+        if count:
+            yield from sent(held)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            for doc, tie, lo, piece in zip(*(batch.column(c).to_pylist() for c in ("doc", "tie", "lo", "piece"))):
+                held.append(strings_of(piece, doc, tie, lo, settings.length))
+                count += len(held[-1])
+                if count >= records:
+                    yield from sent(held)
                     held, count = [], 0
         if count:
-            yield from sent()
+            yield from sent(held)
 
     def judge(table: pa.Table) -> pa.Table:
         parts = {0: [], 1: []}
@@ -179,17 +240,18 @@ def repeated_ranges(texts: DataFrame, settings: Settings) -> DataFrame:
     judged = work.store(judged, "judged")
     work.release()
 
-    wanted = judged.where("open").groupBy("doc", "tie").agg(F.collect_list(F.struct("lo", "hi", "mark")).alias("units"))
-    fetched = texts.join(wanted, ["doc", "tie"]).select(
-        "doc", "tie", F.col("text").cast("binary").alias("data"), F.explode("units").alias("unit")
-    )
-    pieces = fetched.select(
-        "doc",
-        "tie",
-        "unit.lo",
-        "unit.mark",
-        F.substring("data", F.col("unit.lo").cast("int") + 1, (F.col("unit.hi") - F.col("unit.lo") + span).cast("int")).alias("piece"),
-    )
+    def pieces_of(units: DataFrame) -> DataFrame:
+        wanted = units.groupBy("doc", "tie").agg(F.collect_list(F.struct("lo", "hi", "mark")).alias("units"))
+        fetched = texts.join(wanted, ["doc", "tie"]).select(
+            "doc", "tie", F.col("text").cast("binary").alias("data"), F.explode("units").alias("unit")
+        )
+        return fetched.select(
+            "doc",
+            "tie",
+            "unit.lo",
+            "unit.mark",
+            F.substring("data", F.col("unit.lo").cast("int") + 1, (F.col("unit.hi") - F.col("unit.lo") + span).cast("int")).alias("piece"),
+        )
 
     def induce(table: pa.Table) -> pa.Table:
         doc, tie, lo = (table.column(c).to_numpy() for c in ("doc", "tie", "lo"))
@@ -221,9 +283,19 @@ def repeated_ranges(texts: DataFrame, settings: Settings) -> DataFrame:
         columns = [doc[own], tie[own], place, place + 1]
         return pa.Table.from_arrays([pa.array(c.astype("i8")) for c in columns], ["doc", "tie", "lo", "hi"])
 
-    dealt = pieces.withColumn("shard", F.pmod("mark", F.lit(shards)))
-    found = dealt.groupBy("shard").applyInArrow(induce, RANGES)
-    ranges = work.store(found.unionByName(judged.where("not open").select("doc", "tie", "lo", "hi")), "ranges")
+    still_open = judged.where("open")
+    sizes = still_open.groupBy("mark").agg(F.sum(F.col("hi") - F.col("lo") + span).alias("size"))
+    # Bounded: so large a mark fills a sixteenth of a shard.
+    large = sizes.where(F.col("size") > settings.hot_bytes).select("mark")
+    found = judged.where("not open").select("doc", "tie", "lo", "hi")
+    if not large.isEmpty():
+        strings = pieces_of(still_open.join(F.broadcast(large), "mark", "left_semi")).mapInArrow(split, f"shard int, state int, {fields}")
+        # Open here are different strings whose marks agree by chance.
+        one_by_one = strings.groupBy("shard").applyInArrow(judge, f"{RANGES}, mark bigint, open boolean").where("not open")
+        found = found.unionByName(one_by_one.select("doc", "tie", "lo", "hi"))
+        still_open = still_open.join(F.broadcast(large), "mark", "left_anti")
+    dealt = pieces_of(still_open).withColumn("shard", F.pmod("mark", F.lit(shards)))
+    ranges = work.store(dealt.groupBy("shard").applyInArrow(induce, RANGES).unionByName(found), "ranges")
     work.drop(judged)
     work.release()
     return ranges

@@ -1,6 +1,9 @@
+import os
 import random
+import uuid
 
 import pytest
+from helpers import new_dir
 from rows_at_the_edge import edge_rows, narrow
 
 from stayflow.llm import byte_runs
@@ -85,3 +88,27 @@ def test_rows_of_one_key_are_no_source_for_each_other(spark):
     rows = [(1, text), (1, text), (1, "x" + text), (None, text), (2, text + "y")]
     found = byte_runs.remove_repeated_bytes(narrow(spark, rows)).collect()
     assert sorted(bytes(r.kept).decode() for r in found) == sorted([text, text, "x" + text, text, "y"])
+
+
+@pytest.mark.parametrize("sampled", [1, 10**9])
+def test_a_hot_mark_is_no_group(spark, monkeypatch, sampled):
+    """One passage in all documents: the text that goes through the suffix array of a shard stays
+    bounded, whether the sample (of all texts, of none) sees its mark or not."""
+    rng, rows = random.Random(9), []
+    own = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage = own(200)
+    for i in range(600):
+        rows.append((i, own(rng.randrange(20, 60)) + passage + own(rng.randrange(20, 60))))
+    settings, folder = Settings(shard_bytes=64_000, sampled=sampled), new_dir("sizes")
+
+    def noted(symbols, size):
+        with open(f"{folder}/{uuid.uuid4()}", "w") as out:
+            out.write(str(len(symbols)))
+        return suffix_array(symbols, size)
+
+    monkeypatch.setattr(byte_runs, "suffix_array", noted)
+    found = byte_runs.remove_repeated_bytes(narrow(spark, rows).repartition(4), settings=settings).collect()
+    expected = brute(rows, settings.length)
+    assert {r.doc_id: (r.n_bytes, r.n_bytes - len(r.kept), bytes(r.kept)) for r in found} == expected
+    sizes = [int(open(f"{folder}/{f}").read()) for f in os.listdir(folder)]
+    assert max(sizes, default=0) < 20_000
