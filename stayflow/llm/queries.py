@@ -167,6 +167,6 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Work(spark).path("tokens")
     docs = table(spark, sf_dir, "documents")
-    token_store.write_tokens(docs, path, TOKENIZER, end_id=0, pattern=public_tokenizers.PATTERN)
+    token_store.write_tokens(docs, path, TOKENIZER, end_id=0, pattern=public_tokenizers.PATTERN, special=True)
     stored = token_store.read_tokens(spark, path)
     return stored.select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))

@@ -103,15 +103,18 @@ def byte_characters() -> dict[int, str]:
 class TokenizerMemory(dict):
     """A tokenizer that remembers the ids of frequent stretches of text (white space, then other
     characters) and of the matches of the split pattern in them, which its model encodes
-    one by one. Only for byte-level tokenizers that split by ``pattern``."""
+    one by one. Only for byte-level tokenizers that split by ``pattern``. Texts with an added
+    token that counts as one go through the tokenizer whole."""
 
-    def __init__(self, path: str, pattern: str | None) -> None:
+    def __init__(self, path: str, pattern: str | None, special: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if special or not t.special]
+        self.has_added = re.compile("|".join(map(re.escape, added))).search if added else lambda text: None
         self.model = self.tokenizer.model
         self.split = regex.compile(pattern).findall if pattern else None
         self.characters = byte_characters()
@@ -133,17 +136,22 @@ class TokenizerMemory(dict):
                 self.pieces[piece] = packed
         return packed
 
+    def split_up(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.__getitem__, self.stretches(text))), np.uint32)
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.split:
-            packed = (b"".join(map(self.__getitem__, self.stretches(text))) for text in texts)
-            return [np.frombuffer(ids, np.uint32) for ids in packed]
+            return [self.whole(text) if self.has_added(text) else self.split_up(text) for text in texts]
         encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(one.ids, np.uint32) for one in encoded]
 
 
 @lru_cache(maxsize=1)
-def memory(path: str, pattern: str | None) -> TokenizerMemory:
-    return TokenizerMemory(path, pattern)
+def memory(path: str, pattern: str | None, special: bool) -> TokenizerMemory:
+    return TokenizerMemory(path, pattern, special)
 
 
 def write_tokens(
@@ -154,12 +162,14 @@ def write_tokens(
     key: str = "doc_id",
     text: str = "text",
     pattern: str | None = None,
+    special: bool = False,
 ) -> None:
     """Encode ``text`` and store the ids under ``path`` in ascending ``key`` order.
 
     ``tokenizer`` is a tokenizer file that every executor has; special tokens in a text are
-    ordinary text. A byte-level tokenizer is faster with the ``pattern`` it splits texts by, and
-    gives the same ids. ``end_id`` is appended to each document. Null texts count as empty, null
+    ordinary text unless ``special``, which gives them their ids as the library does by default.
+    A byte-level tokenizer is faster with the ``pattern`` it splits texts by, and gives the same
+    ids. ``end_id`` is appended to each document. Null texts count as empty, null
     keys come first, rows of one key follow a hash of their texts. One shuffle: rows are
     range-partitioned by key, and each task writes its blocks in order. A block row holds
     part, block, ids before it in the part, its number of ids, its keys, their sizes and codes.
@@ -183,7 +193,7 @@ def write_tokens(
     ddl = f"part int, block int, before bigint, n_ids bigint, keys array<{kind.simpleString()}>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = memory(tokenizer, pattern).encode
+        encode = memory(tokenizer, pattern, special).encode
         part, block, before = TaskContext.get().partitionId(), 0, 0
         keys, ids, held = [], [], 0
 

@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -5,7 +7,7 @@ from helpers import new_dir
 from rows_at_the_edge import edge_rows, narrow
 from tokenizers import Tokenizer
 
-from stayflow.llm import token_store
+from stayflow.llm import queries, token_store
 from stayflow.llm.token_store import Codes, pack
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -53,3 +55,18 @@ def test_empty_table(spark):
     path = new_dir("tokens") + "/t"
     token_store.write_tokens(narrow(spark, []), path, PATH)
     assert token_store.read_tokens(spark, path).collect() == []
+
+
+def test_query_encodes_as_the_plain_library(spark):
+    """The library as it is loaded, no flag set: the added token's text is one id."""
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "  <|endoftext|><|endoftext|> x\n\n y", "<|endoftext", "plain  text\n", "", None]
+    folder, tokenizer = new_dir("documents"), Tokenizer.from_file(PATH)
+    narrow(spark, list(enumerate(texts))).write.parquet(f"{folder}/documents.parquet")
+    rows = queries.op10_token_store(spark, folder).orderBy("doc_id").collect()
+    start = 0
+    for row, text in zip(rows, texts, strict=True):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        crc = zlib.crc32(np.array(ids, "<u4").tobytes())
+        assert (row.start, row.n_tokens, row.ids_crc32) == (start, len(ids), crc)
+        start += len(ids)
+    assert tokenizer.encode(texts[0], add_special_tokens=False).ids == [64, 50_256, 65]
