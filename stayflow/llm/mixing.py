@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,9 @@ class Settings:
     key. ``markers``: words it looks for. ``max_domains``: more are refused. ``temper``: what
     log odds are divided by, as words of one text are not independent. ``pull``: weight of the
     squared distance of rates from 1. ``rounds`` and ``close``: gradient steps at most, and the
-    relative distance from all targets that is close enough. ``smoothing``: where no targets are
+    relative distance from all targets that is close enough, where ``document_rates`` is called
+    by itself. ``exact`` and ``passes``: norm of the projected gradient at which the least
+    squares count as solved, and passes after which it is an error. ``smoothing``: where no targets are
     given they are the present shares to this power. ``keep_all``: raise all totals together
     until no domain has to shrink, with rates of at least 1.
     """
@@ -34,6 +38,8 @@ class Settings:
     pull: float = 1e-4
     rounds: int = 40
     close: float = 1e-4
+    exact: float = 1e-9
+    passes: int = 300
     smoothing: float = 0.7
     keep_all: bool = False
 
@@ -157,6 +163,70 @@ def document_rates(
     return soft.withColumn("rate", rate)
 
 
+def solved_rates(
+    soft: DataFrame, targets: list[float], present: list[float], settings: Settings
+) -> tuple[DataFrame, list[float]]:
+    """``soft`` with the ``rate`` that solves the least squares of ``document_rates``, and the
+    totals of the domains at these rates.
+
+    At the solution a rate is 1 - (its memberships times z), or the least rate if that is
+    more, where pull * z is each domain's gap divided by its present tokens. That leaves one
+    unknown per domain: the gradient of a convex function is to be zero, by Newton's steps.
+    One pass sums up the totals and the slope. A step that goes too far, where the function
+    rises again, is shortened to near the smallest value on its line. The gap between z and
+    the totals bounds the projected gradient at the rates.
+    """
+    used = [i for i, m in enumerate(present) if m > 0]
+    pull, least, passes = settings.pull, 1.0 if settings.keep_all else 0.0, 0
+    m, wanted = np.array([present[i] for i in used]), np.array([targets[i] for i in used])
+
+    def rate_at(z: np.ndarray) -> Column:
+        return F.greatest(sum((F.col(f"p{i}") * F.lit(-float(x)) for i, x in zip(used, z)), F.lit(1.0)), F.lit(least))
+
+    def at(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Totals, and gradient and slope in units of present tokens' square roots."""
+        nonlocal passes
+        passes += 1
+        if passes > settings.passes:
+            raise RuntimeError(f"mixing rates not solved after {settings.passes} passes")
+        rows = soft.select(*[f"p{i}" for i in used], "n_tokens", rate_at(z).alias("rate"))
+        free = F.when(F.col("rate") > least, F.col("n_tokens")).otherwise(0)
+        rows = rows.select("*", (F.col("rate") * F.col("n_tokens")).alias("tokens"), free.alias("free"))
+        pairs = [(a, b) for a in range(len(used)) for b in range(a + 1)]
+        sums = [F.sum(F.col("tokens") * F.col(f"p{i}")) for i in used]
+        sums += [F.sum(F.col("free") * F.col(f"p{used[a]}") * F.col(f"p{used[b]}")) for a, b in pairs]
+        found = rows.agg(*[x.alias(f"s{j}") for j, x in enumerate(sums)]).first()
+        totals, slope = np.array(found[: len(used)], float), np.zeros((len(used), len(used)))
+        for (a, b), x in zip(pairs, found[len(used) :]):
+            slope[a, b] = slope[b, a] = x / math.sqrt(m[a] * m[b])
+        return totals, (pull * m * z + wanted - totals) / np.sqrt(m), slope + pull * np.eye(len(used))
+
+    z = np.zeros(len(used))
+    totals, gradient, slope = at(z)
+    while len(used) and np.abs(gradient / np.sqrt(m)).max() > settings.exact:
+        way = -np.linalg.solve(slope, gradient)
+        before, low, high, share = float(way @ gradient), 0.0, None, 1.0
+        at_low = at_high = before
+        while True:
+            moved = z + share * way / np.sqrt(m)
+            found = at(moved)
+            rise = float(way @ found[1])
+            if rise <= -0.1 * before and (high is None or rise >= 0.5 * before):
+                break
+            if rise > 0:
+                high, at_high = share, rise
+            else:
+                low, at_low = share, rise
+            # Where the rise, which only grows, is zero by a straight line, away from the ends.
+            guess = low + (high - low) * at_low / (at_low - at_high)
+            share = min(max(guess, low + 0.1 * (high - low)), high - 0.1 * (high - low))
+        z, (totals, gradient, slope) = moved, found
+    reached = [0.0] * len(present)
+    for i, x in zip(used, totals):
+        reached[i] = float(x)
+    return soft.withColumn("rate", rate_at(z)), reached
+
+
 def mix(
     docs: DataFrame,
     labelled: DataFrame,
@@ -190,7 +260,11 @@ def mix(
     total = sum(present)
     if settings.keep_all:
         total = max((m / w for m, w in zip(present, weights) if w > 0), default=total)
-    rated = document_rates(soft, [w * total for w in weights], present, settings, work)
+    wanted = [w * total for w in weights]
+    rated, reached = solved_rates(soft, wanted, present, settings)
+    missed = [f"{n}: {x:.0f} of {t:.0f}" for n, x, t in zip(names, reached, wanted) if abs(x - t) > 0.01 * max(t, 1.0)]
+    if missed:
+        logging.getLogger(__name__).warning("No rates meet these targets (tokens): %s", ", ".join(missed))
     pairs = [c for i in k for c in (F.lit(names[i]), F.col(f"p{i}"))]
     return rated.select(F.col("key").alias(key), "n_tokens", "rate", F.create_map(*pairs).alias("domains"))
 

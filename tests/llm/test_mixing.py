@@ -79,3 +79,47 @@ def test_edge_rows(spark):
     assert mixing.mix(narrow(spark, []), labels).collect() == []
     with pytest.raises(ValueError):
         mixing.mix(df, labels.where("doc_id > 99"))
+
+
+@pytest.mark.parametrize("keep_all", [False, True])
+def test_rates_reach_the_optimum(spark, keep_all):
+    """Rates of a fitted optimum: no step along the projected gradient is left, and the loss is
+    that of 200,000 steps in numpy, which default gradient steps miss by far."""
+    rng = np.random.default_rng(1)
+    p = rng.dirichlet([1, 1, 1], 40)
+    n = rng.integers(5, 50, 40).astype(float)
+    present = n @ p
+    targets = np.array([0.0, 0.2, 0.8]) * present.sum() * (2 if keep_all else 1)
+    rows = [(i, int(n[i]), *map(float, p[i])) for i in range(40)]
+    soft = spark.createDataFrame(rows, "key int, n_tokens bigint, p0 double, p1 double, p2 double")
+    settings, least = Settings(pull=1e-3, keep_all=keep_all), float(keep_all)
+    rated, reached = mixing.solved_rates(soft, list(targets), list(present), settings)
+    found = np.array([r.rate for r in rated.orderBy("key").collect()])
+
+    def step(r):
+        change = p @ ((n * r @ p - targets) / present) + settings.pull * (r - 1)
+        return np.maximum(least, r - change / (1 + settings.pull))
+
+    def loss(x):
+        return (((n * x @ p - targets) ** 2) / present).sum() / 2 + settings.pull * (n * (x - 1) ** 2).sum() / 2
+
+    best = np.ones(40)
+    for _ in range(200_000):
+        best = step(best)
+    assert np.abs(step(found) - found).max() < 1e-7 and np.allclose(reached, n * found @ p)
+    assert loss(found) == pytest.approx(loss(best), rel=1e-6) and np.allclose(found, best, atol=1e-4)
+    steps = mixing.document_rates(soft, list(targets), list(present), settings, Work(spark)).orderBy("key").collect()
+    print(f"LOSS keep_all={keep_all}: {loss(np.array([r.rate for r in steps])):.2f} by 40 steps, {loss(found):.2f} solved")
+
+
+def test_mixing_is_solved_or_refused(spark):
+    """Overlapping domains through ``mix``: the rates are a fixed point of the projected gradient."""
+    docs, labels = corpus(spark)
+    weights, settings = {"a": 0.02, "b": 0.98}, Settings(temper=40.0)
+    rows = mixing.mix(docs, labels, weights, settings=settings).collect()
+    p, n, r = (np.array(x) for x in zip(*[((x.domains["a"], x.domains["b"]), x.n_tokens, x.rate) for x in rows]))
+    targets = np.array([0.02, 0.98]) * n.sum()
+    change = p @ ((n * r @ p - targets) / (n @ p)) + settings.pull * (r - 1)
+    assert np.abs(np.maximum(0, r - change) - r).max() < 1e-7
+    with pytest.raises(RuntimeError):
+        mixing.mix(docs, labels, weights, settings=Settings(temper=40.0, passes=1))
