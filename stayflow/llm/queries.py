@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import bpe, byte_runs, hamming, line_runs, minhash, mixing, quality_rules, secret_scan, token_store, toxicity
+from stayflow.llm import (
+    bpe,
+    byte_runs,
+    conversations,
+    decontamination,
+    hamming,
+    lexical_search,
+    line_runs,
+    minhash,
+    mixing,
+    quality_rules,
+    secret_scan,
+    token_store,
+    toxicity,
+)
 from stayflow.llm.rows import Work
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,3 +184,80 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_store.write_tokens(docs, path, TOKENIZER, end_id=0, pattern=public_tokenizers.PATTERN, special=True)
     stored = token_store.read_tokens(spark, path)
     return stored.select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    done = conversations.repair(conversations.damaged(given))
+    everyone = given.select("conv_id").distinct()
+    for found in (done.audits, conversations.digests(done.turns)):
+        found = found.withColumnRenamed("conv_id", "found_id")
+        everyone = everyone.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left").drop("found_id")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return everyone.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+@query
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+# Words of ASCII letters, digits and anything beyond ASCII; only A-Z are lower-cased.
+SQL_WORDS = r"""regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+'[0-9a-z\x{{80}}-\x{{10FFFF}}]+')"""
+ORACLE_SQL["op12_decontamination"] = f"""with
+item_words as (select item_id, {SQL_WORDS.format(text="text")} as w from benchmark where item_id is not null),
+sized as (select item_id, w, least(10, len(w)) as n from item_words where len(w) > 0),
+places as (select item_id, w, n, unnest(generate_series(1, len(w) - n + 1)) as p from sized),
+windows as (select distinct item_id, n, array_to_string(w[p:p + n - 1], ' ') as part from places),
+docs as (select doc_id, {SQL_WORDS.format(text="coalesce(text, '')")} as w from documents),
+lengths as (select distinct n from windows),
+doc_places as (select doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) as p from docs, lengths where len(w) >= n),
+met as (select doc_id, item_id, d.p, n from
+        (select doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') as part from doc_places) d join windows using (n, part)),
+hit as (select doc_id, count(distinct place) as n_hit from
+        (select doc_id, unnest(generate_series(p, p + n - 1)) as place from met) group by doc_id),
+listed as (select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids from
+           (select distinct doc_id, cast(item_id as varchar) as id from met) group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+       cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 as contaminated
+from docs left join hit using (doc_id) left join listed using (doc_id)"""
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return lexical_search.search(docs, items, k=10)
+
+
+ORACLE_SQL["op13_lexical_search"] = f"""with
+words as (select doc_id, unnest({SQL_WORDS.format(text="text")}) as term from documents),
+tf as (select doc_id, term, count(*) as tf from words group by all),
+lengths as (select doc_id, sum(tf) as n from tf group by doc_id),
+totals as (select count(*) as docs, sum(n) as terms from lengths),
+df as (select term, count(*) as df from tf group by term),
+weights as (select term, cast(floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double)) as bigint) as w from df, totals),
+asked as (select item_id, unnest({SQL_WORDS.format(text="text")}) as term from benchmark where item_id is not null),
+counted as (select item_id, term, count(*) as times from asked group by all),
+m as (select doc_id, cast(25 + ((75 * n * docs) // terms) as bigint) as m from lengths, totals),
+scores as (select item_id, doc_id, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+           from counted join weights using (term) join tf using (term) join m using (doc_id) group by all),
+placed as (select *, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank
+           from scores where score > 0)
+select item_id, rank, doc_id, score from placed where rank <= 10"""

@@ -42,6 +42,14 @@ def add_columns(df: DataFrame, column: str, schema: str, make: Callable[[], Call
     return df.mapInArrow(run, StructType(kept + [StructField(f.name, f.dataType) for f in new.fields]))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it a name that no column of ``df`` has in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 class Work:
     """A shared folder for the tables of one call; ``drop`` deletes tables no result reads."""
 
