@@ -8,7 +8,7 @@ from stayflow.functions.measures import (
     ratio,
     same,
 )
-from stayflow.functions.parse import null_if_sentinel, parse_decimal, parse_flag, parse_number, parse_ts
+from stayflow.functions.parse import null_if_sentinel, parse_decimal, parse_flag, parse_key, parse_number, parse_ts
 from stayflow.functions.text import (
     clean_city,
     clean_comments,
@@ -42,6 +42,7 @@ __all__ = [
     "null_if_sentinel",
     "parse_decimal",
     "parse_flag",
+    "parse_key",
     "parse_number",
     "parse_ts",
     "percent",

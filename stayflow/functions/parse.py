@@ -24,6 +24,12 @@ def parse_number(c: Column, to: str = "bigint") -> Column:
     return c.try_cast("decimal(38,0)").try_cast(to)
 
 
+def parse_key(c: Column) -> Column:
+    """Text to a business key: a whole number of up to 38 digits, fractions rounded half away
+    from zero. Anything else is NULL."""
+    return c.try_cast("decimal(38,0)")
+
+
 def parse_decimal(c: Column, precision: int = 10, scale: int = 2) -> Column:
     """Text to decimal(precision, scale), rounded half up; overflow gives NULL."""
     return c.try_cast(f"decimal({precision},{scale})")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayflow.functions.parse import parse_number
+from stayflow.functions.parse import parse_key
 
 LOAD_COLUMNS = ("_loaded_at", "_filename", "_batch_id")
 
@@ -32,7 +32,12 @@ def latest_first(df: DataFrame) -> list[Column]:
 
 def require_key(df: DataFrame, col: str) -> DataFrame:
     """Only rows whose key text is a number."""
-    return df.where(parse_number(F.col(col)).isNotNull())
+    return df.where(parse_key(F.col(col)).isNotNull())
+
+
+def without_key(df: DataFrame, col: str) -> DataFrame:
+    """The other rows: the ones ``require_key`` leaves out."""
+    return df.where(parse_key(F.col(col)).isNull())
 
 
 def latest_by_number(df: DataFrame, col: str) -> DataFrame:
@@ -40,4 +45,4 @@ def latest_by_number(df: DataFrame, col: str) -> DataFrame:
 
     The unusable keys go first: they would otherwise all meet in one task.
     """
-    return dedup_latest(require_key(df, col), [parse_number(F.col(col))], latest_first(df))
+    return dedup_latest(require_key(df, col), [parse_key(F.col(col))], latest_first(df))

@@ -24,6 +24,13 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def is_broadcast(right: DataFrame) -> bool:
+    """Is ``right``, by the size Spark knows or estimates it to be, within its broadcast limit?"""
+    limit = right.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = right._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
     """Hot keys with the number of ``_slots`` their rows should be spread over.
 
@@ -65,9 +72,11 @@ def lookup_left(df: DataFrame, right: DataFrame, key: str, spread_by: str) -> Da
     Rows of a hot key get a slot from a hash of ``spread_by`` and the one matching row of
     ``right`` is repeated per slot; all repeats together are a few rows per shuffle partition.
     Rows without a key match nothing but would all hash to one task; they are spread too.
-    The list of hot keys is stored, so both sides see the same one. When ``right`` is small
-    Spark picks a broadcast join by its size and slots cost nothing.
+    The list of hot keys is stored, so both sides see the same one. Where Spark's own size check
+    will broadcast ``right``, no key can be too hot, and neither sketch nor slots are needed.
     """
+    if is_broadcast(right):
+        return df.join(right, key, "left").select(*df.columns, *[c for c in right.columns if c != key])
     hot = F.broadcast(materialise(hot_keys(df, key), f"{shared_dir(df.sparkSession)}/hot"))
     every = F.lit(shuffle_partitions(df) * SLOTS_PER_PARTITION)
     spread = F.when(F.col(key).isNull(), every).otherwise(F.coalesce("_slots", F.lit(1)))

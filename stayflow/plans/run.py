@@ -17,8 +17,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from stayflow.functions.parse import parse_key
 from stayflow.operators.delta import SMALL_DELTA_TASKS, is_small, small_semi
-from stayflow.operators.keys import assign_keys
+from stayflow.operators.keys import assign_keys_observed
 from stayflow.operators.lookup import unmatched
 from stayflow.operators.merge import INSERT, UPDATE
 from stayflow.operators.scd2 import Versioned, carry_over, close_replaced, open_versions
@@ -32,12 +33,12 @@ from stayflow.plans.core import (
     booking_source,
     review_source,
 )
-from stayflow.plans.staging import STAGERS
-from stayflow.schemas import DIM_SCHEMAS
-from stayflow.sources.changes import latest_batch, read_changes
+from stayflow.plans.staging import STAGERS, rejected
+from stayflow.schemas import DIM_SCHEMAS, FEED_KEYS, STG_SCHEMAS
+from stayflow.sources.changes import read_changes, unread
 from stayflow.sources.files import timestamp_literal
 from stayflow.sources.scratch import materialise
-from stayflow.sources.store import Run, Store, ranges_of, segment_of
+from stayflow.sources.store import Run, Staged, Store, ranges_bitmap, ranges_in
 
 LOG_SCHEMA = (
     "run_id bigint, name string, state string, scheduled_time timestamp_ntz, "
@@ -82,21 +83,36 @@ def _observe(df: DataFrame, measures: dict[str, Column]) -> tuple[DataFrame, Obs
     return df.observe(seen, *[m.alias(name) for name, m in measures.items()]), seen
 
 
-def load_staging(run: Run, high: dict[str, int]) -> StepResult:
+def load_staging(run: Run, high: dict[str, int], no_key: dict[str, int]) -> StepResult:
+    """Rows staged per feed, rows whose key is no number (kept in ``rejects``), and records that
+    the same batches left in quarantine."""
     counts: dict[str, dict[str, int]] = {}
 
     def stage(feed: str) -> None:
-        table = f"stg_{feed}"
-        raw = read_changes(run.store.read_raw(feed), run.base.offsets.get(feed, 0), high[feed])
+        table, low = f"stg_{feed}", run.base.offsets.get(feed, 0)
+        raw = read_changes(run.store.read_raw(feed), low, high[feed])
         rows = STAGERS[feed](raw, run.batch_ts)
         texts = [F.octet_length(name) for name, kind in rows.dtypes if kind == "string"]
         text_bytes = F.sum(sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(0).cast("bigint")))
-        rows, seen = _observe(rows, {"staged": F.count(F.lit(1)), "text_bytes": text_bytes})
+        key = STG_SCHEMAS[table].fieldNames()[0]
+        measures = {
+            "staged": F.count(F.lit(1)),
+            "text_bytes": text_bytes,
+            "ranges": ranges_bitmap(key, run.store.segment_width),
+        }
+        rows, seen = _observe(rows, measures)
         run.replace(table, rows)
-        counts[table] = {"staged": seen.get["staged"]}
-        run.staged[table] = seen.get["staged"], seen.get["text_bytes"] or 0
+        found = seen.get
+        run.staged[table] = Staged(found["staged"], found["text_bytes"] or 0, ranges_in(found["ranges"]))
+        if no_key[feed]:
+            run.add("rejects", rejected(feed, raw), "run", f"-{feed}")
+        damaged = 0
+        if run.store.folders("quarantine", feed):
+            damaged = read_changes(run.store.read_quarantine(feed), low, high[feed]).count()
+        counts[table] = {"staged": found["staged"], "rejected": no_key[feed], "damaged": damaged}
 
     together(run.store.spark, [lambda f=feed: stage(f) for feed in STAGERS])
+    run.fold("rejects", "run")
     return StepResult("load_staging", counts)
 
 
@@ -104,11 +120,10 @@ def apply_merge(
     run: Run, spec: Merged, staging: str, source: Callable[[DataFrame, bool], DataFrame]
 ) -> dict[str, int]:
     """Merge a delta into the key ranges it falls into; all other ranges stay as they are."""
-    rows, text_bytes = run.staged[staging]
-    if not rows:
+    delta = run.staged[staging]
+    if not delta.rows:
         return {"inserted": 0, "updated": 0}
-    stg, small = run.read(staging), is_small(rows, text_bytes)
-    touched = ranges_of(stg, spec.key, run.store.segment_width)
+    stg, small, touched = run.read(staging), is_small(delta.rows, delta.text_bytes), delta.ranges
     target = run.read_ranges(spec.table, touched)
     merged = spec.merge(target, source(stg, small), timestamp_literal(run.batch_ts), small)
     merged, seen = _count(merged, inserted=F.col("_action") == INSERT, updated=F.col("_action") == UPDATE)
@@ -119,26 +134,24 @@ def apply_merge(
 def apply_versions(run: Run, spec: Versioned, staging: str) -> dict[str, int]:
     """Open and close versions. Only ranges holding a member that really changed are
     rewritten, and closed versions are added to the history without reading it."""
-    rows, _ = run.staged[staging]
-    if not rows:
+    delta = run.staged[staging]
+    if not delta.rows:
         return {"inserted": 0, "expired": 0}
     width, ts = run.store.segment_width, timestamp_literal(run.batch_ts)
     delivered = run.read(staging)
-    current = run.read_current(spec.table, ranges_of(delivered, spec.key, width))
-    if is_small(rows):
+    current = run.read_current(spec.table, delta.ranges)
+    if is_small(delta.rows):
         current = small_semi(current, delivered, [spec.key])
     fresh = unmatched(delivered, current, [spec.key, *spec.tracked], null_safe=True)
     fresh = fresh.select(spec.key, *spec.carried, *spec.tracked)
     last = run.mark(spec.sk)
-    keyed = assign_keys(fresh, [F.col(spec.key)], spec.sk, last, run.work_path(spec.table))
-    per_range = (
-        keyed.groupBy(segment_of(spec.key, width).alias("range"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.max(spec.sk).alias("top"))
-        .collect()
+    measures = {"rows": F.count(F.lit(1)), "ranges": ranges_bitmap(spec.key, width)}
+    keyed, seen = assign_keys_observed(
+        fresh, [F.col(spec.key)], spec.sk, last, run.work_path(spec.table), measures
     )
-    if not per_range:
+    inserted, touched = seen.get["rows"], ranges_in(seen.get["ranges"])
+    if not inserted:
         return {"inserted": 0, "expired": 0}
-    inserted, touched = sum(r.rows for r in per_range), {str(r.range) for r in per_range}
     small = is_small(inserted)
     opened = open_versions(keyed, DIM_SCHEMAS[spec.table].fieldNames(), ts)
     current = run.read_current(spec.table, touched)
@@ -146,16 +159,18 @@ def apply_versions(run: Run, spec: Versioned, staging: str) -> dict[str, int]:
     closed, seen = _count(close_replaced(current, opened, spec.key, ts, small), expired=F.lit(True))
     if small:
         opened = opened.coalesce(SMALL_DELTA_TASKS)
+    added: list[str] = []
     together(
         run.store.spark,
         [
             lambda: run.replace_ranges(spec.table, spec.key, touched, stay.unionByName(opened), small),
-            lambda: run.add_closed(spec.table, closed),
+            lambda: added.append(run.add(spec.table, closed, "closed")),
         ],
     )
     if not seen.get["expired"]:
-        run.drop_closed(spec.table)
-    run.marks[spec.sk] = max(r.top for r in per_range)
+        run.leave_out(spec.table, added[0])
+    run.fold(spec.table, "closed")
+    run.marks[spec.sk] = last + inserted
     return {"inserted": inserted, **seen.get}
 
 
@@ -237,15 +252,17 @@ def run_pipeline(store: Store, batch_ts: str) -> list[StepResult]:
     """Run all steps once over what the feeds hold now. The first failing step ends the run:
     later steps do not start, nothing is published, and the error is logged and raised."""
     state = store.state()
-    run = store.begin(state.run_id + 1, batch_ts)
+    run = store.begin(state.run_id + 1, batch_ts, state)
     high: dict[str, int] = {}
+    no_key: dict[str, int] = {}
 
     def look(feed: str) -> None:
-        high[feed] = latest_batch(store.read_raw(feed), state.offsets.get(feed, 0))
+        bad = parse_key(F.col(FEED_KEYS[feed])).isNull()
+        high[feed], no_key[feed] = unread(store.read_raw(feed), state.offsets.get(feed, 0), bad)
 
     together(store.spark, [lambda f=feed: look(f) for feed in STAGERS])
     steps: list[tuple[str, Callable[[], StepResult]]] = [
-        ("load_staging", lambda: load_staging(run, high)),
+        ("load_staging", lambda: load_staging(run, high, no_key)),
         ("load_dimensions", lambda: load_dimensions(run)),
         ("load_facts", lambda: load_facts(run)),
         ("refresh_marts", lambda: refresh_marts(run)),

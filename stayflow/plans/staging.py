@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from stayflow import functions as fn
 from stayflow.functions.parse import AMOUNT_SENTINELS, PRICE_SENTINELS, RATING_SENTINELS
-from stayflow.operators.dedup import latest_by_number
-from stayflow.schemas import FEED_KEYS, STG_SCHEMAS, conform
+from stayflow.operators.dedup import latest_by_number, without_key
+from stayflow.schemas import FEED_KEYS, FEED_SCHEMAS, QUARANTINE_SCHEMA, STG_SCHEMAS, conform
 from stayflow.sources.files import timestamp_literal
 
 
@@ -26,7 +26,25 @@ def _load(feed: str, raw: DataFrame, ts, columns: dict[str, Column]) -> DataFram
     return conform(rows, STG_SCHEMAS[f"stg_{feed}"])
 
 
-def _number(col: str, to: str = "bigint") -> Column:
+# Why a raw row is not staged.
+BAD_KEY = "key is no number"
+
+
+def rejected(feed: str, raw: DataFrame) -> DataFrame:
+    """The rows a staging load leaves out, with the reason and all they held."""
+    key = FEED_KEYS[feed]
+    rows = without_key(raw, key).withColumns(
+        {
+            "feed": F.lit(feed),
+            "reason": F.lit(BAD_KEY),
+            "key_text": F.col(key),
+            "record": F.to_json(F.struct(*FEED_SCHEMAS[feed].fieldNames())),
+        }
+    )
+    return conform(rows, QUARANTINE_SCHEMA)
+
+
+def _number(col: str, to: str) -> Column:
     return fn.parse_number(F.col(col), to)
 
 
@@ -40,9 +58,9 @@ def stage_bookings(raw: DataFrame, ts) -> DataFrame:
         raw,
         ts,
         {
-            "booking_id": _number("bookingid"),
-            "customer_id": _number("customerid"),
-            "hotel_id": _number("hotelid"),
+            "booking_id": fn.parse_key(F.col("bookingid")),
+            "customer_id": fn.parse_key(F.col("customerid")),
+            "hotel_id": fn.parse_key(F.col("hotelid")),
             "checkin_date": fn.parse_ts(F.col("checkindate")),
             "checkout_date": fn.parse_ts(F.col("checkoutdate")),
             "total_amount": _money("totalamount", AMOUNT_SENTINELS),
@@ -59,7 +77,7 @@ def stage_customers(raw: DataFrame, ts) -> DataFrame:
         raw,
         ts,
         {
-            "customer_id": _number("customerid"),
+            "customer_id": fn.parse_key(F.col("customerid")),
             "customer_name": fn.clean_name(F.col("customername")),
             "email": fn.clean_email(F.col("email")),
             "phone": fn.normalize_phone(F.col("phone")),
@@ -74,7 +92,7 @@ def stage_hotels(raw: DataFrame, ts) -> DataFrame:
         raw,
         ts,
         {
-            "hotel_id": _number("hotelid"),
+            "hotel_id": fn.parse_key(F.col("hotelid")),
             "hotel_name": fn.clean_hotel_name(F.col("hotelname")),
             "city": fn.clean_label(F.col("city")),
             "stars": _number("stars", "int"),
@@ -89,8 +107,8 @@ def stage_staff(raw: DataFrame, ts) -> DataFrame:
         raw,
         ts,
         {
-            "staff_id": _number("staffid"),
-            "hotel_id": _number("hotelid"),
+            "staff_id": fn.parse_key(F.col("staffid")),
+            "hotel_id": fn.parse_key(F.col("hotelid")),
             "staff_name": fn.clean_name(F.col("staffname")),
             "role": fn.clean_label(F.col("role")),
             "shift": fn.clean_shift(F.col("shift")),
@@ -104,9 +122,9 @@ def stage_reviews(raw: DataFrame, ts) -> DataFrame:
         raw,
         ts,
         {
-            "review_id": _number("reviewid"),
-            "booking_id": _number("bookingid"),
-            "customer_id": _number("customerid"),
+            "review_id": fn.parse_key(F.col("reviewid")),
+            "booking_id": fn.parse_key(F.col("bookingid")),
+            "customer_id": fn.parse_key(F.col("customerid")),
             "rating": fn.parse_number(fn.null_if_sentinel(F.col("rating"), RATING_SENTINELS), "int"),
             "comments": fn.clean_comments(F.col("comments")),
             "sentiment": fn.clean_sentiment(F.col("sentiment")),
@@ -120,8 +138,8 @@ def stage_room_rates(raw: DataFrame, ts) -> DataFrame:
         raw,
         ts,
         {
-            "room_rate_id": _number("roomrateid"),
-            "hotel_id": _number("hotelid"),
+            "room_rate_id": fn.parse_key(F.col("roomrateid")),
+            "hotel_id": fn.parse_key(F.col("hotelid")),
             "room_type": fn.clean_label(F.col("roomtype")),
             "price": _money("price", PRICE_SENTINELS),
             "discounted_price": _money("discountedprice", PRICE_SENTINELS),

@@ -22,7 +22,10 @@ _TYPES = {
     "decimal(10,2)": T.DecimalType(10, 2),
     "decimal(12,2)": T.DecimalType(12, 2),
     "decimal(22,2)": T.DecimalType(22, 2),
+    "decimal(38,0)": T.DecimalType(38, 0),
 }
+# Business keys are whole numbers of up to 38 digits in every layer behind raw.
+KEY = "decimal(38,0)"
 
 
 def _schema(columns: str) -> T.StructType:
@@ -66,36 +69,45 @@ FEED_FORMATS = {
     "room_rates": "json",
 }
 
+# CSV feeds whose free text may hold quoted line breaks; their files are read by one task each.
+# Bookings, the largest feed, have no free text, so their files are split.
+FEED_MULTI_LINE = {"bookings": False, "customers": True, "hotels": True, "staff": True}
+
 LOAD_METADATA = _schema("_loaded_at timestamp_ntz, _filename string, _batch_id bigint")
 
 RAW_SCHEMAS = {
     feed: T.StructType(cols.fields + LOAD_METADATA.fields) for feed, cols in FEED_SCHEMAS.items()
 }
 
+# Input that was delivered damaged, and staged rows whose key is no number.
+QUARANTINE_SCHEMA = T.StructType(
+    _schema("feed string, reason string, key_text string, record string").fields + LOAD_METADATA.fields
+)
+
 # Columns and types of the staging tables.
 STG_SCHEMAS = {
     "stg_bookings": _schema(
-        "booking_id bigint, customer_id bigint, hotel_id bigint, checkin_date timestamp_ntz, "
+        f"booking_id {KEY}, customer_id {KEY}, hotel_id {KEY}, checkin_date timestamp_ntz, "
         "checkout_date timestamp_ntz, total_amount decimal(10,2), stay_duration int, "
         "is_high_value boolean, _filename string, _loaded_at timestamp_ntz"
     ),
     "stg_customers": _schema(
-        "customer_id bigint, customer_name string, email string, phone string, city string, "
+        f"customer_id {KEY}, customer_name string, email string, phone string, city string, "
         "_loaded_at timestamp_ntz"
     ),
     "stg_hotels": _schema(
-        "hotel_id bigint, hotel_name string, city string, stars int, rooms int, _loaded_at timestamp_ntz"
+        f"hotel_id {KEY}, hotel_name string, city string, stars int, rooms int, _loaded_at timestamp_ntz"
     ),
     "stg_staff": _schema(
-        "staff_id bigint, hotel_id bigint, staff_name string, role string, shift string, "
+        f"staff_id {KEY}, hotel_id {KEY}, staff_name string, role string, shift string, "
         "_loaded_at timestamp_ntz"
     ),
     "stg_reviews": _schema(
-        "review_id bigint, booking_id bigint, customer_id bigint, rating int, comments string, "
+        f"review_id {KEY}, booking_id {KEY}, customer_id {KEY}, rating int, comments string, "
         "sentiment string, _loaded_at timestamp_ntz"
     ),
     "stg_room_rates": _schema(
-        "room_rate_id bigint, hotel_id bigint, room_type string, price decimal(10,2), "
+        f"room_rate_id {KEY}, hotel_id {KEY}, room_type string, price decimal(10,2), "
         "discounted_price decimal(10,2), is_available boolean, _loaded_at timestamp_ntz"
     ),
 }
@@ -105,18 +117,18 @@ _VERSIONED = "eff_from timestamp_ntz, eff_to timestamp_ntz, is_current boolean,
 # Columns and types of the dimensions.
 DIM_SCHEMAS = {
     "dim_customers": _schema(
-        "customer_sk bigint, customer_id bigint, customer_name string, email string, phone string, "
+        f"customer_sk bigint, customer_id {KEY}, customer_name string, email string, phone string, "
         f"city string, {_VERSIONED}"
     ),
     "dim_hotels": _schema(
-        "hotel_id bigint, hotel_name string, city string, stars int, rooms int, _loaded_at timestamp_ntz"
+        f"hotel_id {KEY}, hotel_name string, city string, stars int, rooms int, _loaded_at timestamp_ntz"
     ),
     "dim_staff": _schema(
-        "staff_sk bigint, staff_id bigint, hotel_id bigint, staff_name string, role string, "
+        f"staff_sk bigint, staff_id {KEY}, hotel_id {KEY}, staff_name string, role string, "
         f"shift string, {_VERSIONED}"
     ),
     "dim_room_rates": _schema(
-        "room_rate_sk bigint, room_rate_id bigint, hotel_id bigint, room_type string, "
+        f"room_rate_sk bigint, room_rate_id {KEY}, hotel_id {KEY}, room_type string, "
         f"price decimal(10,2), discounted_price decimal(10,2), is_available boolean, {_VERSIONED}"
     ),
 }
@@ -124,12 +136,12 @@ DIM_SCHEMAS = {
 # Columns and types of the facts.
 FACT_SCHEMAS = {
     "fact_bookings": _schema(
-        "booking_id bigint, customer_sk bigint, hotel_id bigint, checkin_date date, checkout_date date, "
+        f"booking_id {KEY}, customer_sk bigint, hotel_id {KEY}, checkin_date date, checkout_date date, "
         "total_amount decimal(12,2), stay_duration int, is_high_value boolean, "
         "created_at timestamp_ntz, updated_at timestamp_ntz"
     ),
     "fact_reviews": _schema(
-        "review_id bigint, booking_id bigint, customer_sk bigint, rating int, comments string, "
+        f"review_id {KEY}, booking_id {KEY}, customer_sk bigint, rating int, comments string, "
         "sentiment string, created_at timestamp_ntz, updated_at timestamp_ntz"
     ),
 }
@@ -137,34 +149,34 @@ FACT_SCHEMAS = {
 # Columns and types of the marts.
 MART_SCHEMAS = {
     "mart_revenue": _schema(
-        "hotel_id bigint, hotel_name string, city string, stars int, booking_month date, "
+        f"hotel_id {KEY}, hotel_name string, city string, stars int, booking_month date, "
         "total_bookings bigint, total_revenue decimal(22,2), avg_booking_value double, "
         "high_value_count bigint"
     ),
     "mart_occupancy": _schema(
-        "hotel_id bigint, hotel_name string, city string, room_type string, total_bookings bigint, "
+        f"hotel_id {KEY}, hotel_name string, city string, room_type string, total_bookings bigint, "
         "avg_stay_days double, total_room_nights bigint"
     ),
     "mart_customer_segments": _schema(
-        "customer_id bigint, customer_name string, city string, total_bookings bigint, "
+        f"customer_id {KEY}, customer_name string, city string, total_bookings bigint, "
         "lifetime_value decimal(22,2), avg_spend_per_booking double, last_booking_date date, "
         "customer_tier string"
     ),
     "mart_satisfaction": _schema(
-        "hotel_id bigint, hotel_name string, city string, total_reviews bigint, avg_rating double, "
+        f"hotel_id {KEY}, hotel_name string, city string, total_reviews bigint, avg_rating double, "
         "positive_count bigint, neutral_count bigint, negative_count bigint, positive_pct double"
     ),
     "mart_staff": _schema(
-        "hotel_id bigint, hotel_name string, city string, role string, shift string, staff_count bigint"
+        f"hotel_id {KEY}, hotel_name string, city string, role string, shift string, staff_count bigint"
     ),
     "mart_hotel_performance": _schema(
-        "hotel_id bigint, hotel_name string, city string, stars int, total_revenue decimal(22,2), "
+        f"hotel_id {KEY}, hotel_name string, city string, stars int, total_revenue decimal(22,2), "
         "total_bookings bigint, avg_booking_value double, high_value_pct double, avg_stay_days double, "
         "avg_rating double, positive_pct double, total_staff bigint"
     ),
 }
 
-TABLE_SCHEMAS = {**STG_SCHEMAS, **DIM_SCHEMAS, **FACT_SCHEMAS, **MART_SCHEMAS}
+TABLE_SCHEMAS = {"rejects": QUARANTINE_SCHEMA, **STG_SCHEMAS, **DIM_SCHEMAS, **FACT_SCHEMAS, **MART_SCHEMAS}
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.schemas import FEED_SCHEMAS
@@ -28,6 +28,13 @@ def latest_batch(raw: DataFrame, offset: int) -> int:
     return offset if top is None else top
 
 
+def unread(raw: DataFrame, offset: int, wrong: Column) -> tuple[int, int]:
+    """``latest_batch`` and how many unread rows are ``wrong``, in one pass."""
+    rows = raw.where(F.col("_batch_id") > offset)
+    found = rows.agg(F.max("_batch_id").alias("top"), F.count_if(wrong).alias("wrong")).first()
+    return offset if found.top is None else found.top, found.wrong
+
+
 def feeds_ready(raw: Mapping[str, DataFrame], offsets: Mapping[str, int]) -> DataFrame:
     """One row with a boolean per feed: are there rows its consumer has not read?"""
 

@@ -11,7 +11,11 @@ Segments keep the rewrite small:
 * keyed tables (current dimension rows, facts) are cut by ranges of the business key, and
   a run rewrites only the ranges its delta falls into. New keys usually grow upwards and
   corrections concern recent keys, so old ranges stay untouched;
-* closed dimension versions are never rewritten: each run adds one segment of them.
+* closed dimension versions and rejected rows are added, one segment a run; ten segments of a
+  level become one of the next, so there are few however many runs there were.
+
+Commit records lie in epochs. The first record of an epoch holds the whole state, so only the
+records of the latest epoch are ever read.
 """
 
 from __future__ import annotations
@@ -22,19 +26,35 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.schemas import RAW_SCHEMAS, TABLE_SCHEMAS, conform
+from stayflow.schemas import QUARANTINE_SCHEMA, RAW_SCHEMAS, TABLE_SCHEMAS, conform
 
 WHOLE = "all"
 # Keys per segment of a keyed table; at about 100 bytes a row a full segment is some 10 GB.
 SEGMENT_WIDTH = 100_000_000
 # Ranges wrap around at this number, so sparse keys cannot make a segment each.
 MAX_SEGMENTS = 4096
+# Runs of one epoch of commit records, and segments of a level that are folded into one.
+EPOCH_RUNS = 10
+FOLD = 10
 COMMIT_SCHEMA = "run_id bigint, batch_ts string, kind string, name string, item string, value string"
 
 
 def segment_of(key: str, width: int) -> Column:
-    """The key range a row belongs to, as a number."""
-    return F.expr(f"pmod({key} div {width}, {MAX_SEGMENTS})")
+    """The key range a row belongs to, as a number. Keys of more than 18 digits, beyond any range
+    of close numbers, are dealt by hash."""
+    by_range = f"pmod(cast({key} as bigint) div {width}, {MAX_SEGMENTS})"
+    return F.expr(
+        f"case when abs({key}) < 1000000000000000000 then {by_range} else pmod(xxhash64({key}), {MAX_SEGMENTS}) end"
+    )
+
+
+def ranges_bitmap(key: str, width: int) -> Column:
+    """Aggregate of the key ranges that rows fall into, to be observed while they are written."""
+    return F.bitmap_construct_agg(segment_of(key, width))
+
+
+def ranges_in(bitmap: bytes | None) -> set[str]:
+    return {str(8 * i + bit) for i, byte in enumerate(bitmap or b"") for bit in range(8) if byte >> bit & 1}
 
 
 @dataclass(frozen=True)
@@ -45,6 +65,7 @@ class State:
     segments: dict[str, dict[str, str]] = field(default_factory=dict)
     offsets: dict[str, int] = field(default_factory=dict)
     marks: dict[str, int] = field(default_factory=dict)
+    epoch: int | None = None
 
 
 class Store:
@@ -83,27 +104,58 @@ class Store:
             .parquet(self.raw_path(feed))
         )
 
+    # -- quarantine ----------------------------------------------------------
+
+    def quarantine_path(self, feed: str) -> str:
+        return f"{self.root}/quarantine/{feed}"
+
+    def read_quarantine(self, feed: str) -> DataFrame:
+        """Input of a feed that was delivered damaged, partitioned by batch like the raw table."""
+        if not self.folders("quarantine", feed):
+            return self.spark.createDataFrame([], QUARANTINE_SCHEMA)
+        return self.spark.read.schema(QUARANTINE_SCHEMA).parquet(self.quarantine_path(feed))
+
+    def append_quarantine(self, feed: str, rows: DataFrame) -> None:
+        """Like ``append_raw``, a replayed batch replaces itself."""
+        (
+            conform(rows, QUARANTINE_SCHEMA)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("_batch_id")
+            .parquet(self.quarantine_path(feed))
+        )
+
     # -- commits -------------------------------------------------------------
 
-    def _commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(COMMIT_SCHEMA).json(self.path("commits", "*"))
-        except AnalysisException as err:
-            if "PATH_NOT_FOUND" not in str(err):
-                raise
-            return None
+    def folders(self, *parts: str) -> list[str]:
+        """Names in a folder of the store, none if it is missing."""
+        spark = self.spark
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path(*parts))
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        return [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+
+    def _latest_records(self) -> tuple[int | None, list]:
+        """The latest epoch with a record, and its records: at most ``EPOCH_RUNS`` small files. An epoch whose
+        first commit did not succeed has none."""
+        epochs = (int(name.split("=")[1]) for name in self.folders("commits") if name.startswith("epoch="))
+        for epoch in sorted(epochs, reverse=True):
+            runs = [r for r in self.folders("commits", f"epoch={epoch}") if r.startswith("run=")]
+            if runs:
+                paths = [self.path("commits", f"epoch={epoch}", r) for r in runs]
+                rows = self.spark.read.schema(COMMIT_SCHEMA).json(paths).collect()
+                if rows:
+                    return epoch, rows
+        return None, []
 
     def state(self) -> State:
-        """Latest committed value of every segment, offset and mark. A few hundred short
-        strings per run at most: one per segment the run rewrote."""
-        commits = self._commits()
-        if commits is None:
-            return State()
-        latest = commits.groupBy("kind", "name", "item").agg(
-            F.max_by("value", "run_id").alias("value"), F.max("run_id").alias("run_id")
-        )
+        """Latest committed value of every segment, offset and mark. One short string per live
+        segment, and per run one for each that it rewrote."""
+        epoch, records = self._latest_records()
+        latest = {}
+        for row in sorted(records, key=lambda r: r.run_id):
+            latest[row.kind, row.name, row.item] = row
         run_id, segments, offsets, marks = 0, {}, {}, {}
-        for row in latest.collect():
+        for row in latest.values():
             run_id = max(run_id, row.run_id)
             if row.kind == "segment":
                 table = segments.setdefault(row.name, {})
@@ -113,7 +165,7 @@ class Store:
                 offsets[row.name] = int(row.value)
             elif row.kind == "mark":
                 marks[row.name] = int(row.value)
-        return State(run_id, segments, offsets, marks)
+        return State(run_id, segments, offsets, marks, epoch)
 
     def read(self, table: str) -> DataFrame:
         """The committed rows of a table; empty with the declared schema before its first load."""
@@ -126,8 +178,18 @@ class Store:
         paths = [self.path(p) for p in sorted(segments.values())]
         return self.spark.read.schema(schema).parquet(*paths)
 
-    def begin(self, run_id: int, batch_ts: str) -> Run:
-        return Run(self, self.state(), run_id, batch_ts)
+    def begin(self, run_id: int, batch_ts: str, state: State | None = None) -> Run:
+        """``state`` if the caller has just read it."""
+        return Run(self, state or self.state(), run_id, batch_ts)
+
+
+@dataclass(frozen=True)
+class Staged:
+    """What was counted while a staging table was written: rows, bytes of text, key ranges."""
+
+    rows: int
+    text_bytes: int
+    ranges: set[str]
 
 
 class Run:
@@ -136,13 +198,15 @@ class Run:
     def __init__(self, store: Store, base: State, run_id: int, batch_ts: str):
         self.store, self.base, self.run_id, self.batch_ts = store, base, run_id, batch_ts
         self.written: dict[str, dict[str, str]] = {}
+        self.folded: dict[str, set[str]] = {}  # segments that are part of a larger one now
         self.marks: dict[str, int] = {}
-        self.staged: dict[str, tuple[int, int]] = {}  # rows and text bytes per staging table
+        self.staged: dict[str, Staged] = {}
 
     # -- reading -------------------------------------------------------------
 
     def segments(self, table: str) -> dict[str, str]:
-        return {**self.base.segments.get(table, {}), **self.written.get(table, {})}
+        live = {**self.base.segments.get(table, {}), **self.written.get(table, {})}
+        return {s: p for s, p in live.items() if s not in self.folded.get(table, ())}
 
     def read(self, table: str) -> DataFrame:
         return self.store._read_segments(table, self.segments(table))
@@ -178,16 +242,32 @@ class Run:
         self._write(table, df, folder)
         self.written[table] = {WHOLE: folder}
 
-    def add_closed(self, table: str, df: DataFrame) -> None:
-        """Append closed versions as one more segment."""
-        segment = f"closed-{self.run_id}"
+    def add(self, table: str, df: DataFrame, kind: str, part: str = "") -> str:
+        """Append rows as one more segment of a kind."""
+        segment = f"{kind}-0-{self.run_id}{part}"
         folder = f"{self.folder(table)}/{segment}"
         self._write(table, df, folder)
         self.written.setdefault(table, {})[segment] = folder
-
-    def drop_closed(self, table: str) -> None:
-        """Leave this run's closed segment out of the table again: it came out empty."""
-        self.written[table].pop(f"closed-{self.run_id}")
+        return segment
+
+    def leave_out(self, table: str, segment: str) -> None:
+        """Leave a segment of this run out of the table again: it came out empty."""
+        self.written[table].pop(segment)
+
+    def fold(self, table: str, kind: str) -> None:
+        """Write every ``FOLD`` segments of a level as one of the next level. A row is written
+        again once a level, and a table has fewer than ``FOLD`` segments of each."""
+        level = 0
+        while True:
+            live = {s: p for s, p in self.segments(table).items() if s.startswith(f"{kind}-{level}-")}
+            if len(live) < FOLD:
+                return
+            level += 1
+            segment = f"{kind}-{level}-{self.run_id}"
+            folder = f"{self.folder(table)}/{segment}"
+            self._write(table, self.store._read_segments(table, live), folder)
+            self.written.setdefault(table, {})[segment] = folder
+            self.folded.setdefault(table, set()).update(live)
 
     def replace_ranges(
         self, table: str, key: str, ranges: set[str], df: DataFrame, in_place: bool = False
@@ -218,13 +298,20 @@ class Run:
 
     def commit(self, offsets: dict[str, int]) -> None:
         """Publish everything at once by writing the run's single commit file."""
+        epoch = self.run_id // EPOCH_RUNS
+        whole = epoch != self.base.epoch
+        tables = {*self.written, *self.folded, *(self.base.segments if whole else ())}
         records = []
-        for table, segments in self.written.items():
-            dropped = {}
-            if WHOLE in segments:
-                dropped = {s: None for s in self.base.segments.get(table, {}) if s not in segments}
-            for item, value in {**segments, **dropped}.items():
+        for table in sorted(tables):
+            live = self.segments(table)
+            if WHOLE in live:
+                live = {WHOLE: live[WHOLE]}
+            before = {} if whole else self.base.segments.get(table, {})
+            changed = {s: p for s, p in live.items() if before.get(s) != p}
+            for item, value in {**changed, **{s: None for s in before if s not in live}}.items():
                 records.append(("segment", table, item, value))
+        if whole:
+            offsets, self.marks = {**self.base.offsets, **offsets}, {**self.base.marks, **self.marks}
         records += [("offset", feed, "", str(hi)) for feed, hi in offsets.items()]
         records += [("mark", name, "", str(value)) for name, value in self.marks.items()]
         rows = [(self.run_id, self.batch_ts, *r) for r in records]
@@ -233,11 +320,5 @@ class Run:
             spark.createDataFrame(rows, COMMIT_SCHEMA)
             .coalesce(1)
             .write.mode("overwrite")
-            .json(self.store.path("commits", f"run={self.run_id}"))
+            .json(self.store.path("commits", f"epoch={epoch}", f"run={self.run_id}"))
         )
-
-
-def ranges_of(df: DataFrame, key: str, width: int) -> set[str]:
-    """The key ranges a delta falls into: at most ``MAX_SEGMENTS`` short strings."""
-    rows = df.select(segment_of(key, width).alias("r")).distinct()
-    return {str(row.r) for row in rows.collect()}

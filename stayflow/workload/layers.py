@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from stayflow.plans import core, marts
 from stayflow.plans.run import together
 from stayflow.plans.staging import STAGERS
-from stayflow.schemas import TABLE_SCHEMAS
+from stayflow.schemas import KEY, TABLE_SCHEMAS
 from stayflow.sources.files import timestamp_literal
 from stayflow.sources.scratch import materialise, shared_dir
 from stayflow.sources.store import Store
@@ -133,8 +133,9 @@ def layers_for(spark: SparkSession, sf_dir: str) -> Layers:
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Output form shared with the checking engine: decimals as double, dates as text."""
-    shown = {"date": "string", "decimal": "double"}
+    """Output form shared with the checking engine: decimals as double, dates as text, and business
+    keys as 64-bit numbers, which all keys of the given tables fit into."""
+    shown = {"date": "string", "decimal": "double", KEY: "bigint"}
     return df.select(
-        *[F.col(name).cast(shown.get(kind.split("(")[0], kind)).alias(name) for name, kind in df.dtypes]
+        *[F.col(name).cast(shown.get(kind, shown.get(kind.split("(")[0], kind))).alias(name) for name, kind in df.dtypes]
     )

@@ -230,14 +230,14 @@ def _(x: Layers) -> DataFrame:
 def _(x: Layers) -> DataFrame:
     path = x.fresh_path("customers")
     landing.land(x.raw("customers", 1), "customers", path)
-    return read_csv_feed(x.spark, path, FEED_SCHEMAS["customers"]).drop("_metadata")
+    return read_csv_feed(x.spark, path, FEED_SCHEMAS["customers"]).select(*FEED_SCHEMAS["customers"].fieldNames())
 
 
 @register("src_json_feed", tokens_sql("reviews", "reviews_raw1"))
 def _(x: Layers) -> DataFrame:
     path = x.fresh_path("reviews")
     landing.land(x.raw("reviews", 1), "reviews", path)
-    return read_json_feed(x.spark, path, FEED_SCHEMAS["reviews"]).drop("_metadata")
+    return read_json_feed(x.spark, path, FEED_SCHEMAS["reviews"]).select(*FEED_SCHEMAS["reviews"].fieldNames())
 
 
 @register(

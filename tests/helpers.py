@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from stayflow.schemas import FEED_SCHEMAS
+from stayflow.schemas import FEED_SCHEMAS, KEY
 
 
 def new_dir(name: str = "run") -> str:
@@ -30,6 +31,13 @@ def raw_rows(spark, feed, rows, batch=1, loaded="2024-06-01 05:00:00", filename=
     )
 
 
+def typed(spark, rows, schema):
+    """Rows of a declared table, business keys given as plain integers."""
+    keys = [f.dataType.simpleString() == KEY for f in schema.fields]
+    cast = [tuple(Decimal(v) if k and v is not None else v for k, v in zip(keys, row)) for row in rows]
+    return spark.createDataFrame(cast, schema)
+
+
 def rows_of(df, *drop):
     keep = [c for c in df.columns if c not in drop]
     return sorted((tuple(r) for r in df.select(*sorted(keep)).collect()), key=repr)

@@ -5,7 +5,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows_of
+from helpers import typed, rows_of
 from stayflow.plans import marts, reports
 from stayflow.schemas import DIM_SCHEMAS, FACT_SCHEMAS
 
@@ -38,7 +38,7 @@ def core(spark):
     ]
 
     def frame(rows, schema):
-        return spark.createDataFrame(rows, schema).cache()
+        return typed(spark, rows, schema).cache()
 
     return {
         "hotels": frame(hotels, DIM_SCHEMAS["dim_hotels"]),

@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from helpers import new_dir, raw_rows, rows_of
+from helpers import new_dir, plan_of, raw_rows, rows_of
 from stayflow.operators.dedup import dedup_latest, latest_by_number, latest_first
 from stayflow.operators.delta import small_anti, small_semi
 from stayflow.operators.joins import join_preaggregated
@@ -188,6 +188,18 @@ def test_global_rank_equals_sorting(spark, values):
     assert got == {i: 1 + ahead(v) for i, v in enumerate(values)}
 
 
+def test_rank_of_a_value_that_fills_many_partitions(spark):
+    df = spark.range(4000).selectExpr("id", "case when id % 4 = 0 then null when id % 4 < 3 then 7 else id end as v")
+    ranked = global_rank(df.repartition(5), "v", "rank", new_dir("rank") + "/w")
+    got = {r.id: r.rank for r in ranked.collect()}
+    above = sum(1 for i in range(4000) if i % 4 == 3 and i > 7)
+    assert all(got[i] == 1 + above for i in range(4000) if i % 4 in (1, 2))
+    assert all(got[i] == 3001 for i in range(0, 4000, 4))
+    assert got[3] == 3000 and got[3999] == 1
+    plan = plan_of(ranked)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
 # -- fan-out -----------------------------------------------------------------------------
 
 

@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 
 import stayflow.plans.run as run_module
-from helpers import new_dir, raw_rows, rows_of
+from helpers import new_dir, raw_rows, rows_of, typed
 from stayflow.operators import delta
 from stayflow.plans.run import read_run_log, run_history, run_pipeline, write_log
 from stayflow.schemas import FEED_SCHEMAS, TABLE_SCHEMAS
@@ -144,7 +144,7 @@ def test_feeds_ready_follows_offsets(spark):
 
 def test_replaced_table_is_readable_while_it_is_rewritten(spark):
     store = Store(spark, new_dir("store"))
-    hotels = spark.createDataFrame([(1, "Inn", "Rome", 3, 9, None)], TABLE_SCHEMAS["dim_hotels"])
+    hotels = typed(spark, [(1, "Inn", "Rome", 3, 9, None)], TABLE_SCHEMAS["dim_hotels"])
     first = store.begin(1, "2024-06-01 06:00:00")
     first.replace("dim_hotels", hotels)
     first.commit({})
@@ -157,8 +157,73 @@ def test_replaced_table_is_readable_while_it_is_rewritten(spark):
 
 
 def test_sparse_keys_share_a_bounded_number_of_segments(spark):
-    from stayflow.sources.store import MAX_SEGMENTS, ranges_of
+    from stayflow.sources.store import MAX_SEGMENTS, ranges_bitmap, ranges_in, segment_of
 
     keys = spark.range(20_000).selectExpr("xxhash64(id) as k")
-    ranges = ranges_of(keys, "k", 10)
+    keys = keys.unionByName(spark.range(500).selectExpr("cast(concat('9', repeat('8', 25), id) as decimal(38,0)) as k"))
+    ranges = {str(r.s) for r in keys.select(segment_of("k", 10).alias("s")).distinct().collect()}
     assert len(ranges) <= MAX_SEGMENTS and all(0 <= int(r) < MAX_SEGMENTS for r in ranges)
+    assert ranges_in(keys.agg(ranges_bitmap("k", 10)).first()[0]) == ranges
+
+
+def test_state_stays_small_over_many_runs(spark):
+    """Fifty runs that each append a segment, replace a table and move an offset and a mark."""
+    from stayflow.sources.store import EPOCH_RUNS, FOLD
+
+    store = Store(spark, new_dir("store"))
+    hotels = typed(spark, [(1, "Inn", "Rome", 3, 9, None)], TABLE_SCHEMAS["dim_hotels"])
+    versions = typed(
+        spark, [(1, 5, "Ann", None, None, "Rome", None, None, False, None)], TABLE_SCHEMAS["dim_customers"]
+    ).coalesce(1)
+    for run_id in range(1, 51):
+        run = store.begin(run_id, "2024-06-01 06:00:00")
+        if run_id == 1:
+            run.replace("dim_hotels", hotels)
+        run.add("dim_customers", versions, "closed")
+        run.fold("dim_customers", "closed")
+        run.marks["customer_sk"] = run_id
+        run.commit({"hotels": run_id} if run_id % 2 else {})
+    state = store.state()
+    assert (state.run_id, state.offsets, state.marks) == (50, {"hotels": 49}, {"customer_sk": 50})
+    assert len(state.segments["dim_customers"]) < 2 * FOLD
+    assert store.read("dim_customers").count() == 50 and store.read("dim_hotels").count() == 1
+    epoch, records = store._latest_records()
+    assert epoch == 50 // EPOCH_RUNS and len({r.run_id for r in records}) <= EPOCH_RUNS
+    # An epoch whose first commit left nothing behind is not looked at.
+    (spark.range(0).write.mode("overwrite").json(store.path("commits", "epoch=9", "run=90")))
+    assert store.state() == state
+
+
+def test_wide_keys_and_rejected_rows(spark):
+    """Keys of up to 38 digits reach the facts; rows without a usable key are kept and counted."""
+    store, wide = Store(spark, new_dir("store")), "12345678901234567890"
+    widest = "9" * 38
+    feeds = {
+        "bookings": [(wide, widest, "7", DAY, DAY, 10, 2, "yes"), ("b7", "1", "7", DAY, DAY, 1, 2, "no"),
+                     (None, "1", "7", DAY, DAY, 1, 2, "no"), ("9" * 39, "1", "7", DAY, DAY, 1, 2, "no"),
+                     (f" 00{wide} ", widest, "7", DAY, DAY, 10, 2, "yes")],
+        "customers": [(widest, "ann", None, None, "rome")],
+        "hotels": [(7, "inn", "rome", 3, 10)],
+        "reviews": [("1.5e2", wide, widest, 4, "ok", "positive"), ("x", wide, widest, 4, "ok", "positive")],
+    }
+    for feed, rows in feeds.items():
+        store.append_raw(feed, raw_rows(spark, feed, rows))
+    got = counts(run_pipeline(store, "2024-06-01 06:00:00"))
+    assert got["stg_bookings"] == {"staged": 1, "rejected": 3, "damaged": 0}
+    assert got["stg_reviews"] == {"staged": 1, "rejected": 1, "damaged": 0}
+    assert got["stg_hotels"] == {"staged": 1, "rejected": 0, "damaged": 0}
+    (fact,) = store.read("fact_bookings").collect()
+    assert (str(fact.booking_id), fact.customer_sk, str(fact.hotel_id)) == (wide, 1, "7")
+    (review,) = store.read("fact_reviews").collect()
+    assert (str(review.review_id), str(review.booking_id)) == ("150", wide)
+    assert str(store.read("dim_customers").first().customer_id) == widest
+    assert store.read("mart_satisfaction").first().total_reviews == 1
+    rejects = store.read("rejects").orderBy("feed", "key_text").collect()
+    assert [(r.feed, r.key_text) for r in rejects] == [
+        ("bookings", None), ("bookings", "9" * 39), ("bookings", "b7"), ("reviews", "x")]
+    assert {r.reason for r in rejects} == {"key is no number"} and '"hotelid":"7"' in rejects[2].record
+    # A second delivery of the same keys finds its rows again.
+    store.append_raw("bookings", raw_rows(spark, "bookings", [(wide, widest, "7", DAY, DAY, 99, 2, "yes")], batch=2))
+    got = counts(run_pipeline(store, "2024-06-02 06:00:00"))
+    assert got["fact_bookings"] == {"inserted": 0, "updated": 1}
+    assert got["stg_bookings"]["rejected"] == 0 and store.read("rejects").count() == 4
