@@ -40,12 +40,12 @@ COMMIT_SCHEMA = "run_id bigint, batch_ts string, kind string, name string, item
 
 
 def segment_of(key: str, width: int) -> Column:
-    """The key range a row belongs to, as a number. Keys of more than 18 digits, beyond any range
-    of close numbers, are dealt by hash."""
+    """The key range a row belongs to, as a number. A key of more than 18 digits goes by what stands
+    before its last nine digits, hashed, so close ones stay together too."""
     by_range = f"pmod(cast({key} as bigint) div {width}, {MAX_SEGMENTS})"
-    return F.expr(
-        f"case when abs({key}) < 1000000000000000000 then {by_range} else pmod(xxhash64({key}), {MAX_SEGMENTS}) end"
-    )
+    digits = f"cast({key} as string)"
+    by_head = f"pmod(xxhash64(left({digits}, length({digits}) - 9)), {MAX_SEGMENTS})"
+    return F.expr(f"case when abs({key}) < 1000000000000000000 then {by_range} else {by_head} end")
 
 
 def ranges_bitmap(key: str, width: int) -> Column:

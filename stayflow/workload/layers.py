@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayflow.plans import core, marts
-from stayflow.plans.run import together
+from stayflow.plans.run import StepResult, together
 from stayflow.plans.staging import STAGERS
 from stayflow.schemas import KEY, TABLE_SCHEMAS
 from stayflow.sources.files import timestamp_literal
@@ -33,7 +33,8 @@ class Layers:
         self.spark, self.sf_dir = spark, sf_dir
         self.stored: dict[str, DataFrame] = {}
         self.locks: dict[str, threading.Lock] = {}
-        self.two_runs: Store | None = None
+        self.two_runs: tuple[Store, dict[int, list[StepResult]]] | None = None
+        self.run_of_keys: tuple[Store, list[StepResult]] | None = None
         self.work = shared_dir(spark)
 
     def fresh_path(self, name: str) -> str:

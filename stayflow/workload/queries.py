@@ -18,12 +18,23 @@ from stayflow.operators.lookup import lookup_current_sk, unmatched
 from stayflow.operators.merge import merge_upsert
 from stayflow.operators.scd2 import scd2_apply, scd2_expire, scd2_insert
 from stayflow.plans import core, marts, reports
-from stayflow.plans.run import read_run_log, recent_runs, run_pipeline, together
-from stayflow.plans.staging import STAGERS
-from stayflow.schemas import FEED_SCHEMAS
+from stayflow.plans.run import StepResult, read_run_log, recent_runs, run_pipeline, together
+from stayflow.plans.staging import BAD_KEY, STAGERS
+from stayflow.schemas import FEED_KEYS, FEED_SCHEMAS, RAW_SCHEMAS
 from stayflow.session import require
 from stayflow.sources.changes import feeds_ready, latest_batch, read_changes
-from stayflow.sources.files import null_tokens, read_csv_feed, read_json_feed, with_load_metadata
+from stayflow.sources.files import (
+    DAMAGE,
+    LINES,
+    OBJECT,
+    RECORD,
+    WIDTH,
+    null_tokens,
+    read_csv_feed,
+    read_json_feed,
+    timestamp_literal,
+    with_load_metadata,
+)
 from stayflow.sources.store import Store
 from stayflow.streaming.ingest import ingest_feed
 from stayflow.workload import landing, oracle
@@ -271,6 +282,89 @@ def _(x: Layers) -> DataFrame:
     return store.read_raw("bookings").select(*FEED_SCHEMAS["bookings"].fieldNames(), "_batch_id", "_loaded_at")
 
 
+# Line breaks and quotes in the names of every third customer.
+_BROKEN_NAMES = (
+    "select cast(c_custkey as string) as customerid, case when c_custkey % 3 = 0 "
+    "then concat(c_name, {nl}, 'the \"', c_mktsegment, '\",', {nl}) else c_name end as customername, "
+    "c_phone_like as email, cast(c_nationkey as string) as phone, c_mktsegment as city from "
+    "(select *, concat(lower(c_name), '@x.y') as c_phone_like from {customer}) c"
+)
+
+
+@register("src_csv_line_breaks", _BROKEN_NAMES.format(nl="chr(10)", customer="customer"))
+def _(x: Layers) -> DataFrame:
+    rows = run_sql(x.spark, x.sf_dir, _BROKEN_NAMES.replace("{nl}", "chr(10)"))
+    path = x.fresh_path("customers")
+    landing.land(rows, "customers", path)
+    return read_csv_feed(x.spark, path, FEED_SCHEMAS["customers"], multi_line=True).select(*rows.columns)
+
+
+# Hotel records of three to seven fields.
+_WIDTHS = (
+    "select s_suppkey, s_name, concat_ws(',', cast(s_suppkey as string), s_name, 'rome'"
+    ", case when s_suppkey % 5 > 0 then '3' end, case when s_suppkey % 5 > 1 then '40' end"
+    ", case when s_suppkey % 5 > 2 then 'more' end, case when s_suppkey % 5 > 3 then 'still' end) as line from {supplier}"
+)
+
+
+def write_lines(rows: DataFrame, path: str) -> None:
+    """Column ``line`` as it is, under a header in every file."""
+    rows.select("line").write.csv(path, header=True, sep="\x01", quote="\x00")
+
+
+@register(
+    "src_csv_widths",
+    "select cast(s_suppkey as varchar) as hotelid, s_name as hotelname, 'rome' as city, "
+    "if(s_suppkey % 5 > 0, '3', null) as stars, if(s_suppkey % 5 > 1, '40', null) as rooms, "
+    f"if(s_suppkey % 5 = 2, null, '{WIDTH}') as damage, if(s_suppkey % 5 = 2, null, line) as record "
+    f"from ({_WIDTHS.format(supplier='supplier')}) lines",
+)
+def _(x: Layers) -> DataFrame:
+    path = x.fresh_path("hotels")
+    write_lines(run_sql(x.spark, x.sf_dir, _WIDTHS), path)
+    rows = read_csv_feed(x.spark, path, FEED_SCHEMAS["hotels"])
+    return rows.select(*FEED_SCHEMAS["hotels"].fieldNames(), F.col(DAMAGE).alias("damage"), F.col(RECORD).alias("record"))
+
+
+# An array of one object in every line; every seventh event's is cut off.
+_OBJECT_LINES = (
+    "select event_id, event_type, case when event_id % 7 = 3 then substr(object, 1, length(object) - 3) else object end as line "
+    "from (select event_id, event_type, concat('[{{\"reviewid\":', cast(event_id as string), ',\"sentiment\":\"', "
+    "event_type, '\"}}]') as object from {events}) o"
+)
+
+
+@register(
+    "src_json_lines",
+    "select if(event_id % 7 = 3, null, cast(event_id as varchar)) as reviewid, "
+    "if(event_id % 7 = 3, null, event_type) as sentiment, "
+    f"if(event_id % 7 = 3, '{OBJECT}', null) as damage, if(event_id % 7 = 3, line, null) as record "
+    f"from ({_OBJECT_LINES.format(events='events')}) lines",
+)
+def _(x: Layers) -> DataFrame:
+    path = x.fresh_path("reviews")
+    run_sql(x.spark, x.sf_dir, _OBJECT_LINES).select("line").write.text(path)
+    rows = read_json_feed(x.spark, path, FEED_SCHEMAS["reviews"], layout=LINES)
+    return rows.select("reviewid", "sentiment", F.col(DAMAGE).alias("damage"), F.col(RECORD).alias("record"))
+
+
+@register(
+    "ingest_quarantine",
+    "select 'hotels' as feed, key_text, reason, record from (select cast(s_suppkey as varchar) as key_text, "
+    f"'{WIDTH}' as reason, line as record from ({_WIDTHS.format(supplier='supplier')}) h where s_suppkey % 5 <> 2) "
+    f"union all select 'reviews', null, '{OBJECT}', line from ({_OBJECT_LINES.format(events='events')}) r "
+    "where event_id % 7 = 3",
+)
+def _(x: Layers) -> DataFrame:
+    store, files = Store(x.spark, x.fresh_path("store")), x.fresh_path("landing")
+    write_lines(run_sql(x.spark, x.sf_dir, _WIDTHS), f"{files}/hotels")
+    run_sql(x.spark, x.sf_dir, _OBJECT_LINES).select("line").write.text(f"{files}/reviews")
+    for feed in ("hotels", "reviews"):
+        ingest_feed(store, feed, f"{files}/{feed}", FIRST_LOAD, layout=LINES)
+    both = store.read_quarantine("hotels").unionByName(store.read_quarantine("reviews"))
+    return both.select("feed", "key_text", "reason", "record")
+
+
 @register("sink_full_refresh", shown("hotels_stg2"))
 def _(x: Layers) -> DataFrame:
     store = Store(x.spark, x.fresh_path("store"))
@@ -375,6 +469,81 @@ def _(x: Layers) -> DataFrame:
     return require_key(x.raw("bookings"), "hotelid").select("bookingid", "hotelid")
 
 
+# Spellings of a key, some beyond 64 bits and some that are none.
+_KEYS = variants(
+    "o_orderkey",
+    "orders",
+    ORDER_KEY,
+    f"concat('12345678901234', lpad({ORDER_KEY}, 10, '0'))",
+    f"concat('  00', {ORDER_KEY}, ' ')",
+    f"concat('b', {ORDER_KEY})",
+    "''",
+    "cast(null as string)",
+    f"concat('{'9' * 32}', lpad({ORDER_KEY}, 10, '0'))",
+)
+_KEYS_HERE = _KEYS.format(orders="orders")
+
+
+def _run_of_keys(x: Layers) -> tuple[Store, list[StepResult]]:
+    """A run over bookings with these keys, made once per session and tables folder."""
+    with x.locks.setdefault("run_of_keys", threading.Lock()):
+        if x.run_of_keys is None:
+            store = Store(x.spark, x.fresh_path("store"))
+            columns = {c: F.lit(None).cast("string") for c in RAW_SCHEMAS["bookings"].fieldNames()}
+            columns |= {"bookingid": F.col("v"), "hotelid": F.col("v"), "_loaded_at": timestamp_literal(FIRST_LOAD)}
+            columns |= {"_filename": F.lit("keys"), "_batch_id": F.lit(1)}
+            rows = run_sql(x.spark, x.sf_dir, _KEYS).select(*[c.alias(name) for name, c in columns.items()])
+            store.append_raw("bookings", rows)
+            x.run_of_keys = store, run_pipeline(store, RUN_TIMES[1])
+    return x.run_of_keys
+
+
+@register(
+    "stg_wide_keys",
+    "select distinct cast(try_cast(v as decimal(38,0)) as varchar) as booking_id, "
+    "cast(try_cast(v as decimal(38,0)) as varchar) as hotel_id, "
+    f"true as in_fact from ({_KEYS_HERE}) k where try_cast(v as decimal(38,0)) is not null",
+)
+def _(x: Layers) -> DataFrame:
+    store, _ = _run_of_keys(x)
+    facts = store.read("fact_bookings").select("booking_id", F.lit(True).alias("in_fact"))
+    staged = store.read("stg_bookings").select("booking_id", "hotel_id").join(facts, "booking_id", "left")
+    return staged.select(*[F.col(c).cast("string").alias(c) for c in ("booking_id", "hotel_id")], "in_fact")
+
+
+@register(
+    "stage_rejects",
+    f"select 'bookings' as feed, '{BAD_KEY}' as reason, v as key_text, 'keys' as _filename, 1::bigint as _batch_id "
+    f"from ({_KEYS_HERE}) k where try_cast(v as decimal(38,0)) is null",
+)
+def _(x: Layers) -> DataFrame:
+    store, _ = _run_of_keys(x)
+    return store.read("rejects").select("feed", "reason", "key_text", "_filename", "_batch_id")
+
+
+@register(
+    "step_rejects",
+    "select 'stg_bookings' as table_name, unnest(['staged', 'rejected', 'damaged']) as measure, "
+    "unnest([count(distinct try_cast(v as decimal(38,0))), count(*) filter (where try_cast(v as decimal(38,0)) is null), 0]) "
+    f"as n from ({_KEYS_HERE}) k",
+)
+def _(x: Layers) -> DataFrame:
+    _, steps = _run_of_keys(x)
+    return step_counts(x, {1: steps}).where("table_name = 'stg_bookings'").drop("run")
+
+
+def step_counts(x: Layers, runs: dict[int, list[StepResult]]) -> DataFrame:
+    """(run, table_name, measure, n): what the steps of runs say they did."""
+    rows = [
+        (run, table, measure, n)
+        for run, steps in runs.items()
+        for step in steps
+        for table, counts in step.counts.items()
+        for measure, n in counts.items()
+    ]
+    return x.spark.createDataFrame(rows, "run int, table_name string, measure string, n bigint")
+
+
 STAGED_MONEY = {"bookings": ("total_amount",), "room_rates": ("price", "discounted_price")}
 
 for _feed in STAGERS:
@@ -711,12 +880,57 @@ def _two_runs(x: Layers) -> Store:
     """A store after both deliveries have run, made once per session and tables folder."""
     with x.locks.setdefault("two_runs", threading.Lock()):
         if x.two_runs is None:
-            store = Store(x.spark, x.fresh_path("store"))
+            store, steps = Store(x.spark, x.fresh_path("store")), {}
             for batch in (1, 2):
                 append(x, store, FEED_SCHEMAS, batch)
-                run_pipeline(store, RUN_TIMES[batch])
-            x.two_runs = store
-    return x.two_runs
+                steps[batch] = run_pipeline(store, RUN_TIMES[batch])
+            x.two_runs = store, steps
+    return x.two_runs[0]
+
+
+def _counted(run: int, table: str, **counts: str) -> str:
+    return " union all ".join(
+        f"select {run} as run, '{table}' as table_name, '{measure}' as measure, ({count})::bigint as n"
+        for measure, count in counts.items()
+    )
+
+
+def _step_counts_sql() -> str:
+    parts = []
+    for batch in (1, 2):
+        for feed, key in FEED_KEYS.items():
+            bad = f"select count(*) from {feed}_raw{batch} where try_cast({key} as decimal(38,0)) is null"
+            parts.append(_counted(batch, f"stg_{feed}", staged=f"select count(*) from {feed}_stg{batch}", rejected=bad, damaged="select 0"))
+    changed = oracle.differs("d", "s", ["hotel_name", "city", "stars", "rooms"])
+    parts.append(_counted(1, "dim_hotels", inserted="select count(*) from hotels_dim1", updated="select 0"))
+    parts.append(
+        _counted(
+            2,
+            "dim_hotels",
+            inserted="select count(*) from hotels_stg2 s anti join hotels_dim1 d using (hotel_id)",
+            updated=f"select count(*) from hotels_stg2 s join hotels_dim1 d using (hotel_id) where {changed}",
+        )
+    )
+    for feed in core.VERSIONED:
+        parts.append(_counted(1, f"dim_{feed}", inserted=f"select count(*) from {feed}_dim1", expired="select 0"))
+        closed = f"select count(*) from {feed}_old2 where not is_current"
+        parts.append(_counted(2, f"dim_{feed}", inserted=f"select count(*) from {feed}_new2", expired=closed))
+    for feed, key in (("bookings", "booking_id"), ("reviews", "review_id")):
+        parts.append(_counted(1, f"fact_{feed}", inserted=f"select count(*) from {feed}_fact1", updated="select 0"))
+        new = f"select count(*) from {feed}_src2 s anti join {feed}_fact1 f using ({key})"
+        late = f"select count(*) from {feed}_fact2 where updated_at is not null"
+        parts.append(_counted(2, f"fact_{feed}", inserted=new, updated=late))
+    for mart in ("mart_revenue", "mart_occupancy", "mart_customer_segments", "mart_satisfaction", "mart_staff"):
+        parts.append(_counted(2, mart, rows=f"select count(*) from {mart}"))
+    parts.append(_counted(2, "mart_hotel_performance", rows="select count(*) from performance"))
+    return with_parts(" union all ".join(parts))
+
+
+@register("step_counts", _step_counts_sql())
+def _(x: Layers) -> DataFrame:
+    _two_runs(x)
+    # The marts of the first run have no twin.
+    return step_counts(x, x.two_runs[1]).where("run = 2 or table_name not like 'mart%'")
 
 
 @register("pipeline_two_batches", shown("performance"))
