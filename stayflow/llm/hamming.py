@@ -14,14 +14,14 @@ BITS = 64
 
 def sign_code(vector: str) -> Column:
     """64-bit code of a vector: bit i is set where component i is above 0. Components from 64 on
-    fold onto the bits again by exclusive or; null components and vectors count as 0."""
+    fold onto the bits again by exclusive or; null components count as 0, a null vector has no code."""
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
 
     def bit(x: Column, i: Column) -> Column:
         return F.when(x > 0, F.call_function("shiftleft", one, i % BITS)).otherwise(zero)
 
     bits = F.transform(vector, bit)
-    return F.coalesce(F.aggregate(bits, zero, lambda a, b: a.bitwiseXOR(b)), zero)
+    return F.aggregate(bits, zero, lambda a, b: a.bitwiseXOR(b))
 
 
 def nearest(
@@ -111,7 +111,9 @@ def _met(queries: DataFrame, index: DataFrame, radius: int, segments: int, width
     """(q, code, distance) of the pairs whose closest segment is at this radius."""
     masks = [str(sum(1 << i for i in bits)) for bits in combinations(range(width), radius)]
     flips = F.split(F.lit(",".join(masks)), ",").cast("array<int>")  # one constant
-    parts = queries.select(F.col("code").alias("q"), "far", _segments("code", segments, width))
+    # Stored queries may lie in one file; each becomes many rows here, so they are dealt out first.
+    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = queries.repartition(tasks, "code").select(F.col("code").alias("q"), "far", _segments("code", segments, width))
     probes = parts.select("q", "far", "segment", "value", F.explode(flips).alias("flip"))
     probes = probes.select("q", "far", "segment", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
     # Spark sizes the probes as if they had not been multiplied, and must not broadcast them.

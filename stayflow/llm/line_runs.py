@@ -117,20 +117,25 @@ def remove_repeated_runs(
     found = repeated_lines(df, key, text, settings)
     made = ["removed_lines", "removed_runs", "longest_block"]
     kept = [c for c in df.columns if c not in made]
-    tagged = df.select(*kept, F.col(key).alias("_own_key"), F.xxhash64(text).alias("_own_tie"))
-    found = found.select(F.struct("*").alias("_found"))
-    same = (F.col("_own_key") == F.col("_found.key")) & (F.col("_own_tie") == F.col("_found.tie"))
+    # The table's own columns are numbered meanwhile, so that they cannot have a name used here.
+    number = {c: f"own {i}" for i, c in enumerate(kept)}
+    tagged = df.select(
+        *[F.col(c).alias(n) for c, n in number.items()], F.col(key).alias("key"), F.xxhash64(text).alias("tie")
+    )
+    found = found.select(F.struct("*").alias("found"))
+    same = (F.col("key") == F.col("found.key")) & (F.col("tie") == F.col("found.tie"))
     met = tagged.join(found, same, "left")
-    removed = F.coalesce(F.col("_found.removed"), F.array().cast("array<int>"))
-    met = met.select(*kept, removed.alias("removed_lines"), F.col("_found.longest").alias("_longest"))
-    left = F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains("removed_lines", i))
-    shorter = F.when(F.size("removed_lines") == 0, F.col(text)).otherwise(F.array_join(left, "\n"))
+    removed = F.coalesce(F.col("found.removed"), F.array().cast("array<int>"))
+    met = met.select(*number.values(), removed.alias("removed_lines"), F.col("found.longest").alias("longest"))
+    own_text = number[text]
+    left = F.filter(F.split(own_text, "\n"), lambda line, i: ~F.array_contains("removed_lines", i))
+    shorter = F.when(F.size("removed_lines") == 0, F.col(own_text)).otherwise(F.array_join(left, "\n"))
     starts = F.filter("removed_lines", lambda x, i: (i == 0) | (F.get("removed_lines", i - 1) != x - 1))
     return met.select(
-        *[shorter.alias(c) if c == text else F.col(c) for c in kept],
+        *[(shorter if c == text else F.col(n)).alias(c) for c, n in number.items()],
         "removed_lines",
         F.size(starts).alias("removed_runs"),
-        F.coalesce("_longest", F.lit(0)).alias("longest_block"),
+        F.coalesce("longest", F.lit(0)).alias("longest_block"),
     )
 
 

@@ -11,11 +11,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayflow.llm.rows import Work
+from stayflow.llm.rows import Work, free_name
 
 SPACE = " \\t-\\r"
-# Gradient steps after which the rates are stored.
-STORED_EVERY = 6
 
 
 @dataclass(frozen=True)
@@ -23,10 +21,9 @@ class Settings:
     """``max_labelled``: labelled rows the classifier is fitted on, the first by a hash of the
     key. ``markers``: words it looks for. ``max_domains``: more are refused. ``temper``: what
     log odds are divided by, as words of one text are not independent. ``pull``: weight of the
-    squared distance of rates from 1. ``rounds`` and ``close``: gradient steps at most, and the
-    relative distance from all targets that is close enough, where ``document_rates`` is called
-    by itself. ``exact`` and ``passes``: norm of the projected gradient at which the least
-    squares count as solved, and passes after which it is an error. ``smoothing``: where no targets are
+    squared distance of rates from 1. ``exact`` and ``passes``: norm of the projected gradient,
+    relative to each domain's tokens, at which the least squares count as solved, and gradient
+    steps after which it is an error. ``smoothing``: where no targets are
     given they are the present shares to this power. ``keep_all``: raise all totals together
     until no domain has to shrink, with rates of at least 1.
     """
@@ -36,10 +33,8 @@ class Settings:
     max_domains: int = 64
     temper: float = 4.0
     pull: float = 1e-4
-    rounds: int = 40
-    close: float = 1e-4
-    exact: float = 1e-9
-    passes: int = 300
+    exact: float = 1e-6
+    passes: int = 1000
     smoothing: float = 0.7
     keep_all: bool = False
 
@@ -75,7 +70,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, key: str, text: str, domai
     rows = docs.select(F.col(key).alias("_key"), words_of(text).alias("words")).join(sample, "_key")
     sizes = {r._domain: r["count"] for r in rows.groupBy("_domain").count().limit(settings.max_domains + 1).collect()}
     if not sizes:
-        raise ValueError("no document has a domain label")
+        return Domains((), (), {})
     if len(sizes) > settings.max_domains:
         raise ValueError(f"more than {settings.max_domains} domains")
     names, total = tuple(sorted(sizes)), sum(sizes.values())
@@ -128,103 +123,55 @@ def posteriors(docs: DataFrame, domains: Domains, key: str, text: str, settings:
     return work.store(powers.select("key", "n_tokens", *[(F.col(f"e{i}") / total).alias(f"p{i}") for i in k]), "soft")
 
 
-def document_rates(
-    soft: DataFrame, targets: list[float], present: list[float], settings: Settings, work: Work
-) -> DataFrame:
-    """``soft`` with a ``rate``, by projected gradient steps from 1.
+def solved_rates(
+    soft: DataFrame, targets: list[float], present: list[float], settings: Settings
+) -> tuple[DataFrame, list[float]]:
+    """``soft`` with a ``rate``, by accelerated projected gradient steps from 1, and the totals of
+    the domains at these rates.
 
     Least squares: sum over domains of (expected tokens - target)^2 / present tokens, plus the
     pull towards 1 weighted by tokens, over rates of at least 0 (1 with ``keep_all``). In the
     metric of the documents' tokens its curvature is at most 1 + pull, so that step size always
-    descends. A step changes a rate by a sum over domains that is the same for all documents,
-    so a round is one pass that sums up one number per domain, and rates are stored only once in
-    a few rounds, which keeps the expression short. Rounds end when the totals are close to the
-    targets or no longer move, as where targets cannot be met.
-    """
-    k, pull = range(len(present)), settings.pull
-    step, least = 1 / (1 + pull), 1.0 if settings.keep_all else 0.0
-    rate: Column = F.lit(1.0)
-    totals, before = list(present), None
-
-    def near(a: list[float], b: list[float], share: float) -> bool:
-        return all(abs(x - y) <= share * max(y, 1.0) for x, y in zip(a, b))
-
-    for turn in range(1, settings.rounds + 1):
-        if near(totals, targets, settings.close) or (before and near(before, totals, settings.close / 10)):
-            break
-        change = [step * (a - t) / m if m > 0 else 0.0 for a, t, m in zip(totals, targets, present)]
-        moved = sum((F.col(f"p{i}") * F.lit(-change[i]) for i in k), rate * F.lit(1 - step * pull) + F.lit(step * pull))
-        rate = F.greatest(moved, F.lit(least))
-        if turn % STORED_EVERY == 0:
-            soft = work.store(soft.withColumn("rate", rate), "rates")
-            rate = F.col("rate")
-        row = soft.select(*[f"p{i}" for i in k], (rate * F.col("n_tokens")).alias("tokens"))
-        before, totals = totals, list(row.agg(*[F.sum(F.col("tokens") * F.col(f"p{i}")) for i in k]).first())
-    return soft.withColumn("rate", rate)
-
-
-def solved_rates(
-    soft: DataFrame, targets: list[float], present: list[float], settings: Settings
-) -> tuple[DataFrame, list[float]]:
-    """``soft`` with the ``rate`` that solves the least squares of ``document_rates``, and the
-    totals of the domains at these rates.
-
-    At the solution a rate is 1 - (its memberships times z), or the least rate if that is
-    more, where pull * z is each domain's gap divided by its present tokens. That leaves one
-    unknown per domain: the gradient of a convex function is to be zero, by Newton's steps.
-    One pass sums up the totals and the slope. A step that goes too far, where the function
-    rises again, is shortened to near the smallest value on its line. The gap between z and
-    the totals bounds the projected gradient at the rates.
+    descends. A gradient step changes the rate of a document by a sum over its memberships that has the same
+    factors for all documents, so the steps taken so far are one number z per domain, and the rates are
+    1 - (memberships times z), projected onto the allowed ones. One pass over the documents sums up the
+    totals of a round; nothing else comes to the driver. Steps are accelerated by the
+    last move, which is forgotten whenever it points uphill. Rounds end when the projected
+    gradient, the gap between what z would lead to and the totals, is at most ``exact`` of each domain.
     """
     used = [i for i, m in enumerate(present) if m > 0]
-    pull, least, passes = settings.pull, 1.0 if settings.keep_all else 0.0, 0
+    pull, least = settings.pull, 1.0 if settings.keep_all else 0.0
     m, wanted = np.array([present[i] for i in used]), np.array([targets[i] for i in used])
+    unit = np.sqrt(m)  # z in units in which the curvature is at most 1 + pull
 
     def rate_at(z: np.ndarray) -> Column:
-        return F.greatest(sum((F.col(f"p{i}") * F.lit(-float(x)) for i, x in zip(used, z)), F.lit(1.0)), F.lit(least))
-
-    def at(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Totals, and gradient and slope in units of present tokens' square roots."""
-        nonlocal passes
-        passes += 1
-        if passes > settings.passes:
+        terms = (F.col(f"p{i}") * F.lit(-float(x)) for i, x in zip(used, z / unit))
+        return F.greatest(sum(terms, F.lit(1.0)), F.lit(least))
+
+    def totals_at(z: np.ndarray) -> np.ndarray:
+        rows = soft.select(*[f"p{i}" for i in used], (rate_at(z) * F.col("n_tokens")).alias("tokens"))
+        sums = [F.sum(F.col("tokens") * F.col(f"p{i}")).alias(f"s{i}") for i in used]
+        return np.array(rows.agg(*sums).first(), float)
+
+    at = before = np.zeros(len(used))
+    totals, speed = m, 1.0
+    for _ in range(settings.passes if used else 0):
+        totals = totals_at(at)
+        gradient = pull * at + (wanted - totals) / unit
+        if np.abs(gradient / unit).max() <= settings.exact:
+            break
+        moved = at - gradient / (1 + pull)
+        uphill = float(gradient @ (moved - before)) > 0
+        faster = 1.0 if uphill else (1 + math.sqrt(1 + 4 * speed * speed)) / 2
+        carry = 0.0 if uphill else (speed - 1) / faster
+        at, before, speed = moved + carry * (moved - before), moved, faster
+    else:
+        if used:
             raise RuntimeError(f"mixing rates not solved after {settings.passes} passes")
-        rows = soft.select(*[f"p{i}" for i in used], "n_tokens", rate_at(z).alias("rate"))
-        free = F.when(F.col("rate") > least, F.col("n_tokens")).otherwise(0)
-        rows = rows.select("*", (F.col("rate") * F.col("n_tokens")).alias("tokens"), free.alias("free"))
-        pairs = [(a, b) for a in range(len(used)) for b in range(a + 1)]
-        sums = [F.sum(F.col("tokens") * F.col(f"p{i}")) for i in used]
-        sums += [F.sum(F.col("free") * F.col(f"p{used[a]}") * F.col(f"p{used[b]}")) for a, b in pairs]
-        found = rows.agg(*[x.alias(f"s{j}") for j, x in enumerate(sums)]).first()
-        totals, slope = np.array(found[: len(used)], float), np.zeros((len(used), len(used)))
-        for (a, b), x in zip(pairs, found[len(used) :]):
-            slope[a, b] = slope[b, a] = x / math.sqrt(m[a] * m[b])
-        return totals, (pull * m * z + wanted - totals) / np.sqrt(m), slope + pull * np.eye(len(used))
-
-    z = np.zeros(len(used))
-    totals, gradient, slope = at(z)
-    while len(used) and np.abs(gradient / np.sqrt(m)).max() > settings.exact:
-        way = -np.linalg.solve(slope, gradient)
-        before, low, high, share = float(way @ gradient), 0.0, None, 1.0
-        at_low = at_high = before
-        while True:
-            moved = z + share * way / np.sqrt(m)
-            found = at(moved)
-            rise = float(way @ found[1])
-            if rise <= -0.1 * before and (high is None or rise >= 0.5 * before):
-                break
-            if rise > 0:
-                high, at_high = share, rise
-            else:
-                low, at_low = share, rise
-            # Where the rise, which only grows, is zero by a straight line, away from the ends.
-            guess = low + (high - low) * at_low / (at_low - at_high)
-            share = min(max(guess, low + 0.1 * (high - low)), high - 0.1 * (high - low))
-        z, (totals, gradient, slope) = moved, found
     reached = [0.0] * len(present)
     for i, x in zip(used, totals):
         reached[i] = float(x)
-    return soft.withColumn("rate", rate_at(z)), reached
+    return soft.withColumn("rate", rate_at(at)), reached
 
 
 def mix(
@@ -240,7 +187,9 @@ def mix(
     tokens of each domain match ``targets`` (weights by name), and its soft membership.
 
     ``labelled`` has (key, domain) of some documents. Null and empty texts have no tokens;
-    null keys are one document. Without documents the result is empty.
+    null keys are one document, and so are rows of a repeated key, with the sum of their tokens. Without documents
+    the result is empty; without a labelled one there are no domains, and all rates are 1.
+    Other columns are left out.
     """
     work = Work(docs.sparkSession)
     names: tuple[str, ...]
@@ -250,6 +199,11 @@ def mix(
         return docs.sparkSession.createDataFrame([], ddl)
     model = fit_domains(docs, labelled, key, text, domain, settings)
     names = model.names
+    if not names:
+        sizes = docs.select(F.col(key).alias("key"), F.size(words_of(text)).cast("long").alias("n"))
+        none = F.create_map().cast("map<string,double>").alias("domains")
+        per_key = sizes.groupBy("key").agg(F.sum("n").alias("n_tokens"))
+        return per_key.select(F.col("key").alias(key), "n_tokens", F.lit(1.0).alias("rate"), none)
     soft = posteriors(docs, model, key, text, settings, work)
     k = range(len(names))
     sums = soft.agg(*[F.sum(F.col("n_tokens") * F.col(f"p{i}")) for i in k]).first()
@@ -272,9 +226,11 @@ def mix(
 def repeat_by_rate(docs: DataFrame, rates: DataFrame, key: str = "doc_id") -> DataFrame:
     """Every row of ``docs`` as often as its rate says: the whole part surely, and once more
     with the likelihood of the rest, decided by a hash of the key."""
-    own = rates.select(F.col(key).alias("_rate_key"), F.col("rate").alias("_rate"))
+    own_key, rate = free_name(docs, "rate_key"), free_name(docs, "rate")
+    copy = free_name(docs, "copy")
+    own = rates.select(F.col(key).alias(own_key), F.col("rate").alias(rate))
     rest = F.pmod(F.xxhash64(F.lit("repeat"), F.col(key)), F.lit(1 << 30)) / (1 << 30)
-    copies = F.floor("_rate") + F.when(rest < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)
-    met = docs.join(own, F.col(key).eqNullSafe(F.col("_rate_key")))
-    made = met.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
+    copies = F.floor(rate) + F.when(rest < F.col(rate) - F.floor(rate), 1).otherwise(0)
+    met = docs.join(own, F.col(key).eqNullSafe(F.col(own_key)))
+    made = met.withColumn(copy, F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
     return made.select(*docs.columns)

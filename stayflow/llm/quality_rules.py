@@ -90,8 +90,10 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"[{SPACE}]+"))
     lines = F.filter(F.split(body, "\n"), lambda line: line.rlike(f"[^{SPACE}]"))
     white = F.char_length(F.regexp_replace(body, f"[^{SPACE}]+", ""))
+    # The table's own columns are numbered meanwhile, so that they cannot have a name used here.
+    number = [f"own {i}" for i in range(len(kept))]
     first = df.select(
-        *kept,
+        *[F.col(c).alias(n) for c, n in zip(kept, number)],
         words.alias("_words"),
         lines.alias("_lines"),
         (F.char_length(body) - white).cast("long").alias("word_chars"),
@@ -105,7 +107,7 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
 
     shingles = F.when(n >= 3, F.transform(F.slice("_words", F.lit(1), n - 2), window))
     second = first.select(
-        *kept,
+        *number,
         n.cast("long").alias("n_words"),
         "word_chars",
         "n_symbols",
@@ -131,7 +133,7 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
     counted = counted.withColumn("n_repeat_words", _repeat_words())
     counted = counted.drop("_shingles", "_ordered", "_twice", "_placed", "_places")
     per_word = F.greatest("n_words", F.lit(1))
-    return counted.withColumns(
+    counted = counted.withColumns(
         {
             "chars_per_word": F.col("word_chars") / per_word,
             "symbols_per_word": F.col("n_symbols") / per_word,
@@ -142,6 +144,7 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
             "words_per_line": F.col("n_words") / F.greatest("_n_lines", F.lit(1)),
         }
     ).drop("_n_lines", "_distinct", "_capitals")
+    return counted.withColumnsRenamed(dict(zip(number, kept)))
 
 
 def _repeat_words() -> Column:

@@ -63,14 +63,14 @@ abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ
 class Novelty:
     """Which strings are judged and when one is reported.
 
-    ``shortest``: characters of a candidate. ``context``: characters before it in which a
-    sensitive word must stand. ``around``: characters on either side that prime the
-    compressor together with the identifiers. ``least_ratio``: marginal compressed bytes per
-    character from which it is reported.
+    ``shortest``: characters of a candidate. ``context``: characters on either side of it in
+    which a sensitive word must stand, unless it holds one itself. ``around``: characters on
+    either side that prime the compressor together with the identifiers. ``least_ratio``:
+    marginal compressed bytes per character from which it is reported.
     """
 
     shortest: int = 16
-    context: int = 40
+    context: int = 400
     around: int = 400
     least_ratio: float = 0.62
     identifiers: str = IDENTIFIERS
@@ -110,19 +110,27 @@ class Scanner:
         return len(self.compressed(known + text[start:end].encode())) - len(self.compressed(known))
 
     def novel(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        """(start, kind, end) of further strings near a sensitive word that are hardly compressible."""
-        found, seen_to = [], 0
-        for word in self.near.finditer(text):
-            limit = word.end() + self.novelty.context
-            for m in self.candidate.finditer(text, max(word.end(), seen_to)):
-                start, end = m.span()
-                if start > limit:
-                    break
-                seen_to = end
-                if any(a < end and start < b for a, _, b in base):
-                    continue
-                if self.marginal(text, start, end) >= self.novelty.least_ratio * (end - start):
-                    found.append((start, 3, end))
+        """(start, kind, end) of further strings near a sensitive word that are hardly
+        compressible. Candidates, sensitive words and base spans are walked through once, side
+        by side, so the time grows with the length of the text."""
+        words = [m.span() for m in self.near.finditer(text)]
+        if not words:
+            return []
+        found, w, context = [], 0, self.novelty.context
+        taken, t, covered_to = sorted((a, b) for a, _, b in base), 0, 0
+        for m in self.candidate.finditer(text):
+            start, end = m.span()
+            while w < len(words) and words[w][1] < start - context:
+                w += 1
+            if w == len(words):
+                break
+            while t < len(taken) and taken[t][0] < end:
+                covered_to = max(covered_to, taken[t][1])
+                t += 1
+            if words[w][0] > end + context or covered_to > start:
+                continue
+            if self.marginal(text, start, end) >= self.novelty.least_ratio * (end - start):
+                found.append((start, 3, end))
         return found
 
     def scan(self, text: str) -> list[tuple[str, int, int]]:
@@ -144,10 +152,11 @@ def find_secrets(
     """Add ``out``: array of (kind, start, end), ordered by start, then kind as in ``KINDS``.
 
     Positions are code points, the end exclusive. "assign", "access" and "hex" have fixed
-    shapes. "novel" strings stand shortly after a sensitive word, overlap no fixed shape and add
-    nearly as many bytes as they are long to a zstandard frame primed with the
+    shapes. "novel" strings stand near a sensitive word, on either side of it, overlap no fixed
+    shape and add nearly as many bytes as they are long to a zstandard frame primed with the
     surrounding text and common identifiers; ordinary identifiers, words, paths and repeats
-    of what stands around add few. Null and empty texts have none. No shuffle.
+    of what stands around add few. Null and empty texts have none; repeated rows are scanned each
+    for itself; a column called ``out`` is replaced. The time for a text grows with its length. No shuffle.
     """
 
     def make():

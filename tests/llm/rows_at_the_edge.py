@@ -1,7 +1,10 @@
 """Rows every operator has to cope with: nulls, empty, long and repeated texts, clashing names."""
 
 LONG = " ".join(f"w{i % 977}x{i % 13}" for i in range(30_000))
-CLASHES = "key tie line text2 doc rate score n token_ids decoded secrets n_words rank list id a b label _x".split()
+CLASHES = (
+    "key tie line text2 doc rate score n token_ids decoded secrets n_words rank list id a b label _x "
+    "_words _found _longest _id _score _rate _copy _decoded _key _label _domain given found longest copy rate_key gone"
+).split()
 
 
 def edge_rows(spark):
