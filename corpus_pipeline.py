@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayflow.llm import bpe, line_runs, minhash, mixing, toxicity
-from stayflow.llm.rows import Work
+from stayflow.llm.rows import Work, free_name
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -15,8 +15,9 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.5; null and empty texts are kept."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = toxicity.score(docs, toxicity.fit(docs, labels), out="_score")
-    return scored.where("_score < 0.5").select(*docs.columns)
+    score = free_name(docs, "score")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels), out=score)
+    return scored.where(F.col(score) < 0.5).select(*docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +32,9 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group linked by shared five-word shingles."""
     groups = minhash.near_duplicates(docs)
-    dropped = groups.where("not kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("_id"), "left_anti").select(*docs.columns)
+    gone = free_name(docs, "gone")
+    dropped = groups.where("not kept").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(dropped, F.col("doc_id") == F.col(gone), "left_anti").select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +46,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     labelled = labelled.select("doc_id", F.concat_ws("-", "lang", "quality").alias("domain"))
     if labelled.isEmpty():
         return docs
-    rates = mixing.mix(docs, labelled, settings=mixing.Settings(keep_all=True, smoothing=0.9))
+    rates = mixing.mix(docs, labelled, settings=mixing.Settings(keep_all=True))
     return mixing.repeat_by_rate(docs, rates)
 
 
@@ -53,11 +55,12 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     the text again. Columns of the same names are replaced."""
     kept = [c for c in docs.columns if c not in ("n_tokens", "token_ids", "decodes")]
     encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded, RANKS, out="_decoded")
+    again = free_name(encoded, "decoded")
+    decoded = bpe.decode(encoded, RANKS, out=again)
     text = F.coalesce("text", F.lit("")).cast("binary")
     tokens = (F.octet_length("token_ids") / 4).cast("long")
     return decoded.select(
-        *kept, tokens.alias("n_tokens"), "token_ids", (F.col("_decoded") == text).alias("decodes")
+        *kept, tokens.alias("n_tokens"), "token_ids", (F.col(again) == text).alias("decodes")
     )
 
 
