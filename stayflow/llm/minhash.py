@@ -9,17 +9,13 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayflow.llm.components import components
 from stayflow.llm.rows import Work, add_columns
 
 
-# Members up to which a list's clusters are compared pair by pair; longer ones go by full sets.
-PAIRED_DIRECTLY = 64
-
-
 @dataclass(frozen=True)
 class Settings:
     """``words``: words of a shingle. ``percent``: least Jaccard similarity of a link, in
@@ -144,13 +140,14 @@ def near_duplicates(
        it may leave out ``least_matches - 1`` (the most frequent ones), as two signatures
        with that many matches still meet in the rest. Pairs that a single class has are dropped,
        so texts unlike all others post nothing and frequent values are hardly ever posted.
-    3. Within a posting list all are compared with the class whose pairs are shared most (the
-       original, where the others are copies of it). What is linked is one cluster, and lists
-       with a single cluster are done. In the others all members of different clusters are
-       compared. Classes of lists too long for that are posted anew, under the rarest shingles
-       of their full sets, as many as a similar set cannot all lack, and compared in these
-       lists. So a large group of near copies costs a few comparisons a member, yet no link
-       between clusters is missed.
+    3. Within a posting list all are compared with its hub, the class whose pairs are shared most
+       (the original, where the others are copies of it). What is linked is one cluster, and lists
+       with a single cluster are done. Open lists whose hubs are of one cluster are a group with one
+       of these hubs. Of every member only the difference from that hub counts: the
+       shingles it lacks and those it adds. Two members that are linked, but not both with the hub, share at least as many
+       differences as their numbers of them tell, so each is posted under its rarest ones, as
+       many as such a partner cannot all lack, and compared where it meets one. Independent near
+       copies of a text share none of their rare differences and never meet, however many they are.
     4. A pair is counted over its coordinates, and confirmed on the full sets.
     """
     work = Work(df.sparkSession)
@@ -168,17 +165,17 @@ def near_duplicates(
     links = work.store(confirmed(star_pairs(posted), classes, rows, settings, work), "links")
     work.release()
     clusters = components(links, work)
-    opened = work.store(open_lists(posted, clusters), "open")
+    opened = work.store(open_groups(posted, clusters), "open")
     work.drop(posted)
     work.release()
-    sizes = opened.groupBy("list").agg((F.count(F.lit(1)) > PAIRED_DIRECTLY).alias("large"))
-    opened = opened.join(sizes, "list")
-    large = set_postings(opened.where("large"), classes, rows, settings)
-    large = work.store(open_lists(large, clusters), "open")
-    pairs = cross_pairs(opened.where("not large")).unionByName(cross_pairs(large))
+    sets = work.store(member_sets(opened, classes, rows, settings), "sets")
+    differences = work.store(from_hub(opened, sets, settings), "differences")
+    work.release()
+    direct = differences.where("linked").select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b"))
+    pairs = work.store(difference_pairs(differences, settings), "pairs")
     work.release()
-    found = confirmed(pairs, classes, rows, settings, work)
-    links = work.store(links.unionByName(found), "links")
+    found = _similar(pairs, sets.withColumnRenamed("id", "key"), settings.percent)
+    links = work.store(links.unionByName(direct).unionByName(found), "links")
     work.release()
     found = components(links, work)
     ids = classes.select("set_key", "id").join(found, F.col("id") == F.col("node"), "left")
@@ -219,54 +216,105 @@ def star_pairs(posted: DataFrame) -> DataFrame:
     return pairs.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b"))
 
 
-def open_lists(posted: DataFrame, clusters: DataFrame) -> DataFrame:
-    """(list, id, cluster, main) of the lists with members in several clusters; ``main`` is the
-    list's largest cluster."""
+def open_groups(posted: DataFrame, clusters: DataFrame) -> DataFrame:
+    """(grp, hub, id, cluster): the members of lists that hold several clusters. Lists whose hubs
+    are of one cluster are one group, with the hub of its longest list."""
     placed = posted.join(clusters, F.col("id") == F.col("node"), "left")
-    placed = placed.select("list", "id", F.coalesce("component", "id").alias("cluster"))
-    sizes = placed.groupBy("list", "cluster").agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.groupBy("list").agg(
-        F.max_by("cluster", F.struct("size", "cluster")).alias("main"), F.count(F.lit(1)).alias("clusters")
+    placed = placed.select("list", "id", "shared", F.coalesce("component", "id").alias("cluster"))
+    lists = placed.groupBy("list").agg(
+        F.max_by(F.struct("id", "cluster"), F.struct("shared", "id")).alias("hub"),
+        F.count(F.lit(1)).alias("members"),
+        (F.min("cluster") < F.max("cluster")).alias("open"),
     )
-    return placed.join(largest.where("clusters > 1").drop("clusters"), "list")
+    lists = lists.where("open").select("list", "members", F.col("hub.id").alias("hub"), F.col("hub.cluster").alias("grp"))
+    hubs = lists.groupBy("grp").agg(F.max_by("hub", F.struct("members", "hub")).alias("hub"))
+    members = placed.join(lists.select("list", "grp"), "list").select("grp", "id", "cluster").distinct()
+    return members.join(hubs, "grp")
+
+
+def member_sets(opened: DataFrame, classes: DataFrame, rows: DataFrame, settings: Settings) -> DataFrame:
+    """(id, shingles) of all members and hubs: each set is worked out and kept once."""
+    ids = opened.select("id").unionByName(opened.select(F.col("hub").alias("id"))).distinct()
+    own = classes.select("id", "set_key").join(ids, "id")
+    texts = rows.join(ids.withColumnRenamed("id", "key"), "key", "left_semi")
+    full = shingle_sets(texts, "text", settings).drop("text").withColumnRenamed("key", "id")
+    return own.join(full, ["id", "set_key"]).dropDuplicates(["id"]).select("id", "shingles")
 
 
-def set_postings(opened: DataFrame, classes: DataFrame, rows: DataFrame, settings: Settings) -> DataFrame:
-    """(list, id): the members of open lists under their rarest shingles that others have too.
+def from_hub(opened: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """(grp, hub, id, cluster, n, v, linked, elements): a member's difference from its hub.
 
-    A partner has at least ``percent`` of a set's size and no less than the smallest member of
-    its lists; the overlap with it leaves so few shingles of the set aside that one of the
-    partner's is among the rest of the rarest ones, and the other way round.
+    ``elements`` are tagged hashes of the ``m`` shingles it lacks and the ``a`` it adds, n the
+    hub's shingles, and ``v`` = 2 (100 m + percent a) - (100 - percent) n. Members x and y are
+    similar enough if they share s elements with 2 (100 + percent) s >= v(x) + v(y), and one is
+    linked with its hub if v <= (100 - percent) n.
+    """
+    percent = settings.percent
+    kind = opened.schema["id"].dataType.simpleString()
+    own = opened.join(sets, "id").withColumnRenamed("shingles", "x")
+    met = own.join(sets.select(F.col("id").alias("hub"), F.col("shingles").alias("h")), "hub").where("id <> hub")
+    names = ["n", "v", "linked", "elements"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for x, h in zip(batch.column("x"), batch.column("h")):
+                x, h = (np.frombuffer(side.as_buffer(), np.uint64) for side in (x, h))
+                lacks, adds = np.setdiff1d(h, x, assume_unique=True), np.setdiff1d(x, h, assume_unique=True)
+                with np.errstate(over="ignore"):
+                    tagged = np.concatenate((mixed(lacks ^ ODD), adds)).view(np.int64)
+                v = 2 * (100 * len(lacks) + percent * len(adds)) - (100 - percent) * len(h)
+                made.append((len(h), v, v <= (100 - percent) * len(h), tagged))
+            types = (pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()))
+            arrays = [pa.array(c, t) for c, t in zip(zip(*made), types)] or [pa.array([], t) for t in types]
+            keys = ["grp", "hub", "id", "cluster"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), *arrays], [*keys, *names])
+
+    ddl = f"grp {kind}, hub {kind}, id {kind}, cluster {kind}, n bigint, v bigint, linked boolean, elements array<bigint>"
+    return met.select("grp", "hub", "id", "cluster", "x", "h").mapInArrow(run, ddl)
+
+
+def difference_pairs(differences: DataFrame, settings: Settings) -> DataFrame:
+    """(a, b): pairs of a group in different clusters that may be similar, at least one of them
+    not linked with the hub.
+
+    Say x has the larger v of a pair. For y it lies in one of a few bands of v, each with a least
+    number of shared elements; y is posted in each band under its rarest elements, as many as a
+    partner of the band that shares so many cannot all lack. x looks up its own band with
+    as many of its rarest elements as any partner asks for. Elements that one member
+    has alone are the rarest and are not posted.
     """
     percent = settings.percent
-    sizes = classes.select("set_key", "id", "n")
-    measured = opened.select("list", "id").join(sizes, "id")
-    least = measured.groupBy("list").agg(F.min("n").alias("least"))
-    own = measured.join(least, "list").groupBy("id", "set_key", "n").agg(F.min("least").alias("least"))
-    smallest = F.greatest("least", F.ceil(F.col("n") * percent / 100))
-    overlap = F.ceil((F.col("n") + smallest) * percent / (100 + percent))
-    own = own.select("set_key", F.col("id").alias("key"), "n", (F.col("n") - overlap + 1).alias("prefix"))
-    texts = rows.join(own.select("key"), "key", "left_semi")
-    sets = own.join(shingle_sets(texts, "text", settings).drop("text"), ["key", "set_key"]).dropDuplicates(["key"])
-    places = F.sequence(F.lit(1), F.octet_length("shingles"), F.lit(8))
-    values = F.transform(places, lambda i: F.substring(F.col("shingles"), i, F.lit(8)))
-    listed = sets.select("key", "n", "prefix", F.explode(values).alias("shingle"))
-    shared = listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    met = listed.join(shared, "shingle")
-    mine = Window.partitionBy("key")
-    alone = F.col("n") - F.count(F.lit(1)).over(mine)
-    rarest = F.row_number().over(Window.partitionBy("key").orderBy("df", "shingle"))
-    ranked = met.withColumn("place", alone + rarest).where("place <= prefix")
-    return ranked.select(F.col("shingle").alias("list"), F.col("key").alias("id"))
-
-
-def cross_pairs(opened: DataFrame) -> DataFrame:
-    """Pairs of a list's members in different clusters; its largest cluster has none within."""
-    others = opened.where("cluster <> main").select("list", F.col("id").alias("a"), F.col("cluster").alias("ca"))
-    every = opened.select("list", F.col("id").alias("b"), F.col("cluster").alias("cb"), "main")
-    # Two of the others meet once, one of them and one of the main cluster meet once.
-    pairs = others.join(every, "list").where("ca <> cb and (cb = main or a < b)")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    unit, gap = 2 * (100 + percent), 100 - percent
+    size = F.size("elements").cast("long")
+    own = differences.where("size(elements) > 0").withColumns({"size": size, "limit": F.col("n") * gap})
+    listed = own.select("grp", "id", "size", F.explode("elements").alias("element"))
+    shared = listed.groupBy("grp", "element").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    met = listed.join(shared, ["grp", "element"])
+    mine = Window.partitionBy("grp", "id")
+    alone = F.col("size") - F.count(F.lit(1)).over(mine)
+    rarest = F.row_number().over(Window.partitionBy("grp", "id").orderBy("df", "element"))
+    ranked = met.select("grp", "id", "element", (alone + rarest).alias("place"))
+    facts = own.select("grp", "id", "cluster", "v", "size", "limit", "linked")
+    ranked = ranked.join(facts, ["grp", "id"])
+    width = F.greatest(F.floor(F.col("limit") / 2), F.lit(1))
+
+    def least(v: Column) -> Column:
+        """Shared elements of a pair with this sum of v, at least."""
+        return F.greatest(F.ceil(v / unit), F.lit(1))
+
+    first = F.floor((F.col("limit") + 1) / width)
+    last = F.floor((F.col("size") * unit - F.col("v")) / width)
+    from_band = F.greatest(first, F.floor(F.col("v") / width))
+    bands = F.when(last >= from_band, F.sequence(from_band, last))
+    posted = ranked.select("*", width.alias("width"), F.explode(bands).alias("band"))
+    low = F.greatest(F.col("band") * F.col("width"), F.col("limit") + 1)
+    posted = posted.where(F.col("place") <= F.col("size") - least(low + F.col("v")) + 1)
+    posted = posted.select("grp", "band", "element", F.col("id").alias("y"), F.col("cluster").alias("cy"), F.col("v").alias("vy"))
+    probes = ranked.where(~F.col("linked") & (F.col("place") <= F.col("size") - least(F.col("v") - F.col("limit")) + 1))
+    probes = probes.select("grp", F.floor(F.col("v") / width).alias("band"), "element", F.col("id").alias("x"), F.col("cluster").alias("cx"), F.col("v").alias("vx"))
+    pairs = probes.join(posted, ["grp", "band", "element"]).where("x <> y and cx <> cy and vy <= vx")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, rows: DataFrame, settings: Settings, work: Work) -> DataFrame:

@@ -60,10 +60,23 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("words, direct", [(2, 64), (2, 3), (5, 64)])
-def test_equals_brute_force(spark, monkeypatch, words, direct):
-    monkeypatch.setattr(minhash, "PAIRED_DIRECTLY", direct)
-    rows = corpus(words)
+def near_copies(seed):
+    """Many independent copies of one text, a little more and a little less than similar to it,
+    some of them changed again, and copies that share changes no other has."""
+    rng, base = random.Random(seed), [f"b{i}" for i in range(80)]
+    rows = []
+    for i in range(240):
+        words = base[:] if i % 4 else rng.choice(rows)[1].split() if rows else base[:]
+        for _ in range(rng.randrange(2, 9)):
+            words[rng.randrange(len(words))] = f"r{rng.randrange(6)}" if i % 3 == 0 else f"n{rng.randrange(10**6)}"
+        if i % 7 == 0:
+            words = words[: rng.randrange(60, 81)]
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("words, rows", [(2, corpus(2)), (5, corpus(5)), (2, near_copies(1)), (2, near_copies(2))])
+def test_equals_brute_force(spark, words, rows):
     found = minhash.near_duplicates(narrow(spark, rows), settings=Settings(words=words)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute(rows, words)
 
