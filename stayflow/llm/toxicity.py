@@ -47,6 +47,11 @@ class Settings:
     ``max_features``: words and word beginnings it may use. ``least_gain``: the
     log-likelihood ratio a feature must reach. ``counterfactual``: weight of the squared
     change of the score under a swap of identity terms. ``ridge``: weight of squared weights.
+    ``identity``: the caller's terms, a line per group of interchangeable ones.
+    ``neutral_terms``: further terms taken from the texts of label 0, in groups of
+    ``neutral_group`` that are about as frequent; ``neutral_share``: share of the labelled texts
+    that such a term may be in at most, as what is in most texts mentions nobody.
+    Words of more than 40 characters count by their beginnings only.
     """
 
     max_training: int = 20_000
@@ -56,12 +61,18 @@ class Settings:
     ridge: float = 1e-5
     rounds: int = 600
     identity: str = IDENTITY_TERMS
+    neutral_terms: int = 16
+    neutral_group: int = 4
+    neutral_share: float = 0.05
 
 
 @dataclass(frozen=True)
 class Model:
+    """``pairs``: labelled texts that were held against a counterfactual of theirs."""
+
     bias: float
     weights: dict[str, float]
+    pairs: int = 0
 
 
 def word_features(word: str) -> list[str]:
@@ -108,8 +119,11 @@ def fit(
     Features are counted and chosen by Spark over all sampled texts in full. Every labelled
     text with identity terms also gets a counterfactual, in which each is replaced by the next
     of its line; the squared difference of the two scores (before the logistic curve) is
-    penalised, so weight cannot rest on who is mentioned. Without labelled rows of both kinds
-    the model is the share of positives.
+    penalised, so weight cannot rest on who is mentioned. Besides the terms given, words that
+    texts of label 0 commonly mention, and that are no more usual among the others, stand for
+    neutral mentions; so there are counterfactuals in any language. Without labelled rows of
+    both kinds the model is the share of positives. Rows of a repeated key are texts of their own with the
+    key's label.
     """
     sample = labelled_sample(labels, key, label, settings.max_training)
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
@@ -146,7 +160,13 @@ def fit(
         .limit(settings.max_features)
     )
     vocabulary = {row.feature: i for i, row in enumerate(chosen.collect())}
-    swap = next_terms(settings.identity)
+    neutral = counts.where(~F.endswith("feature", F.lit("*"))).where(
+        (n >= 5) & (n <= max(5, settings.neutral_share * total)) & (k <= n * p) & F.col("feature").rlike("^[^0-9_]{3,}$")
+    )
+    found = neutral.orderBy((n - k).desc(), "feature").limit(settings.neutral_terms).collect()
+    terms, size = [row.feature for row in found], settings.neutral_group
+    groups = "\n".join(" ".join(terms[i : i + size]) for i in range(0, len(terms), size))
+    swap = next_terms(groups) | next_terms(settings.identity)
 
     def chosen_features():
         def work(value):
@@ -162,14 +182,11 @@ def fit(
     made = add_columns(rows, "_text", "_own array<int>, _swapped array<int>", chosen_features)
     data = made.select("_label", "_own", "_swapped").collect()  # bounded by max_training
     data.sort(key=lambda row: (row._own, row._label))
+    pairs = [(row._own, row._swapped) for row in data if row._swapped is not None]
     bias, weights = regression(
-        [row._own for row in data],
-        np.array([row._label for row in data], float),
-        [(row._own, row._swapped) for row in data if row._swapped is not None],
-        len(vocabulary),
-        settings,
+        [row._own for row in data], np.array([row._label for row in data], float), pairs, len(vocabulary), settings
     )
-    return Model(bias, {feature: float(weights[i]) for feature, i in vocabulary.items()})
+    return Model(bias, {feature: float(weights[i]) for feature, i in vocabulary.items()}, len(pairs))
 
 
 def _sparse(rows: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:

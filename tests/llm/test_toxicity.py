@@ -46,6 +46,49 @@ def test_penalty_levels_swapped_features():
     assert abs(free[0] - free[2]) > 2 and abs(level[0] - level[2]) < 0.5
 
 
+def test_regression_reaches_the_optimum():
+    """The penalised loss is convex: small steps of plain gradient descent find the same weights."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    rows = [sorted(rng.choice(8, rng.integers(1, 5), replace=False).tolist()) for _ in range(120)]
+    labels = np.array([float(0 in r or (3 in r and rng.random() < 0.8)) for r in rows])
+    pairs = [(r, sorted({(x + 1) % 8 for x in r})) for r in rows[:40]]
+    settings = Settings(counterfactual=2.0, ridge=1e-2)
+    x, own, other = (np.zeros((len(m), 8)) for m in (rows, pairs, pairs))
+    for i, r in enumerate(rows):
+        x[i, r] = 1
+    for i, (a, b) in enumerate(pairs):
+        own[i, a], other[i, b] = 1, 1
+    w, bias, change = np.zeros(8), 0.0, own - other
+    for _ in range(60_000):
+        error = (1 / (1 + np.exp(-(x @ w + bias))) - labels) / len(rows)
+        w -= 0.2 * (x.T @ error + settings.ridge * w + 2.0 / len(pairs) * change.T @ (change @ w))
+        bias -= 0.2 * error.sum()
+    found_bias, found = regression(rows, labels, pairs, 8, settings)
+    assert np.allclose(found, w, atol=2e-2) and abs(found_bias - bias) < 2e-2
+
+
+def test_counterfactuals_without_identity_terms(spark):
+    """Common words of harmless texts stand in, whatever the language."""
+    rng, rows, labels = random.Random(8), [], []
+    mentions = [f"gruppe{c}" for c in "abcdefgh"]
+    for i in range(600):
+        words = [rng.choice(WORDS) for _ in range(30)]
+        if i % 5 == 0:
+            words.append("dunderhead")
+        if i % 3 == 0:
+            words.append(rng.choice(mentions))
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 5 == 0)))
+    docs, known = narrow(spark, rows), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, known, settings=Settings(identity="", least_gain=8.0))
+    assert model.pairs > 100
+    assert toxicity.fit(docs, known, settings=Settings(identity="", neutral_terms=0, least_gain=8.0)).pairs == 0
+    own = toxicity.fit(docs, known, settings=Settings(identity=" ".join(mentions), neutral_terms=0, least_gain=8.0))
+    assert own.pairs == 200
+
+
 def test_no_labels_or_one_kind(spark):
     docs = narrow(spark, [(1, "a b"), (2, None)])
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
