@@ -8,7 +8,7 @@ Averages are carried as exact sums and counts up to the last step.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.functions.measures import count_when, customer_tier, label_is, percent, ratio
@@ -18,11 +18,11 @@ from stayflow.schemas import MART_SCHEMAS, conform
 HOTEL = ("hotel_id", "hotel_name", "city")
 
 
-def bookings_by_month(bookings: DataFrame) -> DataFrame:
-    """All booking measures per hotel and check-in month: the one pass over the fact that the
-    revenue, occupancy and performance marts share."""
+def bookings_by_month(bookings: DataFrame, *within: Column) -> DataFrame:
+    """All booking measures per hotel and check-in month (and whatever else is asked for): the one
+    pass over the fact that the revenue, occupancy and performance marts share."""
     priced = F.col("total_amount").isNotNull()
-    return bookings.groupBy("hotel_id", F.trunc("checkin_date", "month").alias("booking_month")).agg(
+    return bookings.groupBy(*within, "hotel_id", F.trunc("checkin_date", "month").alias("booking_month")).agg(
         F.count(F.lit(1)).alias("_bookings"),
         F.count("booking_id").alias("_numbered"),
         F.count("total_amount").alias("_priced"),
@@ -34,14 +34,17 @@ def bookings_by_month(bookings: DataFrame) -> DataFrame:
     )
 
 
+def summed(parts: DataFrame, *keys: str) -> DataFrame:
+    """Partial measures added up; they are sums and counts, so parts of parts add up alike."""
+    return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in parts.columns if c.startswith("_")])
+
+
 def _bookings_by_hotel(monthly: DataFrame) -> DataFrame:
     sums = ("_bookings", "_numbered", "_priced", "_revenue", "_high", "_nights", "_stays")
     return monthly.groupBy("hotel_id").agg(*[F.sum(c).alias(c) for c in sums])
 
 
-def reviews_by_hotel(reviews: DataFrame, bookings: DataFrame) -> DataFrame:
-    """All review measures per hotel, by way of the reviewed booking: the one join of the two
-    facts, shared by the satisfaction and performance marts."""
+def review_measures() -> list[Column]:
     rated = F.col("rating").isNotNull()
     labels = {label: label_is(F.col("sentiment"), label) for label in ("positive", "neutral", "negative")}
     measures = {
@@ -51,12 +54,25 @@ def reviews_by_hotel(reviews: DataFrame, bookings: DataFrame) -> DataFrame:
         "_positive": count_when(labels["positive"]),
         **{f"_rated_{label}": count_when(is_label & rated) for label, is_label in labels.items()},
     }
-    per_booking = reviews.groupBy("booking_id").agg(*[m.alias(name) for name, m in measures.items()])
-    return (
-        per_booking.join(bookings.select("booking_id", "hotel_id"), "booking_id")
-        .groupBy("hotel_id")
-        .agg(*[F.sum(name).alias(name) for name in measures])
-    )
+    return [m.alias(name) for name, m in measures.items()]
+
+
+def reviews_by_hotel(reviews: DataFrame, bookings: DataFrame) -> DataFrame:
+    """All review measures per hotel, by way of the reviewed booking: the one join of the two
+    facts, shared by the satisfaction and performance marts."""
+    per_booking = reviews.groupBy("booking_id").agg(*review_measures())
+    return summed(per_booking.join(bookings.select("booking_id", "hotel_id"), "booking_id"), "hotel_id")
+
+
+def reviews_by_range(reviews: DataFrame, bookings: DataFrame, within: Column) -> DataFrame:
+    """``reviews_by_hotel`` per range of reviews, and a row per range and booking that is not there
+    (``waiting``): its reviews count once it arrives."""
+    per_booking = reviews.groupBy(within.alias("range"), "booking_id").agg(*review_measures())
+    known = bookings.select("booking_id", "hotel_id", F.lit(False).alias("waiting"))
+    joined = per_booking.join(known, "booking_id", "left").withColumn("waiting", F.coalesce("waiting", F.lit(True)))
+    missing = F.when(F.col("waiting"), F.col("booking_id")).alias("booking_id")
+    measures = [c for c in per_booking.columns if c.startswith("_")]
+    return summed(joined.select("range", "waiting", "hotel_id", missing, *measures), "range", "waiting", "hotel_id", "booking_id")
 
 
 def mart_revenue(bookings: DataFrame, hotels: DataFrame) -> DataFrame:

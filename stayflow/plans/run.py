@@ -38,7 +38,7 @@ from stayflow.schemas import DIM_SCHEMAS, FEED_KEYS, STG_SCHEMAS
 from stayflow.sources.changes import read_changes, unread
 from stayflow.sources.files import timestamp_literal
 from stayflow.sources.scratch import materialise
-from stayflow.sources.store import Run, Staged, Store, ranges_bitmap, ranges_in
+from stayflow.sources.store import Run, Staged, Store, ranges_bitmap, ranges_in, segment_of
 
 LOG_SCHEMA = (
     "run_id bigint, name string, state string, scheduled_time timestamp_ntz, "
@@ -207,25 +207,48 @@ def load_facts(run: Run) -> StepResult:
     return StepResult("load_facts", counts)
 
 
+def refresh_parts(run: Run) -> None:
+    """What the marts need of the facts, per key range: only the ranges that this run rewrote are
+    summed up again, and those with reviews that waited for a booking of this delivery."""
+    width = run.store.segment_width
+
+    def outdated(fact: str, part: str) -> set[str]:
+        return run.touched.get(fact, set()) | (set(run.segments(fact)) - set(run.segments(part)))
+
+    def bookings() -> None:
+        ranges = outdated("fact_bookings", "part_bookings")
+        if ranges:
+            of_key = segment_of("booking_id", width).alias("range")
+            rows = marts.bookings_by_month(run.read_ranges("fact_bookings", ranges), of_key)
+            run.replace_parts("part_bookings", ranges, rows, "range")
+
+    def reviews() -> None:
+        ranges = outdated("fact_reviews", "part_reviews")
+        if run.staged["stg_bookings"].rows:
+            arrived = run.read("stg_bookings").select("booking_id")
+            waiting = run.read("part_waiting").join(arrived, "booking_id", "left_semi")
+            ranges |= {str(r.range) for r in waiting.select("range").distinct().collect()}  # ranges: few
+        if not ranges:
+            return
+        rows = run.read_ranges("fact_reviews", ranges)
+        booked = ranges_in(rows.agg(ranges_bitmap("booking_id", width)).first()[0])
+        known = run.read_ranges("fact_bookings", booked)
+        found = marts.reviews_by_range(rows, known, segment_of("review_id", width))
+        found = materialise(found, run.work_path("reviews_by_range"))
+        run.replace_parts("part_reviews", ranges, found.where("not waiting"), "range")
+        run.replace_parts("part_waiting", ranges, found.where("waiting and booking_id is not null"), "range")
+
+    together(run.store.spark, [bookings, reviews])
+
+
 def build_marts(run: Run) -> dict[str, DataFrame]:
-    """The six marts. What several of them need from the facts is aggregated once and
-    written down, so each fact is read once for it."""
-    bookings, reviews = run.read("fact_bookings"), run.read("fact_reviews")
+    """The six marts. What several of them need from the facts is kept per key range."""
+    refresh_parts(run)
+    bookings = run.read("fact_bookings")
     hotels, customers = run.read("dim_hotels"), run.read("dim_customers")
     staff, rates = run.read_current("dim_staff"), run.read_current("dim_room_rates")
-    shared: dict[str, DataFrame] = {}
-
-    def aggregate(name: str, df: DataFrame) -> None:
-        shared[name] = materialise(df, run.work_path(name))
-
-    together(
-        run.store.spark,
-        [
-            lambda: aggregate("monthly", marts.bookings_by_month(bookings)),
-            lambda: aggregate("reviewed", marts.reviews_by_hotel(reviews, bookings)),
-        ],
-    )
-    monthly, reviewed = shared["monthly"], shared["reviewed"]
+    monthly = marts.summed(run.read("part_bookings"), "hotel_id", "booking_month")
+    reviewed = marts.summed(run.read("part_reviews"), "hotel_id")
     return {
         "mart_revenue": marts.revenue_from(monthly, hotels),
         "mart_occupancy": marts.occupancy_from(monthly, hotels, rates),

@@ -176,7 +176,20 @@ MART_SCHEMAS = {
     ),
 }
 
-TABLE_SCHEMAS = {"rejects": QUARANTINE_SCHEMA, **STG_SCHEMAS, **DIM_SCHEMAS, **FACT_SCHEMAS, **MART_SCHEMAS}
+# What the marts need of the facts, summed up per key range; reviews of bookings not known yet.
+PART_SCHEMAS = {
+    "part_bookings": _schema(
+        f"hotel_id {KEY}, booking_month date, _bookings bigint, _numbered bigint, _priced bigint, "
+        "_revenue decimal(22,2), _high bigint, _high_priced bigint, _nights bigint, _stays bigint"
+    ),
+    "part_reviews": _schema(
+        f"hotel_id {KEY}, _reviews bigint, _rated bigint, _rating bigint, _positive bigint, "
+        "_rated_positive bigint, _rated_neutral bigint, _rated_negative bigint"
+    ),
+    "part_waiting": _schema(f"range int, booking_id {KEY}"),
+}
+
+TABLE_SCHEMAS = {**PART_SCHEMAS, "rejects": QUARANTINE_SCHEMA, **STG_SCHEMAS, **DIM_SCHEMAS, **FACT_SCHEMAS, **MART_SCHEMAS}
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from stayflow.schemas import QUARANTINE_SCHEMA, RAW_SCHEMAS, TABLE_SCHEMAS, conform
 
 WHOLE = "all"
+# The path of a segment that has no rows.
+EMPTY = ""
 # Keys per segment of a keyed table; at about 100 bytes a row a full segment is some 10 GB.
 SEGMENT_WIDTH = 100_000_000
 # Ranges wrap around at this number, so sparse keys cannot make a segment each.
@@ -173,9 +175,9 @@ class Store:
 
     def _read_segments(self, table: str, segments: dict[str, str]) -> DataFrame:
         schema = TABLE_SCHEMAS[table]
-        if not segments:
+        paths = [self.path(p) for p in sorted(segments.values()) if p != EMPTY]
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        paths = [self.path(p) for p in sorted(segments.values())]
         return self.spark.read.schema(schema).parquet(*paths)
 
     def begin(self, run_id: int, batch_ts: str, state: State | None = None) -> Run:
@@ -201,6 +203,7 @@ class Run:
         self.folded: dict[str, set[str]] = {}  # segments that are part of a larger one now
         self.marks: dict[str, int] = {}
         self.staged: dict[str, Staged] = {}
+        self.touched: dict[str, set[str]] = {}  # key ranges rewritten per table
 
     # -- reading -------------------------------------------------------------
 
@@ -281,6 +284,7 @@ class Run:
         """
         if not ranges:
             return
+        self.touched.setdefault(table, set()).update(ranges)
         folder = f"{self.folder(table)}/ranges"
         rows = conform(df, TABLE_SCHEMAS[table]).withColumn(
             "_range", segment_of(key, self.store.segment_width)
@@ -291,6 +295,21 @@ class Run:
         writer.partitionBy("_range").parquet(self.store.path(folder))
         self.written.setdefault(table, {}).update({r: f"{folder}/_range={r}" for r in ranges})
 
+    def replace_parts(self, table: str, ranges: set[str], df: DataFrame, of_range: str) -> None:
+        """Rewrite the given ranges of a table without keys of its own; ``of_range`` names the
+        column with a row's range. Ranges may come out empty."""
+        if not ranges:
+            return
+        folder = f"{self.folder(table)}/ranges"
+        names = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLE_SCHEMAS[table].fields]
+        rows = df.select(*names, F.col(of_range).alias("_range"))
+        rows.hint("rebalance", "_range").write.mode("overwrite").option(
+            "partitionOverwriteMode", "static"
+        ).partitionBy("_range").parquet(self.store.path(folder))
+        made = set(self.store.folders(folder))
+        live = {r: f"{folder}/_range={r}" if f"_range={r}" in made else EMPTY for r in ranges}
+        self.written.setdefault(table, {}).update(live)
+
     def _write(self, table: str, df: DataFrame, folder: str) -> None:
         conform(df, TABLE_SCHEMAS[table]).write.mode("overwrite").parquet(self.store.path(folder))
 

@@ -227,3 +227,35 @@ def test_wide_keys_and_rejected_rows(spark):
     got = counts(run_pipeline(store, "2024-06-02 06:00:00"))
     assert got["fact_bookings"] == {"inserted": 0, "updated": 1}
     assert got["stg_bookings"]["rejected"] == 0 and store.read("rejects").count() == 4
+
+
+def test_marts_follow_a_small_delta_by_its_ranges(spark):
+    """Partial sums of untouched ranges stay, reviews count once their booking arrives, and the
+    marts are those of the whole facts."""
+    from stayflow.plans import marts
+
+    store = Store(spark, new_dir("store"), segment_width=5)
+    first_batch(spark, store)
+    early = [(100, 77, 3, 5, "early", "positive"), (101, None, 3, 5, "of nothing", "positive")]
+    store.append_raw("reviews", raw_rows(spark, "reviews", early, batch=2))
+    run_pipeline(store, "2024-06-01 06:00:00")
+    before = store.state().segments
+    assert store.read("part_waiting").collect()[0].booking_id == 77
+
+    store.append_raw("bookings", raw_rows(spark, "bookings", [(77, 3, 1, DAY, DAY, 50, 2, "no"), (7, 3, 1, DAY, DAY, 1000, 2, "yes")], batch=2))
+    run_pipeline(store, "2024-06-02 06:00:00")
+    after = store.state().segments
+    changed = {t: {r for r in after[t] if after[t][r] != before[t].get(r)} for t in ("part_bookings", "part_reviews")}
+    assert changed == {"part_bookings": {"1", "15"}, "part_reviews": {"20"}}
+    assert store.read("part_waiting").count() == 0
+    bookings, reviews, hotels = (store.read(t) for t in ("fact_bookings", "fact_reviews", "dim_hotels"))
+    assert rows_of(store.read("mart_satisfaction")) == rows_of(marts.mart_satisfaction(reviews, bookings, hotels))
+    assert rows_of(store.read("mart_revenue")) == rows_of(marts.mart_revenue(bookings, hotels))
+    staff = store.read("dim_staff")
+    whole = marts.mart_hotel_performance(hotels, bookings, reviews, staff)
+    assert rows_of(store.read("mart_hotel_performance")) == rows_of(whole)
+    assert store.read("mart_satisfaction").where("hotel_id = 1").first().total_reviews == 11
+
+    run_pipeline(store, "2024-06-03 06:00:00")  # nothing new: no partial sum is made again
+    last = store.state().segments
+    assert all(last[t] == after[t] for t in ("part_bookings", "part_reviews"))
