@@ -31,12 +31,14 @@ FEATURES = (
 @dataclass(frozen=True)
 class Settings:
     """``max_labelled``: labelled rows the list is learned from, the first by a hash of the id.
-    ``bins``: thresholds tried per statistic. A rule has at most ``max_conditions`` and must
+    ``bins``: thresholds tried per statistic, and ``refinements``: how often as many more are
+    tried between the neighbours of the best one. A rule has at most ``max_conditions`` and must
     reach ``least_precision`` on ``least_cover`` rejected rows or more.
     """
 
     max_labelled: int = 20_000
     bins: int = 24
+    refinements: int = 2
     max_rules: int = 8
     max_conditions: int = 3
     least_precision: float = 0.95
@@ -253,12 +255,37 @@ def _grow(rows: DataFrame, thresholds: dict[str, list[float]], settings: Setting
         best = _best(counts, thresholds)
         if best is None:
             break
+        best = _refined(rows.where(holds(rule)), best, thresholds[best[0].feature], settings)
         rule.append(best[0])
         if best[1] == 0:
             break
     return tuple(rule)
 
 
+def _refined(
+    covered: DataFrame, best: tuple[Condition, int], cuts: list[float], settings: Settings
+) -> tuple[Condition, int]:
+    """The condition with the best threshold between the cuts on either side of its own, moved
+    to the middle between the value found and the next one, as far as can be from both."""
+    feature = best[0].feature
+    steps = [i / settings.bins for i in range(1, settings.bins)]
+    for _ in range(settings.refinements):
+        at = cuts.index(best[0].threshold)
+        sides = cuts[max(0, at - 1) : at + 2]
+        low, high = sides[0], sides[-1]
+        near = covered.where((F.col(feature) >= low) & (F.col(feature) <= high))
+        found = near.agg(F.percentile_approx(feature, steps, 2000).alias("cuts")).first().cuts
+        cuts = sorted({*(found or []), *sides})
+        if len(cuts) == len(sides):
+            break
+        counts = covered.select("bad", F.lit(feature).alias("feature"), _bin(feature, cuts).alias("bin"))
+        best = _best(counts.groupBy("feature", "bin", "bad").count().collect(), {feature: cuts}) or best
+    condition, good = best
+    after = covered.where(F.col(feature) > condition.threshold).agg(F.min(feature).alias("value")).first().value
+    middle = condition.threshold if after is None else (condition.threshold + after) / 2
+    return Condition(feature, condition.above, middle), good
+
+
 def _best(counts: list, thresholds: dict[str, list[float]]) -> tuple[Condition, int] | None:
     """The condition of largest gain, with the good rows it still covers."""
     table = {f: [[0, 0] for _ in range(len(t) + 1)] for f, t in thresholds.items()}
