@@ -90,16 +90,19 @@ def word_hashes() -> Hashes:
     return Hashes()
 
 
-def shingle_sets(df: DataFrame, text: str, settings: Settings) -> DataFrame:
-    """Add ``shingles``, the packed set of each text, and its ``set_key``."""
+def shingle_sets(df: DataFrame, text: str, settings: Settings, narrow: bool = False) -> DataFrame:
+    """Add ``shingles``, the packed set of each text, and its ``set_key``. ``narrow``: only 32
+    bits of every shingle are packed."""
     words = settings.words
 
     def make():
         hashes = word_hashes()
 
         def work(value):
-            packed = shingle_set(value, words, hashes).tobytes()
-            return packed, xxhash.xxh3_128_digest(packed)
+            shingles = shingle_set(value, words, hashes)
+            packed = shingles.tobytes()
+            short = np.unique((shingles >> np.uint64(32)).astype(np.uint32)).tobytes() if narrow else packed
+            return short, xxhash.xxh3_128_digest(packed)
 
         return work
 
@@ -168,14 +171,15 @@ def near_duplicates(
     opened = work.store(open_groups(posted, clusters), "open")
     work.drop(posted)
     work.release()
-    sets = work.store(member_sets(opened, classes, rows, settings), "sets")
-    differences = work.store(from_hub(opened, sets, settings), "differences")
+    repeated = not signed.groupBy("key").count().where("count > 1").isEmpty()
+    differences = work.store(from_hub(opened, classes, rows, settings, repeated), "differences")
     work.release()
-    direct = differences.where("linked").select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b"))
-    pairs = work.store(difference_pairs(differences, settings), "pairs")
+    near = differences.where("linked and cluster <> grp").select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b"))
+    pairs = work.store(difference_pairs(differences, settings).unionByName(near).distinct(), "pairs")
+    work.drop(differences)
     work.release()
-    found = _similar(pairs, sets.withColumnRenamed("id", "key"), settings.percent)
-    links = work.store(links.unionByName(direct).unionByName(found), "links")
+    found = _similar(pairs, full_sets(pairs, classes, rows, settings), settings.percent)
+    links = work.store(links.unionByName(found), "links")
     work.release()
     found = components(links, work)
     ids = classes.select("set_key", "id").join(found, F.col("id") == F.col("node"), "left")
@@ -232,45 +236,47 @@ def open_groups(posted: DataFrame, clusters: DataFrame) -> DataFrame:
     return members.join(hubs, "grp")
 
 
-def member_sets(opened: DataFrame, classes: DataFrame, rows: DataFrame, settings: Settings) -> DataFrame:
-    """(id, shingles) of all members and hubs: each set is worked out and kept once."""
-    ids = opened.select("id").unionByName(opened.select(F.col("hub").alias("id"))).distinct()
-    own = classes.select("id", "set_key").join(ids, "id")
-    texts = rows.join(ids.withColumnRenamed("id", "key"), "key", "left_semi")
-    full = shingle_sets(texts, "text", settings).drop("text").withColumnRenamed("key", "id")
-    return own.join(full, ["id", "set_key"]).dropDuplicates(["id"]).select("id", "shingles")
-
+def from_hub(opened: DataFrame, classes: DataFrame, rows: DataFrame, settings: Settings, repeated: bool) -> DataFrame:
+    """(grp, hub, id, cluster, n, v, linked, lacks, adds): a member's difference from its hub.
 
-def from_hub(opened: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
-    """(grp, hub, id, cluster, n, v, linked, elements): a member's difference from its hub.
-
-    ``elements`` are tagged hashes of the ``m`` shingles it lacks and the ``a`` it adds, n the
-    hub's shingles, and ``v`` = 2 (100 m + percent a) - (100 - percent) n. Members x and y are
-    similar enough if they share s elements with 2 (100 + percent) s >= v(x) + v(y), and one is
-    linked with its hub if v <= (100 - percent) n.
+    ``lacks`` and ``adds`` are the m shingles it lacks and the a it adds, as 32 bits of their hashes,
+    n the hub's shingles, and ``v`` = 2 (100 m + percent a) - (100 - percent) n. Members x and y are
+    similar enough if they share s differences with 2 (100 + percent) s >= v(x) + v(y), and one is
+    linked with its hub if v <= (100 - percent) n. Two hashes that agree by chance may hide a
+    difference, so what is found here is confirmed on the full sets. A set is worked out where its
+    text is and goes through one shuffle, to its hubs.
     """
     percent = settings.percent
     kind = opened.schema["id"].dataType.simpleString()
-    own = opened.join(sets, "id").withColumnRenamed("shingles", "x")
-    met = own.join(sets.select(F.col("id").alias("hub"), F.col("shingles").alias("h")), "hub").where("id <> hub")
-    names = ["n", "v", "linked", "elements"]
+    keys = classes.select("id", F.col("set_key").alias("wanted"))
+
+    def sets_of(asked: DataFrame) -> DataFrame:
+        texts = rows.join(asked.join(keys, "id").withColumnRenamed("id", "key"), "key")
+        return shingle_sets(texts, "text", settings, narrow=True).where("set_key = wanted").drop("text", "set_key", "wanted")
+
+    groups = opened.groupBy("id").agg(F.collect_list(F.struct("grp", "hub", "cluster")).alias("groups"))
+    own = sets_of(groups).select(F.col("key").alias("id"), F.inline("groups"), F.col("shingles").alias("x"))
+    hubs = sets_of(opened.select(F.col("hub").alias("id")).distinct())
+    hubs = hubs.select(F.col("key").alias("hub"), F.col("shingles").alias("h"))
+    if repeated:  # rows of one key with one text
+        own, hubs = own.dropDuplicates(["grp", "id"]), hubs.dropDuplicates(["hub"])
+    met = own.where("id <> hub").join(hubs, "hub")
+    names = ["n", "v", "linked", "lacks", "adds"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = []
             for x, h in zip(batch.column("x"), batch.column("h")):
-                x, h = (np.frombuffer(side.as_buffer(), np.uint64) for side in (x, h))
+                x, h = (np.frombuffer(side.as_buffer(), np.uint32) for side in (x, h))
                 lacks, adds = np.setdiff1d(h, x, assume_unique=True), np.setdiff1d(x, h, assume_unique=True)
-                with np.errstate(over="ignore"):
-                    tagged = np.concatenate((mixed(lacks ^ ODD), adds)).view(np.int64)
                 v = 2 * (100 * len(lacks) + percent * len(adds)) - (100 - percent) * len(h)
-                made.append((len(h), v, v <= (100 - percent) * len(h), tagged))
-            types = (pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()))
+                made.append((len(h), v, v <= (100 - percent) * len(h), lacks.view(np.int32), adds.view(np.int32)))
+            types = (pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.int32()))
             arrays = [pa.array(c, t) for c, t in zip(zip(*made), types)] or [pa.array([], t) for t in types]
-            keys = ["grp", "hub", "id", "cluster"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), *arrays], [*keys, *names])
+            passed = ["grp", "hub", "id", "cluster"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in passed), *arrays], [*passed, *names])
 
-    ddl = f"grp {kind}, hub {kind}, id {kind}, cluster {kind}, n bigint, v bigint, linked boolean, elements array<bigint>"
+    ddl = f"grp {kind}, hub {kind}, id {kind}, cluster {kind}, n bigint, v bigint, linked boolean, lacks array<int>, adds array<int>"
     return met.select("grp", "hub", "id", "cluster", "x", "h").mapInArrow(run, ddl)
 
 
@@ -286,9 +292,10 @@ def difference_pairs(differences: DataFrame, settings: Settings) -> DataFrame:
     """
     percent = settings.percent
     unit, gap = 2 * (100 + percent), 100 - percent
-    size = F.size("elements").cast("long")
-    own = differences.where("size(elements) > 0").withColumns({"size": size, "limit": F.col("n") * gap})
-    listed = own.select("grp", "id", "size", F.explode("elements").alias("element"))
+    size = (F.size("lacks") + F.size("adds")).cast("long")
+    own = differences.withColumns({"size": size, "limit": F.col("n") * gap}).where("size > 0")
+    tagged = F.concat(F.transform("lacks", lambda e: e.cast("long") * 2), F.transform("adds", lambda e: e.cast("long") * 2 + 1))
+    listed = own.select("grp", "id", "size", F.explode(tagged).alias("element"))
     shared = listed.groupBy("grp", "element").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     met = listed.join(shared, ["grp", "element"])
     mine = Window.partitionBy("grp", "id")
@@ -329,13 +336,17 @@ def confirmed(pairs: DataFrame, classes: DataFrame, rows: DataFrame, settings: S
         F.zip_with("sa", "sb", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x
     )
     likely = work.store(met.where(equal >= settings.least_matches).select("a", "b", "na", "nb"), "pairs")
-    needed = likely.select(F.col("a").alias("key")).unionByName(likely.select(F.col("b").alias("key"))).distinct()
+    return _similar(likely, full_sets(likely, classes, rows, settings), percent)
+
+
+def full_sets(pairs: DataFrame, classes: DataFrame, rows: DataFrame, settings: Settings) -> DataFrame:
+    """(key, shingles) of every class in ``pairs``."""
+    needed = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     texts = rows.join(needed, "key", "left_semi")
     # Of a repeated key only the row that its class was made from counts.
     full = shingle_sets(texts, "text", settings).drop("text")
     sets = classes.select("set_key", F.col("id").alias("key")).join(full, ["key", "set_key"])
-    sets = sets.dropDuplicates(["key"])
-    return _similar(likely, sets, percent)
+    return sets.dropDuplicates(["key"])
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
