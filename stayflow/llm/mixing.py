@@ -22,8 +22,8 @@ class Settings:
     key. ``markers``: words it looks for. ``max_domains``: more are refused. ``temper``: what
     log odds are divided by, as words of one text are not independent. ``pull``: weight of the
     squared distance of rates from 1. ``exact`` and ``passes``: norm of the projected gradient,
-    relative to each domain's tokens, at which the least squares count as solved, and gradient
-    steps after which it is an error. ``smoothing``: where no targets are
+    relative to each domain's tokens, at which the least squares count as solved, and passes
+    over the documents after which it is an error. ``steps``: gradient steps a pass to begin with. ``smoothing``: where no targets are
     given they are the present shares to this power. ``keep_all``: raise all totals together
     until no domain has to shrink, with rates of at least 1.
     """
@@ -34,7 +34,8 @@ class Settings:
     temper: float = 4.0
     pull: float = 1e-4
     exact: float = 1e-6
-    passes: int = 1000
+    passes: int = 300
+    steps: int = 64
     smoothing: float = 0.7
     keep_all: bool = False
 
@@ -135,43 +136,66 @@ def solved_rates(
     descends. A gradient step changes the rate of a document by a sum over its memberships that has the same
     factors for all documents, so the steps taken so far are one number z per domain, and the rates are
     1 - (memberships times z), projected onto the allowed ones. One pass over the documents sums up the
-    totals of a round; nothing else comes to the driver. Steps are accelerated by the
-    last move, which is forgotten whenever it points uphill. Rounds end when the projected
-    gradient, the gap between what z would lead to and the totals, is at most ``exact`` of each domain.
+    totals and their slope in z, a number per pair of domains; nothing else comes to the driver.
+
+    As long as no rate meets its bound, totals change along that slope, so a pass is good for ``steps``
+    gradient steps, accelerated by the last move, which is forgotten whenever it points
+    uphill. Where they have crossed bounds and the projected gradient has not become smaller,
+    they are taken back and fewer are tried, in the end one, which never fails; otherwise more.
+    Rounds end when the projected gradient, the gap between what z would lead to and the totals, is
+    at most ``exact`` of each domain.
     """
     used = [i for i, m in enumerate(present) if m > 0]
     pull, least = settings.pull, 1.0 if settings.keep_all else 0.0
     m, wanted = np.array([present[i] for i in used]), np.array([targets[i] for i in used])
     unit = np.sqrt(m)  # z in units in which the curvature is at most 1 + pull
+    pairs = [(a, b) for a in range(len(used)) for b in range(a + 1)]
 
     def rate_at(z: np.ndarray) -> Column:
         terms = (F.col(f"p{i}") * F.lit(-float(x)) for i, x in zip(used, z / unit))
         return F.greatest(sum(terms, F.lit(1.0)), F.lit(least))
 
-    def totals_at(z: np.ndarray) -> np.ndarray:
-        rows = soft.select(*[f"p{i}" for i in used], (rate_at(z) * F.col("n_tokens")).alias("tokens"))
-        sums = [F.sum(F.col("tokens") * F.col(f"p{i}")).alias(f"s{i}") for i in used]
-        return np.array(rows.agg(*sums).first(), float)
-
-    at = before = np.zeros(len(used))
-    totals, speed = m, 1.0
-    for _ in range(settings.passes if used else 0):
-        totals = totals_at(at)
-        gradient = pull * at + (wanted - totals) / unit
-        if np.abs(gradient / unit).max() <= settings.exact:
-            break
-        moved = at - gradient / (1 + pull)
-        uphill = float(gradient @ (moved - before)) > 0
-        faster = 1.0 if uphill else (1 + math.sqrt(1 + 4 * speed * speed)) / 2
-        carry = 0.0 if uphill else (speed - 1) / faster
-        at, before, speed = moved + carry * (moved - before), moved, faster
-    else:
-        if used:
+    def at(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Totals, gradient and its slope."""
+        rows = soft.select(*[f"p{i}" for i in used], "n_tokens", rate_at(z).alias("rate"))
+        free = F.when(F.col("rate") > least, F.col("n_tokens")).otherwise(0)
+        rows = rows.select("*", (F.col("rate") * F.col("n_tokens")).alias("tokens"), free.alias("free"))
+        sums = [F.sum(F.col("tokens") * F.col(f"p{i}")) for i in used]
+        sums += [F.sum(F.col("free") * F.col(f"p{used[a]}") * F.col(f"p{used[b]}")) for a, b in pairs]
+        found = rows.agg(*[x.alias(f"s{j}") for j, x in enumerate(sums)]).first()
+        totals, slope = np.array(found[: len(used)], float), pull * np.eye(len(used))
+        for (a, b), x in zip(pairs, found[len(used) :]):
+            slope[a, b] = slope[b, a] = slope[a, b] + x / (unit[a] * unit[b])
+        return totals, pull * z + (wanted - totals) / unit, slope
+
+    def moved(gradient: np.ndarray, slope: np.ndarray, steps: int) -> np.ndarray:
+        here = before = np.zeros(len(used))
+        speed = 1.0
+        for _ in range(steps):
+            now = gradient + slope @ here
+            after = here - now / (1 + pull)
+            uphill = float(now @ (after - before)) > 0
+            faster = 1.0 if uphill else (1 + math.sqrt(1 + 4 * speed * speed)) / 2
+            carry = 0.0 if uphill else (speed - 1) / faster
+            here, before, speed = after + carry * (after - before), after, faster
+        return before
+
+    z, steps, passes = np.zeros(len(used)), settings.steps, 1
+    totals, gradient, slope = at(z) if used else (m, m, m)
+    while used and np.abs(gradient / unit).max() > settings.exact:
+        passes += 1
+        if passes > settings.passes:
             raise RuntimeError(f"mixing rates not solved after {settings.passes} passes")
+        there = z + moved(gradient, slope, steps)
+        found = at(there)
+        if steps == 1 or np.linalg.norm(found[1]) < np.linalg.norm(gradient):
+            z, (totals, gradient, slope), steps = there, found, min(2 * steps, 16 * settings.steps)
+        else:
+            steps = max(1, steps // 4)
     reached = [0.0] * len(present)
     for i, x in zip(used, totals):
         reached[i] = float(x)
-    return soft.withColumn("rate", rate_at(at)), reached
+    return soft.withColumn("rate", rate_at(z)), reached
 
 
 def mix(
