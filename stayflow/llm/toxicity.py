@@ -212,14 +212,16 @@ def regression(
     first, second = np.zeros_like(x), np.zeros_like(x)
     for t in range(1, settings.rounds + 1):
         w = x[:-1]
-        logit = np.bincount(place, w[column], n) + x[-1]
+        logit = np.bincount(place, w[column], n).astype(float) + x[-1]
         error = (1 / (1 + np.exp(-np.clip(logit, -40, 40))) - labels) / n
         gradient = np.append(np.bincount(column, error[place], n_features) + settings.ridge * w, error.sum())
         if pairs:
-            change = np.bincount(own_place, w[own], len(pairs)) - np.bincount(swap_place, w[swapped], len(pairs))
+            # Sums of nothing come as whole numbers.
+            sides = (np.bincount(own_place, w[own], len(pairs)), np.bincount(swap_place, w[swapped], len(pairs)))
+            change = sides[0].astype(float) - sides[1]
             change *= settings.counterfactual / m
-            gradient[:-1] += np.bincount(own, change[own_place], n_features)
-            gradient[:-1] -= np.bincount(swapped, change[swap_place], n_features)
+            for side, rows_of, sign in ((own, own_place, 1.0), (swapped, swap_place, -1.0)):
+                gradient[:-1] += sign * np.bincount(side, change[rows_of], n_features)
         first = 0.9 * first + 0.1 * gradient
         second = 0.99 * second + 0.01 * gradient**2
         x -= 0.1 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-9)

@@ -89,6 +89,14 @@ def test_counterfactuals_without_identity_terms(spark):
     assert own.pairs == 200
 
 
+def test_pairs_without_any_feature():
+    """Texts that are swapped but have no word the model uses leave it as it is."""
+    import numpy as np
+
+    bias, weights = regression([[], [0]], np.array([0.0, 1.0]), [([], [])], 1, Settings(rounds=5))
+    assert weights[0] > 0 and np.isfinite(bias)
+
+
 def test_no_labels_or_one_kind(spark):
     docs = narrow(spark, [(1, "a b"), (2, None)])
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
