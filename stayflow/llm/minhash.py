@@ -221,7 +221,7 @@ def star_pairs(posted: DataFrame) -> DataFrame:
 
 
 def open_groups(posted: DataFrame, clusters: DataFrame) -> DataFrame:
-    """(grp, hub, id, cluster): the members of lists that hold several clusters. Lists whose hubs
+    """(grp, hub, id, cluster): the members of lists of three or more that hold several clusters. Lists whose hubs
     are of one cluster are one group, with the hub of its longest list."""
     placed = posted.join(clusters, F.col("id") == F.col("node"), "left")
     placed = placed.select("list", "id", "shared", F.coalesce("component", "id").alias("cluster"))
@@ -230,7 +230,8 @@ def open_groups(posted: DataFrame, clusters: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("members"),
         (F.min("cluster") < F.max("cluster")).alias("open"),
     )
-    lists = lists.where("open").select("list", "members", F.col("hub.id").alias("hub"), F.col("hub.cluster").alias("grp"))
+    # A list of two has no pair but that with its hub, which has been compared.
+    lists = lists.where("open and members > 2").select("list", "members", F.col("hub.id").alias("hub"), F.col("hub.cluster").alias("grp"))
     hubs = lists.groupBy("grp").agg(F.max_by("hub", F.struct("members", "hub")).alias("hub"))
     members = placed.join(lists.select("list", "grp"), "list").select("grp", "id", "cluster").distinct()
     return members.join(hubs, "grp")
