@@ -2,7 +2,8 @@
 
 Every run counts the rows and text bytes it stages while writing them. A delivery within both
 bounds below is broadcast, and the large table is read past it where it lies; anything larger
-takes the shuffled joins, which have no size limit.
+takes the shuffled joins, which have no size limit. A broadcast goes through the driver, and a run
+makes some forty of them, so the bounds keep all of them together to a few hundred megabytes.
 """
 
 from __future__ import annotations
@@ -12,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SMALL_DELTA_ROWS = 1_000_000
-SMALL_DELTA_TEXT_BYTES = 128 * 1024 * 1024
+SMALL_DELTA_ROWS = 100_000
+SMALL_DELTA_TEXT_BYTES = 16 * 1024 * 1024
 # Tasks that write a small delta's new rows. Each may leave a file in every key range touched.
 SMALL_DELTA_TASKS = 8
 
