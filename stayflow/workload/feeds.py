@@ -160,12 +160,16 @@ def run_sql(spark: SparkSession, sf_dir: str, text: str, **frames: DataFrame) ->
     return spark.sql(text, **named, **frames)
 
 
-def delivery(spark: SparkSession, sf_dir: str, feed: str, batch: int) -> DataFrame:
-    """Business columns of a delivery (and ``loaded`` for the second)."""
-    first = run_sql(spark, sf_dir, FIRST_DELIVERY[feed])
-    return first if batch == 1 else run_sql(spark, sf_dir, SECOND_DELIVERY[feed], first=first)
+def delivery(spark: SparkSession, sf_dir: str, feed: str, batch: int, first: DataFrame | None = None) -> DataFrame:
+    """Business columns of a delivery (and ``loaded`` for the second). ``first`` is the feed's first
+    delivery if it is stored; the second one names it several times."""
+    if batch == 1:
+        return run_sql(spark, sf_dir, FIRST_DELIVERY[feed])
+    if first is None:
+        first = delivery(spark, sf_dir, feed, 1)
+    return run_sql(spark, sf_dir, SECOND_DELIVERY[feed], first=first.select(*FEED_SCHEMAS[feed].fieldNames()))
 
 
-def raw_batch(spark: SparkSession, sf_dir: str, feed: str, batch: int) -> DataFrame:
+def raw_batch(spark: SparkSession, sf_dir: str, feed: str, batch: int, first: DataFrame | None = None) -> DataFrame:
     text = raw_select(feed, batch).replace("{timestamp}", "timestamp_ntz")
-    return spark.sql(text, delivery=delivery(spark, sf_dir, feed, batch))
+    return spark.sql(text, delivery=delivery(spark, sf_dir, feed, batch, first))

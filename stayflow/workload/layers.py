@@ -68,7 +68,8 @@ class Layers:
         """One delivery, or the whole append-only raw table."""
         if batch is None:
             return self.raw(feed, 1).unionByName(self.raw(feed, 2))
-        return self.once(f"raw_{feed}-{batch}", lambda: raw_batch(self.spark, self.sf_dir, feed, batch))
+        first = None if batch == 1 else self.raw(feed, 1)
+        return self.once(f"raw_{feed}-{batch}", lambda: raw_batch(self.spark, self.sf_dir, feed, batch, first))
 
     def stage_all(self, feed: str) -> DataFrame:
         """Staging load over the whole raw table."""
