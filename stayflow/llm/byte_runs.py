@@ -319,15 +319,16 @@ def remove_repeated_bytes(
     ranges = ranges.agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")).select(F.struct("*").alias("_found"))
     made = ["n_bytes", "removed", "kept"]
     kept = [c for c in df.columns if c not in made]
-    tagged = df.select(*kept, F.col(key).cast("long").alias("_doc"), F.xxhash64(text).alias("_tie"))
+    # The row in one column of its own: its column names may be those used here.
+    tagged = df.select(F.struct(*kept).alias("_row"), F.col(key).cast("long").alias("_doc"), F.xxhash64(text).alias("_tie"))
     same = (F.col("_doc") == F.col("_found.doc")) & (F.col("_tie") == F.col("_found.tie"))
     met = tagged.join(ranges, same, "left")
     both = F.struct(
-        F.coalesce(text, F.lit("")).cast("binary").alias("data"),
+        F.coalesce(F.col("_row").getField(text), F.lit("")).cast("binary").alias("data"),
         F.col("_found.ranges.lo").alias("lo"),
         F.col("_found.ranges.hi").alias("hi"),
     )
-    joined = met.select(*kept, both.alias("_both"))
+    joined = met.select("_row.*", both.alias("_both"))
 
     def make():
         def work(row):
