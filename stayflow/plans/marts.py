@@ -18,30 +18,47 @@ from stayflow.schemas import MART_SCHEMAS, conform
 HOTEL = ("hotel_id", "hotel_name", "city")
 
 
+def booking_measures() -> dict[str, Column]:
+    priced = F.col("total_amount").isNotNull()
+    return {
+        "_bookings": F.count(F.lit(1)),
+        "_numbered": F.count("booking_id"),
+        "_priced": F.count("total_amount"),
+        "_revenue": F.sum("total_amount"),
+        "_high": count_when(F.col("is_high_value")),
+        "_high_priced": count_when(F.col("is_high_value") & priced),
+        "_nights": F.sum("stay_duration"),
+        "_stays": F.count("stay_duration"),
+    }
+
+
 def bookings_by_month(bookings: DataFrame, *within: Column) -> DataFrame:
     """All booking measures per hotel and check-in month (and whatever else is asked for): the one
     pass over the fact that the revenue, occupancy and performance marts share."""
-    priced = F.col("total_amount").isNotNull()
     return bookings.groupBy(*within, "hotel_id", F.trunc("checkin_date", "month").alias("booking_month")).agg(
-        F.count(F.lit(1)).alias("_bookings"),
-        F.count("booking_id").alias("_numbered"),
-        F.count("total_amount").alias("_priced"),
-        F.sum("total_amount").alias("_revenue"),
-        count_when(F.col("is_high_value")).alias("_high"),
-        count_when(F.col("is_high_value") & priced).alias("_high_priced"),
-        F.sum("stay_duration").alias("_nights"),
-        F.count("stay_duration").alias("_stays"),
+        *[m.alias(name) for name, m in booking_measures().items()]
     )
 
 
+# Measures that a hotel's lifetime figures need.
+HOTEL_SUMS = ("_bookings", "_numbered", "_priced", "_revenue", "_high", "_nights", "_stays")
+
+
+def bookings_by_hotel(bookings: DataFrame) -> DataFrame:
+    """Booking measures per hotel straight from the fact, for a mart built on its own: there are many
+    times as many months as hotels, and all of them would travel."""
+    measures = booking_measures()
+    return bookings.groupBy("hotel_id").agg(*[measures[c].alias(c) for c in HOTEL_SUMS])
+
+
 def summed(parts: DataFrame, *keys: str) -> DataFrame:
     """Partial measures added up; they are sums and counts, so parts of parts add up alike."""
     return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in parts.columns if c.startswith("_")])
 
 
-def _bookings_by_hotel(monthly: DataFrame) -> DataFrame:
-    sums = ("_bookings", "_numbered", "_priced", "_revenue", "_high", "_nights", "_stays")
-    return monthly.groupBy("hotel_id").agg(*[F.sum(c).alias(c) for c in sums])
+def months_by_hotel(monthly: DataFrame) -> DataFrame:
+    """``bookings_by_hotel`` from sums per month."""
+    return monthly.groupBy("hotel_id").agg(*[F.sum(c).alias(c) for c in HOTEL_SUMS])
 
 
 def review_measures() -> list[Column]:
@@ -102,17 +119,17 @@ def mart_occupancy(bookings: DataFrame, hotels: DataFrame, room_rates: DataFrame
     A booking names no room type, so it counts once for every current rate of its hotel.
     That product is never formed: a room type's rates are a factor on the hotel's totals.
     """
-    return occupancy_from(bookings_by_month(bookings), hotels, room_rates)
+    return occupancy_from(bookings_by_hotel(bookings), hotels, room_rates)
 
 
-def occupancy_from(monthly: DataFrame, hotels: DataFrame, room_rates: DataFrame) -> DataFrame:
+def occupancy_from(booked: DataFrame, hotels: DataFrame, room_rates: DataFrame) -> DataFrame:
     rates = (
         room_rates.where("is_current")
         .groupBy("hotel_id", "room_type")
         .agg(F.count(F.lit(1)).alias("_rates"))
     )
     rows = (
-        rates.join(_bookings_by_hotel(monthly), "hotel_id")
+        rates.join(booked, "hotel_id")
         .join(hotels, "hotel_id")
         .withColumns(
             {
@@ -198,16 +215,16 @@ def mart_hotel_performance(
     All bookings and all reviews count; averages are over the values that are known.
     """
     return performance_from(
-        hotels, bookings_by_month(bookings), reviews_by_hotel(reviews, bookings), staff
+        hotels, bookings_by_hotel(bookings), reviews_by_hotel(reviews, bookings), staff
     )
 
 
 def performance_from(
-    hotels: DataFrame, monthly: DataFrame, reviewed: DataFrame, staff: DataFrame
+    hotels: DataFrame, booked: DataFrame, reviewed: DataFrame, staff: DataFrame
 ) -> DataFrame:
     employed = staff.where("is_current").groupBy("hotel_id").agg(F.count("staff_sk").alias("_staff"))
     joined = join_preaggregated(
-        hotels, [(_bookings_by_hotel(monthly), "hotel_id"), (reviewed, "hotel_id"), (employed, "hotel_id")]
+        hotels, [(booked, "hotel_id"), (reviewed, "hotel_id"), (employed, "hotel_id")]
     )
     rows = joined.select(
         *HOTEL,

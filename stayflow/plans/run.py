@@ -248,14 +248,14 @@ def build_marts(run: Run) -> dict[str, DataFrame]:
     hotels, customers = run.read("dim_hotels"), run.read("dim_customers")
     staff, rates = run.read_current("dim_staff"), run.read_current("dim_room_rates")
     monthly = marts.summed(run.read("part_bookings"), "hotel_id", "booking_month")
-    reviewed = marts.summed(run.read("part_reviews"), "hotel_id")
+    booked, reviewed = marts.months_by_hotel(monthly), marts.summed(run.read("part_reviews"), "hotel_id")
     return {
         "mart_revenue": marts.revenue_from(monthly, hotels),
-        "mart_occupancy": marts.occupancy_from(monthly, hotels, rates),
+        "mart_occupancy": marts.occupancy_from(booked, hotels, rates),
         "mart_customer_segments": marts.mart_customer_segments(bookings, customers),
         "mart_satisfaction": marts.satisfaction_from(reviewed, hotels),
         "mart_staff": marts.mart_staff(staff, hotels),
-        "mart_hotel_performance": marts.performance_from(hotels, monthly, reviewed, staff),
+        "mart_hotel_performance": marts.performance_from(hotels, booked, reviewed, staff),
     }
 
 
