@@ -11,6 +11,10 @@ REQUIRED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # What a task takes in, so that it sorts and groups that in memory: key columns compress to a
+    # tenth of their size in memory or less, and at Spark's 128m and 64m a task would need gigabytes.
+    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }
 
 
