@@ -44,14 +44,18 @@ def test_second_delivery_is_read_from_the_first_one_stored(spark):
 
 
 def test_tasks_take_in_what_fits_their_memory(spark):
-    spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    require(spark)
-    folder = new_dir("keys")
-    rows = spark.range(6_000_000).selectExpr("cast(id * 7919 as decimal(38,0)) as k", "xxhash64(id) as v")
+    folder, at_least = new_dir("keys"), "spark.sql.files.minPartitionNum"
+    rows = spark.range(3_000_000).selectExpr("cast(id * 7919 as decimal(38,0)) as k", "xxhash64(id) as v")
     rows.coalesce(1).write.mode("overwrite").option("compression", "none").parquet(folder)
-    # The one file is 90 MB or so: more than a task should sort.
-    assert spark.read.parquet(folder).rdd.getNumPartitions() >= 5
+    spark.conf.set(at_least, "1")  # no more tasks than the size of the one file asks for
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+        assert spark.read.parquet(folder).rdd.getNumPartitions() == 1
+        require(spark)
+        assert spark.read.parquet(folder).rdd.getNumPartitions() >= 4
+    finally:
+        spark.conf.unset(at_least)
+        require(spark)
 
 
 def test_marts_by_hotel_do_not_group_by_month(spark):
