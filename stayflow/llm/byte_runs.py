@@ -20,7 +20,9 @@ class Settings:
     """``length``: bytes of a string that counts as repeated. ``gram``: bytes of the marks that
     bring equal strings together. ``shard_bytes``: text a shard has on average; shards grow in
     number with the input, not in size. ``records``: units a task sums up before it sends
-    them on. ``sampled``: one text in so many is looked at beforehand for hot marks.
+    them on. ``sampled``: one text in so many is looked at beforehand for hot marks. ``shares``: the
+    texts that a shard's open units leave are dealt into so many parts by mark, each with a suffix array
+    of its own, as that takes some 200 bytes of memory for each byte of its text.
     """
 
     length: int = 50
@@ -28,6 +30,7 @@ class Settings:
     shard_bytes: int = 8 << 20
     records: int = 400_000
     sampled: int = 64
+    shares: int = 16
 
     @property
     def hot_bytes(self) -> int:
@@ -84,6 +87,32 @@ def units_of(data: bytes, settings: Settings) -> tuple[np.ndarray, np.ndarray, n
     return least[lo], lo, np.diff(np.append(lo, len(least)))
 
 
+def packed(units: np.ndarray, compared: bool) -> list[bytes]:
+    """A binary for each field. The bytes of a field stand by their place in the number, and documents as
+    steps from one to the next, so that high bytes are runs of zeros, which a shuffle compresses.
+    Hashes do not compress; they are left out of units that no others are ``compared`` with."""
+    out = []
+    for name in UNIT.names:
+        values = np.ascontiguousarray(units[name])
+        if name in ("mark", "own") and not compared:
+            values = values[:0]
+        if name == "doc":
+            values = np.diff(values, prepend=np.int64(0))
+        out.append(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes())
+    return out
+
+
+def unpacked(fields: dict[str, bytes]) -> np.ndarray:
+    """The units that ``packed`` was given; hashes that were left out are 0."""
+    units = np.zeros(len(fields["doc"]) // 8, UNIT)
+    for name in UNIT.names:
+        if fields[name]:
+            planes = np.frombuffer(fields[name], np.uint8).reshape(UNIT[name].itemsize, len(units))
+            units[name] = np.ascontiguousarray(planes.T).view(UNIT[name])[:, 0]
+    units["doc"] = np.cumsum(units["doc"])
+    return units
+
+
 def first_of_equal(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Units split into those of the smallest document with the same text, one a text, and the
     others of larger documents. Of equal units of one document one is enough."""
@@ -141,8 +170,8 @@ def repeated_ranges(texts: DataFrame, settings: Settings) -> DataFrame:
        document's goes on, so a passage in very many documents is one record a task.
     2. In a shard, units with the text of a smaller document's unit are repeated as a whole.
        A mark that one text has alone, or one document, is done.
-    3. Texts of the units left are fetched and dealt by mark again. Induced sorting gives the
-       suffix array of a shard's texts, common prefixes the runs of equal strings in it;
+    3. Texts of the units left are fetched and dealt by mark again, more finely. Induced sorting gives
+       the suffix array of a part's texts, common prefixes the runs of equal strings in it;
        all but those of the smallest document are repeated.
 
     Marks of very many texts, as at the ends of a passage in many documents, are not dealt whole:
@@ -160,13 +189,14 @@ def repeated_ranges(texts: DataFrame, settings: Settings) -> DataFrame:
         places = mixed(later["doc"].view(np.uint64) * ODD + later["lo"])
         for state, units, key in ((0, first, first["mark"]), (1, later, places)):
             shard = (key % np.uint64(shards)).astype(np.int64)
-            units = units[np.argsort(shard, kind="stable")]
+            units = units[np.lexsort((units["lo"], units["doc"], shard))]
             ends = np.cumsum(np.bincount(shard, minlength=shards))
             parts = np.split(units, ends[:-1])
             full = [i for i, part in enumerate(parts) if len(part)]
             columns = [pa.array(full, pa.int32()), pa.array([state] * len(full), pa.int32())]
-            for field in UNIT.names:
-                columns.append(pa.array([np.ascontiguousarray(parts[i][field]).tobytes() for i in full], pa.binary()))
+            sent_as = [packed(parts[i], compared=not state) for i in full]
+            for field in range(len(UNIT.names)):
+                columns.append(pa.array([fields[field] for fields in sent_as], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, ["shard", "state", *UNIT.names])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,10 +239,7 @@ def repeated_ranges(texts: DataFrame, settings: Settings) -> DataFrame:
     def judge(table: pa.Table) -> pa.Table:
         parts = {0: [], 1: []}
         for row in table.select(["state", *UNIT.names]).to_pylist():
-            units = np.empty(len(row["doc"]) // 8, UNIT)
-            for field in UNIT.names:
-                units[field] = np.frombuffer(row[field], UNIT[field])
-            parts[row["state"]].append(units)
+            parts[row["state"]].append(unpacked(row))
         first, later = first_of_equal(np.concatenate(parts[0] or [np.empty(0, UNIT)]))
         later = np.concatenate([later, *parts[1]])
         # A mark stays open if it has several texts and several documents.
@@ -294,7 +321,7 @@ def repeated_ranges(texts: DataFrame, settings: Settings) -> DataFrame:
         one_by_one = strings.groupBy("shard").applyInArrow(judge, f"{RANGES}, mark bigint, open boolean").where("not open")
         found = found.unionByName(one_by_one.select("doc", "tie", "lo", "hi"))
         still_open = still_open.join(F.broadcast(large), "mark", "left_anti")
-    dealt = pieces_of(still_open).withColumn("shard", F.pmod("mark", F.lit(shards)))
+    dealt = pieces_of(still_open).withColumn("shard", F.pmod("mark", F.lit(shards * settings.shares)))
     ranges = work.store(dealt.groupBy("shard").applyInArrow(induce, RANGES).unionByName(found), "ranges")
     work.drop(judged)
     work.release()
@@ -313,14 +340,18 @@ def remove_repeated_bytes(
     of one key are separate documents, none smaller than the other.
     """
     span = settings.length - 1
-    base = df.select(F.col(key).cast("long").alias("doc"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
+    keys = df.select(F.col(key).cast("long").alias("doc")).where("doc is not null")
+    # A hash of the text tells rows of one key apart; it does not compress, so only where there are any.
+    repeated = not keys.groupBy("doc").count().where("count > 1").isEmpty()
+    tie = F.xxhash64(text) if repeated else F.lit(0).cast("long")
+    base = df.select(F.col(key).cast("long").alias("doc"), tie.alias("tie"), F.col(text).alias("text"))
     texts = base.where("doc is not null and text is not null")
     ranges = repeated_ranges(texts, settings).groupBy("doc", "tie")
     ranges = ranges.agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")).select(F.struct("*").alias("_found"))
     made = ["n_bytes", "removed", "kept"]
     kept = [c for c in df.columns if c not in made]
     # The row in one column of its own: its column names may be those used here.
-    tagged = df.select(F.struct(*kept).alias("_row"), F.col(key).cast("long").alias("_doc"), F.xxhash64(text).alias("_tie"))
+    tagged = df.select(F.struct(*kept).alias("_row"), F.col(key).cast("long").alias("_doc"), tie.alias("_tie"))
     same = (F.col("_doc") == F.col("_found.doc")) & (F.col("_tie") == F.col("_found.tie"))
     met = tagged.join(ranges, same, "left")
     both = F.struct(

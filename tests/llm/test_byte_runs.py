@@ -2,6 +2,8 @@ import os
 import random
 import uuid
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import new_dir
 from rows_at_the_edge import edge_rows, narrow
@@ -112,3 +114,47 @@ def test_a_hot_mark_is_no_group(spark, monkeypatch, sampled):
     assert {r.doc_id: (r.n_bytes, r.n_bytes - len(r.kept), bytes(r.kept)) for r in found} == expected
     sizes = [int(open(f"{folder}/{f}").read()) for f in os.listdir(folder)]
     assert max(sizes, default=0) < 20_000
+
+
+def test_units_without_repeated_keys_pack_to_half():
+    """What goes through the first shuffle, compressed as a shuffle does: 40 bytes a unit as they are."""
+    rng = np.random.default_rng(4)
+    units = np.zeros(20_000, byte_runs.UNIT)
+    units["mark"], units["own"] = rng.integers(0, 2**63, (2, len(units)), np.uint64)
+    units["doc"] = np.sort(rng.integers(-5, 4_000, len(units))) + 10**12
+    units["lo"], units["n"] = rng.integers(0, 4_000, len(units)), rng.integers(1, 32, len(units))
+    fields = byte_runs.packed(units, compared=True)
+    assert (byte_runs.unpacked(dict(zip(units.dtype.names, fields))) == units).all()
+    lz4 = pa.Codec("lz4_raw")
+    assert sum(len(lz4.compress(field)) for field in fields) < 22 * len(units)
+    alone = byte_runs.unpacked(dict(zip(units.dtype.names, byte_runs.packed(units, compared=False))))
+    for name in ("doc", "tie", "lo", "n"):
+        assert (alone[name] == units[name]).all()
+    ends = np.array([(1, 2, -(2**63), -1, 0, 2**32 - 1), (3, 4, 2**63 - 1, 7, 2**32 - 1, 1)], byte_runs.UNIT)
+    assert (byte_runs.unpacked(dict(zip(ends.dtype.names, byte_runs.packed(ends, compared=True)))) == ends).all()
+    none = byte_runs.packed(units[:0], compared=True)
+    assert len(byte_runs.unpacked(dict(zip(units.dtype.names, none)))) == 0
+
+
+def test_suffix_arrays_are_a_share_of_a_shard(spark, monkeypatch):
+    """Near copies leave many open units: their texts are sorted in parts, not a shard at a time."""
+    rng, rows = random.Random(12), []
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(2_000)) for _ in range(12)]
+    for i in range(240):
+        chars = list(base[i % 12])
+        for at in range(rng.randrange(60), len(chars), 60):
+            chars[at] = rng.choice("XYZ")
+        rows.append((i, "".join(chars)))
+    settings, folder = Settings(shard_bytes=1_000_000), new_dir("sizes")
+
+    def noted(symbols, size):
+        with open(f"{folder}/{uuid.uuid4()}", "w") as out:
+            out.write(str(len(symbols)))
+        return suffix_array(symbols, size)
+
+    monkeypatch.setattr(byte_runs, "suffix_array", noted)
+    found = byte_runs.remove_repeated_bytes(narrow(spark, rows).repartition(4), settings=settings).collect()
+    expected = brute(rows, settings.length)
+    assert {r.doc_id: (r.n_bytes, r.n_bytes - len(r.kept), bytes(r.kept)) for r in found} == expected
+    sizes = [int(open(f"{folder}/{f}").read()) for f in os.listdir(folder)]
+    assert len(sizes) > 16 and max(sizes) < sum(sizes) / 16
