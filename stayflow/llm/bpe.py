@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import base64
-import re
+from array import array
 from functools import lru_cache
 from heapq import heappop, heappush
 
@@ -11,12 +11,11 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
+from stayflow.llm.remembered import Stretches
 from stayflow.llm.rows import add_columns
 
-# The characters that the split pattern's \s stands for (Unicode White_Space), fixed values.
-WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-# Distinct strings whose ids a Python worker remembers, and the longest one that it does.
-REMEMBERED, LONGEST_REMEMBERED = 600_000, 64
+# Bytes of a match up to which positions of a rank fit a few machine words.
+SHORT = 256
 
 
 def read_ranks(blob: bytes) -> dict[bytes, int]:
@@ -70,36 +69,31 @@ class RankQueue:
         return rank, position
 
 
-class Encoder(dict):
-    """Text to ids. As a dict it maps a stretch of text (white space, then other characters) to
-    its packed ids; stretches never share a match of the split pattern."""
+class Encoder(Stretches):
+    """Text to ids."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        super().__init__()
+        super().__init__(regex.compile(pattern).findall)
         self.ranks = ranks
-        self.split = regex.compile(pattern).findall
-        self.stretches = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall
-        self.longest = max(map(len, ranks), default=0)
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
-        self.pieces: dict[str, bytes] = {}
+        self.longest_token = max(map(len, ranks), default=0)
+        most = max(ranks.values(), default=0)
+        self.queue = RankQueue(most + 1)
+        # For short matches: ranks of all single bytes and pairs of bytes, and words of 256 bits in
+        # place of the queue's two lower levels, all zero between matches.
+        self.singles = [ranks.get(bytes([byte])) for byte in range(256)]
+        self.pairs: list[int | None] = [None] * (1 << 16)
+        for token, rank in ranks.items():
+            if len(token) == 2:
+                self.pairs[token[0] << 8 | token[1]] = rank
+        self.words = [0] * ((most >> 8) + 1)
+        self.bits = [1 << i for i in range(max(SHORT, len(self.words)))]
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.__getitem__, self.stretches(text)))
-
-    def __missing__(self, stretch: str) -> bytes:
-        packed = b"".join(map(self.piece, self.split(stretch)))
-        if len(stretch) <= LONGEST_REMEMBERED and len(self) < REMEMBERED:
-            self[stretch] = packed
-        return packed
-
-    def piece(self, piece: str) -> bytes:
-        packed = self.pieces.get(piece)
-        if packed is None:
-            packed = np.array(self.merge(piece.encode()), "<u4").tobytes()
-            if len(piece) <= LONGEST_REMEMBERED and len(self.pieces) < REMEMBERED:
-                self.pieces[piece] = packed
-        return packed
+        return self.split_up(text)
+
+    def work_out(self, piece: str) -> bytes:
+        return array("I", self.merge(piece.encode())).tobytes()
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one match of the pattern: the pair of least rank is merged first, the leftmost
@@ -107,6 +101,8 @@ class Encoder(dict):
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
+        if len(piece) <= SHORT:
+            return self.merge_short(piece)
         n, rank_of, queue = len(piece), self.ranks.get, self.queue
         after = list(range(1, n + 1))
         before = list(range(-1, n))
@@ -125,13 +121,13 @@ class Encoder(dict):
             pair[i] = None
             if end < n:
                 stop = after[end]
-                if stop - i <= self.longest and (made := rank_of(piece[i:stop])) is not None:
+                if stop - i <= self.longest_token and (made := rank_of(piece[i:stop])) is not None:
                     pair[i] = made
                     queue.push(made, i)
             start = before[i]
             if start >= 0:
                 pair[start] = None
-                if end - start <= self.longest and (made := rank_of(piece[start:end])) is not None:
+                if end - start <= self.longest_token and (made := rank_of(piece[start:end])) is not None:
                     pair[start] = made
                     queue.push(made, start)
         ids, i = [], 0
@@ -140,6 +136,69 @@ class Encoder(dict):
             i = after[i]
         return ids
 
+    def merge_short(self, piece: bytes) -> list[int]:
+        """``merge`` with the queue in two levels: a bit for each filled word of 256 ranks, a bit for
+        each rank in it, and for a rank the bits of its positions."""
+        rank_of, words, top, places = self.ranks.get, self.words, 0, {}
+        pairs, singles, bits, n = self.pairs, self.singles, self.bits, len(piece)
+        pair = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]
+        for i, rank in enumerate(pair):
+            if rank is None:
+                continue
+            if rank in places:
+                places[rank] |= bits[i]
+            else:
+                places[rank] = bits[i]
+                words[rank >> 8] |= bits[rank & 255]
+                top |= bits[rank >> 8]
+        pair.append(None)
+        token = [singles[byte] for byte in piece]
+        after, before = [*range(1, n + 1)], [*range(-1, n)]
+        while top:
+            word = (top & -top).bit_length() - 1
+            marks = words[word]
+            rank = word << 8 | (marks & -marks).bit_length() - 1
+            filled = places.pop(rank)
+            i = (filled & -filled).bit_length() - 1
+            filled &= filled - 1
+            if filled:
+                places[rank] = filled
+            else:
+                marks &= marks - 1
+                words[word] = marks
+                if not marks:
+                    top &= top - 1
+            if pair[i] != rank:
+                continue
+            token[i] = rank
+            j = after[i]
+            end = after[i] = after[j]
+            pair[j] = pair[i] = None
+            before[end] = i
+            if end < n and (made := rank_of(piece[i : after[end]])) is not None:
+                pair[i] = made
+                if made in places:
+                    places[made] |= bits[i]
+                else:
+                    places[made] = bits[i]
+                    words[made >> 8] |= bits[made & 255]
+                    top |= bits[made >> 8]
+            if i:
+                start = before[i]
+                pair[start] = made = rank_of(piece[start:end])
+                if made is not None:
+                    if made in places:
+                        places[made] |= bits[start]
+                    else:
+                        places[made] = bits[start]
+                        words[made >> 8] |= bits[made & 255]
+                        top |= bits[made >> 8]
+        ids, i = [], 0
+        while i < n:
+            ids.append(token[i])
+            i = after[i]
+        return ids
+
 
 # Kept between the tasks of a Python worker, with what it remembers.
 @lru_cache(maxsize=1)

@@ -17,13 +17,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from stayflow.llm.bpe import LONGEST_REMEMBERED, WHITE
+from stayflow.llm.remembered import Stretches
 
 # Ids of one block, about; a document's ids are never divided between blocks.
 BLOCK_IDS = 1 << 18
 # Marks whose number a rank directory entry sums up.
 STEP = 512
-REMEMBERED = 900_000
 ROWS_AT_ONCE = 64
 
 
@@ -100,7 +99,7 @@ def byte_characters() -> dict[int, str]:
     return {byte: chr(byte) for byte in own} | {byte: chr(256 + i) for i, byte in enumerate(others)}
 
 
-class TokenizerMemory(dict):
+class TokenizerMemory(Stretches):
     """A tokenizer that remembers the ids of frequent stretches of text (white space, then other
     characters) and of the matches of the split pattern in them, which its model encodes
     one by one. Only for byte-level tokenizers that split by ``pattern``. Texts with an added
@@ -110,41 +109,24 @@ class TokenizerMemory(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
+        super().__init__(regex.compile(pattern).findall if pattern else None)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if special or not t.special]
         self.has_added = re.compile("|".join(map(re.escape, added))).search if added else lambda text: None
         self.model = self.tokenizer.model
-        self.split = regex.compile(pattern).findall if pattern else None
         self.characters = byte_characters()
-        self.stretches = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall
-        self.pieces: dict[str, bytes] = {}
-
-    def __missing__(self, stretch: str) -> bytes:
-        packed = b"".join(map(self.piece, self.split(stretch)))
-        if len(stretch) <= LONGEST_REMEMBERED and len(self) < REMEMBERED:
-            self[stretch] = packed
-        return packed
-
-    def piece(self, piece: str) -> bytes:
-        packed = self.pieces.get(piece)
-        if packed is None:
-            written = piece.encode().decode("latin-1").translate(self.characters)
-            packed = array("I", [token.id for token in self.model.tokenize(written)]).tobytes()
-            if len(piece) <= LONGEST_REMEMBERED and len(self.pieces) < REMEMBERED:
-                self.pieces[piece] = packed
-        return packed
-
-    def split_up(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.__getitem__, self.stretches(text))), np.uint32)
+
+    def work_out(self, piece: str) -> bytes:
+        written = piece.encode().decode("latin-1").translate(self.characters)
+        return array("I", [token.id for token in self.model.tokenize(written)]).tobytes()
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.split:
-            return [self.whole(text) if self.has_added(text) else self.split_up(text) for text in texts]
+            return [self.whole(text) if self.has_added(text) else np.frombuffer(self.split_up(text), np.uint32) for text in texts]
         encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(one.ids, np.uint32) for one in encoded]
 

@@ -52,3 +52,41 @@ def test_round_trip_of_edge_rows(spark, reference):
 def test_empty_table(spark):
     df = narrow(spark, [])
     assert bpe.encode(df, RANKS, public_tokenizers.PATTERN).collect() == []
+
+
+def test_a_match_is_remembered_once():
+    """Not again for each stretch of text it is in, so a worker's memory holds twice the words."""
+    with open(RANKS, "rb") as file:
+        encoder = bpe.Encoder(bpe.read_ranks(file.read()), public_tokenizers.PATTERN)
+    encoder.encode(" zorglub zorglub zorglub, zorglub. zorglub\n\n zorglub")
+    assert sorted(k for k in encoder if "zorglub" in k) == [" zorglub"]
+    assert all(k not in encoder.joined for k in encoder)
+
+
+def test_short_and_long_matches_are_merged_alike(monkeypatch):
+    with open(RANKS, "rb") as file:
+        encoder = bpe.Encoder(bpe.read_ranks(file.read()), public_tokenizers.PATTERN)
+    rng = random.Random(2)
+    pieces = ["".join(rng.choice("etaoin thé😀") for _ in range(rng.randrange(1, 60))).encode() for _ in range(500)]
+    short = [encoder.merge(piece) for piece in pieces]
+    assert not any(encoder.words)
+    monkeypatch.setattr(bpe, "SHORT", 0)
+    assert [encoder.merge(piece) for piece in pieces] == short
+
+
+def test_ranks_in_any_order():
+    """A merge may make a pair of a lower rank than its own; the lowest one still goes first."""
+    rng = random.Random(6)
+    for _ in range(200):
+        tokens = {bytes([c]) for c in b"abc"} | {bytes(rng.choice(b"abc") for _ in range(rng.randrange(2, 5))) for _ in range(25)}
+        order = list(tokens)
+        rng.shuffle(order)
+        ranks = {token: i for i, token in enumerate(order)}
+        encoder = bpe.Encoder(ranks, r"\S+")
+        for _ in range(10):
+            piece = bytes(rng.choice(b"abc") for _ in range(rng.randrange(1, 12)))
+            parts = [piece] if piece in ranks else [piece[i : i + 1] for i in range(len(piece))]
+            while known := [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]:
+                _, i = min(known)
+                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            assert encoder.merge(piece) == [ranks[part] for part in parts]
