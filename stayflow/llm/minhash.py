@@ -32,7 +32,7 @@ class Settings:
 class Hashes(dict):
     """64-bit hash of a word; remembers the words it has seen."""
 
-    REMEMBERED = 500_000
+    REMEMBERED = 100_000
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh64_intdigest(word)

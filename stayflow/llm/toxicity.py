@@ -231,7 +231,7 @@ def regression(
 class Scorer(dict):
     """Maps a word to those of its features the model uses; remembers the words it has seen."""
 
-    REMEMBERED = 500_000
+    REMEMBERED = 150_000
 
     def __init__(self, model: Model) -> None:
         super().__init__()
