@@ -22,7 +22,7 @@ class Settings:
     number with the input, not in size. ``records``: units a task sums up before it sends
     them on. ``sampled``: one text in so many is looked at beforehand for hot marks. ``shares``: the
     texts that a shard's open units leave are dealt into so many parts by mark, each with a suffix array
-    of its own, as that takes some 200 bytes of memory for each byte of its text.
+    of its own, as that takes many times its text in memory.
     """
 
     length: int = 50

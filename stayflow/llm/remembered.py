@@ -8,7 +8,7 @@ from collections.abc import Callable
 # The characters that the split pattern's \s stands for (Unicode White_Space), fixed values.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 # Matches of the pattern, and stretches of text with several of them, whose ids a Python worker
-# remembers (some 120 bytes each), and the longest one that it does.
+# remembers (some 160 bytes each, as measured), and the longest one that it does.
 REMEMBERED, REMEMBERED_JOINED, LONGEST_REMEMBERED = 450_000, 150_000, 64
 
 

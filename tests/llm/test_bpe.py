@@ -55,7 +55,7 @@ def test_empty_table(spark):
 
 
 def test_a_match_is_remembered_once():
-    """Not again for each stretch of text it is in, so a worker's memory holds twice the words."""
+    """Not again as a stretch of its own, so that fewer strings fill a worker's memory."""
     with open(RANKS, "rb") as file:
         encoder = bpe.Encoder(bpe.read_ranks(file.read()), public_tokenizers.PATTERN)
     encoder.encode(" zorglub zorglub zorglub, zorglub. zorglub\n\n zorglub")

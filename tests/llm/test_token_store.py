@@ -70,3 +70,11 @@ def test_query_encodes_as_the_plain_library(spark):
         assert (row.start, row.n_tokens, row.ids_crc32) == (start, len(ids), crc)
         start += len(ids)
     assert tokenizer.encode(texts[0], add_special_tokens=False).ids == [64, 50_256, 65]
+
+
+def test_a_match_is_remembered_once():
+    """Not again as a stretch of its own, so that fewer strings fill a worker's memory."""
+    memory = token_store.TokenizerMemory(PATH, public_tokenizers.PATTERN)
+    memory.encode([" zorglub zorglub zorglub, zorglub. zorglub\n\n zorglub"])
+    assert sorted(k for k in memory if "zorglub" in k) == [" zorglub"]
+    assert all(k not in memory.joined for k in memory)
