@@ -1,10 +1,10 @@
-"""Near duplicates: signatures in a coordinate-wise inverted index, links confirmed on full sets."""
+"""Near duplicates: signatures in an inverted index of their coordinates, links confirmed on full sets."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +21,14 @@ class Settings:
     """``words``: words of a shingle. ``percent``: least Jaccard similarity of a link, in
     hundredths. ``coordinates`` and ``least_matches``: signature length, and equal coordinates
     a pair needs. With 64 and 34 a pair of similarity 0.8 is missed with a likelihood under 1e-6.
+    ``compared``: members of a list up to which all are compared with one another, by sketches.
     """
 
     words: int = 5
     percent: int = 80
     coordinates: int = 64
     least_matches: int = 34
+    compared: int = 64
 
 
 class Hashes(dict):
@@ -85,6 +87,18 @@ def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+SKETCHED = 4
+
+
+def sketch(values: np.ndarray) -> np.ndarray:
+    """The low ``SKETCHED`` bits of a signature's coordinates: of every 64 the first bits in one number,
+    then the second ones, and so on. Coordinates that differ here differ."""
+    padded = np.zeros(-(-len(values) // 64) * 64, np.uint32)
+    padded[: len(values)] = values.view(np.uint32)
+    bits = (padded.reshape(-1, 1, 64) >> np.arange(SKETCHED, dtype=np.uint32)[None, :, None]) & np.uint32(1)
+    return np.packbits(bits.astype(np.uint8), axis=2, bitorder="little").reshape(-1).view("<i8")
+
+
 @lru_cache(maxsize=1)
 def word_hashes() -> Hashes:
     return Hashes()
@@ -110,7 +124,7 @@ def shingle_sets(df: DataFrame, text: str, settings: Settings, narrow: bool = Fa
 
 
 def signatures(df: DataFrame, text: str, settings: Settings) -> DataFrame:
-    """Add ``n_shingles``, ``set_key`` (equal for equal sets) and ``signature`` (null if empty)."""
+    """Add ``n_shingles``, ``set_key`` (equal for equal sets), ``signature`` and its ``sketch`` (null if empty)."""
     words, coordinates = settings.words, settings.coordinates
 
     def make():
@@ -119,13 +133,13 @@ def signatures(df: DataFrame, text: str, settings: Settings) -> DataFrame:
         def work(value):
             shingles = shingle_set(value, words, hashes)
             if not len(shingles):
-                return 0, None, None
-            key = xxhash.xxh3_128_digest(shingles.tobytes())
-            return len(shingles), key, signature(shingles, coordinates).tolist()
+                return 0, None, None, None
+            key, values = xxhash.xxh3_128_digest(shingles.tobytes()), signature(shingles, coordinates)
+            return len(shingles), key, values.tolist(), sketch(values).tolist()
 
         return work
 
-    return add_columns(df, text, "n_shingles bigint, set_key binary, signature array<int>", make)
+    return add_columns(df, text, "n_shingles bigint, set_key binary, signature array<int>, sketch array<bigint>", make)
 
 
 def near_duplicates(
@@ -139,13 +153,17 @@ def near_duplicates(
     of their sets stands for all.
 
     1. Equal sets become one class under their smallest key.
-    2. Every class is posted under its rarest (coordinate, value) pairs: of ``coordinates`` pairs
-       it may leave out ``least_matches - 1`` (the most frequent ones), as two signatures
-       with that many matches still meet in the rest. Pairs that a single class has are dropped,
-       so texts unlike all others post nothing and frequent values are hardly ever posted.
+    2. The signature is cut into spans of neighbouring coordinates, as long as two signatures with
+       ``least_matches`` equal coordinates always have some spans equal as a whole (two
+       coordinates, at 64 and 34: 32 spans, two of them equal at least). Every class is posted
+       under its rarest (span, values): it may leave out the most frequent ones, one less than such a pair has equal, as
+       it still meets in the rest. Those that a single class has are dropped,
+       so texts unlike all others post nothing and frequent values are hardly ever posted. Two unlike texts
+       seldom have all values of a span by chance, so lists do not grow with the number of documents.
     3. Within a posting list all are compared with its hub, the class whose pairs are shared most
        (the original, where the others are copies of it). What is linked is one cluster, and lists
-       with a single cluster are done. Open lists whose hubs are of one cluster are a group with one
+       with a single cluster are done. In open lists of at most ``compared`` members all pairs of different clusters are
+       compared by sketches of their signatures, which seldom leaves a pair of unlike texts. Larger open lists whose hubs are of one cluster are a group with one
        of these hubs. Of every member only the difference from that hub counts: the
        shingles it lacks and those it adds. Two members that are linked, but not both with the hub, share at least as many
        differences as their numbers of them tell, so each is posted under its rarest ones, as
@@ -156,11 +174,11 @@ def near_duplicates(
     work = Work(df.sparkSession)
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     signed = work.store(signatures(rows, "text", settings).drop("text"), "signatures")
-    sets = F.struct("set_key", "signature", F.col("n_shingles").alias("n"))
+    sets = F.struct("set_key", "signature", "sketch", F.col("n_shingles").alias("n"))
     single = signed.where("key is not null and set_key is not null").groupBy("key")
     single = single.agg(F.min_by(sets, "set_key").alias("one")).select("key", "one.*")
     classes = single.groupBy("set_key").agg(
-        F.min("key").alias("id"), F.first("signature").alias("signature"), F.first("n").alias("n")
+        F.min("key").alias("id"), *(F.first(c).alias(c) for c in ("signature", "sketch", "n"))
     )
     classes = work.store(classes, "classes")
     posted = work.store(postings(classes, settings), "postings")
@@ -168,9 +186,15 @@ def near_duplicates(
     links = work.store(confirmed(star_pairs(posted), classes, rows, settings, work), "links")
     work.release()
     clusters = components(links, work)
-    opened = work.store(open_groups(posted, clusters), "open")
+    lists = work.store(open_lists(posted, clusters), "lists")
     work.drop(posted)
     work.release()
+    links = links.unionByName(confirmed(sketched_pairs(lists, classes, settings), classes, rows, settings, work))
+    links = work.store(links, "links")
+    work.release()
+    opened = work.store(open_groups(lists.where(F.col("members") > settings.compared)), "open")
+    work.drop(lists)
+    work.release()
     repeated = not signed.groupBy("key").count().where("count > 1").isEmpty()
     differences = work.store(from_hub(opened, classes, rows, settings, repeated), "differences")
     work.release()
@@ -196,21 +220,41 @@ def near_duplicates(
     )
 
 
+def span_width(settings: Settings) -> int:
+    """Neighbouring coordinates of a span: the most with which signatures of ``least_matches`` equal
+    coordinates have a span equal as a whole, two at most, as these fill a long."""
+    return 2 if equal_spans(settings, 2) > 0 else 1
+
+
+def equal_spans(settings: Settings, width: int) -> int:
+    """Spans that signatures of ``least_matches`` equal coordinates have equal as a whole, at least.
+    A last span is shorter if the coordinates do not divide."""
+    spans = -(-settings.coordinates // width)
+    return settings.least_matches - (settings.coordinates - spans)
+
+
 def postings(classes: DataFrame, settings: Settings) -> DataFrame:
-    """(list, id, shared): each class under its rarest coordinate-value pairs that others have
-    too, and how often its pairs are shared in all."""
-    pairs = classes.select("id", F.posexplode("signature").alias("coordinate", "value"))
-    shared = pairs.groupBy("coordinate", "value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    met = pairs.join(shared, ["coordinate", "value"])
-    # A class has `coordinates` pairs; those that nobody shares are rarer than all of `met`.
+    """(list, id, shared): each class under its rarest spans of coordinates whose values others have
+    too, and how often its spans are shared in all."""
+    width = span_width(settings)
+    spans, values = -(-settings.coordinates // width), F.col("signature")
+    if width == 2:
+        # Two 32-bit values side by side; after the last of an odd number of coordinates comes 0.
+        low = lambda i: F.coalesce(F.get("signature", i * 2 + 1), F.lit(0)).cast("long").bitwiseAND(0xFFFFFFFF)
+        pair = lambda i: F.shiftleft(F.get("signature", i * 2).cast("long"), 32).bitwiseOR(low(i))
+        values = F.transform(F.sequence(F.lit(0), F.lit(spans - 1)), pair)
+    pairs = classes.select("id", F.posexplode(values).alias("span", "value"))
+    shared = pairs.groupBy("span", "value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    met = pairs.join(shared, ["span", "value"])
+    # A class has so many `spans`; those that nobody shares are rarer than all of `met`.
     own = Window.partitionBy("id")
-    alone = settings.coordinates - F.count(F.lit(1)).over(own)
-    rarest = F.row_number().over(Window.partitionBy("id").orderBy("df", "coordinate"))
-    prefix = settings.coordinates - settings.least_matches + 1
+    alone = spans - F.count(F.lit(1)).over(own)
+    rarest = F.row_number().over(Window.partitionBy("id").orderBy("df", "span"))
+    prefix = spans - equal_spans(settings, width) + 1
     shown = F.sum("df").over(own).alias("shared")
-    ranked = met.select("id", shown, "coordinate", "value", (rarest + alone).alias("place"))
+    ranked = met.select("id", shown, "span", "value", (rarest + alone).alias("place"))
     listed = ranked.where(F.col("place") <= prefix)
-    return listed.select(F.struct("coordinate", "value").alias("list"), "id", "shared")
+    return listed.select(F.struct("span", "value").alias("list"), "id", "shared")
 
 
 def star_pairs(posted: DataFrame) -> DataFrame:
@@ -220,9 +264,9 @@ def star_pairs(posted: DataFrame) -> DataFrame:
     return pairs.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b"))
 
 
-def open_groups(posted: DataFrame, clusters: DataFrame) -> DataFrame:
-    """(grp, hub, id, cluster): the members of lists of three or more that hold several clusters. Lists whose hubs
-    are of one cluster are one group, with the hub of its longest list."""
+def open_lists(posted: DataFrame, clusters: DataFrame) -> DataFrame:
+    """(list, id, cluster, members, hub, grp): the members of lists of three or more that hold several clusters, how
+    many these are, the list's hub and its cluster."""
     placed = posted.join(clusters, F.col("id") == F.col("node"), "left")
     placed = placed.select("list", "id", "shared", F.coalesce("component", "id").alias("cluster"))
     lists = placed.groupBy("list").agg(
@@ -232,9 +276,29 @@ def open_groups(posted: DataFrame, clusters: DataFrame) -> DataFrame:
     )
     # A list of two has no pair but that with its hub, which has been compared.
     lists = lists.where("open and members > 2").select("list", "members", F.col("hub.id").alias("hub"), F.col("hub.cluster").alias("grp"))
+    return placed.select("list", "id", "cluster").join(lists, "list")
+
+
+def sketched_pairs(lists: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+    """(a, b): pairs within lists of at most ``compared`` members, in different clusters and not with the hub, whose
+    sketches have ``least_matches`` coordinates that may be equal. A member meets a bounded number of others a list."""
+    few = lists.where((F.col("members") <= settings.compared) & (F.col("id") != F.col("hub")))
+    few = few.select("list", "id", "cluster").join(classes.select("id", "sketch"), "id")
+    a = few.select("list", F.col("id").alias("a"), F.col("cluster").alias("ca"), F.col("sketch").alias("sa"))
+    b = few.select("list", F.col("id").alias("b"), F.col("cluster").alias("cb"), F.col("sketch").alias("sb"))
+    differ = F.lit(0)
+    for word in range(-(-settings.coordinates // 64)):
+        places = [F.get("sa", F.lit(i)).bitwiseXOR(F.get("sb", F.lit(i))) for i in range(word * SKETCHED, (word + 1) * SKETCHED)]
+        differ += F.bit_count(reduce(Column.bitwiseOR, places))
+    near = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (differ <= settings.coordinates - settings.least_matches)
+    return a.join(b, "list").where(near).select("a", "b").distinct()
+
+
+def open_groups(lists: DataFrame) -> DataFrame:
+    """(grp, hub, id, cluster): the members of these open lists. Lists whose hubs
+    are of one cluster are one group, with the hub of its longest list."""
     hubs = lists.groupBy("grp").agg(F.max_by("hub", F.struct("members", "hub")).alias("hub"))
-    members = placed.join(lists.select("list", "grp"), "list").select("grp", "id", "cluster").distinct()
-    return members.join(hubs, "grp")
+    return lists.select("grp", "id", "cluster").distinct().join(hubs, "grp")
 
 
 def from_hub(opened: DataFrame, classes: DataFrame, rows: DataFrame, settings: Settings, repeated: bool) -> DataFrame:

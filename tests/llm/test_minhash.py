@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from rows_at_the_edge import edge_rows, narrow
 
@@ -103,3 +104,52 @@ def test_edge_rows(spark):
     assert all(r.component_id is None and r.kept for r in by_id[None])
     assert len({r.component_id for r in by_id[5]}) == 1
     assert minhash.near_duplicates(narrow(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("words, rows", [(2, corpus(4)), (2, near_copies(3))])
+def test_lists_that_are_not_compared_by_sketches(spark, words, rows):
+    settings = Settings(words=words, compared=2)
+    found = minhash.near_duplicates(narrow(spark, rows), settings=settings).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute(rows, words)
+
+
+@pytest.mark.parametrize("coordinates, least_matches", [(64, 34), (63, 33), (64, 32), (5, 3), (130, 70)])
+def test_signatures_with_enough_equal_coordinates_meet(coordinates, least_matches):
+    """In a span as a whole, and in their sketches, wherever the equal coordinates are."""
+    settings = Settings(coordinates=coordinates, least_matches=least_matches)
+    width, rng = minhash.span_width(settings), np.random.default_rng(coordinates)
+    for _ in range(300):
+        x = rng.integers(-(2**31), 2**31, coordinates).astype(np.int32)
+        y = x.copy()
+        other = rng.permutation(coordinates)[: coordinates - least_matches]
+        if _ % 2:  # as many spans as can be
+            other = np.argsort(np.arange(coordinates) % width, kind="stable")[: coordinates - least_matches]
+        y[other] ^= 1 << rng.integers(0, 31)
+        same = [(x[i : i + width] == y[i : i + width]).all() for i in range(0, coordinates, width)]
+        assert sum(same) >= minhash.equal_spans(settings, width) > 0
+        assert 2 * least_matches <= coordinates or width == 2
+        differ = minhash.sketch(x) ^ minhash.sketch(y)
+        by_word = np.bitwise_or.reduce(differ.reshape(-1, minhash.SKETCHED), axis=1)
+        assert sum(int(v & 0xFFFFFFFFFFFFFFFF).bit_count() for v in by_word.tolist()) <= coordinates - least_matches
+
+
+def test_unlike_texts_are_not_compared_shingle_by_shingle(spark, monkeypatch):
+    """Texts that share a third of their words with many others meet by chance; their differences are no shorter than
+    they are, and there would be more of them with every further document."""
+    rng, rows, asked = random.Random(8), [], []
+    passages = [[f"p{k}w{i}" for i in range(60)] for k in range(4)]
+    for i in range(300):
+        words = rng.choice(passages) + [f"u{rng.randrange(10**6)}" for _ in range(70)]
+        rows.append((i, " ".join(words)))
+        if i % 10 == 0:
+            rows.append((1_000 + i, " ".join(words[:-3])))
+    plain = minhash.from_hub
+
+    def noted(opened, *others):
+        asked.append(opened.count())
+        return plain(opened, *others)
+
+    monkeypatch.setattr(minhash, "from_hub", noted)
+    found = minhash.near_duplicates(narrow(spark, rows), settings=Settings(words=2)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute(rows, 2)
+    assert asked == [0]
