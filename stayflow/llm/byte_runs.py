@@ -40,6 +40,7 @@ class Settings:
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
+LOW = np.uint64(0xFFFFFFFF)
 UNIT = np.dtype([("mark", "<u8"), ("own", "<u8"), ("doc", "<i8"), ("tie", "<i8"), ("lo", "<u4"), ("n", "<u4")])
 RANGES = "doc bigint, tie bigint, lo bigint, hi bigint"
 
@@ -124,6 +125,20 @@ def first_of_equal(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return units[new | (units["doc"] == smallest)], units[units["doc"] > smallest]
 
 
+def joined_up(units: np.ndarray) -> np.ndarray:
+    """Units, of which only the starts count from here on, with those that follow on one another as one."""
+    if not len(units):
+        return units
+    units = units[np.lexsort((units["lo"], units["tie"], units["doc"]))]
+    end = units["lo"].astype("i8") + units["n"]
+    new = np.ones(len(units), bool)
+    new[1:] = (units["doc"][1:] != units["doc"][:-1]) | (units["tie"][1:] != units["tie"][:-1]) | (units["lo"][1:] > end[:-1])
+    starts = np.flatnonzero(new)
+    out = units[starts]
+    out["n"] = np.maximum.reduceat(end, starts) - out["lo"]
+    return out
+
+
 def strings_of(data: bytes, doc: int, tie: int, lo: int, length: int) -> np.ndarray:
     """Each string of a piece as a unit of its own, dealt by a hash of all its bytes."""
     units = np.empty(len(data) - length + 1, UNIT)
@@ -185,9 +200,13 @@ def repeated_ranges(texts: DataFrame, settings: Settings) -> DataFrame:
 
     def sent(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         first, later = first_of_equal(np.concatenate(held))
-        # Repeated units ride along, in any shard.
-        places = mixed(later["doc"].view(np.uint64) * ODD + later["lo"])
-        for state, units, key in ((0, first, first["mark"]), (1, later, places)):
+        # Repeated units ride along, in any shard; neighbours in the same one, where they join up.
+        later = joined_up(later)
+        places = mixed(later["doc"].view(np.uint64) * ODD + (later["lo"] >> np.uint32(16)))
+        dealt = mixed(first["mark"])
+        # In a shard half of a mark tells enough; equal texts agree in these 32 bits and the 64 of their own.
+        first["mark"] &= LOW
+        for state, units, key in ((0, first, dealt), (1, later, places)):
             shard = (key % np.uint64(shards)).astype(np.int64)
             units = units[np.lexsort((units["lo"], units["doc"], shard))]
             ends = np.cumsum(np.bincount(shard, minlength=shards))
@@ -241,7 +260,7 @@ def repeated_ranges(texts: DataFrame, settings: Settings) -> DataFrame:
         for row in table.select(["state", *UNIT.names]).to_pylist():
             parts[row["state"]].append(unpacked(row))
         first, later = first_of_equal(np.concatenate(parts[0] or [np.empty(0, UNIT)]))
-        later = np.concatenate([later, *parts[1]])
+        later = joined_up(np.concatenate([later, *parts[1]]))
         # A mark stays open if it has several texts and several documents.
         new = np.ones(len(first), bool)
         new[1:] = first["mark"][1:] != first["mark"][:-1]
@@ -286,15 +305,13 @@ def repeated_ranges(texts: DataFrame, settings: Settings) -> DataFrame:
         sizes = np.array([len(t) for t in texts_here], np.int64)
         # Bytes become 1 to 256; 0 ends a text, so no common prefix that counts goes beyond it.
         joined = b"".join(texts_here)
-        string = np.zeros(len(joined) + len(sizes), np.int64)
+        string = np.zeros(len(joined) + len(sizes), np.uint16)
         ends = np.cumsum(sizes + 1)
         inside = np.ones(len(string), bool)
         inside[ends - 1] = False
-        string[inside] = np.frombuffer(joined, np.uint8).astype(np.int64) + 1
-        symbols = string.tolist()
-        sa = suffix_array(symbols, 257)
-        shared = np.array(common_prefixes(symbols, sa))
-        order, owner = np.array(sa), np.repeat(np.arange(len(sizes)), sizes + 1)
+        string[inside] = np.frombuffer(joined, np.uint8).astype(np.uint16) + 1
+        order = np.array(suffix_array(string, 257))
+        shared, owner = common_prefixes(string, order), np.repeat(np.arange(len(sizes)), sizes + 1)
         starts_ok = (ends - 1)[owner] - np.arange(len(string)) >= settings.length
         # Runs of neighbours whose strings are equal. Suffixes too short for a string have no
         # equal neighbour that is long enough, so they end a run.
@@ -305,9 +322,11 @@ def repeated_ranges(texts: DataFrame, settings: Settings) -> DataFrame:
         docs_here = doc[owner[order]]
         smallest = np.repeat(np.minimum.reduceat(docs_here, heads), np.diff(np.append(heads, len(order))))
         hit = np.sort(order[long_enough & (docs_here > smallest)])
-        own = owner[hit]
-        place = lo[own] + hit - (ends - sizes - 1)[own]
-        columns = [doc[own], tie[own], place, place + 1]
+        # Starts that follow on one another are one range; between two texts is a start that is too late.
+        new = np.flatnonzero(np.diff(hit, prepend=-2) > 1)
+        own, n = owner[hit[new]], np.diff(np.append(new, len(hit)))
+        place = lo[own] + hit[new] - (ends - sizes - 1)[own]
+        columns = [doc[own], tie[own], place, place + n]
         return pa.Table.from_arrays([pa.array(c.astype("i8")) for c in columns], ["doc", "tie", "lo", "hi"])
 
     still_open = judged.where("open")

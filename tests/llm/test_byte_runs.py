@@ -1,5 +1,6 @@
 import os
 import random
+import sys
 import uuid
 
 import numpy as np
@@ -158,3 +159,49 @@ def test_suffix_arrays_are_a_share_of_a_shard(spark, monkeypatch):
     assert {r.doc_id: (r.n_bytes, r.n_bytes - len(r.kept), bytes(r.kept)) for r in found} == expected
     sizes = [int(open(f"{folder}/{f}").read()) for f in os.listdir(folder)]
     assert len(sizes) > 16 and max(sizes) < sum(sizes) / 16
+
+
+def test_suffix_arrays_take_no_step_a_byte():
+    """Lines of Python that run: some for each bucket and doubling, not for each byte."""
+    rng = random.Random(6)
+    s = [rng.randrange(1, 27) for _ in range(15_000)]
+    s = s + [0] + s[:9_000] + [0]
+    lines = 0
+
+    def trace(frame, event, arg):
+        nonlocal lines
+        lines += event == "line"
+        return trace
+
+    before = sys.gettrace()
+    sys.settrace(trace)
+    try:
+        sa = suffix_array(s, 257)
+        shared = common_prefixes(s, sa)
+    finally:
+        sys.settrace(before)
+    text = bytes(s)
+    assert sa == sorted(range(len(s)), key=lambda i: text[i:]) and shared.max() == 9_000
+    for s in ([1] * 3_000, [1, 2] * 1_500, [2, 1, 1] * 1_000):
+        assert sorted(suffix_array(s, 3)) == list(range(3_000))
+    assert lines < len(text) / 3
+
+
+def test_starts_that_follow_on_one_another_are_one_range(spark):
+    """A passage with small changes in each copy: a range a stretch, not one a start."""
+    rng, rows = random.Random(14), []
+    base = "".join(rng.choice("abcdefgh ") for _ in range(3_000))
+    for i in range(40):
+        chars = list(base)
+        for at in range(rng.randrange(300), len(chars), 300):
+            chars[at] = rng.choice("XYZ")
+        rows.append((i, 0, "".join(chars)))
+    texts = spark.createDataFrame(rows, "doc bigint, tie bigint, text string").repartition(3)
+    ranges = byte_runs.repeated_ranges(texts, Settings()).collect()
+    starts = {(r.doc, at) for r in ranges for at in range(r.lo, r.hi)}
+    first, expected = {}, set()
+    for i, _, text in rows:
+        for at in range(len(text) - 49):
+            if first.setdefault(text[at : at + 50], i) < i:
+                expected.add((i, at))
+    assert starts == expected and len(ranges) < len(expected) / 5
