@@ -3,13 +3,48 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Hashable
+from typing import Any
 
 # The characters that the split pattern's \s stands for (Unicode White_Space), fixed values.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-# Matches of the pattern, and stretches of text with several of them, whose ids a Python worker
-# remembers (some 160 bytes each, as measured), and the longest one that it does.
-REMEMBERED, REMEMBERED_JOINED, LONGEST_REMEMBERED = 450_000, 150_000, 64
+class Kept:
+    """What a Python worker keeps between its tasks, for one kind of work at a time: Spark gives a worker tasks of
+    every step, and the memories of all of them would add up."""
+
+    def __init__(self) -> None:
+        self.kind: str | None = None
+        self.made: dict[str, tuple[Hashable, Any]] = {}
+        self.asked = False
+
+    def get(self, kind: str, name: str, given: Hashable, make: Callable[[], Any]) -> Any:
+        """What ``make`` made last time under the name, if it was of what is ``given`` now."""
+        self.asked = True
+        if kind != self.kind:
+            self.forget()
+            self.kind = kind
+        if name not in self.made or self.made[name][0] != given:
+            self.made.pop(name, None)
+            self.made[name] = given, make()
+        return self.made[name][1]
+
+    def begin(self, make: Callable[[], Callable]) -> Callable:
+        """What a task works with; one that asks for nothing kept needs no memory of other work."""
+        self.asked = False
+        work = make()
+        if not self.asked:
+            self.forget()
+        return work
+
+    def forget(self) -> None:
+        self.kind = None
+        self.made.clear()
+
+
+KEPT = Kept()
+
+# The longest string that is remembered.
+LONGEST_REMEMBERED = 64
 
 
 class Stretches(dict):
@@ -17,6 +52,10 @@ class Stretches(dict):
     never share a match of the split pattern. Kept here are those that are one match, so that a
     match is kept once, whether it is a stretch of its own or not; ``joined`` has the others."""
 
+    # Matches of the pattern, and stretches of text with several of them, that a Python worker
+    # remembers, some 160 to 190 bytes each, as measured.
+    REMEMBERED, REMEMBERED_JOINED = 450_000, 150_000
+
     def __init__(self, split: Callable[[str], list[str]]) -> None:
         super().__init__()
         self.joined: dict[str, bytes] = {}
@@ -36,11 +75,11 @@ class Stretches(dict):
             pieces = self.split(stretch)
             if pieces == [stretch]:
                 value = self.work_out(stretch)
-                if len(self) < REMEMBERED and len(stretch) <= LONGEST_REMEMBERED:
+                if len(self) < self.REMEMBERED and len(stretch) <= LONGEST_REMEMBERED:
                     self[stretch] = value
                 return value
             value = b"".join(map(self.piece, pieces))
-            if len(self.joined) < REMEMBERED_JOINED and len(stretch) <= LONGEST_REMEMBERED:
+            if len(self.joined) < self.REMEMBERED_JOINED and len(stretch) <= LONGEST_REMEMBERED:
                 self.joined[stretch] = value
         return value
 
@@ -49,6 +88,6 @@ class Stretches(dict):
         if value is None:
             value = self.work_out(piece)
             # By itself a match may be several, such as one that is cut short by what follows it.
-            if len(self) < REMEMBERED and len(piece) <= LONGEST_REMEMBERED and self.split(piece) == [piece]:
+            if len(self) < self.REMEMBERED and len(piece) <= LONGEST_REMEMBERED and self.split(piece) == [piece]:
                 self[piece] = value
         return value

@@ -7,7 +7,6 @@ import re
 import struct
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from stayflow.llm.remembered import Stretches
+from stayflow.llm.remembered import KEPT, Stretches
 
 # Ids of one block, about; a document's ids are never divided between blocks.
 BLOCK_IDS = 1 << 18
@@ -105,6 +104,8 @@ class TokenizerMemory(Stretches):
     one by one. Only for byte-level tokenizers that split by ``pattern``. Texts with an added
     token that counts as one go through the tokenizer whole."""
 
+    REMEMBERED, REMEMBERED_JOINED = 900_000, 300_000
+
     def __init__(self, path: str, pattern: str | None, special: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -118,7 +119,10 @@ class TokenizerMemory(Stretches):
         self.characters = byte_characters()
 
     def work_out(self, piece: str) -> bytes:
-        written = piece.encode().decode("latin-1").translate(self.characters)
+        if piece.isascii() and piece.isprintable():
+            written = piece.replace(" ", self.characters[32])
+        else:
+            written = piece.encode().decode("latin-1").translate(self.characters)
         return array("I", [token.id for token in self.model.tokenize(written)]).tobytes()
 
     def whole(self, text: str) -> np.ndarray:
@@ -131,9 +135,9 @@ class TokenizerMemory(Stretches):
         return [np.array(one.ids, np.uint32) for one in encoded]
 
 
-@lru_cache(maxsize=1)
 def memory(path: str, pattern: str | None, special: bool) -> TokenizerMemory:
-    return TokenizerMemory(path, pattern, special)
+    given = path, pattern, special
+    return KEPT.get("token_store", "tokenizer", given, lambda: TokenizerMemory(*given))
 
 
 def write_tokens(
@@ -228,12 +232,15 @@ def read_tokens(spark: SparkSession, path: str, key: str = "doc_id") -> DataFram
                 for lo in range(0, len(keys), ROWS_AT_ONCE):
                     hi = min(lo + ROWS_AT_ONCE, len(keys))
                     spans = [(int(e) - n, int(e)) for n, e in zip(sizes[lo:hi], ends[lo:hi])]
+                    # One stretch for all of these documents; it is cut where they end.
+                    first = spans[0][0]
+                    packed_ids = memoryview(codes.slice(first, spans[-1][1])).cast("B")
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(keys[lo:hi], to_arrow_type(kind)),
                             pa.array([start + a for a, _ in spans], pa.int64()),
                             pa.array(sizes[lo:hi], pa.int64()),
-                            pa.array([codes.slice(a, b).tobytes() for a, b in spans], pa.binary()),
+                            pa.array([packed_ids[4 * (a - first) : 4 * (b - first)] for a, b in spans], pa.binary()),
                         ],
                         [key, "start", "n_tokens", "token_ids"],
                     )

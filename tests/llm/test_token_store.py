@@ -1,3 +1,5 @@
+import os
+import uuid
 import zlib
 
 import numpy as np
@@ -78,3 +80,35 @@ def test_a_match_is_remembered_once():
     memory.encode([" zorglub zorglub zorglub, zorglub. zorglub\n\n zorglub"])
     assert sorted(k for k in memory if "zorglub" in k) == [" zorglub"]
     assert all(k not in memory.joined for k in memory)
+
+
+def test_ids_are_read_a_stretch_of_documents_at_a_time(spark, monkeypatch):
+    """Not with a call a document, which takes longer than the ids of short documents do."""
+    folder = new_dir("slices")
+
+    class Noted(Codes):
+        def slice(self, start, end, level=0):
+            if not level:
+                open(f"{folder}/{uuid.uuid4()}", "w").close()
+            return super().slice(start, end, level)
+
+    rows = [(i, None if i % 9 == 0 else f"text {i} é" * (i % 40)) for i in range(300)]
+    path = new_dir("tokens") + "/t"
+    token_store.write_tokens(narrow(spark, rows).coalesce(1), path, PATH, end_id=0, pattern=public_tokenizers.PATTERN)
+    monkeypatch.setattr(token_store, "Codes", Noted)
+    stored, tokenizer, start = token_store.read_tokens(spark, path).orderBy("doc_id").collect(), Tokenizer.from_file(PATH), 0
+    for row, (i, text) in zip(stored, rows, strict=True):
+        ids = np.frombuffer(row.token_ids, "<u4").tolist()
+        assert (row.doc_id, row.start, ids) == (i, start, [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0])
+        start += len(ids)
+    assert 0 < len(os.listdir(folder)) < 60
+
+
+@pytest.mark.parametrize("piece", [" word", "word", "a b", "  ", "\n", "\t x", "\x7f", "\x1b", "!\"#", " é", " ", "~", "­"])
+def test_a_match_is_written_in_the_characters_of_the_vocabulary(piece):
+    memory = token_store.TokenizerMemory(PATH, public_tokenizers.PATTERN)
+    written = "".join(memory.characters[byte] for byte in piece.encode())
+    seen = []
+    memory.model = type("Model", (), {"tokenize": staticmethod(lambda text: seen.append(text) or [])})
+    memory.work_out(piece)
+    assert seen == [written]
