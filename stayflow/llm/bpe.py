@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import base64
 from array import array
-from functools import lru_cache
 from heapq import heappop, heappush
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
+from stayflow.llm import remembered
 from stayflow.llm.remembered import Stretches
 from stayflow.llm.rows import add_columns
 
@@ -201,18 +201,19 @@ class Encoder(Stretches):
 
 
 # Kept between the tasks of a Python worker, with what it remembers.
-@lru_cache(maxsize=1)
 def encoder(blob: bytes, pattern: str) -> Encoder:
-    return Encoder(read_ranks(blob), pattern)
+    return remembered.KEPT.get("bpe", "encoder", (blob, pattern), lambda: Encoder(read_ranks(blob), pattern))
 
 
-@lru_cache(maxsize=1)
 def tokens_by_id(blob: bytes) -> list[bytes]:
-    ranks = read_ranks(blob)
-    tokens = [b""] * (max(ranks.values(), default=-1) + 1)
-    for token, rank in ranks.items():
-        tokens[rank] = token
-    return tokens
+    def make() -> list[bytes]:
+        ranks = read_ranks(blob)
+        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        return tokens
+
+    return remembered.KEPT.get("bpe", "tokens", blob, make)
 
 
 def _shared(df: DataFrame, ranks_path: str):

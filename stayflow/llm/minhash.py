@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayflow.llm.components import components
+from stayflow.llm.remembered import KEPT
 from stayflow.llm.rows import Work, add_columns
 
 
@@ -99,9 +100,8 @@ def sketch(values: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8), axis=2, bitorder="little").reshape(-1).view("<i8")
 
 
-@lru_cache(maxsize=1)
 def word_hashes() -> Hashes:
-    return Hashes()
+    return KEPT.get("minhash", "hashes", None, Hashes)
 
 
 def shingle_sets(df: DataFrame, text: str, settings: Settings, narrow: bool = False) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
+from stayflow.llm import remembered
 from stayflow.sources.scratch import materialise, shared_dir
 
 # Rows of one output batch, so that long texts and what is made of them stay small together.
@@ -31,7 +32,7 @@ def add_columns(df: DataFrame, column: str, schema: str, make: Callable[[], Call
     names = [f.name for f in kept] + new.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = make()
+        work = remembered.KEPT.begin(make)
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_PER_BATCH):
                 part = batch.slice(start, ROWS_PER_BATCH)
