@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Callable, Hashable
 from typing import Any
@@ -38,7 +39,9 @@ class Kept:
 
     def forget(self) -> None:
         self.kind = None
-        self.made.clear()
+        if self.made:
+            self.made.clear()
+            gc.collect()  # memories that refer to themselves
 
 
 KEPT = Kept()
@@ -47,6 +50,17 @@ KEPT = Kept()
 LONGEST_REMEMBERED = 64
 
 
+class Joined(dict):
+    """The packed ids of stretches of several matches; the others are ``worked_out``."""
+
+    def __init__(self, worked_out: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.worked_out = worked_out
+
+    def __missing__(self, stretch: str) -> bytes:
+        return self.worked_out(stretch)
+
+
 class Stretches(dict):
     """Maps a stretch of text (white space, then other characters) to its packed ids; stretches
     never share a match of the split pattern. Kept here are those that are one match, so that a
@@ -56,9 +70,13 @@ class Stretches(dict):
     # remembers, some 160 to 190 bytes each, as measured.
     REMEMBERED, REMEMBERED_JOINED = 450_000, 150_000
 
+    # A stretch that is missing here is looked up in ``joined``; by a slot, no Python runs for that.
+    __slots__ = ("__missing__", "__dict__")
+
     def __init__(self, split: Callable[[str], list[str]]) -> None:
         super().__init__()
-        self.joined: dict[str, bytes] = {}
+        self.joined = Joined(self.stretch)
+        self.__missing__ = self.joined.__getitem__
         self.split = split
         self.stretches = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall
 
@@ -69,18 +87,17 @@ class Stretches(dict):
     def split_up(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, self.stretches(text)))
 
-    def __missing__(self, stretch: str) -> bytes:
-        value = self.joined.get(stretch)
-        if value is None:
-            pieces = self.split(stretch)
-            if pieces == [stretch]:
-                value = self.work_out(stretch)
-                if len(self) < self.REMEMBERED and len(stretch) <= LONGEST_REMEMBERED:
-                    self[stretch] = value
-                return value
-            value = b"".join(map(self.piece, pieces))
-            if len(self.joined) < self.REMEMBERED_JOINED and len(stretch) <= LONGEST_REMEMBERED:
-                self.joined[stretch] = value
+    def stretch(self, stretch: str) -> bytes:
+        """The packed ids of a stretch that is not remembered."""
+        pieces = self.split(stretch)
+        if len(pieces) == 1 and pieces[0] == stretch:
+            value = self.work_out(stretch)
+            if len(self) < self.REMEMBERED and len(stretch) <= LONGEST_REMEMBERED:
+                self[stretch] = value
+            return value
+        value = b"".join(map(self.piece, pieces))
+        if len(self.joined) < self.REMEMBERED_JOINED and len(stretch) <= LONGEST_REMEMBERED:
+            self.joined[stretch] = value
         return value
 
     def piece(self, piece: str) -> bytes:

@@ -104,7 +104,7 @@ class TokenizerMemory(Stretches):
     one by one. Only for byte-level tokenizers that split by ``pattern``. Texts with an added
     token that counts as one go through the tokenizer whole."""
 
-    REMEMBERED, REMEMBERED_JOINED = 900_000, 300_000
+    REMEMBERED, REMEMBERED_JOINED = 550_000, 250_000
 
     def __init__(self, path: str, pattern: str | None, special: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -123,7 +123,8 @@ class TokenizerMemory(Stretches):
             written = piece.replace(" ", self.characters[32])
         else:
             written = piece.encode().decode("latin-1").translate(self.characters)
-        return array("I", [token.id for token in self.model.tokenize(written)]).tobytes()
+        tokens = self.model.tokenize(written)
+        return tokens[0].id.to_bytes(4, "little") if len(tokens) == 1 else array("I", [token.id for token in tokens]).tobytes()
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -225,6 +226,7 @@ def read_tokens(spark: SparkSession, path: str, key: str = "doc_id") -> DataFram
     kind = blocks.schema["keys"].dataType.elementType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        KEPT.forget()
         for batch in batches:
             for i in range(batch.num_rows):
                 start, keys, sizes, packed = (batch.column(c)[i].as_py() for c in range(4))

@@ -104,6 +104,16 @@ def test_ids_are_read_a_stretch_of_documents_at_a_time(spark, monkeypatch):
     assert 0 < len(os.listdir(folder)) < 60
 
 
+def test_remembered_stretches_are_found_without_python(monkeypatch):
+    """Whether they are one match or several."""
+    memory = token_store.TokenizerMemory(PATH, public_tokenizers.PATTERN)
+    texts = [" zorglub, zorglub (zorglub)\n\n zorglub.", "zorglub"]
+    once = [ids.tolist() for ids in memory.encode(texts)]
+    assert once == [memory.whole(text).tolist() for text in texts] and " zorglub," in memory.joined
+    monkeypatch.setattr(memory.joined, "worked_out", None)
+    assert [ids.tolist() for ids in memory.encode(texts)] == once
+
+
 @pytest.mark.parametrize("piece", [" word", "word", "a b", "  ", "\n", "\t x", "\x7f", "\x1b", "!\"#", " é", " ", "~", "­"])
 def test_a_match_is_written_in_the_characters_of_the_vocabulary(piece):
     memory = token_store.TokenizerMemory(PATH, public_tokenizers.PATTERN)
