@@ -7,7 +7,6 @@ from array import array
 from heapq import heappop, heappush
 
 import numpy as np
-import regex
 from pyspark.sql import DataFrame
 
 from stayflow.llm import remembered
@@ -73,7 +72,7 @@ class Encoder(Stretches):
     """Text to ids."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        super().__init__(regex.compile(pattern).findall)
+        super().__init__(pattern)
         self.ranks = ranks
         self.longest_token = max(map(len, ranks), default=0)
         most = max(ranks.values(), default=0)

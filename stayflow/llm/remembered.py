@@ -7,6 +7,8 @@ import re
 from collections.abc import Callable, Hashable
 from typing import Any
 
+import regex
+
 # The characters that the split pattern's \s stands for (Unicode White_Space), fixed values.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 class Kept:
@@ -46,10 +48,21 @@ class Kept:
 
 KEPT = Kept()
 
+# The alternative of a split pattern that takes words.
+WORDS = r" ?\p{L}+"
 # The longest string that is remembered.
 LONGEST_REMEMBERED = 64
 
 
+def one_match(pattern: str) -> Callable[[str], Any]:
+    """Tells of a plain word, after a blank or not, that it is one match of the pattern. It is where the pattern's alternatives
+    take such words whole, and those before begin with an apostrophe."""
+    alternatives = pattern.split("|")
+    if WORDS in alternatives and all(a.startswith("'") for a in alternatives[: alternatives.index(WORDS)]):
+        return re.compile(" ?[A-Za-z]+").fullmatch
+    return lambda stretch: None
+
+
 class Joined(dict):
     """The packed ids of stretches of several matches; the others are ``worked_out``."""
 
@@ -73,11 +86,12 @@ class Stretches(dict):
     # A stretch that is missing here is looked up in ``joined``; by a slot, no Python runs for that.
     __slots__ = ("__missing__", "__dict__")
 
-    def __init__(self, split: Callable[[str], list[str]]) -> None:
+    def __init__(self, pattern: str | None) -> None:
         super().__init__()
         self.joined = Joined(self.stretch)
         self.__missing__ = self.joined.__getitem__
-        self.split = split
+        self.split = regex.compile(pattern).findall if pattern else None
+        self.one_match = one_match(pattern or "")
         self.stretches = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall
 
     def work_out(self, piece: str) -> bytes:
@@ -89,8 +103,8 @@ class Stretches(dict):
 
     def stretch(self, stretch: str) -> bytes:
         """The packed ids of a stretch that is not remembered."""
-        pieces = self.split(stretch)
-        if len(pieces) == 1 and pieces[0] == stretch:
+        pieces = None if self.one_match(stretch) else self.split(stretch)
+        if not pieces or len(pieces) == 1 and pieces[0] == stretch:
             value = self.work_out(stretch)
             if len(self) < self.REMEMBERED and len(stretch) <= LONGEST_REMEMBERED:
                 self[stretch] = value

@@ -10,7 +10,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -104,13 +103,13 @@ class TokenizerMemory(Stretches):
     one by one. Only for byte-level tokenizers that split by ``pattern``. Texts with an added
     token that counts as one go through the tokenizer whole."""
 
-    REMEMBERED, REMEMBERED_JOINED = 550_000, 250_000
+    REMEMBERED, REMEMBERED_JOINED = 850_000, 350_000
 
     def __init__(self, path: str, pattern: str | None, special: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__(regex.compile(pattern).findall if pattern else None)
+        super().__init__(pattern)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if special or not t.special]
@@ -236,7 +235,7 @@ def read_tokens(spark: SparkSession, path: str, key: str = "doc_id") -> DataFram
                     spans = [(int(e) - n, int(e)) for n, e in zip(sizes[lo:hi], ends[lo:hi])]
                     # One stretch for all of these documents; it is cut where they end.
                     first = spans[0][0]
-                    packed_ids = memoryview(codes.slice(first, spans[-1][1])).cast("B")
+                    packed_ids = codes.slice(first, spans[-1][1]).tobytes()  # of views, Arrow never lets go
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(keys[lo:hi], to_arrow_type(kind)),

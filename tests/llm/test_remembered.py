@@ -1,4 +1,5 @@
 import public_tokenizers
+import regex
 from rows_at_the_edge import narrow
 
 from stayflow.llm import bpe, minhash, remembered, rows
@@ -40,3 +41,14 @@ def test_a_task_that_keeps_nothing_drops_what_its_worker_keeps(spark):
     for what, kept in ((True, 1), (False, 0)):
         out = rows.add_columns(df.coalesce(1), "text", "kept bigint", made(what)).collect()
         assert {r.kept for r in out} == {kept}
+
+
+def test_a_plain_word_is_one_match():
+    known = remembered.one_match(public_tokenizers.PATTERN)
+    split = regex.compile(public_tokenizers.PATTERN).findall
+    for word in (" word", "word", "A", " Zz"):
+        assert known(word) and split(word) == [word]
+    for other in ("", " ", "  word", "word ", "it's", "é", "a1", "a b", "\nword", "word\n", "'s", "'word"):
+        assert not known(other)
+    for pattern in ("", r"\p{L}{1,3}| ?\p{L}+", r"(?i:'s|'t)| ?\p{L}+", r" ?\p{L}+?"):
+        assert not remembered.one_match(pattern)("word")

@@ -1,9 +1,11 @@
 import os
+import resource
 import uuid
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import new_dir
 from rows_at_the_edge import edge_rows, narrow
@@ -122,3 +124,22 @@ def test_a_match_is_written_in_the_characters_of_the_vocabulary(piece):
     memory.model = type("Model", (), {"tokenize": staticmethod(lambda text: seen.append(text) or [])})
     memory.work_out(piece)
     assert seen == [written]
+
+
+def test_reading_leaves_no_memory_behind(spark):
+    """Views of an array handed to Arrow stayed in the worker, with the arrays."""
+    path = new_dir("tokens") + "/t"
+    docs = spark.range(4_000).selectExpr("id doc_id", "repeat('words of a text, ', 200) text")
+    token_store.write_tokens(docs.coalesce(1), path, PATH, end_id=0, pattern=public_tokenizers.PATTERN)
+
+    def held(batches):
+        before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"kb": [before, resource.getrusage(resource.RUSAGE_SELF).ru_maxrss]})
+
+    # A worker that has read 4,000 times 800 ids, 13 MB, several times takes no more memory than at first.
+    sizes = []
+    for _ in range(6):
+        token_store.read_tokens(spark, path).coalesce(1).selectExpr("sum(n_tokens)").collect()
+        sizes.append(max(r.kb for r in spark.range(1).coalesce(1).mapInArrow(held, "kb bigint").collect()))
+    assert sizes[-1] - sizes[1] < 25_000
