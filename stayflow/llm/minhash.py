@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache, reduce
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,8 @@ class Settings:
     hundredths. ``coordinates`` and ``least_matches``: signature length, and equal coordinates
     a pair needs. With 64 and 34 a pair of similarity 0.8 is missed with a likelihood under 1e-6.
     ``compared``: members of a list up to which all are compared with one another, by sketches.
+    ``parity_bits``: bits of a set's parity, 64 times a number. ``sent``: keys up to which those whose texts are
+    wanted are sent to all tasks; for more, all texts are shuffled.
     """
 
     words: int = 5
@@ -30,6 +33,8 @@ class Settings:
     coordinates: int = 64
     least_matches: int = 34
     compared: int = 64
+    parity_bits: int = 1024
+    sent: int = 1_000_000
 
 
 class Hashes(dict):
@@ -100,6 +105,13 @@ def sketch(values: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8), axis=2, bitorder="little").reshape(-1).view("<i8")
 
 
+def parity(shingles: np.ndarray, bits: int) -> np.ndarray:
+    """Bit i tells whether an odd number of shingles fall on i. Every shingle that only one of two
+    sets has changes one bit, so the sets differ in as many shingles, at least, as their parities in bits."""
+    odd = np.bincount((shingles % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def word_hashes() -> Hashes:
     return KEPT.get("minhash", "hashes", None, Hashes)
 
@@ -124,8 +136,9 @@ def shingle_sets(df: DataFrame, text: str, settings: Settings, narrow: bool = Fa
 
 
 def signatures(df: DataFrame, text: str, settings: Settings) -> DataFrame:
-    """Add ``n_shingles``, ``set_key`` (equal for equal sets), ``signature`` and its ``sketch`` (null if empty)."""
-    words, coordinates = settings.words, settings.coordinates
+    """Add ``n_shingles``, ``set_key`` (equal for equal sets), ``signature``, its ``sketch`` and the
+    set's ``parity`` (null if empty)."""
+    words, coordinates, bits = settings.words, settings.coordinates, settings.parity_bits
 
     def make():
         hashes = word_hashes()
@@ -133,13 +146,14 @@ def signatures(df: DataFrame, text: str, settings: Settings) -> DataFrame:
         def work(value):
             shingles = shingle_set(value, words, hashes)
             if not len(shingles):
-                return 0, None, None, None
+                return 0, None, None, None, None
             key, values = xxhash.xxh3_128_digest(shingles.tobytes()), signature(shingles, coordinates)
-            return len(shingles), key, values.tolist(), sketch(values).tolist()
+            return len(shingles), key, values.tolist(), sketch(values).tolist(), parity(shingles, bits).tolist()
 
         return work
 
-    return add_columns(df, text, "n_shingles bigint, set_key binary, signature array<int>, sketch array<bigint>", make)
+    made = "n_shingles bigint, set_key binary, signature array<int>, sketch array<bigint>, parity array<bigint>"
+    return add_columns(df, text, made, make)
 
 
 def near_duplicates(
@@ -156,8 +170,9 @@ def near_duplicates(
     2. The signature is cut into spans of neighbouring coordinates, as long as two signatures with
        ``least_matches`` equal coordinates always have some spans equal as a whole (two
        coordinates, at 64 and 34: 32 spans, two of them equal at least). Every class is posted
-       under its rarest (span, values): it may leave out the most frequent ones, one less than such a pair has equal, as
-       it still meets in the rest. Those that a single class has are dropped,
+       under its rarest (span, values): it may leave out the most frequent ones, one less than a similar pair has equal
+       (seven of 32 with all but a likelihood of 2.5e-7), as it still meets in the rest. So texts that share no more than a
+       passage hardly ever meet under it. Those that a single class has are dropped,
        so texts unlike all others post nothing and frequent values are hardly ever posted. Two unlike texts
        seldom have all values of a span by chance, so lists do not grow with the number of documents.
     3. Within a posting list all are compared with its hub, the class whose pairs are shared most
@@ -169,16 +184,17 @@ def near_duplicates(
        differences as their numbers of them tell, so each is posted under its rarest ones, as
        many as such a partner cannot all lack, and compared where it meets one. Independent near
        copies of a text share none of their rare differences and never meet, however many they are.
-    4. A pair is counted over its coordinates, and confirmed on the full sets.
+    4. A pair is counted over its coordinates and by its sets' parities, which bound their difference from
+       below, and confirmed on the full sets. Only the texts this takes are fetched.
     """
     work = Work(df.sparkSession)
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     signed = work.store(signatures(rows, "text", settings).drop("text"), "signatures")
-    sets = F.struct("set_key", "signature", "sketch", F.col("n_shingles").alias("n"))
+    sets = F.struct("set_key", "signature", "sketch", "parity", F.col("n_shingles").alias("n"))
     single = signed.where("key is not null and set_key is not null").groupBy("key")
     single = single.agg(F.min_by(sets, "set_key").alias("one")).select("key", "one.*")
     classes = single.groupBy("set_key").agg(
-        F.min("key").alias("id"), *(F.first(c).alias(c) for c in ("signature", "sketch", "n"))
+        F.min("key").alias("id"), *(F.first(c).alias(c) for c in ("signature", "sketch", "parity", "n"))
     )
     classes = work.store(classes, "classes")
     posted = work.store(postings(classes, settings), "postings")
@@ -196,13 +212,13 @@ def near_duplicates(
     work.drop(lists)
     work.release()
     repeated = not signed.groupBy("key").count().where("count > 1").isEmpty()
-    differences = work.store(from_hub(opened, classes, rows, settings, repeated), "differences")
+    differences = work.store(from_hub(opened, classes, rows, settings, repeated, work), "differences")
     work.release()
     near = differences.where("linked and cluster <> grp").select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b"))
-    pairs = work.store(difference_pairs(differences, settings).unionByName(near).distinct(), "pairs")
+    pairs = work.store(difference_pairs(differences, settings, work).unionByName(near).distinct(), "pairs")
     work.drop(differences)
     work.release()
-    found = _similar(pairs, full_sets(pairs, classes, rows, settings), settings.percent)
+    found = confirmed(pairs, classes, rows, settings, work, signed=False)
     links = work.store(links.unionByName(found), "links")
     work.release()
     found = components(links, work)
@@ -233,6 +249,16 @@ def equal_spans(settings: Settings, width: int) -> int:
     return settings.least_matches - (settings.coordinates - spans)
 
 
+def shared_spans(settings: Settings, width: int) -> int:
+    """Spans that a similar pair has equal as a whole, at least, with all but a likelihood of 5e-7: what
+    ``equal_spans`` says of the least number of equal coordinates is far from what they come to."""
+    spans, equal = -(-settings.coordinates // width), (settings.percent / 100) ** width
+    fewer, least = 0.0, 0
+    while (fewer := fewer + comb(spans, least) * equal**least * (1 - equal) ** (spans - least)) < 5e-7:
+        least += 1
+    return max(least, equal_spans(settings, width))
+
+
 def postings(classes: DataFrame, settings: Settings) -> DataFrame:
     """(list, id, shared): each class under its rarest spans of coordinates whose values others have
     too, and how often its spans are shared in all."""
@@ -250,7 +276,7 @@ def postings(classes: DataFrame, settings: Settings) -> DataFrame:
     own = Window.partitionBy("id")
     alone = spans - F.count(F.lit(1)).over(own)
     rarest = F.row_number().over(Window.partitionBy("id").orderBy("df", "span"))
-    prefix = spans - equal_spans(settings, width) + 1
+    prefix = spans - shared_spans(settings, width) + 1
     shown = F.sum("df").over(own).alias("shared")
     ranked = met.select("id", shown, "span", "value", (rarest + alone).alias("place"))
     listed = ranked.where(F.col("place") <= prefix)
@@ -301,30 +327,30 @@ def open_groups(lists: DataFrame) -> DataFrame:
     return lists.select("grp", "id", "cluster").distinct().join(hubs, "grp")
 
 
-def from_hub(opened: DataFrame, classes: DataFrame, rows: DataFrame, settings: Settings, repeated: bool) -> DataFrame:
+def from_hub(opened: DataFrame, classes: DataFrame, rows: DataFrame, settings: Settings, repeated: bool, work: Work) -> DataFrame:
     """(grp, hub, id, cluster, n, v, linked, lacks, adds): a member's difference from its hub.
 
     ``lacks`` and ``adds`` are the m shingles it lacks and the a it adds, as 32 bits of their hashes,
     n the hub's shingles, and ``v`` = 2 (100 m + percent a) - (100 - percent) n. Members x and y are
     similar enough if they share s differences with 2 (100 + percent) s >= v(x) + v(y), and one is
     linked with its hub if v <= (100 - percent) n. Two hashes that agree by chance may hide a
-    difference, so what is found here is confirmed on the full sets. A set is worked out where its
-    text is and goes through one shuffle, to its hubs.
+    difference, so what is found here is confirmed on the full sets.
     """
     percent = settings.percent
     kind = opened.schema["id"].dataType.simpleString()
     keys = classes.select("id", F.col("set_key").alias("wanted"))
 
-    def sets_of(asked: DataFrame) -> DataFrame:
-        texts = rows.join(asked.join(keys, "id").withColumnRenamed("id", "key"), "key")
-        return shingle_sets(texts, "text", settings, narrow=True).where("set_key = wanted").drop("text", "set_key", "wanted")
-
     groups = opened.groupBy("id").agg(F.collect_list(F.struct("grp", "hub", "cluster")).alias("groups"))
-    own = sets_of(groups).select(F.col("key").alias("id"), F.inline("groups"), F.col("shingles").alias("x"))
-    hubs = sets_of(opened.select(F.col("hub").alias("id")).distinct())
-    hubs = hubs.select(F.col("key").alias("hub"), F.col("shingles").alias("h"))
+    hubs = opened.select(F.col("hub").alias("id")).distinct()
+    needed = work.store(groups.select("id").unionByName(hubs).distinct().join(keys, "id"), "needed")
+    texts = texts_of(rows, needed.select(F.col("id").alias("key")), settings)
+    sets = shingle_sets(texts, "text", settings, narrow=True).withColumnRenamed("key", "id")
+    sets = sets.join(needed, "id").where("set_key = wanted").select("id", "shingles")
     if repeated:  # rows of one key with one text
-        own, hubs = own.dropDuplicates(["grp", "id"]), hubs.dropDuplicates(["hub"])
+        sets = sets.dropDuplicates(["id"])
+    sets = work.store(sets, "sets")
+    own = sets.join(groups, "id").select("id", F.inline("groups"), F.col("shingles").alias("x"))
+    hubs = sets.join(hubs, "id").select(F.col("id").alias("hub"), F.col("shingles").alias("h"))
     met = own.where("id <> hub").join(hubs, "hub")
     names = ["n", "v", "linked", "lacks", "adds"]
 
@@ -345,30 +371,31 @@ def from_hub(opened: DataFrame, classes: DataFrame, rows: DataFrame, settings: S
     return met.select("grp", "hub", "id", "cluster", "x", "h").mapInArrow(run, ddl)
 
 
-def difference_pairs(differences: DataFrame, settings: Settings) -> DataFrame:
+def difference_pairs(differences: DataFrame, settings: Settings, work: Work) -> DataFrame:
     """(a, b): pairs of a group in different clusters that may be similar, at least one of them
     not linked with the hub.
 
     Say x has the larger v of a pair. For y it lies in one of a few bands of v, each with a least
     number of shared elements; y is posted in each band under its rarest elements, as many as a
     partner of the band that shares so many cannot all lack. x looks up its own band with
-    as many of its rarest elements as any partner asks for. Elements that one member
-    has alone are the rarest and are not posted.
+    as many of its rarest elements as any partner asks for. Elements whose members are of one cluster,
+    or all linked with the hub, bring no such pair together: they come before all others and are not posted.
     """
     percent = settings.percent
     unit, gap = 2 * (100 + percent), 100 - percent
     size = (F.size("lacks") + F.size("adds")).cast("long")
     own = differences.withColumns({"size": size, "limit": F.col("n") * gap}).where("size > 0")
     tagged = F.concat(F.transform("lacks", lambda e: e.cast("long") * 2), F.transform("adds", lambda e: e.cast("long") * 2 + 1))
-    listed = own.select("grp", "id", "size", F.explode(tagged).alias("element"))
-    shared = listed.groupBy("grp", "element").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    met = listed.join(shared, ["grp", "element"])
+    listed = own.select("grp", "id", "cluster", "v", "size", "limit", "linked", F.explode(tagged).alias("element"))
+    listed = work.store(listed, "listed")
+    shared = listed.groupBy("grp", "element").agg(
+        F.count(F.lit(1)).alias("df"), (F.min("cluster") < F.max("cluster")).alias("apart"), F.min("linked").alias("linked")
+    )
+    met = listed.join(shared.where("apart and not linked").select("grp", "element", "df"), ["grp", "element"])
     mine = Window.partitionBy("grp", "id")
     alone = F.col("size") - F.count(F.lit(1)).over(mine)
     rarest = F.row_number().over(Window.partitionBy("grp", "id").orderBy("df", "element"))
-    ranked = met.select("grp", "id", "element", (alone + rarest).alias("place"))
-    facts = own.select("grp", "id", "cluster", "v", "size", "limit", "linked")
-    ranked = ranked.join(facts, ["grp", "id"])
+    ranked = work.store(met.withColumn("place", alone + rarest).drop("df"), "ranked")
     width = F.greatest(F.floor(F.col("limit") / 2), F.lit(1))
 
     def least(v: Column) -> Column:
@@ -389,27 +416,46 @@ def difference_pairs(differences: DataFrame, settings: Settings) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, rows: DataFrame, settings: Settings, work: Work) -> DataFrame:
-    """Pairs whose signatures match often enough and whose full sets are similar enough."""
+def confirmed(
+    pairs: DataFrame, classes: DataFrame, rows: DataFrame, settings: Settings, work: Work, signed: bool = True
+) -> DataFrame:
+    """Pairs whose full sets are similar enough; ``signed``: and whose signatures match often enough.
+
+    Sets are worked out for pairs only whose parities allow for it. Similar enough are sets that differ in
+    d shingles with (100 + percent) d <= (100 - percent) (n(a) + n(b)), and d is no less than the bits their
+    parities differ in, so no pair is lost by that.
+    """
     percent = settings.percent
-    sides = classes.select("id", "n", "signature")
-    a = sides.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa"))
-    b = sides.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
+    sides = classes.select("id", "n", "parity", *(["signature"] if signed else []))
+    a = sides.select(*(F.col(c).alias({"id": "a"}.get(c, f"{c}_a")) for c in sides.columns))
+    b = sides.select(*(F.col(c).alias({"id": "b"}.get(c, f"{c}_b")) for c in sides.columns))
     met = pairs.distinct().join(a, "a").join(b, "b")
-    met = met.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-    equal = F.aggregate(
-        F.zip_with("sa", "sb", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x
+    met = met.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    if signed:
+        equal = F.aggregate(
+            F.zip_with("signature_a", "signature_b", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x
+        )
+        met = met.where(equal >= settings.least_matches)
+    bits = F.aggregate(
+        F.zip_with("parity_a", "parity_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
     )
-    likely = work.store(met.where(equal >= settings.least_matches).select("a", "b", "na", "nb"), "pairs")
+    met = met.where(bits * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
+    likely = work.store(met.select("a", "b"), "pairs")
     return _similar(likely, full_sets(likely, classes, rows, settings), percent)
 
 
+def texts_of(rows: DataFrame, needed: DataFrame, settings: Settings) -> DataFrame:
+    """The rows with the keys of ``needed``. Unless these are very many, all tasks get them, so that the
+    other texts are read but not shuffled."""
+    few = needed.count() <= settings.sent
+    return rows.join(F.broadcast(needed) if few else needed, "key", "left_semi")
+
+
 def full_sets(pairs: DataFrame, classes: DataFrame, rows: DataFrame, settings: Settings) -> DataFrame:
     """(key, shingles) of every class in ``pairs``."""
     needed = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    texts = rows.join(needed, "key", "left_semi")
     # Of a repeated key only the row that its class was made from counts.
-    full = shingle_sets(texts, "text", settings).drop("text")
+    full = shingle_sets(texts_of(rows, needed, settings), "text", settings).drop("text")
     sets = classes.select("set_key", F.col("id").alias("key")).join(full, ["key", "set_key"])
     return sets.dropDuplicates(["key"])
 

@@ -1,4 +1,5 @@
 import random
+from math import comb
 
 import numpy as np
 import pytest
@@ -153,3 +154,71 @@ def test_unlike_texts_are_not_compared_shingle_by_shingle(spark, monkeypatch):
     found = minhash.near_duplicates(narrow(spark, rows), settings=Settings(words=2)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute(rows, 2)
     assert asked == [0]
+
+
+def test_parities_tell_no_more_than_what_differs():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        x = np.unique(rng.integers(0, 2**64, 500, np.uint64))
+        y = np.unique(np.append(x[rng.integers(0, 120) :], rng.integers(0, 2**64, rng.integers(0, 200), np.uint64)))
+        differ = minhash.parity(x, 1024) ^ minhash.parity(y, 1024)
+        assert sum((v & 0xFFFFFFFFFFFFFFFF).bit_count() for v in differ.tolist()) <= len(np.setxor1d(x, y))
+
+
+def test_shared_spans_are_as_likely_as_said():
+    least = minhash.shared_spans(Settings(), 2)
+    fewer = sum(comb(32, k) * 0.64**k * 0.36 ** (32 - k) for k in range(least))
+    assert fewer < 5e-7 and least > minhash.equal_spans(Settings(), 2)
+
+
+def test_texts_of_a_common_passage_are_no_group(spark, monkeypatch):
+    """They share three tenths of their shingles: some spans, but not as many as similar texts."""
+    rng, rows, asked = random.Random(6), [], []
+    passage = [f"p{i}" for i in range(30)]
+    for i in range(300):
+        words = passage + [f"u{rng.randrange(10**6)}" for _ in range(70)]
+        rows.append((i, " ".join(words)))
+        if i % 10 == 0:
+            rows.append((1_000 + i, " ".join(words[:-3])))
+    plain = minhash.from_hub
+
+    def noted(opened, *others):
+        asked.append(opened.count())
+        return plain(opened, *others)
+
+    monkeypatch.setattr(minhash, "from_hub", noted)
+    found = minhash.near_duplicates(narrow(spark, rows), settings=Settings(words=2, compared=4)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute(rows, 2)
+    assert asked[0] < len(rows) / 3
+
+
+def test_few_pairs_below_the_limit_go_to_full_sets(spark, monkeypatch):
+    """Independent copies of one text, of 0.6 or so: their signatures have 34 equal coordinates in most pairs."""
+    rng, rows, asked = random.Random(7), [], []
+    base = [f"b{i}" for i in range(300)]
+    for i in range(60):
+        words = base[:]
+        for k in rng.sample(range(300), 36):
+            words[k] = f"n{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    plain = minhash.full_sets
+
+    def noted(pairs, *others):
+        asked.append(pairs.count())
+        return plain(pairs, *others)
+
+    monkeypatch.setattr(minhash, "full_sets", noted)
+    found = minhash.near_duplicates(narrow(spark, rows), settings=Settings(words=2)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute(rows, 2)
+    assert sum(asked) < len(rows)
+
+
+def test_texts_are_shuffled_only_for_very_many_keys(spark):
+    rows = corpus(9)
+    df = narrow(spark, rows).selectExpr("doc_id as key", "text")
+    needed = df.where("key % 7 = 0").select("key").repartition(3)
+    few, many = (minhash.texts_of(df, needed, Settings(sent=n)) for n in (1_000, 10))
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+    assert sorted(few.collect()) == sorted(many.collect()) == sorted(df.where("key % 7 = 0").collect())
+    found = minhash.near_duplicates(narrow(spark, rows), settings=Settings(words=2, sent=0)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute(rows, 2)
